@@ -181,8 +181,7 @@ def ctes(*names: str) -> str:
 
 # One 0x0200 frame per event, written byte by byte; some are delimited, some sub-packaged, some have a wrong check byte.
 FRAMES_SQL = """
-select event_id,
-       case when event_id % 5 = 0 then '7E' || f || '7E' else f end frame
+select event_id, explode(array(case when event_id % 5 = 0 then '7E' || f || '7E' else f end)) frame
 from (
   select event_id, concat(body, lpad(hex(case when event_id % 11 = 0 then (x + 1) % 256 else x end), 2, '0')) f
   from (

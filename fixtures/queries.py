@@ -23,7 +23,8 @@ from haulwatch.session import configure
 from haulwatch.sources import scans, sinks
 
 COOLDOWN = 1800
-WIDE_M = 3000.0
+WIDE_M = 1500.0
+ROUTE_M = 2000.0
 DWELL_S = 30
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -336,8 +337,8 @@ _fence_query("alarm_file_control", alarms.alarm_file_control, "rule_document_con
 @query
 def alarm_off_route_query(spark, sf_dir):
     out = alarm_off_route(
-        positions(spark, sf_dir, "fast"), _permits(spark, sf_dir), radius_m=WIDE_M, dwell_s=DWELL_S, max_speed=60.0,
-        off_minutes=1, cooldown_s=COOLDOWN,
+        positions(spark, sf_dir, "fast"), _permits(spark, sf_dir), radius_m=ROUTE_M, dwell_s=0, max_speed=1000.0,
+        off_minutes=0, cooldown_s=600,
     )
     return _alarm_view(out, "permit_id")
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulwatch.functions.exprs import ColumnLike, col
 
 # Fixed values of the terminal protocol: message id, header layout, body layout, item ids, flag bits.
-POSITION_MESSAGE = 0x0200
+POSITION_MESSAGE = "0200"
 LENGTH_MASK = 0x3FF
 ENCRYPTION_MASK = 0x1C00
 ENCRYPTION_SHIFT = 10
@@ -18,6 +20,7 @@ SUBPACKAGE_HEADER_BYTES = 16
 FIXED_BODY_BYTES = 28
 MILEAGE_ITEM = 0x01
 MAIN_OIL_ITEM = 0x02
+WORD_BYTES = 7
 ACC_BIT, LOCATED_BIT = 0, 1
 SHARP_TURN_BIT, BRAKE_BIT = 15, 17
 
@@ -37,32 +40,46 @@ def _bit(number: Column, bit: int) -> Column:
     return F.shiftright(number, bit).bitwiseAND(F.lit(1)).cast("int")
 
 
-def _xor_of_bytes(text: Column) -> Column:
-    """Exclusive or of all bytes."""
-    places = F.sequence(F.lit(0), F.greatest(F.floor(F.length(text) / 2) - 1, F.lit(0)).cast("int"))
-    return F.aggregate(places, F.lit(0).cast("long"), lambda acc, i: acc.bitwiseXOR(hex_number(_bytes(text, i, 1))))
+def _with_xor_of_bytes(df: DataFrame, text: Column, name: str) -> DataFrame:
+    """Add the exclusive or of all bytes of hex ``text``: folds words of seven bytes, then the bytes of the result.
+
+    Works in steps over helper columns, since a loop body would evaluate them again at every turn.
+    """
+    digits = WORD_BYTES * 2
+    words = F.ceil(F.length(text) / digits).cast("int")
+    df = df.withColumn("_padded", F.rpad(text, words * digits, F.lit("0")))
+    padded = F.col("_padded")
+    df = df.withColumn(
+        "_words",
+        F.transform(
+            F.sequence(F.lit(0), F.floor(F.length(padded) / digits).cast("int")),
+            lambda i: F.coalesce(hex_number(_bytes(padded, i * WORD_BYTES, WORD_BYTES)), F.lit(0)),
+        ),
+    )
+    df = df.withColumn("_folded", F.aggregate("_words", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(w)))
+    parts = [F.shiftright("_folded", 8 * i).bitwiseAND(F.lit(0xFF)) for i in range(WORD_BYTES)]
+    return df.withColumn(name, reduce(lambda a, b: a.bitwiseXOR(b), parts)).drop("_padded", "_words", "_folded")
+
 
+def body_items(tail: Column, values: Column) -> Column:
+    """Additional items, as an array of ``(id, length, hex)``; stops at the end of the body.
 
-def body_items(body: Column) -> Column:
-    """Additional items after the fixed part, as an array of ``(id, length, hex)``; stops at the end of the body."""
-    tail = _bytes(body, FIXED_BODY_BYTES, LENGTH_MASK)
-    size = F.floor(F.length(tail) / 2).cast("int")
-    none = F.array().cast("array<struct<id:bigint,length:bigint,hex:string>>")
-    # Each item takes at least two bytes, so this many steps reach the end.
+    ``tail`` is the hex text after the fixed part of the body and ``values`` its bytes as numbers.
+    """
+    size = F.size(values)
+    none = F.array().cast("array<struct<id:int,length:int,hex:string>>")
+    # An item takes at least two bytes, so this many steps reach the end.
     steps = F.sequence(F.lit(0), F.floor(size / 2).cast("int"))
 
     def step(acc: Column, _: Column) -> Column:
         at = acc["at"]
-        length = hex_number(_bytes(tail, at + 1, 1))
-        fits = (at + 2 <= size) & (at + 2 + length <= size)
-        item = F.struct(
-            hex_number(_bytes(tail, at, 1)).alias("id"), length.alias("length"), _bytes(tail, at + 2, length).alias("hex")
-        )
+        length = F.get(values, at + 1)
+        item = F.struct(F.get(values, at).alias("id"), length.alias("length"), _bytes(tail, at + 2, length).alias("hex"))
         following = F.struct((at + 2 + length).alias("at"), F.concat(acc["items"], F.array(item)).alias("items"))
-        stop = F.struct(F.lit(1 << 20).cast("long").alias("at"), acc["items"].alias("items"))
-        return F.when(fits, following).otherwise(stop)
+        stop = F.struct(size.alias("at"), acc["items"].alias("items"))
+        return F.when((at + 2 <= size) & (at + 2 + length <= size), following).otherwise(stop)
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("items"))
+    start = F.struct(F.lit(0).alias("at"), none.alias("items"))
     return F.aggregate(steps, start, step, lambda acc: acc["items"])
 
 
@@ -79,8 +96,9 @@ def decode_frames(df: DataFrame, hex_col: ColumnLike = "frame") -> DataFrame:
     the bytes before it; a wrong one does not drop the row.
     """
     text = F.upper(F.trim(col(hex_col)))
-    text = F.regexp_replace(text, "^7E((?:[0-9A-F]{2})*)7E$", "$1")
-    frame = df.withColumn("_x", text).filter(hex_number(_bytes(F.col("_x"), 0, 2)) == POSITION_MESSAGE)
+    wrapped = text.startswith("7E") & text.endswith("7E") & (F.length(text) >= 4)
+    text = F.when(wrapped, F.substring(text, F.lit(3), F.length(text) - 4)).otherwise(text)
+    frame = df.filter(col(hex_col).rlike(rf"^\s*(7[eE])?{POSITION_MESSAGE}")).withColumn("_x", text)
     x = F.col("_x")
     frame = frame.withColumn("_props", hex_number(_bytes(x, 2, 2)))
     props = F.col("_props")
@@ -88,9 +106,14 @@ def decode_frames(df: DataFrame, hex_col: ColumnLike = "frame") -> DataFrame:
     start = F.when(split, SUBPACKAGE_HEADER_BYTES).otherwise(HEADER_BYTES)
     frame = frame.withColumn("_body", _bytes(x, start, props.bitwiseAND(LENGTH_MASK)))
     body = F.col("_body")
+    frame = frame.withColumn("_tail", _bytes(body, FIXED_BODY_BYTES, LENGTH_MASK))
+    tail = F.col("_tail")
+    count = F.floor(F.length(tail) / 2).cast("int")
+    places = F.slice(F.sequence(F.lit(0), count), F.lit(1), count)
+    frame = frame.withColumn("_values", F.transform(places, lambda i: hex_number(_bytes(tail, i, 1)).cast("int")))
     frame = frame.withColumns(
         {
-            "_items": body_items(body),
+            "_items": body_items(tail, F.col("_values")),
             "_alarm": hex_number(_bytes(body, 0, 4)),
             "_state": hex_number(_bytes(body, 4, 4)),
         }
@@ -99,7 +122,7 @@ def decode_frames(df: DataFrame, hex_col: ColumnLike = "frame") -> DataFrame:
     def number(at: int, count: int) -> Column:
         return hex_number(_bytes(body, at, count))
 
-    size = F.floor(F.length(x) / 2).cast("int")
+    frame = _with_xor_of_bytes(frame, F.substring(x, F.lit(1), F.length(x) - 2), "_xor")
     mileage, oil = _item(F.col("_items"), MILEAGE_ITEM), _item(F.col("_items"), MAIN_OIL_ITEM)
     lng, lat = number(12, 4) / 1e6, number(8, 4) / 1e6
     clock = F.try_to_timestamp(F.concat(F.lit("20"), _bytes(body, 22, 6)), F.lit("yyyyMMddHHmmss"))
@@ -110,7 +133,7 @@ def decode_frames(df: DataFrame, hex_col: ColumnLike = "frame") -> DataFrame:
         F.when(split, hex_number(_bytes(x, 12, 2))).alias("subpackages"),
         F.when(split, hex_number(_bytes(x, 14, 2))).alias("subpackage_seq"),
         hex_number(_bytes(x, 10, 2)).alias("flow_id"),
-        (hex_number(_bytes(x, size - 1, 1)) == _xor_of_bytes(F.substring(x, F.lit(1), (size - 1) * 2))).alias("checksum_ok"),
+        (hex_number(F.right(x, F.lit(2))) == F.col("_xor")).alias("checksum_ok"),
         F.regexp_replace(_bytes(x, 4, 6), "^0", "").alias("devid"),
         F.date_format(clock, "yyyy-MM-dd HH:mm:ss").alias("time"),
         lng.alias("lng"),

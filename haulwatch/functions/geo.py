@@ -85,7 +85,8 @@ def distance_m(
     half_chord = F.pow(F.sin((phi2 - phi1) / 2), 2) + F.cos(phi1) * F.cos(phi2) * F.pow(
         F.sin(F.radians(col(lng2) - col(lng1)) / 2), 2
     )
-    return F.asin(F.least(F.lit(1.0), F.sqrt(half_chord))) * (2.0 * radius)
+    # ``least`` would turn a missing coordinate into the longest distance; this keeps it null.
+    return F.asin(F.sqrt(F.when(half_chord > 1.0, 1.0).otherwise(half_chord))) * (2.0 * radius)
 
 
 def parse_ring_text(text: ColumnLike) -> Column:

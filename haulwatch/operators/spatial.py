@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haulwatch.functions import geo
 from haulwatch.operators.lookups import salted_join
@@ -81,7 +82,7 @@ def points_near_sites(d: DataFrame, sites: DataFrame, radius_m: float = 500.0, *
 def polygon_cells(
     polygons: DataFrame, ring: Column, on: Sequence[str], cell_deg: float = POLYGON_CELL_DEG
 ) -> DataFrame:
-    """Polygons over the cells of their bounding box: ``on``, ``_cx``, ``_cy``, ``target``, ``edges``.
+    """Polygons over the cells of their bounding box: ``on``, ``_cx``, ``_cy``, ``target``, ``box``, ``edges``.
 
     Each cell keeps only the edges that can lie above a point of that cell, so a long ring is split among its
     cells instead of being copied into every one.
@@ -106,7 +107,17 @@ def polygon_cells(
             & (F.greatest(e["y1"], e["y2"]) >= south - slack)
         )
 
-    return placed.select(*on, "_cx", "_cy", "target", F.filter("_edges", reachable).alias("edges"))
+    box = F.struct(
+        F.array_min(xs).alias("west"), F.array_max(xs).alias("east"), F.array_min(ys).alias("south"),
+        F.array_max(ys).alias("north"),
+    )
+    return placed.select(*on, "_cx", "_cy", "target", box.alias("box"), F.filter("_edges", reachable).alias("edges"))
+
+
+def _contains(box: Column, edges: Column) -> Column:
+    """Exact test behind a bounding-box test that needs no loop."""
+    near = F.col("lng").between(box["west"], box["east"]) & F.col("lat").between(box["south"], box["north"])
+    return near & geo.crosses_odd("lng", "lat", edges)
 
 
 def points_in_fences(
@@ -117,7 +128,7 @@ def points_in_fences(
     joined = salted_join(
         _with_cell(d, cell_deg), cells, ["dept_id", "_cx", "_cy"], "inner", growth=CELLS_PER_TARGET, **kw
     )
-    inside = joined.filter(geo.crosses_odd("lng", "lat", F.col("edges")))
+    inside = joined.filter(_contains(F.col("box"), F.col("edges")))
     return inside.select(
         *d.columns,
         F.col("target.condition_id").alias("condition_id"),
@@ -142,7 +153,7 @@ def tag_region(
     cells = polygon_cells(valid, geo.parse_ring_text("coords"), ["dept_id"], cell_deg)
     candidates = cells.groupBy("dept_id", "_cx", "_cy").agg(
         F.sort_array(
-            F.collect_list(F.struct("target.id", "target.city_name", "edges"))
+            F.collect_list(F.struct("target.id", "target.city_name", "box", "edges"))
         ).alias("_areas")
     )
     d = d.drop("region_id", "region_name")
@@ -150,7 +161,7 @@ def tag_region(
         _with_cell(d, cell_deg), candidates, ["dept_id", "_cx", "_cy"], "left", growth=CELLS_PER_TARGET, **kw
     )
     hit = F.try_element_at(
-        F.filter("_areas", lambda a: geo.crosses_odd("lng", "lat", a["edges"])), F.lit(1)
+        F.filter("_areas", lambda a: _contains(a["box"], a["edges"])), F.lit(1)
     )
     return joined.withColumn("_hit", hit).select(
         *d.columns,
@@ -159,12 +170,39 @@ def tag_region(
     )
 
 
-def route_vertices(permits: DataFrame, radius_m: float, keys: Sequence[str]) -> DataFrame:
-    """Distinct route vertices per key and reachable cell: ``keys``, ``_cx``, ``_cy``, ``_vertices``."""
-    vertices = permits.select(*keys, F.explode(geo.parse_routes_json("coords")).alias("_v")).select(
-        *keys, F.col("_v.lng").alias("lng"), F.col("_v.lat").alias("lat")
+def near_ids(
+    points: DataFrame, sites: DataFrame, radius_m: float, on: Sequence[str], id_col: str, name: str,
+    lng: str = "lng", lat: str = "lat", inclusive: bool = False, **kw,
+) -> DataFrame:
+    """Add an array ``name`` of the ids within ``radius_m`` of each point, sorted; every point stays one row.
+
+    A cell carries its sites as an array, so this suits few sites per key and cell. Where a cell may hold many,
+    use ``match_sites``.
+    """
+    cells = site_cells(sites.select(*on, id_col, lng, lat), radius_m, on, lng, lat)
+    cells = cells.groupBy(*on, "_cx", "_cy").agg(F.collect_list("target").alias("_near"))
+    joined = salted_join(
+        _with_cell(points, _site_cell_deg(radius_m)), cells, [*on, "_cx", "_cy"], "left", growth=CELLS_PER_TARGET, **kw
     )
-    cells = site_cells(vertices.distinct(), radius_m, keys)
+
+    def within(s: Column) -> Column:
+        away = geo.distance_m("lng", "lat", s[lng], s[lat])
+        return away <= radius_m if inclusive else away < radius_m
+
+    ids = F.array_distinct(F.transform(F.filter("_near", within), lambda s: s[id_col]))
+    none = F.array().cast(T.ArrayType(sites.schema[id_col].dataType))
+    return joined.select(*points.columns, F.coalesce(F.array_sort(ids), none).alias(name))
+
+
+def route_points(permits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct route vertices: ``keys``, ``lng``, ``lat``."""
+    flat = permits.select(*keys, F.explode(geo.parse_routes_json("coords")).alias("_v"))
+    return flat.select(*keys, F.col("_v.lng").alias("lng"), F.col("_v.lat").alias("lat")).distinct()
+
+
+def route_vertices(permits: DataFrame, radius_m: float, keys: Sequence[str]) -> DataFrame:
+    """Route vertices per key and reachable cell: ``keys``, ``_cx``, ``_cy``, ``_vertices``."""
+    cells = site_cells(route_points(permits, keys), radius_m, keys)
     return cells.groupBy(*keys, "_cx", "_cy").agg(F.collect_list("target").alias("_vertices"))
 
 

@@ -24,7 +24,8 @@ def scan_json(df: DataFrame, schema: T.StructType, value_col: str = "value") ->
     """Parse JSON text to typed columns; unreadable records are dropped, missing fields are null."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     wide = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = df.select(F.from_json(F.col(value_col).cast("string"), wide, options).alias("_r")).select("_r.*")
+    # Through a generator, so that filters on the fields do not parse the text a second time.
+    parsed = df.select(F.inline(F.array(F.from_json(F.col(value_col).cast("string"), wide, options))))
     return parsed.filter(F.col("_corrupt").isNull()).drop("_corrupt")
 
 
