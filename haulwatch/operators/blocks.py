@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from haulwatch.operators.sequence import DAY, ordered_scan
 
-# A slice of candidate times spans this many cooldowns.
+# A slice of candidate times spans at least this many cooldowns and this many seconds.
 COOLDOWNS_PER_SLICE = 12
+SLICE_SECONDS = 7 * DAY
 
 
 def sustained(df: DataFrame, key: Sequence[str], violating: Column, minutes: Column | int) -> DataFrame:
@@ -76,7 +77,9 @@ def _stairs(times: pd.Series, reach: pd.Series, cooldown: pd.Series) -> pd.Serie
     return pd.Series([one(*args) for args in zip(times, reach, cooldown, strict=True)])
 
 
-def cooldown(df: DataFrame, key: Sequence[str], seconds: int, tie: Sequence[str] = ("row_key",)) -> DataFrame:
+def cooldown(
+    df: DataFrame, key: Sequence[str], seconds: int, tie: Sequence[str] = ("row_key",), slice_s: int = SLICE_SECONDS
+) -> DataFrame:
     """Candidates that fire: the first of a key, then each more than ``seconds`` after the last one fired.
 
     Which candidate fires depends on the one before, so a key is a chain. Candidates are first reduced to one per
@@ -84,7 +87,7 @@ def cooldown(df: DataFrame, key: Sequence[str], seconds: int, tie: Sequence[str]
     last firing; running through these summaries gives every slice its start, and slices then fire independently.
     """
     rest = [c for c in df.columns if c not in (*key, "t")]
-    span = seconds * COOLDOWNS_PER_SLICE if seconds > 0 else DAY
+    span = max(seconds * COOLDOWNS_PER_SLICE, slice_s)
     per_second = df.groupBy(*key, "t").agg(F.min_by(F.struct(*rest), F.struct(*tie)).alias("_row"))
     slices = (
         per_second.withColumn("_slice", F.col("t") - F.pmod(F.col("t"), F.lit(span)))

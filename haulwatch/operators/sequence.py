@@ -37,7 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def prepare(d: DataFrame, key: Sequence[str] = VEHICLE, target_rows: int | None = TARGET_ROWS) -> DataFrame:
     """Add ``t`` (whole epoch seconds); where some vehicle exceeds ``target_rows``, also ``hot`` and ``slice``.
 
-    One count over the key columns decides which of the two plans is built. ``target_rows=None`` skips it.
+    One count over the key columns decides which of the two plans is built. ``target_rows=None`` skips it and keeps
+    what an earlier ``prepare`` added, so several detectors can share one count.
     """
     d = d.filter(F.col(key[-1]).isNotNull())
     if "t" not in d.columns:
@@ -94,30 +95,32 @@ def ordered_scan(
     ``mark(prev)`` gives a value or null for each row; ``mark`` then holds the latest value up to the row, or
     up to the row before it when ``before`` is set.
     """
-    part = group_columns(df, key)
     row = F.struct(*order, *payload)
-    window = Window.partitionBy(*part).orderBy(*order)
-    frame = window.rowsBetween(Window.unboundedPreceding, -1 if before else 0)
 
-    def scan(rows: DataFrame, carried: bool) -> DataFrame:
+    def scan(rows: DataFrame, part: Sequence[str], sliced: bool) -> DataFrame:
+        window = Window.partitionBy(*part).orderBy(*order)
         out = rows.withColumn("prev", F.lag(row).over(window))
         if following:
             out = out.withColumn("next", F.lead(row).over(window))
         if mark is not None:
             own = mark(F.col("prev"))
-            out = out.withColumn("_own", F.when(F.col("_ghost"), F.col("_carry")).otherwise(own) if carried else own)
-            out = out.withColumn("mark", F.last("_own", ignorenulls=True).over(frame))
-        return out
+            own = F.when(F.col("_ghost"), F.col("_carry")).otherwise(own) if sliced else own
+            frame = window.rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+            out = out.withColumn("_own", own).withColumn("mark", F.last("_own", ignorenulls=True).over(frame))
+        return out.drop("_own")
 
     if "slice" not in df.columns:
-        return scan(df, False).drop("_own")
+        return scan(df, key, False)
 
-    # Several branches read the rows below; the checkpoint computes them once.
+    # The literals let the optimizer drop the other branch when a later scan filters on ``hot`` again.
+    cold = scan(df.filter(~F.col("hot")), key, False).withColumn("hot", F.lit(False))
+    # Several branches read the hot rows; the checkpoint computes them once.
     ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint()
-    real = df.withColumn("_ghost", F.lit(False))
+    hot = df.filter("hot").checkpoint()
+    part = [*key, "slice"]
+    real = hot.withColumn("_ghost", F.lit(False))
     slices = Window.partitionBy(*key).orderBy("slice")
-    ends = df.filter("hot").groupBy(*part).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
+    ends = hot.groupBy(*part).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
     ends = ends.withColumns({"_before": F.lag("_last").over(slices), "_after": F.lead("_first").over(slices)})
 
     def ghosts(edges: DataFrame, name: str, *more: Column) -> DataFrame:
@@ -126,10 +129,10 @@ def ordered_scan(
     if mark is None:
         rows = real.unionByName(ghosts(ends, "_before"), allowMissingColumns=True)
     else:
-        # Exact marks of the hot rows first, then the latest mark of all earlier slices.
-        exact = real.filter("hot").unionByName(ghosts(ends, "_before"), allowMissingColumns=True)
-        exact = exact.withColumn("prev", F.lag(row).over(window)).filter(~F.col("_ghost"))
-        exact = exact.withColumn("_own", mark(F.col("prev")))
+        # Exact marks first, then for each slice the latest mark of all earlier ones.
+        exact = real.unionByName(ghosts(ends, "_before"), allowMissingColumns=True)
+        exact = exact.withColumn("prev", F.lag(row).over(Window.partitionBy(*part).orderBy(*order)))
+        exact = exact.filter(~F.col("_ghost")).withColumn("_own", mark(F.col("prev")))
         marks = exact.groupBy(*part).agg(
             F.max(F.when(F.col("_own").isNotNull(), F.struct(*order, "_own"))).alias("_mark")
         )
@@ -139,5 +142,5 @@ def ordered_scan(
         rows = real.unionByName(ghosts(carried, "_before", F.col("_carry")), allowMissingColumns=True)
     if following:
         rows = rows.unionByName(ghosts(ends, "_after"), allowMissingColumns=True)
-    out = scan(rows, mark is not None).filter(~F.col("_ghost")).drop("_ghost", "_own", "_carry")
-    return out
+    warm = scan(rows, part, True).filter(~F.col("_ghost")).drop("_ghost", "_carry")
+    return cold.unionByName(warm.withColumn("hot", F.lit(True)))

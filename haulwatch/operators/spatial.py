@@ -13,13 +13,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulwatch.functions import geo
-from haulwatch.operators.lookups import salted_join
+from haulwatch.operators.lookups import BROADCAST_BYTES, plan_bytes, salted_join
 
 POLYGON_CELL_DEG = 0.05
 # The grid box is a little wider than the radius, so rounding cannot lose a match.
 MARGIN = 1.0001
-# Rows a target usually expands to, for the broadcast size check.
+# Most cells a site expands to below 60 degrees of latitude, for the broadcast size check.
 CELLS_PER_TARGET = 16
+# Polygon cells are measured instead, since one polygon can cover any number of them.
+ROW_BYTES, EDGE_BYTES = 256, 48
+# More candidate areas than this in one cell are joined row by row instead of as an array.
+AREAS_PER_CELL = 256
 
 
 def _cells(df: DataFrame, west: Column, east: Column, south: Column, north: Column, size: float) -> DataFrame:
@@ -114,6 +118,15 @@ def polygon_cells(
     return placed.select(*on, "_cx", "_cy", "target", box.alias("box"), F.filter("_edges", reachable).alias("edges"))
 
 
+def _measured(cells: DataFrame, max_broadcast: int | None) -> int:
+    """Broadcast limit for ``cells`` after counting their rows and edges: unchanged if they fit, else 0."""
+    limit = BROADCAST_BYTES if max_broadcast is None else max_broadcast
+    if plan_bytes(cells) > limit:
+        return 0
+    size = cells.agg(F.sum(F.lit(ROW_BYTES) + F.size("edges") * EDGE_BYTES)).first()[0] or 0
+    return limit if size <= limit else 0
+
+
 def _contains(box: Column, edges: Column) -> Column:
     """Exact test behind a bounding-box test that needs no loop."""
     near = F.col("lng").between(box["west"], box["east"]) & F.col("lat").between(box["south"], box["north"])
@@ -121,13 +134,12 @@ def _contains(box: Column, edges: Column) -> Column:
 
 
 def points_in_fences(
-    d: DataFrame, rules: DataFrame, cell_deg: float = POLYGON_CELL_DEG, **kw
+    d: DataFrame, rules: DataFrame, cell_deg: float = POLYGON_CELL_DEG, max_broadcast: int | None = None
 ) -> DataFrame:
     """Pairs of a position and a rule of its department whose fence contains it; the rule is in ``rule``."""
     cells = polygon_cells(rules, geo.parse_ring_json("coords"), ["dept_id"], cell_deg)
-    joined = salted_join(
-        _with_cell(d, cell_deg), cells, ["dept_id", "_cx", "_cy"], "inner", growth=CELLS_PER_TARGET, **kw
-    )
+    limit = _measured(cells, max_broadcast)
+    joined = salted_join(_with_cell(d, cell_deg), cells, ["dept_id", "_cx", "_cy"], "inner", limit)
     inside = joined.filter(_contains(F.col("box"), F.col("edges")))
     return inside.select(
         *d.columns,
@@ -137,13 +149,20 @@ def points_in_fences(
 
 
 def tag_region(
-    d: DataFrame, areas: DataFrame, cell_deg: float = POLYGON_CELL_DEG, **kw
+    d: DataFrame,
+    areas: DataFrame,
+    cell_deg: float = POLYGON_CELL_DEG,
+    max_broadcast: int | None = None,
+    areas_per_cell: int = AREAS_PER_CELL,
 ) -> DataFrame:
     """Add ``region_id`` / ``region_name``: the lowest-numbered valid area of the department containing the point.
 
     A cell carries its candidate areas in id order, so every position meets one row and the join keeps all
-    rows without a second shuffle. Copies of a polygon are reduced to the lowest id first.
+    rows without a second shuffle. Copies of a polygon are reduced to the lowest id first. Where a cell has more
+    than ``areas_per_cell`` candidates, positions are joined to them one by one and the lowest id is taken per
+    ``row_key``.
     """
+    keys = ["dept_id", "_cx", "_cy"]
     valid = (
         areas.filter("state = 1")
         .groupBy("dept_id", "coords")
@@ -151,19 +170,22 @@ def tag_region(
         .select("dept_id", "coords", "_a.id", "_a.city_name")
     )
     cells = polygon_cells(valid, geo.parse_ring_text("coords"), ["dept_id"], cell_deg)
-    candidates = cells.groupBy("dept_id", "_cx", "_cy").agg(
-        F.sort_array(
-            F.collect_list(F.struct("target.id", "target.city_name", "box", "edges"))
-        ).alias("_areas")
-    )
+    limit = _measured(cells, max_broadcast)
+    crowded = not cells.groupBy(*keys).count().filter(F.col("count") > areas_per_cell).isEmpty()
     d = d.drop("region_id", "region_name")
-    joined = salted_join(
-        _with_cell(d, cell_deg), candidates, ["dept_id", "_cx", "_cy"], "left", growth=CELLS_PER_TARGET, **kw
-    )
-    hit = F.try_element_at(
-        F.filter("_areas", lambda a: _contains(a["box"], a["edges"])), F.lit(1)
-    )
-    return joined.withColumn("_hit", hit).select(
+    points = _with_cell(d, cell_deg)
+    if crowded:
+        pairs = salted_join(points.select("row_key", "lng", "lat", *keys), cells, keys, "inner", limit)
+        inside = pairs.filter(_contains(F.col("box"), F.col("edges")))
+        hits = inside.groupBy("row_key").agg(F.min(F.struct("target.id", "target.city_name")).alias("_hit"))
+        joined = d.join(hits, "row_key", "left")
+    else:
+        candidates = cells.groupBy(*keys).agg(
+            F.sort_array(F.collect_list(F.struct("target.id", "target.city_name", "box", "edges"))).alias("_areas")
+        )
+        hit = F.filter("_areas", lambda a: _contains(a["box"], a["edges"]))
+        joined = salted_join(points, candidates, keys, "left", limit).withColumn("_hit", F.try_element_at(hit, F.lit(1)))
+    return joined.select(
         *d.columns,
         F.col("_hit.id").cast("string").alias("region_id"),
         F.col("_hit.city_name").alias("region_name"),

@@ -43,7 +43,3 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         builder = builder.config(key, value)
     return configure_streaming(builder.getOrCreate())
 
-
-def checkpoint_root(spark: SparkSession, default: str) -> str:
-    """Shared folder for checkpoints: the one the cluster names, else ``default``."""
-    return spark.conf.get("spark.checkpoint.dir", None) or default

@@ -46,7 +46,7 @@ def test_cooldown_over_many_slices(spark, seed):
         want |= {(key, t) for t in greedy(times, seconds)}
     rng.shuffle(rows)
     df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "k int, t bigint, row_key bigint")
-    fired = blocks.cooldown(df, ["k"], seconds).collect()
+    fired = blocks.cooldown(df, ["k"], seconds, slice_s=1).collect()
     assert {(r.k, r.t) for r in fired} == want and len(fired) == len(want)
     lowest = {}
     for i, kt in enumerate(rows):

@@ -132,8 +132,8 @@ def test_region_takes_lowest_id_and_keeps_rows(spark):
         "id int, city_name string, dept_id int, coords string, state int",
     )
     d = track(spark, [at(0, HOME), at(1, AWAY)])
-    for limit in (None, 0):
-        out = spatial.tag_region(d, areas, max_broadcast=limit).orderBy("row_key").collect()
+    for options in ({}, {"max_broadcast": 0}, {"areas_per_cell": 0}, {"areas_per_cell": 0, "max_broadcast": 0}):
+        out = spatial.tag_region(d, areas, **options).orderBy("row_key").collect()
         assert [(r.region_id, r.region_name) for r in out] == [("3", "three"), (None, None)]
 
 
