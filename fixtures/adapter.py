@@ -17,7 +17,6 @@ SQUEEZE = 120
 AS_OF_T = 1704088800  # 2024-01-01 06:00:00, the end of the squeezed times
 AS_OF = "2024-01-01 06:00:00"
 DATE = "2024-01-05"
-DEPTS = "(values (1),(2),(3)) as d(dept_id)"
 
 
 def _num(x: str) -> str:
@@ -42,6 +41,10 @@ def _route() -> str:
     return f"'[[' || {first} || '],[' || {second} || ']]'"
 
 
+def _per_dept(sql: str) -> str:
+    return " union all ".join(sql.strip().replace("{dept}", f"cast({d} as int)") for d in (1, 2, 3))
+
+
 def _fence_rule(columns: str, keep: str = "true") -> str:
     return f"select condition_id, dept_id, {columns}, cast(case when condition_id % 8 = 7 then 1 else 0 end as int) state from fence where {keep}"
 
@@ -78,13 +81,13 @@ union all
 select cast(c_custkey as int) vehicle_id, cast(c_custkey % 3 + 1 as int) dept_id, c_custkey + 1000000000 permit_id,
        (c_custkey + 3) % 10 disposal_site_id, (c_custkey + 7) % 10 build_site_id, {_route().replace('c_custkey', '(c_custkey+77)')} coords, cast(0 as int) state
 from customer where c_custkey % 4 = 0""",
-    "driver": f"""
-select n_nationkey driver_id, dept_id, 'D' || cast(n_nationkey as string) driver_name
-from nation cross join {DEPTS} where n_nationkey % 4 <> 0""",
-    "enterprise": f"""
-select cast(n_nationkey as string) enterprise_id, dept_id, n_name enterprise_name,
+    "driver": _per_dept("""
+select n_nationkey driver_id, {dept} dept_id, 'D' || cast(n_nationkey as string) driver_name
+from nation where n_nationkey % 4 <> 0"""),
+    "enterprise": _per_dept("""
+select cast(n_nationkey as string) enterprise_id, {dept} dept_id, n_name enterprise_name,
        113e0 + n_nationkey/1e2 lng, 34.7e0 + n_nationkey/1e2 lat
-from nation cross join {DEPTS} where n_nationkey % 6 <> 5""",
+from nation where n_nationkey % 6 <> 5"""),
     "disposal_site": """
 select s_suppkey disposal_site_id, s_name disposal_site_name, cast(s_nationkey % 3 + 1 as int) dept_id,
        113e0 + ((s_suppkey*3571) % 1000)/1e4 lng, 34.7e0 + ((s_suppkey*7717) % 1000)/1e4 lat from supplier""",
@@ -107,10 +110,10 @@ select condition_id id, 'city ' || cast(condition_id as string) city_name, dept_
     "rule_document_control": _fence_rule(
         "'2024-01-01 01:00:00' start_date, '2024-01-01 04:00:00' end_date, cast(5 as int) alarm_date"
     ),
-    "illegal_type": f"""
+    "illegal_type": """
 select dept_id, code illegal_type_code, 'short ' || code illegal_type_short_desc, 'long ' || code illegal_type_desc,
        dept_id * 1e0 enterprise_score, dept_id * 2e0 vehicle_score, dept_id * 3e0 driver_score
-from (values ('0118'),('0115'),('0123')) as c(code) cross join {DEPTS} where not (dept_id = 3 and code = '0115')""",
+from (values ('0118', 1), ('0118', 2), ('0118', 3), ('0115', 1), ('0115', 2), ('0123', 1), ('0123', 2), ('0123', 3)) as c(code, dept_id)""",
     "alarms_raw": """
 select o_orderkey row_key, cast(o_custkey as int) vehicle_id, cast(o_custkey % 3 + 1 as int) dept_id,
        case when o_orderkey % 4 = 0 then '0118' when o_orderkey % 4 = 1 then '0115' when o_orderkey % 4 = 2 then '0123' else '0110' end illegal_type_code,

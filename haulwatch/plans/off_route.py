@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haulwatch.operators.blocks import cooldown
 from haulwatch.operators.lookups import supervised
-from haulwatch.operators.sequence import ORDER, TARGET_ROWS, VEHICLE, group_columns, ordered_scan, prepare
+from haulwatch.operators.sequence import (
+    ORDER, TARGET_ROWS, VEHICLE, ensure_checkpoint_dir, group_columns, ordered_scan, prepare,
+)
 from haulwatch.operators.spatial import flag_off_route, match_sites
 from haulwatch.plans.alarms import COOLDOWN_S, OFF_ROUTE, as_alarm
 
@@ -60,57 +63,78 @@ def _after(state: Column, event: Column) -> Column:
 
 
 def route_changes(events: DataFrame) -> DataFrame:
-    """The permit held after each event, as ``held`` (null for none).
+    """Reports at which the held permit changes, with the permit held from there on in ``held`` (null for none).
 
-    Repeating an event changes nothing, so runs of equal events shrink to their first. A slice of events maps the
-    permit held before it to the permit held after it; running through these maps gives each slice its start.
+    Repeating an event changes nothing, so runs of equal events shrink to their first. Where vehicles are sliced, a
+    slice is summarised by the permit it ends with for every permit it may start with; running through a vehicle's
+    summaries gives each slice its start, and slices then replay their events independently.
     """
     group = group_columns(events, VEHICLE)
     order = Window.partitionBy(*group).orderBy(*ORDER)
     what = F.struct("take", "leave")
-    changed = events.withColumn("_was", F.lag(what).over(order)).filter(
+    news = events.withColumn("_was", F.lag(what).over(order)).filter(
         F.col("_was").isNull() | ~F.col("_was").eqNullSafe(what)
     )
-    slices = changed.groupBy(*group).agg(
+    slices = news.groupBy(*group).agg(
         F.sort_array(F.collect_list(F.struct(*ORDER, "take", "leave"))).alias("_events")
     )
     nothing = F.lit(None).cast(events.schema["take"].dataType)
+    entry = nothing
+    if "slice" in group:
+        ensure_checkpoint_dir(events.sparkSession)
+        slices = slices.checkpoint()
+        slices = slices.join(_slice_starts(slices, nothing), [*VEHICLE, "slice"], "left")
+        entry = F.col("_entry")
 
-    def trail(start: Column) -> Column:
-        # The held permit after every event; element 0 is the start.
-        return F.aggregate(
-            "_events",
-            F.array(F.struct(start.alias("held"))),
-            lambda acc, e: F.concat(acc, F.array(F.struct(_after(F.element_at(acc, -1)["held"], e).alias("held")))),
-        )
+    change = T.StructType(
+        [T.StructField(c, events.schema[c].dataType) for c in ORDER] + [T.StructField("held", events.schema["take"].dataType)]
+    )
 
-    def end(start: Column) -> Column:
-        return F.aggregate("_events", F.struct(start.alias("held")), lambda acc, e: F.struct(_after(acc["held"], e).alias("held")))["held"]
+    def step(acc: Column, e: Column) -> Column:
+        held = _after(acc["held"], e)
+        here = F.array(F.struct(*[e[c].alias(c) for c in ORDER], held.alias("held")))
+        out = F.when(held.eqNullSafe(acc["held"]), acc["out"]).otherwise(F.concat(acc["out"], here))
+        return F.struct(held.alias("held"), out.alias("out"))
 
-    entry = nothing
-    if "slice" in group:
-        leavable = F.array_distinct(F.flatten(F.transform("_events", lambda e: e["leave"])))
-        slices = slices.withColumn(
-            "_map", F.struct(end(nothing).alias("none"), F.transform(leavable, lambda p: F.struct(p.alias("p"), end(p).alias("to"))).alias("held"))
-        )
-        every = F.collect_list(F.struct("slice", "_map")).over(Window.partitionBy(*VEHICLE))
-        slices = slices.withColumn("_all", every)
-
-        def run(state: Column, s: Column) -> Column:
-            hit = F.try_element_at(F.filter(s["_map"]["held"], lambda h: h["p"] == state["held"]), F.lit(1))
-            to = F.when(state["held"].isNull(), s["_map"]["none"]).when(hit.isNull(), state["held"]).otherwise(hit["to"])
-            return F.struct(to.alias("held"))
-
-        earlier = F.array_sort(F.filter("_all", lambda s: s["slice"] < F.col("slice")))
-        entry = F.aggregate(earlier, F.struct(nothing.alias("held")), run)["held"]
-    # Keep only the events that change what is held.
-    slices = slices.withColumn("_trail", trail(entry))
-    steps = F.zip_with(
-        "_events",
-        F.slice("_trail", 2, F.size("_events")),
-        lambda e, s: F.struct(*[e[c].alias(c) for c in ORDER], s["held"].alias("held")),
+    start = F.struct(entry.alias("held"), F.array().cast(T.ArrayType(change)).alias("out"))
+    changes = F.aggregate("_events", start, step, lambda acc: acc["out"])
+    return slices.select(*group, F.explode(changes).alias("_c")).select(*group, "_c.*")
+
+
+def _slice_starts(slices: DataFrame, nothing: Column) -> DataFrame:
+    """The permit held before each slice of events, in ``_entry``."""
+
+    def end(start: Column) -> Column:
+        first = F.struct(start.alias("held"))
+        return F.aggregate("_events", first, lambda acc, e: F.struct(_after(acc["held"], e).alias("held")))["held"]
+
+    # A permit that no event of the slice gives back is still held at its end.
+    leavable = F.array_distinct(F.flatten(F.transform("_events", lambda e: e["leave"])))
+    ends = slices.select(
+        *VEHICLE,
+        F.struct(
+            "slice",
+            end(nothing).alias("none"),
+            F.transform(leavable, lambda p: F.struct(p.alias("p"), end(p).alias("to"))).alias("ends"),
+        ).alias("_s"),
+    )
+    vehicles = ends.groupBy(*VEHICLE).agg(F.sort_array(F.collect_list("_s")).alias("_all"))
+    start = F.struct(F.lit(None).cast("long").alias("slice"), nothing.alias("entry"))
+
+    def run(acc: Column, s: Column) -> Column:
+        # The last element of the list so far holds the state before this slice; the one added holds that after it.
+        held = F.element_at(acc, -1)["entry"]
+        hit = F.try_element_at(F.filter(s["ends"], lambda x: x["p"] == held), F.lit(1))
+        to = F.when(held.isNull(), s["none"]).when(hit.isNull(), held).otherwise(hit["to"])
+        return F.concat(acc, F.array(F.struct(s["slice"].alias("slice"), to.alias("entry"))))
+
+    after = F.aggregate("_all", F.array(start), run)
+    before = F.zip_with(
+        F.transform("_all", lambda s: s["slice"]),
+        F.slice(after, 1, F.size("_all")),
+        lambda at, s: F.struct(at.alias("slice"), s["entry"].alias("_entry")),
     )
-    return slices.select(*group, F.explode(steps).alias("_s")).select(*group, "_s.*")
+    return vehicles.select(*VEHICLE, F.explode(before).alias("_b")).select(*VEHICLE, "_b.*")
 
 
 def alarm_off_route(
