@@ -43,6 +43,10 @@ def _texts(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: time_text(n) for n in names})
 
 
+def _t():
+    return F.col("epoch_s").alias("t")
+
+
 def _as_of():
     return F.lit(AS_OF).cast("timestamp")
 
@@ -291,19 +295,19 @@ def sustained_violations(spark, sf_dir):
     out = alarms.sustained_in_fence(
         positions(spark, sf_dir, "fast"), _rules(spark, sf_dir, "rule_over_speed"), alarms.overspeed_broken()
     )
-    return out.select("vehicle_id", "condition_id", "row_key", "t", "active_t")
+    return out.select("vehicle_id", "condition_id", "row_key", _t(), "active_t")
 
 
 @query
 def cooldown_events(spark, sf_dir):
     d = prepare(positions(spark, sf_dir, "fast"), target_rows=None).filter("speed > 20")
-    return blocks.cooldown(d, VEHICLE, COOLDOWN).select("dept_id", "vehicle_id", "t", "row_key", "speed")
+    return blocks.cooldown(d, VEHICLE, COOLDOWN).select("dept_id", "vehicle_id", _t(), "row_key", "speed")
 
 
 @query
 def first_event_per_day(spark, sf_dir):
     d = prepare(positions(spark, sf_dir), target_rows=None).filter("speed > 20")
-    return blocks.first_per_day(d, VEHICLE).select("dept_id", "vehicle_id", "t", "row_key", "speed")
+    return blocks.first_per_day(d, VEHICLE).select("dept_id", "vehicle_id", _t(), "row_key", "speed")
 
 
 # Detectors

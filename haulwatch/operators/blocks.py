@@ -23,28 +23,28 @@ def sustained(df: DataFrame, key: Sequence[str], violating: Column, minutes: Col
     A run starts at the first violating row after a clean one. Rows that are not in ``df`` do not break it.
     """
     df = df.withColumn("_bad", F.coalesce(violating, F.lit(False)))
-    run_start = F.when(F.col("_bad") & ~F.coalesce(F.col("prev._bad"), F.lit(False)), F.col("t"))
+    run_start = F.when(F.col("_bad") & ~F.coalesce(F.col("prev._bad"), F.lit(False)), F.col("epoch_s"))
     out = ordered_scan(df, key, ["_bad"], mark=lambda prev: run_start)
     wait = (F.lit(minutes) if isinstance(minutes, int) else minutes) * 60
     return (
-        out.filter(F.col("_bad") & (F.col("t") - F.col("mark") > wait))
+        out.filter(F.col("_bad") & (F.col("epoch_s") - F.col("mark") > wait))
         .withColumnRenamed("mark", "active_t")
         .drop("_bad", "prev")
     )
 
 
 def first_per_day(df: DataFrame, key: Sequence[str], day: Column | None = None) -> DataFrame:
-    """The first row of each key and day, by ``t`` then ``row_key``; combined before the shuffle."""
+    """The first row of each key and day, by ``epoch_s`` then ``row_key``; combined before the shuffle."""
     rest = [c for c in df.columns if c not in key]
-    day = F.floor(F.col("t") / DAY) if day is None else day
+    day = F.floor(F.col("epoch_s") / DAY) if day is None else day
     return (
         df.groupBy(*key, day.alias("_day"))
-        .agg(F.min_by(F.struct(*rest), F.struct("t", "row_key")).alias("_row"))
+        .agg(F.min_by(F.struct(*rest), F.struct("epoch_s", "row_key")).alias("_row"))
         .select(*key, "_row.*")
     )
 
 
-def latest_position(df: DataFrame, key: Sequence[str], order: Sequence[str] = ("t", "row_key")) -> DataFrame:
+def latest_position(df: DataFrame, key: Sequence[str], order: Sequence[str] = ("epoch_s", "row_key")) -> DataFrame:
     """The last row of each key; combined before the shuffle."""
     rest = [c for c in df.columns if c not in key]
     return (
@@ -86,31 +86,31 @@ def cooldown(
     second and grouped into time slices. A slice is summarised by how it maps the last firing before it to its own
     last firing; running through these summaries gives every slice its start, and slices then fire independently.
     """
-    rest = [c for c in df.columns if c not in (*key, "t")]
+    rest = [c for c in df.columns if c not in (*key, "epoch_s")]
     span = max(seconds * COOLDOWNS_PER_SLICE, slice_s)
-    per_second = df.groupBy(*key, "t").agg(F.min_by(F.struct(*rest), F.struct(*tie)).alias("_row"))
+    per_second = df.groupBy(*key, "epoch_s").agg(F.min_by(F.struct(*rest), F.struct(*tie)).alias("_row"))
     slices = (
-        per_second.withColumn("_slice", F.col("t") - F.pmod(F.col("t"), F.lit(span)))
+        per_second.withColumn("_slice", F.col("epoch_s") - F.pmod(F.col("epoch_s"), F.lit(span)))
         .groupBy(*key, "_slice")
-        .agg(F.sort_array(F.collect_list(F.struct("t", "_row"))).alias("_c"))
+        .agg(F.sort_array(F.collect_list(F.struct("epoch_s", "_row"))).alias("_c"))
     )
 
     def fire(last: Column) -> Column:
         floor = F.coalesce(last, F.lit(-(1 << 60)))
 
         def step(fired: Column, c: Column) -> Column:
-            latest = F.coalesce(F.try_element_at(fired, F.lit(-1))["t"], floor)
-            return F.when(c["t"] > latest + seconds, F.concat(fired, F.array(c))).otherwise(fired)
+            latest = F.coalesce(F.try_element_at(fired, F.lit(-1))["epoch_s"], floor)
+            return F.when(c["epoch_s"] > latest + seconds, F.concat(fired, F.array(c))).otherwise(fired)
 
         return F.aggregate("_c", F.slice("_c", 1, 0), step)
 
     reach = F.col("_slice") + seconds
     # Nothing before the slice can reach a first candidate this late, so the slice starts afresh.
-    fresh = F.col("_c")[0]["t"] >= reach
+    fresh = F.col("_c")[0]["epoch_s"] >= reach
     alone = F.array(
-        F.struct(F.col("_c")[0]["t"].alias("entry"), F.element_at(fire(F.lit(None).cast("long")), -1)["t"].alias("exit"))
+        F.struct(F.col("_c")[0]["epoch_s"].alias("entry"), F.element_at(fire(F.lit(None).cast("long")), -1)["epoch_s"].alias("exit"))
     )
-    times = F.when(~fresh, F.transform("_c", lambda c: c["t"]))
+    times = F.when(~fresh, F.transform("_c", lambda c: c["epoch_s"]))
     slices = slices.withColumn("_stairs", _stairs(times, reach, F.lit(seconds).cast("long")))
     slices = slices.withColumn("_stairs", F.when(fresh, alone).otherwise(F.col("_stairs")))
 
@@ -126,6 +126,6 @@ def cooldown(
     return (
         slices.withColumn("_entry", entry)
         .select(*key, F.explode(fire(F.col("_entry"))).alias("_f"))
-        .select(*key, "_f.t", "_f._row.*")
+        .select(*key, "_f.epoch_s", "_f._row.*")
     )
 

@@ -18,7 +18,7 @@ from haulwatch.functions.timefn import epoch
 VEHICLE = ("dept_id", "vehicle_id")
 TARGET_ROWS = 4_000_000
 DAY = 86400
-ORDER = ("t", "row_key")
+ORDER = ("epoch_s", "row_key")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -35,14 +35,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def prepare(d: DataFrame, key: Sequence[str] = VEHICLE, target_rows: int | None = TARGET_ROWS) -> DataFrame:
-    """Add ``t`` (whole epoch seconds); where some vehicle exceeds ``target_rows``, also ``hot`` and ``slice``.
+    """Add ``epoch_s`` (whole epoch seconds); where some vehicle exceeds ``target_rows``, also ``hot`` and ``slice``.
 
     One count over the key columns decides which of the two plans is built. ``target_rows=None`` skips it and keeps
     what an earlier ``prepare`` added, so several detectors can share one count.
     """
     d = d.filter(F.col(key[-1]).isNotNull())
-    if "t" not in d.columns:
-        d = d.withColumn("t", epoch("time"))
+    if "epoch_s" not in d.columns:
+        d = d.withColumn("epoch_s", epoch("time"))
     if target_rows is None:
         return d
     hot = _hot_keys(d, key, target_rows)
@@ -51,14 +51,14 @@ def prepare(d: DataFrame, key: Sequence[str] = VEHICLE, target_rows: int | None
     ensure_checkpoint_dir(d.sparkSession)
     # At most (all rows / target_rows) keys are hot, so this side stays small at any input size.
     hot = hot.checkpoint()
-    day = F.floor(F.col("t") / DAY)
+    day = F.floor(F.col("epoch_s") / DAY)
     width = F.coalesce(F.try_element_at("_widths", day), F.lit(DAY).cast("long"))
     return (
         d.join(F.broadcast(hot), list(key), "left")
         .withColumn("hot", F.col("_total").isNotNull())
         .withColumn(
             "slice",
-            F.when(F.col("hot"), F.col("t") - F.pmod(F.col("t") - day * DAY, width)).otherwise(F.lit(0)),
+            F.when(F.col("hot"), F.col("epoch_s") - F.pmod(F.col("epoch_s") - day * DAY, width)).otherwise(F.lit(0)),
         )
         .drop("_total", "_widths")
     )
@@ -66,7 +66,7 @@ def prepare(d: DataFrame, key: Sequence[str] = VEHICLE, target_rows: int | None
 
 def _hot_keys(d: DataFrame, key: Sequence[str], target_rows: int) -> DataFrame:
     """Keys above ``target_rows`` with the slice width of each day that is itself above it."""
-    days = d.groupBy(*key, F.floor(F.col("t") / DAY).alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    days = d.groupBy(*key, F.floor(F.col("epoch_s") / DAY).alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
     width = F.greatest(F.lit(1), F.floor(F.lit(DAY * target_rows) / F.col("_n"))).cast("long")
     busy = F.when(F.col("_n") > target_rows, F.struct("_day", width.alias("_width")))
     return (

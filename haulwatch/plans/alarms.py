@@ -30,14 +30,14 @@ FILE_CONTROL = "0119"
 ILLEGAL_DISPOSAL = "0123"
 
 COOLDOWN_S = 7200
-HELPERS = ("t", "hot", "slice", "prev", "next", "mark", "rule", "site", "active_t")
+HELPERS = ("epoch_s", "hot", "slice", "prev", "next", "mark", "rule", "site", "active_t")
 
 Point = tuple[ColumnLike | None, ColumnLike | None, ColumnLike | None]
 NOWHERE: Point = (None, None, None)
 
 
 def as_alarm(df: DataFrame, code: str, start: Point = NOWHERE, end: Point = NOWHERE, **extra: Column) -> DataFrame:
-    """Copy the position and add the alarm columns; ``start`` and ``end`` are ``(t, lng, lat)``."""
+    """Copy the position and add the alarm columns; ``start`` and ``end`` are ``(epoch_s, lng, lat)``."""
 
     def part(side: str, point: Point) -> list[Column]:
         t, lng, lat = (F.lit(None) if x is None else col(x) for x in point)
@@ -61,7 +61,7 @@ def alarm_no_register(d: DataFrame, card: DataFrame, **kw) -> DataFrame:
     """Vehicle without a valid register card: one alarm per vehicle and day."""
     valid = card.filter("state = 0").select(*VEHICLE)
     without = lookup(prepare(supervised(d), target_rows=None), valid, VEHICLE, "left_anti", **kw)
-    return as_alarm(first_per_day(without, VEHICLE), NO_REGISTER, start=("t", "lng", "lat"))
+    return as_alarm(first_per_day(without, VEHICLE), NO_REGISTER, start=("epoch_s", "lng", "lat"))
 
 
 def alarm_gps_gap(d: DataFrame, max_m: float = 2000.0, target_rows: int | None = TARGET_ROWS) -> DataFrame:
@@ -70,14 +70,14 @@ def alarm_gps_gap(d: DataFrame, max_m: float = 2000.0, target_rows: int | None =
     The alarm carries the report before the jump.
     """
     d = prepare(supervised(d), target_rows=target_rows)
-    carried = [c for c in d.columns if c not in (*VEHICLE, "t", "row_key", "hot", "slice")]
+    carried = [c for c in d.columns if c not in (*VEHICLE, "epoch_s", "row_key", "hot", "slice")]
     jumps = ordered_scan(d, VEHICLE, carried).filter(distance_m("lng", "lat", "prev.lng", "prev.lat") > max_m)
-    jumps = jumps.select(*VEHICLE, "t", "row_key", "lng", "lat", "prev")
+    jumps = jumps.select(*VEHICLE, "epoch_s", "row_key", "lng", "lat", "prev")
     first = first_per_day(jumps, VEHICLE).select(
-        *VEHICLE, "prev.*", *[F.col(c).alias(f"_end_{c}") for c in ("t", "lng", "lat")]
+        *VEHICLE, "prev.*", *[F.col(c).alias(f"_end_{c}") for c in ("epoch_s", "lng", "lat")]
     )
-    return as_alarm(first, GPS_GAP, start=("t", "lng", "lat"), end=("_end_t", "_end_lng", "_end_lat")).drop(
-        "_end_t", "_end_lng", "_end_lat"
+    return as_alarm(first, GPS_GAP, start=("epoch_s", "lng", "lat"), end=("_end_epoch_s", "_end_lng", "_end_lat")).drop(
+        "_end_epoch_s", "_end_lng", "_end_lat"
     )
 
 
@@ -96,8 +96,8 @@ def _fence_alarm(d, rules, violating, code, cooldown_s, from_start=True, **kw) -
     fired = cooldown(sustained_in_fence(d, rules, violating, key, **kw), key, cooldown_s)
     fence = F.col("condition_id").cast("string")
     if from_start:
-        return as_alarm(fired, code, start=("active_t", "lng", "lat"), end=("t", None, None), fence_id=fence)
-    return as_alarm(fired, code, start=("t", "lng", "lat"), fence_id=fence)
+        return as_alarm(fired, code, start=("active_t", "lng", "lat"), end=("epoch_s", None, None), fence_id=fence)
+    return as_alarm(fired, code, start=("epoch_s", "lng", "lat"), fence_id=fence)
 
 
 def work_time_broken() -> Column:
@@ -194,4 +194,4 @@ def alarm_illegal_disposal(
     candidates = illegal_site_visits(d, permits, sites, radius_m, match, **kw)
     fired = cooldown(candidates, VEHICLE, cooldown_s, tie=("disposal_site_id", "row_key"))
     extra = {name: F.col(f"site.{c}") for c, name in DISPOSAL_COLUMNS.items() if c in sites.columns}
-    return as_alarm(fired, ILLEGAL_DISPOSAL, end=("t", "lng", "lat"), **extra)
+    return as_alarm(fired, ILLEGAL_DISPOSAL, end=("epoch_s", "lng", "lat"), **extra)

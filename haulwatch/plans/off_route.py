@@ -44,8 +44,8 @@ def _route_events(d, permits, radius_m, dwell_s, max_speed, **kw) -> DataFrame:
     at_build = _near(chained.filter(F.col("speed") < max_speed), permits, "build", radius_m, **kw)
     # The dwell starts anew unless the report just before this one was at the same build site.
     broken = F.col("prev").isNull() | (F.col("prev.row_key") != F.col("_previous"))
-    dwelling = ordered_scan(at_build, PERMIT, mark=lambda prev: F.when(broken, F.col("t")))
-    confirmed = dwelling.filter(F.col("t") - F.col("mark") > dwell_s)
+    dwelling = ordered_scan(at_build, PERMIT, mark=lambda prev: F.when(broken, F.col("epoch_s")))
+    confirmed = dwelling.filter(F.col("epoch_s") - F.col("mark") > dwell_s)
     at_disposal = _near(narrow, permits, "disposal", radius_m, **kw)
     none = F.lit(None).cast(at_disposal.schema["permit_id"].dataType)
     events = confirmed.select(*group, *ORDER, F.col("permit_id").alias("take"), none.alias("_leave")).unionByName(
@@ -173,7 +173,7 @@ def alarm_off_route(
     carried = [c for c in d.columns if c not in (*VEHICLE, "row_key", "hot", "slice")]
     start = F.when(F.col("_off") & ~F.coalesce(F.col("prev._off"), F.lit(False)), F.struct("row_key", "permit_id", *carried))
     runs = ordered_scan(flagged, VEHICLE, ["_off"], mark=lambda prev: start)
-    late = runs.filter(F.col("_off") & (F.floor((F.col("t") - F.col("mark.t")) / 60) > off_minutes))
+    late = runs.filter(F.col("_off") & (F.floor((F.col("epoch_s") - F.col("mark.epoch_s")) / 60) > off_minutes))
     first = late.groupBy(*VEHICLE, "mark").agg(F.min(F.struct(*ORDER, "lng", "lat")).alias("_end"))
     fired = cooldown(first.select(*VEHICLE, "mark.*", "_end"), VEHICLE, cooldown_s - 1)
-    return as_alarm(fired, OFF_ROUTE, start=("t", "lng", "lat"), end=("_end.t", "_end.lng", "_end.lat")).drop("_end")
+    return as_alarm(fired, OFF_ROUTE, start=("epoch_s", "lng", "lat"), end=("_end.epoch_s", "_end.lng", "_end.lat")).drop("_end")

@@ -22,20 +22,20 @@ def stop_history(
     """
     d = prepare(d, target_rows=target_rows)
     still = F.col("speed") == 0
-    gap = F.col("t") - F.col("prev.t")
+    gap = F.col("epoch_s") - F.col("prev.epoch_s")
     continues = (F.col("prev.speed") == 0) & (gap <= silence_s)
-    opened = F.when(still & ~F.coalesce(continues, F.lit(False)), F.struct("t", "lng", "lat"))
+    opened = F.when(still & ~F.coalesce(continues, F.lit(False)), F.struct("epoch_s", "lng", "lat"))
     rows = ordered_scan(d, VEHICLE, ["speed"], mark=lambda prev: opened)
     closing = (F.col("speed") > 0) & (F.col("prev.speed") == 0) & (gap < silence_s)
-    kept = rows.filter(closing & (F.col("t") - F.col("mark.t") > min_s))
+    kept = rows.filter(closing & (F.col("epoch_s") - F.col("mark.epoch_s") > min_s))
     bus = [c for c in ("enterprise_id", "car_card_number", "department_id") if c in d.columns]
     stops = kept.select(
         *VEHICLE,
         *bus,
-        F.timestamp_seconds("mark.t").alias("stop_time"),
+        F.timestamp_seconds("mark.epoch_s").alias("stop_time"),
         F.col("mark.lng").alias("stop_lng"),
         F.col("mark.lat").alias("stop_lat"),
-        F.timestamp_seconds("t").alias("start_time"),
+        F.timestamp_seconds("epoch_s").alias("start_time"),
         F.col("lng").alias("start_lng"),
         F.col("lat").alias("start_lat"),
     )
@@ -59,25 +59,25 @@ def site_visits(
     d = prepare(supervised(d), target_rows=target_rows)
     whole = ordered_scan(d, VEHICLE, following=True)
     whole = whole.withColumnsRenamed({"prev": "_from", "next": "_to"})
-    last_seen = d.groupBy(*VEHICLE).agg(F.max("t").alias("_seen"))
+    last_seen = d.groupBy(*VEHICLE).agg(F.max("epoch_s").alias("_seen"))
 
     key = [*VEHICLE, "disposal_site_id"]
     inside = match_sites(whole, sites, radius_m, **kw)
     inside = inside.withColumn("disposal_site_id", F.col("target.disposal_site_id")).drop("target", "distance")
     # The vehicle was outside from the report after the previous one inside to the report before this one.
     went_out = F.col("_from.row_key") != F.col("prev.row_key")
-    outside_s = F.col("_from.t") - F.col("prev._to.t")
+    outside_s = F.col("_from.epoch_s") - F.col("prev._to.epoch_s")
     split = F.col("prev").isNull() | (went_out & (outside_s > dwell_s))
-    stays = ordered_scan(inside, key, ["_to"], mark=lambda prev: F.when(split, F.struct("t", "row_key")))
+    stays = ordered_scan(inside, key, ["_to"], mark=lambda prev: F.when(split, F.struct("epoch_s", "row_key")))
     stays = (
         stays.groupBy(*key, "mark")
-        .agg(F.max(F.struct("t", "row_key", "_to")).alias("_last"))
+        .agg(F.max(F.struct("epoch_s", "row_key", "_to")).alias("_last"))
         .select(
             *key,
-            F.col("mark.t").alias("_start"),
+            F.col("mark.epoch_s").alias("_start"),
             F.col("mark.row_key").alias("_start_key"),
-            F.col("_last.t").alias("_end"),
-            F.col("_last._to.t").alias("_exit"),
+            F.col("_last.epoch_s").alias("_end"),
+            F.col("_last._to.epoch_s").alias("_exit"),
         )
     )
     order = Window.partitionBy(*key).orderBy("_start", "_start_key")
@@ -126,22 +126,22 @@ def vehicle_status(
     """
     d = prepare(d, target_rows=target_rows)
     now = F.unix_seconds(F.current_timestamp()) if as_of is None else epoch(as_of)
-    newer = F.col("prev.t").isNull() | (F.col("t") > F.col("prev.t"))
-    rows = ordered_scan(d, VEHICLE, mark=lambda prev: F.when(newer, F.struct("t", "speed")), before=True)
+    newer = F.col("prev.epoch_s").isNull() | (F.col("epoch_s") > F.col("prev.epoch_s"))
+    rows = ordered_scan(d, VEHICLE, mark=lambda prev: F.when(newer, F.struct("epoch_s", "speed")), before=True)
     rows = rows.filter(newer)
-    gap = F.col("t") - F.col("mark.t")
+    gap = F.col("epoch_s") - F.col("mark.epoch_s")
     online = gap <= offline_s
     still = F.col("speed") == 0
-    still_since = F.when(still & ~F.coalesce(online & (F.col("mark.speed") == 0), F.lit(False)), F.col("t"))
+    still_since = F.when(still & ~F.coalesce(online & (F.col("mark.speed") == 0), F.lit(False)), F.col("epoch_s"))
     kept = [c for c in STATUS_COLUMNS if c in d.columns]
-    days = rows.groupBy(*VEHICLE, F.floor(F.col("t") / DAY).alias("_day")).agg(
+    days = rows.groupBy(*VEHICLE, F.floor(F.col("epoch_s") / DAY).alias("_day")).agg(
         F.sum(F.when(online, gap)).alias("_online"),
         F.min_by(
-            F.when(online, F.struct(gap.alias("gap"), second_of_day(F.timestamp_seconds("t")).alias("clock"))),
-            F.when(online, F.col("t")),
+            F.when(online, F.struct(gap.alias("gap"), second_of_day(F.timestamp_seconds("epoch_s")).alias("clock"))),
+            F.when(online, F.col("epoch_s")),
         ).alias("_first"),
         F.max(still_since).alias("_still"),
-        F.max_by(F.struct("t", *kept), F.struct("t", "row_key")).alias("_last"),
+        F.max_by(F.struct("epoch_s", *kept), F.struct("epoch_s", "row_key")).alias("_last"),
     )
 
     # Within a day the sum can pass the clock only at the first report counted, since both then grow alike.
@@ -156,12 +156,12 @@ def vehicle_status(
         F.max_by("_last", "_day").alias("_last"),
     )
     last = F.col("_last")
-    stopped = (last["speed"] == 0) & (last["t"] - F.col("_still") >= still_s)
+    stopped = (last["speed"] == 0) & (last["epoch_s"] - F.col("_still") >= still_s)
     return per_vehicle.select(
         *VEHICLE,
-        F.timestamp_seconds(last["t"]).alias("time"),
+        F.timestamp_seconds(last["epoch_s"]).alias("time"),
         *[last[c].alias(c) for c in kept],
-        F.when(now - last["t"] > offline_s, 1).otherwise(0).alias("vehicle_status"),
+        F.when(now - last["epoch_s"] > offline_s, 1).otherwise(0).alias("vehicle_status"),
         F.aggregate("_days", F.lit(0).cast("long"), add_day).alias("online_time"),
         F.when(stopped, 0).otherwise(1).alias("online_status"),
     )

@@ -15,7 +15,7 @@ from haulwatch.operators.sequence import VEHICLE, ordered_scan, prepare
 
 def candidates(spark, times, key=1):
     rows = [(key, t, i) for i, t in enumerate(times)]
-    return spark.createDataFrame(rows, "k int, t bigint, row_key bigint")
+    return spark.createDataFrame(rows, "k int, epoch_s bigint, row_key bigint")
 
 
 def greedy(times, seconds):
@@ -45,13 +45,13 @@ def test_cooldown_over_many_slices(spark, seed):
         rows += [(key, t) for t in times]
         want |= {(key, t) for t in greedy(times, seconds)}
     rng.shuffle(rows)
-    df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "k int, t bigint, row_key bigint")
+    df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "k int, epoch_s bigint, row_key bigint")
     fired = blocks.cooldown(df, ["k"], seconds, slice_s=1).collect()
-    assert {(r.k, r.t) for r in fired} == want and len(fired) == len(want)
+    assert {(r.k, r.epoch_s) for r in fired} == want and len(fired) == len(want)
     lowest = {}
     for i, kt in enumerate(rows):
         lowest.setdefault(kt, i)
-    assert all(r.row_key == lowest[(r.k, r.t)] for r in fired)
+    assert all(r.row_key == lowest[(r.k, r.epoch_s)] for r in fired)
 
 
 @pytest.mark.parametrize(
@@ -66,9 +66,9 @@ def test_cooldown_over_many_slices(spark, seed):
 )
 def test_sustain(spark, reports, qualifies):
     rows = [(1, S + dt, i, bad) for i, (dt, bad) in enumerate(reports)]
-    df = spark.createDataFrame(rows, "k int, t bigint, row_key bigint, bad boolean")
+    df = spark.createDataFrame(rows, "k int, epoch_s bigint, row_key bigint, bad boolean")
     out = blocks.sustained(df, ["k"], F.col("bad"), 5).collect()
-    assert sorted(r.t - S for r in out) == qualifies
+    assert sorted(r.epoch_s - S for r in out) == qualifies
 
 
 def test_first_per_day_and_latest(spark):
@@ -86,7 +86,7 @@ def test_scan_is_the_same_in_slices(spark, target):
         rows.append((t, 113.0 + i * 1e-5, 34.7, i % 7))
     d = prepare(track(spark, rows), target_rows=target)
     assert ("slice" in d.columns) == (target is not None and target < 400)
-    mark = F.when(F.col("speed") == 3, F.struct("t", "row_key"))
+    mark = F.when(F.col("speed") == 3, F.struct("epoch_s", "row_key"))
     out = ordered_scan(d, VEHICLE, ["speed"], mark=lambda prev: mark, following=True)
     got = {r.row_key: r for r in out.collect()}
     assert len(got) == 400
