@@ -6,6 +6,7 @@ multiplied before the join. The exact test follows the join.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,8 @@ from pyspark.sql import types as T
 from haulwatch.functions import geo
 from haulwatch.operators.lookups import BROADCAST_BYTES, plan_bytes, salted_join
 
-POLYGON_CELL_DEG = 0.05
+# Bounds of the polygon cell size, and the size when there is no polygon to measure.
+MIN_CELL_DEG, MAX_CELL_DEG, DEFAULT_CELL_DEG = 1e-3, 5.0, 0.05
 # The grid box is a little wider than the radius, so rounding cannot lose a match.
 MARGIN = 1.0001
 # Most cells a site expands to below 60 degrees of latitude, for the broadcast size check.
@@ -83,9 +85,20 @@ def points_near_sites(d: DataFrame, sites: DataFrame, radius_m: float = 500.0, *
     )
 
 
-def polygon_cells(
-    polygons: DataFrame, ring: Column, on: Sequence[str], cell_deg: float = POLYGON_CELL_DEG
-) -> DataFrame:
+def polygon_cell_deg(polygons: DataFrame, ring: Column) -> float:
+    """Cell size that suits the polygons: the side of a square of their mean bounding-box area.
+
+    Polygons then cover a handful of cells each on average, however small or large they are, and a point meets
+    little more than the polygons around it.
+    """
+    boxes = polygons.select(ring.alias("_ring")).filter(F.size("_ring") >= 3)
+    xs, ys = F.col("_ring.lng"), F.col("_ring.lat")
+    area = (F.array_max(xs) - F.array_min(xs)) * (F.array_max(ys) - F.array_min(ys))
+    mean = boxes.agg(F.avg(area)).first()[0]
+    return DEFAULT_CELL_DEG if mean is None else min(max(math.sqrt(mean), MIN_CELL_DEG), MAX_CELL_DEG)
+
+
+def polygon_cells(polygons: DataFrame, ring: Column, on: Sequence[str], cell_deg: float) -> DataFrame:
     """Polygons over the cells of their bounding box: ``on``, ``_cx``, ``_cy``, ``target``, ``box``, ``edges``.
 
     Each cell keeps only the edges that can lie above a point of that cell, so a long ring is split among its
@@ -134,10 +147,15 @@ def _contains(box: Column, edges: Column) -> Column:
 
 
 def points_in_fences(
-    d: DataFrame, rules: DataFrame, cell_deg: float = POLYGON_CELL_DEG, max_broadcast: int | None = None
+    d: DataFrame, rules: DataFrame, cell_deg: float | None = None, max_broadcast: int | None = None
 ) -> DataFrame:
-    """Pairs of a position and a rule of its department whose fence contains it; the rule is in ``rule``."""
-    cells = polygon_cells(rules, geo.parse_ring_json("coords"), ["dept_id"], cell_deg)
+    """Pairs of a position and a rule of its department whose fence contains it; the rule is in ``rule``.
+
+    The cell size follows the fences unless it is given.
+    """
+    ring = geo.parse_ring_json("coords")
+    cell_deg = cell_deg or polygon_cell_deg(rules, ring)
+    cells = polygon_cells(rules, ring, ["dept_id"], cell_deg)
     limit = _measured(cells, max_broadcast)
     joined = salted_join(_with_cell(d, cell_deg), cells, ["dept_id", "_cx", "_cy"], "inner", limit)
     inside = joined.filter(_contains(F.col("box"), F.col("edges")))
@@ -151,7 +169,7 @@ def points_in_fences(
 def tag_region(
     d: DataFrame,
     areas: DataFrame,
-    cell_deg: float = POLYGON_CELL_DEG,
+    cell_deg: float | None = None,
     max_broadcast: int | None = None,
     areas_per_cell: int = AREAS_PER_CELL,
 ) -> DataFrame:
@@ -169,7 +187,9 @@ def tag_region(
         .agg(F.min(F.struct("id", "city_name")).alias("_a"))
         .select("dept_id", "coords", "_a.id", "_a.city_name")
     )
-    cells = polygon_cells(valid, geo.parse_ring_text("coords"), ["dept_id"], cell_deg)
+    ring = geo.parse_ring_text("coords")
+    cell_deg = cell_deg or polygon_cell_deg(valid, ring)
+    cells = polygon_cells(valid, ring, ["dept_id"], cell_deg)
     limit = _measured(cells, max_broadcast)
     crowded = not cells.groupBy(*keys).count().filter(F.col("count") > areas_per_cell).isEmpty()
     d = d.drop("region_id", "region_name")

@@ -189,7 +189,7 @@ def alarm_illegal_disposal(
     At equal time the lowest site id is reported.
     """
     sites = valid_sites(sites, dept_id)
-    permits = permitted_sites(card, sites)
+    permits = permitted_sites(card, sites).dropna(subset=["lng", "lat"])
     d = prepare(supervised(d), target_rows=None)
     candidates = illegal_site_visits(d, permits, sites, radius_m, match, **kw)
     fired = cooldown(candidates, VEHICLE, cooldown_s, tie=("disposal_site_id", "row_key"))

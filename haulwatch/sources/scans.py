@@ -43,7 +43,9 @@ def scan_bus(df: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def scan_frames(df: DataFrame, hex_col: str = "frame") -> DataFrame:
-    return typed(decode_frames(df, hex_col))
+    """Decoded position frames; ``createdatetime`` is the time of reading."""
+    read_at = F.date_format(F.current_timestamp(), schemas.TIME_FORMAT)
+    return typed(decode_frames(df, hex_col)).withColumn("createdatetime", read_at)
 
 
 def scan_alarms(df: DataFrame, value_col: str = "value") -> DataFrame:

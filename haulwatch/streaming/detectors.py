@@ -190,7 +190,7 @@ def stream_illegal_disposal(
     match: str = "not_permitted", dept_id: int | None = None,
 ) -> DataFrame:
     sites = valid_sites(sites, dept_id)
-    permits = permitted_sites(card, sites)
+    permits = permitted_sites(card, sites).dropna(subset=["lng", "lat"])
     near = alarms.illegal_site_visits(_report(supervised(d)), permits, sites, radius_m, match)
     candidates = near.select(*VEHICLE, *CORE, "disposal_site_id")
     fields = {**ALARM_FIELDS, "disposal_site_id": "bigint"}

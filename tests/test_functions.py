@@ -152,3 +152,19 @@ def test_frame_variants(spark):
     assert list(out[5]["items"]) == [] and out[5].gpsdistance == "0"
     assert 6 not in out
     assert out[7].gpsdistance == "2.00" and len(out[7]["items"]) == 3
+
+
+def test_fence_cells_follow_the_fences(spark):
+    from haulwatch.operators.spatial import points_in_fences, polygon_cell_deg
+
+    ring = geo.parse_ring_json("coords")
+    rules = worlds.rules(spark)
+    assert 0.004 < polygon_cell_deg(rules, ring) < 0.011
+    assert polygon_cell_deg(rules.filter("false"), ring) == 0.05
+    rng = random.Random(2)
+    rows = [(i, 1, 112.99 + rng.uniform(0, 0.03), 34.69 + rng.uniform(0, 0.03)) for i in range(800)]
+    d = spark.createDataFrame(rows, "row_key int, dept_id int, lng double, lat double")
+    want = sorted((i, f) for i, _, x, y in rows for f, ring in worlds.FENCES if worlds.in_ring(x, y, ring))
+    for options in ({}, {"cell_deg": 0.001}, {"cell_deg": 1.0}, {"max_broadcast": 0}):
+        out = points_in_fences(d, rules, **options).select("row_key", "condition_id").collect()
+        assert sorted(map(tuple, out)) == want
