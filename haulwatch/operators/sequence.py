@@ -1,7 +1,7 @@
 """Ordered scans over a vehicle's positions that stay balanced when one vehicle holds most rows.
 
 A vehicle below ``TARGET_ROWS`` is one window group. A vehicle above it is cut into time slices of about that
-many rows; each slice is scanned by its own task and starts from a copy of the last row, and the last mark, of
+many rows (and a second that alone holds more, by ``row_key``); each slice is scanned by its own task and starts from a copy of the last row, and the last mark, of
 the slice before it. The result equals the scan over the whole vehicle.
 """
 
@@ -18,6 +18,8 @@ from haulwatch.functions.timefn import epoch
 VEHICLE = ("dept_id", "vehicle_id")
 TARGET_ROWS = 4_000_000
 DAY = 86400
+# A slice never crosses this many seconds.
+SLICE_S = 3600
 ORDER = ("epoch_s", "row_key")
 
 
@@ -51,31 +53,54 @@ def prepare(d: DataFrame, key: Sequence[str] = VEHICLE, target_rows: int | None
     ensure_checkpoint_dir(d.sparkSession)
     # At most (all rows / target_rows) keys are hot, so this side stays small at any input size.
     hot = hot.checkpoint()
-    day = F.floor(F.col("epoch_s") / DAY)
-    width = F.coalesce(F.try_element_at("_widths", day), F.lit(DAY).cast("long"))
-    return (
-        d.join(F.broadcast(hot), list(key), "left")
-        .withColumn("hot", F.col("_total").isNotNull())
-        .withColumn(
-            "slice",
-            F.when(F.col("hot"), F.col("epoch_s") - F.pmod(F.col("epoch_s") - day * DAY, width)).otherwise(F.lit(0)),
-        )
-        .drop("_total", "_widths")
+    period = F.floor(F.col("epoch_s") / SLICE_S)
+    width = F.coalesce(F.try_element_at("_widths", period), F.lit(SLICE_S).cast("long"))
+    d = d.join(F.broadcast(hot), list(key), "left").withColumn("hot", F.col("_total").isNotNull())
+    start = F.col("epoch_s") - F.pmod(F.col("epoch_s") - period * SLICE_S, width)
+    zero = F.lit(0).cast("long")
+    turn, share = zero, zero
+    crowded = _crowded_seconds(d, key, target_rows).checkpoint()
+    if not crowded.isEmpty():
+        # Again at most (all rows / target_rows) seconds.
+        d = d.withColumn("_period", period).join(F.broadcast(crowded), [*key, "_period"], "left")
+        now = F.try_element_at(F.filter("_crowd", lambda c: c["at"] == F.col("epoch_s")), F.lit(1))
+        passed = F.size(F.filter("_crowd", lambda c: c["at"] < F.col("epoch_s")))
+        turn = F.coalesce(passed * 2 + now.isNotNull().cast("int"), F.lit(0)).cast("long")
+        share = F.coalesce(F.floor((F.col("row_key") - now["low"]) / now["step"]), zero)
+    parts = {"start": start, "turn": turn, "share": share}
+    here = F.struct(*[c.alias(n) for n, c in parts.items()])
+    nowhere = F.struct(*[zero.alias(n) for n in parts])
+    return d.withColumn("slice", F.when(F.col("hot"), here).otherwise(nowhere)).drop(
+        "_total", "_widths", "_period", "_crowd"
     )
 
 
 def _hot_keys(d: DataFrame, key: Sequence[str], target_rows: int) -> DataFrame:
-    """Keys above ``target_rows`` with the slice width of each day that is itself above it."""
-    days = d.groupBy(*key, F.floor(F.col("epoch_s") / DAY).alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
-    width = F.greatest(F.lit(1), F.floor(F.lit(DAY * target_rows) / F.col("_n"))).cast("long")
-    busy = F.when(F.col("_n") > target_rows, F.struct("_day", width.alias("_width")))
+    """Keys above ``target_rows`` with the slice width of each hour that is itself above it."""
+    periods = d.groupBy(*key, F.floor(F.col("epoch_s") / SLICE_S).alias("_period")).agg(F.count(F.lit(1)).alias("_n"))
+    width = F.greatest(F.lit(1), F.floor(F.lit(SLICE_S * target_rows) / F.col("_n"))).cast("long")
+    busy = F.when(F.col("_n") > target_rows, F.struct("_period", width.alias("_width")))
     return (
-        days.groupBy(*key)
+        periods.groupBy(*key)
         .agg(F.sum("_n").alias("_total"), F.map_from_entries(F.collect_list(busy)).alias("_widths"))
         .filter(F.col("_total") > target_rows)
     )
 
 
+def _crowded_seconds(d: DataFrame, key: Sequence[str], target_rows: int) -> DataFrame:
+    """Per key and hour, the seconds with more than ``target_rows`` rows (a stuck clock), to be cut by ``row_key``."""
+    seconds = d.filter("hot").groupBy(*key, "epoch_s").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("row_key").alias("_low"), F.max("row_key").alias("_high")
+    )
+    step = F.greatest(F.lit(1), F.ceil((F.col("_high") - F.col("_low") + 1) * target_rows / F.col("_n")))
+    cut = F.struct(F.col("epoch_s").alias("at"), F.col("_low").alias("low"), step.alias("step"))
+    return (
+        seconds.filter(F.col("_n") > target_rows)
+        .groupBy(*key, F.floor(F.col("epoch_s") / SLICE_S).alias("_period"))
+        .agg(F.collect_list(cut).alias("_crowd"))
+    )
+
+
 def group_columns(df: DataFrame, key: Sequence[str]) -> list[str]:
     """Columns that bound one task's group: the key, and the slice where one exists."""
     return [*key, "hot", "slice"] if "slice" in df.columns else list(key)

@@ -119,7 +119,7 @@ def _slice_starts(slices: DataFrame, nothing: Column) -> DataFrame:
         ).alias("_s"),
     )
     vehicles = ends.groupBy(*VEHICLE).agg(F.sort_array(F.collect_list("_s")).alias("_all"))
-    start = F.struct(F.lit(None).cast("long").alias("slice"), nothing.alias("entry"))
+    start = F.struct(F.lit(None).cast(slices.schema["slice"].dataType).alias("slice"), nothing.alias("entry"))
 
     def run(acc: Column, s: Column) -> Column:
         # The last element of the list so far holds the state before this slice; the one added holds that after it.

@@ -77,14 +77,18 @@ def test_first_per_day_and_latest(spark):
     assert blocks.latest_position(df, ["k"]).first().row_key == 3
 
 
+@pytest.mark.parametrize("stuck", [False, True])
 @pytest.mark.parametrize("target", [None, 1000, 30, 7])
-def test_scan_is_the_same_in_slices(spark, target):
+def test_scan_is_the_same_in_slices(spark, target, stuck):
+    """``stuck``: many reports in one second, several times over."""
     rng = random.Random(5)
     rows, t = [], S
     for i in range(400):
-        t += rng.choice([0, 0, 1, 60, 4000, 100000] if i % 50 == 0 else [0, 1, 2, 60])
+        t += rng.choice([0, 0, 1, 60, 4000, 100000] if i % 50 == 0 else [0, 1, 2, 60]) if not stuck or i % 100 < 20 else 0
         rows.append((t, 113.0 + i * 1e-5, 34.7, i % 7))
     d = prepare(track(spark, rows), target_rows=target)
+    if target == 7:
+        assert d.groupBy("slice").count().agg(F.max("count")).first()[0] <= (16 if stuck else 60)
     assert ("slice" in d.columns) == (target is not None and target < 400)
     mark = F.when(F.col("speed") == 3, F.struct("epoch_s", "row_key"))
     out = ordered_scan(d, VEHICLE, ["speed"], mark=lambda prev: mark, following=True)
