@@ -189,7 +189,9 @@ from (
   select event_id, concat(body, lpad(hex(case when event_id % 11 = 0 then (x + 1) % 256 else x end), 2, '0')) f
   from (
     select event_id, body,
-           aggregate(sequence(1, cast(length(body)/2 as int)), 0L, (a, i) -> a ^ cast(conv(substr(body, 2*i-1, 2), 16, 10) as bigint)) x
+           aggregate(sequence(0, cast(ceil(length(body)/8) as int) - 1), 0L,
+                     (a, i) -> a ^ cast(conv(rpad(substr(body, 8*i+1, 8), 8, '0'), 16, 10) as bigint),
+                     a -> (a ^ shiftright(a, 8) ^ shiftright(a, 16) ^ shiftright(a, 24)) & 255) x
     from (
       select event_id, concat('0200', lpad(hex(38 + case when event_id % 3 = 0 then 8192 else 0 end), 4, '0'),
         lpad(cast(13000000000 + user_id as string), 12, '0'), lpad(hex(event_id % 65536), 4, '0'),

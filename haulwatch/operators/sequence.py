@@ -45,60 +45,51 @@ def prepare(d: DataFrame, key: Sequence[str] = VEHICLE, target_rows: int | None
     d = d.filter(F.col(key[-1]).isNotNull())
     if "epoch_s" not in d.columns:
         d = d.withColumn("epoch_s", epoch("time"))
-    if target_rows is None:
+    if target_rows is None or "slice" in d.columns:
         return d
-    hot = _hot_keys(d, key, target_rows)
-    if hot.isEmpty():
+    totals = d.groupBy(*key).agg(F.count(F.lit(1)).alias("_total")).filter(F.col("_total") > target_rows)
+    if totals.isEmpty():
         return d
     ensure_checkpoint_dir(d.sparkSession)
-    # At most (all rows / target_rows) keys are hot, so this side stays small at any input size.
-    hot = hot.checkpoint()
+    # At most (all rows / target_rows) keys are hot, and as many hours are busy: both stay small at any input size.
+    totals = totals.select(*key, F.lit(True).alias("hot")).checkpoint()
     period = F.floor(F.col("epoch_s") / SLICE_S)
-    width = F.coalesce(F.try_element_at("_widths", period), F.lit(SLICE_S).cast("long"))
-    d = d.join(F.broadcast(hot), list(key), "left").withColumn("hot", F.col("_total").isNotNull())
-    start = F.col("epoch_s") - F.pmod(F.col("epoch_s") - period * SLICE_S, width)
+    d = d.withColumn("_period", period).join(F.broadcast(totals), list(key), "left")
+    d = d.withColumn("hot", F.coalesce("hot", F.lit(False)))
+    busy = _busy_hours(d.filter("hot"), key, target_rows).checkpoint()
+    d = d.join(F.broadcast(busy), [*key, "_period"], "left")
+
     zero = F.lit(0).cast("long")
-    turn, share = zero, zero
-    crowded = _crowded_seconds(d, key, target_rows).checkpoint()
-    if not crowded.isEmpty():
-        # Again at most (all rows / target_rows) seconds.
-        d = d.withColumn("_period", period).join(F.broadcast(crowded), [*key, "_period"], "left")
-        now = F.try_element_at(F.filter("_crowd", lambda c: c["at"] == F.col("epoch_s")), F.lit(1))
-        passed = F.size(F.filter("_crowd", lambda c: c["at"] < F.col("epoch_s")))
-        turn = F.coalesce(passed * 2 + now.isNotNull().cast("int"), F.lit(0)).cast("long")
-        share = F.coalesce(F.floor((F.col("row_key") - now["low"]) / now["step"]), zero)
-    parts = {"start": start, "turn": turn, "share": share}
+    width = F.coalesce("_width", F.lit(SLICE_S).cast("long"))
+    now = F.try_element_at(F.filter("_crowd", lambda c: c["at"] == F.col("epoch_s")), F.lit(1))
+    passed = F.size(F.filter("_crowd", lambda c: c["at"] < F.col("epoch_s")))
+    parts = {
+        "start": F.col("epoch_s") - F.pmod(F.col("epoch_s") - F.col("_period") * SLICE_S, width),
+        # Odd while inside a crowded second, even between two of them.
+        "turn": F.coalesce(passed * 2 + now.isNotNull().cast("int"), F.lit(0)).cast("long"),
+        "share": F.coalesce(F.floor((F.col("row_key") - now["low"]) / now["step"]), zero),
+    }
     here = F.struct(*[c.alias(n) for n, c in parts.items()])
     nowhere = F.struct(*[zero.alias(n) for n in parts])
-    return d.withColumn("slice", F.when(F.col("hot"), here).otherwise(nowhere)).drop(
-        "_total", "_widths", "_period", "_crowd"
-    )
+    return d.withColumn("slice", F.when(F.col("hot"), here).otherwise(nowhere)).drop("_period", "_width", "_crowd")
 
 
-def _hot_keys(d: DataFrame, key: Sequence[str], target_rows: int) -> DataFrame:
-    """Keys above ``target_rows`` with the slice width of each hour that is itself above it."""
-    periods = d.groupBy(*key, F.floor(F.col("epoch_s") / SLICE_S).alias("_period")).agg(F.count(F.lit(1)).alias("_n"))
-    width = F.greatest(F.lit(1), F.floor(F.lit(SLICE_S * target_rows) / F.col("_n"))).cast("long")
-    busy = F.when(F.col("_n") > target_rows, F.struct("_period", width.alias("_width")))
-    return (
-        periods.groupBy(*key)
-        .agg(F.sum("_n").alias("_total"), F.map_from_entries(F.collect_list(busy)).alias("_widths"))
-        .filter(F.col("_total") > target_rows)
-    )
+def _busy_hours(hot: DataFrame, key: Sequence[str], target_rows: int) -> DataFrame:
+    """Hours of hot keys above ``target_rows``: their slice width, and the seconds that alone exceed it.
 
-
-def _crowded_seconds(d: DataFrame, key: Sequence[str], target_rows: int) -> DataFrame:
-    """Per key and hour, the seconds with more than ``target_rows`` rows (a stuck clock), to be cut by ``row_key``."""
-    seconds = d.filter("hot").groupBy(*key, "epoch_s").agg(
+    Such a second (a stuck clock) is to be cut by ``row_key``.
+    """
+    group = [*key, "_period"]
+    seconds = hot.groupBy(*group, "epoch_s").agg(
         F.count(F.lit(1)).alias("_n"), F.min("row_key").alias("_low"), F.max("row_key").alias("_high")
     )
     step = F.greatest(F.lit(1), F.ceil((F.col("_high") - F.col("_low") + 1) * target_rows / F.col("_n")))
     cut = F.struct(F.col("epoch_s").alias("at"), F.col("_low").alias("low"), step.alias("step"))
-    return (
-        seconds.filter(F.col("_n") > target_rows)
-        .groupBy(*key, F.floor(F.col("epoch_s") / SLICE_S).alias("_period"))
-        .agg(F.collect_list(cut).alias("_crowd"))
+    hours = seconds.groupBy(*group).agg(
+        F.sum("_n").alias("_n"), F.collect_list(F.when(F.col("_n") > target_rows, cut)).alias("_crowd")
     )
+    width = F.greatest(F.lit(1), F.floor(F.lit(SLICE_S * target_rows) / F.col("_n"))).cast("long")
+    return hours.filter(F.col("_n") > target_rows).select(*group, width.alias("_width"), "_crowd")
 
 
 def group_columns(df: DataFrame, key: Sequence[str]) -> list[str]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulwatch.functions import geo
-from haulwatch.operators.lookups import BROADCAST_BYTES, plan_bytes, salted_join
+from haulwatch.operators.lookups import BROADCAST_BYTES, salted_join
 
 # Bounds of the polygon cell size, and the size when there is no polygon to measure.
 MIN_CELL_DEG, MAX_CELL_DEG, DEFAULT_CELL_DEG = 1e-3, 5.0, 0.05
@@ -22,7 +22,7 @@ MIN_CELL_DEG, MAX_CELL_DEG, DEFAULT_CELL_DEG = 1e-3, 5.0, 0.05
 MARGIN = 1.0001
 # Most cells a site expands to below 60 degrees of latitude, for the broadcast size check.
 CELLS_PER_TARGET = 16
-# Polygon cells are measured instead, since one polygon can cover any number of them.
+# Bytes of a polygon cell, whose number is bounded from the polygons' boxes.
 ROW_BYTES, EDGE_BYTES = 256, 48
 # More candidate areas than this in one cell are joined row by row instead of as an array.
 AREAS_PER_CELL = 256
@@ -85,17 +85,30 @@ def points_near_sites(d: DataFrame, sites: DataFrame, radius_m: float = 500.0, *
     )
 
 
-def polygon_cell_deg(polygons: DataFrame, ring: Column) -> float:
-    """Cell size that suits the polygons: the side of a square of their mean bounding-box area.
+def polygon_grid(
+    polygons: DataFrame, ring: Column, cell_deg: float | None = None, max_broadcast: int | None = None
+) -> tuple[float, int]:
+    """Cell size for the polygons and the broadcast limit that goes with it, from one small aggregate.
 
-    Polygons then cover a handful of cells each on average, however small or large they are, and a point meets
-    little more than the polygons around it.
+    Unless given, the cell is a square of the polygons' mean bounding-box area: they then cover a handful of cells
+    each on average, however small or large they are, and a point meets little more than the polygons around it.
+    The limit is 0 (join with a salt) unless an upper bound of the cells' size fits.
     """
     boxes = polygons.select(ring.alias("_ring")).filter(F.size("_ring") >= 3)
     xs, ys = F.col("_ring.lng"), F.col("_ring.lat")
-    area = (F.array_max(xs) - F.array_min(xs)) * (F.array_max(ys) - F.array_min(ys))
-    mean = boxes.agg(F.avg(area)).first()[0]
-    return DEFAULT_CELL_DEG if mean is None else min(max(math.sqrt(mean), MIN_CELL_DEG), MAX_CELL_DEG)
+    width, height = F.array_max(xs) - F.array_min(xs), F.array_max(ys) - F.array_min(ys)
+    weight = ROW_BYTES + EDGE_BYTES * F.size("_ring")
+    area, n, area_bytes, rim_bytes, one_bytes = boxes.agg(
+        F.sum(width * height), F.count(F.lit(1)),
+        F.sum(weight * width * height), F.sum(weight * (width + height)), F.sum(weight),
+    ).first()
+    limit = BROADCAST_BYTES if max_broadcast is None else max_broadcast
+    if not n:
+        return cell_deg or DEFAULT_CELL_DEG, limit
+    cell = cell_deg or min(max(math.sqrt(area / n), MIN_CELL_DEG), MAX_CELL_DEG)
+    # A box touches at most (width / cell + 2) * (height / cell + 2) cells.
+    size = area_bytes / cell**2 + 2 * rim_bytes / cell + 4 * one_bytes
+    return cell, limit if size <= limit else 0
 
 
 def polygon_cells(polygons: DataFrame, ring: Column, on: Sequence[str], cell_deg: float) -> DataFrame:
@@ -131,15 +144,6 @@ def polygon_cells(polygons: DataFrame, ring: Column, on: Sequence[str], cell_deg
     return placed.select(*on, "_cx", "_cy", "target", box.alias("box"), F.filter("_edges", reachable).alias("edges"))
 
 
-def _measured(cells: DataFrame, max_broadcast: int | None) -> int:
-    """Broadcast limit for ``cells`` after counting their rows and edges: unchanged if they fit, else 0."""
-    limit = BROADCAST_BYTES if max_broadcast is None else max_broadcast
-    if plan_bytes(cells) > limit:
-        return 0
-    size = cells.agg(F.sum(F.lit(ROW_BYTES) + F.size("edges") * EDGE_BYTES)).first()[0] or 0
-    return limit if size <= limit else 0
-
-
 def _contains(box: Column, edges: Column) -> Column:
     """Exact test behind a bounding-box test that needs no loop."""
     near = F.col("lng").between(box["west"], box["east"]) & F.col("lat").between(box["south"], box["north"])
@@ -154,9 +158,8 @@ def points_in_fences(
     The cell size follows the fences unless it is given.
     """
     ring = geo.parse_ring_json("coords")
-    cell_deg = cell_deg or polygon_cell_deg(rules, ring)
+    cell_deg, limit = polygon_grid(rules, ring, cell_deg, max_broadcast)
     cells = polygon_cells(rules, ring, ["dept_id"], cell_deg)
-    limit = _measured(cells, max_broadcast)
     joined = salted_join(_with_cell(d, cell_deg), cells, ["dept_id", "_cx", "_cy"], "inner", limit)
     inside = joined.filter(_contains(F.col("box"), F.col("edges")))
     return inside.select(
@@ -188,9 +191,8 @@ def tag_region(
         .select("dept_id", "coords", "_a.id", "_a.city_name")
     )
     ring = geo.parse_ring_text("coords")
-    cell_deg = cell_deg or polygon_cell_deg(valid, ring)
+    cell_deg, limit = polygon_grid(valid, ring, cell_deg, max_broadcast)
     cells = polygon_cells(valid, ring, ["dept_id"], cell_deg)
-    limit = _measured(cells, max_broadcast)
     crowded = not cells.groupBy(*keys).count().filter(F.col("count") > areas_per_cell).isEmpty()
     d = d.drop("region_id", "region_name")
     points = _with_cell(d, cell_deg)

@@ -155,12 +155,14 @@ def test_frame_variants(spark):
 
 
 def test_fence_cells_follow_the_fences(spark):
-    from haulwatch.operators.spatial import points_in_fences, polygon_cell_deg
+    from haulwatch.operators.spatial import points_in_fences, polygon_grid
 
     ring = geo.parse_ring_json("coords")
     rules = worlds.rules(spark)
-    assert 0.004 < polygon_cell_deg(rules, ring) < 0.011
-    assert polygon_cell_deg(rules.filter("false"), ring) == 0.05
+    cell, limit = polygon_grid(rules, ring)
+    assert 0.004 < cell < 0.011 and limit > 0
+    assert polygon_grid(rules.filter("false"), ring)[0] == 0.05
+    assert polygon_grid(rules, ring, cell_deg=1e-6)[1] == 0  # far too many cells to broadcast
     rng = random.Random(2)
     rows = [(i, 1, 112.99 + rng.uniform(0, 0.03), 34.69 + rng.uniform(0, 0.03)) for i in range(800)]
     d = spark.createDataFrame(rows, "row_key int, dept_id int, lng double, lat double")
