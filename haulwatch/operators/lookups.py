@@ -20,6 +20,29 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Estimated size of all tables ``df`` is made from; no job runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows of ``df`` as text, by a job over it."""
+    text = F.to_json(F.struct(*df.columns))
+    return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
+
+def fits(df: DataFrame, limit: int, growth: int = 1) -> bool:
+    """Whether ``df`` is below ``limit`` bytes, ``growth`` being what the estimate may still be multiplied by.
+
+    The optimizer multiplies the sizes of joined tables, so a dimension joined from small tables can look huge. Where
+    the tables are small and only the estimate is not, the rows are measured.
+    """
+    if plan_bytes(df) * growth <= limit:
+        return True
+    return source_bytes(df) <= limit and measured_bytes(df) <= limit
+
+
 def one_per_key(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key; among duplicates the greatest remaining columns win, whatever the read order."""
     rest = [c for c in dim.columns if c not in keys]
@@ -36,7 +59,7 @@ def salted_join(
     ``growth`` is how many rows the estimate may still be multiplied by (an explode the estimate does not see).
     """
     limit = BROADCAST_BYTES if max_broadcast is None else max_broadcast
-    if plan_bytes(dim) * growth <= limit:
+    if limit > 0 and fits(dim, limit, growth):
         return facts.join(F.broadcast(dim), list(keys), how)
     spread = ["row_key"] if "row_key" in facts.columns else facts.columns
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))

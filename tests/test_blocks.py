@@ -120,3 +120,16 @@ def test_duplicate_dimension_keys_do_not_multiply_rows(spark):
     facts = spark.createDataFrame([(1, 1), (2, 1), (3, 3)], "row_key int, k int")
     assert sorted(map(tuple, one_per_key(dim, ["k"]).collect())) == [(1, "b", 2), (2, "c", 1)]
     assert lookup(facts, dim, ["k"]).count() == 3
+
+
+def test_joined_dimension_is_measured(spark, tmp_path):
+    from haulwatch.operators.lookups import fits, plan_bytes
+
+    for name in ("a", "b"):
+        spark.range(20000).select("id", F.col("id").alias(name)).write.parquet(str(tmp_path / name))
+    a, b = (spark.read.parquet(str(tmp_path / n)) for n in ("a", "b"))
+    joined = a.join(b, "id")
+    limit = 4 << 20
+    assert plan_bytes(joined) > limit and fits(joined, limit)
+    assert not fits(joined, 1000)
+    assert not fits(joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(10)))), limit)
