@@ -98,12 +98,16 @@ def _unbd(lat: str, lng: str) -> tuple[str, str]:
 
 _G = _gcj("lat", "lng")
 _GCJ_CTE = f"g as (select *, {_G[0]} glat, {_G[1]} glng from positions)"
-ORACLES["sanitize_positions"] = _with(
+_SANE = f"""select row_key, round({_bd('glat','glng')[0]},6) lat, round({_bd('glat','glng')[1]},6) lng, speed from g
+where lat > 20e0 and lat < 40e0 and lng > 100e0 and lng < 120e0 and speed >= 0e0 and speed < 100e0"""
+ORACLES["sanitize_positions"] = _with("positions", _SANE, _GCJ_CTE)
+ORACLES["sanitize_positions_of_one_date"] = _with(
+    "positions", f"{_SANE} and cast(make_timestamp(t*1000000) as date) = date '{DATE}'", _GCJ_CTE
+)
+ORACLES["in_effective_time_range"] = _with(
     "positions",
-    f"""select row_key, round({_bd('glat','glng')[0]},6) lat, round({_bd('glat','glng')[1]},6) lng, speed from g
-where lat > 20e0 and lat < 40e0 and lng > 100e0 and lng < 120e0 and speed >= 0e0 and speed < 100e0
-  and cast(make_timestamp(t*1000000) as date) = date '{DATE}'""",
-    _GCJ_CTE,
+    """select row_key, make_timestamp(t*1000000) > timestamp '2024-01-05 06:00:00' and make_timestamp(t*1000000) < timestamp '2024-01-20 18:00:00' in_range
+from positions""",
 )
 ORACLES["supervised_positions"] = _with(
     "positions", f"select row_key, vehicle_id, {_text('t')} as time from positions where {SUPERVISED}"
@@ -460,6 +464,11 @@ st as (
 
 # Outputs
 
+ORACLES["scan_alarms"] = _with(
+    "alarms_raw",
+    f"""select row_key, vehicle_id, dept_id, illegal_type_code, {_text('start_t')} alarm_start_time, s_lng alarm_start_lng,
+  {_text('end_t')} alarm_end_time, e_lat alarm_end_lat, {_NULL_S} driver_name, {_NULL_S} uuid from alarms_raw""",
+)
 ORACLES["enrich_alarms"] = _with(
     "alarms_raw illegal_type",
     f"""select a.row_key, a.vehicle_id, a.dept_id, a.illegal_type_code, {_text('start_t')} alarm_start_time, {_text('coalesce(end_t, start_t)')} alarm_end_time,
@@ -495,3 +504,6 @@ from status_snapshot o left join status n on n.vehicle_id=o.vehicle_id and n.dep
     _status("fast", 600, 30),
     recursive=True,
 )
+ORACLES["mark_offline"] = _with(
+    "fast", "select dept_id, vehicle_id, time, vehicle_status from status", _status("fast", 600, 30), recursive=True
+)

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures.adapter import AS_OF, DATE, frames, positions, table
+from haulwatch import schemas
 from haulwatch.functions import geo
-from haulwatch.functions.timefn import duration_text, in_daily_range, seconds_between, time_text
+from haulwatch.functions.timefn import duration_text, in_daily_range, in_effective_range, seconds_between, time_text
 from haulwatch.functions.timefn import partition_ids as add_partition_ids
 from haulwatch.operators import blocks, lookups, spatial
 from haulwatch.operators.sequence import VEHICLE, ordered_scan, prepare
@@ -103,6 +104,12 @@ def json_sink_roundtrip(spark, sf_dir):
 
 @query
 def sanitize_positions(spark, sf_dir):
+    out = lookups.sanitize_positions(positions(spark, sf_dir, "positions"))
+    return out.select("row_key", F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"), "speed")
+
+
+@query
+def sanitize_positions_of_one_date(spark, sf_dir):
     out = lookups.sanitize_positions(positions(spark, sf_dir, "positions"), as_of_date=DATE)
     return out.select("row_key", F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"), "speed")
 
@@ -141,6 +148,13 @@ def in_daily_time_range(spark, sf_dir):
     )
 
 
+@query
+def in_effective_time_range(spark, sf_dir):
+    p = positions(spark, sf_dir, "positions")
+    inside = in_effective_range("time", F.lit("2024-01-05 06:00:00"), F.lit("2024-01-20 18:00:00"))
+    return p.select("row_key", inside.alias("in_range"))
+
+
 @query
 def alarm_duration(spark, sf_dir):
     d = ordered_scan(prepare(positions(spark, sf_dir)), VEHICLE, ["time"]).filter("prev is not null")
@@ -397,15 +411,30 @@ def stop_history(spark, sf_dir):
 # Outputs
 
 
-@query
-def enrich_alarms(spark, sf_dir):
-    raw = table(spark, sf_dir, "alarms_raw").select(
+def _raw_alarms(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "alarms_raw").select(
         "row_key", "vehicle_id", "dept_id", "illegal_type_code",
         F.timestamp_seconds("start_t").alias("alarm_start_time"), F.timestamp_seconds("end_t").alias("alarm_end_time"),
         F.col("s_lng").alias("alarm_start_lng"), F.col("s_lat").alias("alarm_start_lat"),
         F.col("e_lng").alias("alarm_end_lng"), F.col("e_lat").alias("alarm_end_lat"),
     )
-    out = outputs.enrich_alarms(raw, table(spark, sf_dir, "illegal_type"), as_of=_as_of())
+
+
+@query
+def scan_alarms(spark, sf_dir):
+    """Alarms in the full record layout, written as JSON and read back."""
+    raw = _raw_alarms(spark, sf_dir).withColumn("zxcqi", F.col("row_key").cast("string"))
+    back = scans.scan_alarms(sinks.to_json_value(schemas.conform(raw, schemas.ALARM)))
+    out = back.select(
+        F.col("zxcqi").cast("long").alias("row_key"), "vehicle_id", "dept_id", "illegal_type_code", "alarm_start_time",
+        "alarm_start_lng", "alarm_end_time", "alarm_end_lat", "driver_name", "uuid",
+    )
+    return _texts(out, "alarm_start_time", "alarm_end_time")
+
+
+@query
+def enrich_alarms(spark, sf_dir):
+    out = outputs.enrich_alarms(_raw_alarms(spark, sf_dir), table(spark, sf_dir, "illegal_type"), as_of=_as_of())
     out = out.withColumn("interval_distance", F.round("interval_distance", 2))
     return _texts(out.drop("uuid"), "alarm_start_time", "alarm_end_time")
 
@@ -425,3 +454,12 @@ def status_upsert(spark, sf_dir):
     )
     snapshot = table(spark, sf_dir, "status_snapshot")
     return vehicles.merge_status(snapshot, _texts(changes, "time"))
+
+
+@query
+def mark_offline(spark, sf_dir):
+    """Status half an hour early, then the vehicles that have fallen silent since."""
+    early = F.lit("2024-01-01 05:30:00").cast("timestamp")
+    status = vehicles.vehicle_status(positions(spark, sf_dir, "fast"), as_of=early, offline_s=600, still_s=30)
+    out = vehicles.mark_offline(status, _as_of(), offline_s=600)
+    return _texts(out, "time").select("dept_id", "vehicle_id", "time", "vehicle_status")

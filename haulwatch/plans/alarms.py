@@ -136,6 +136,21 @@ def alarm_file_control(d: DataFrame, rules: DataFrame, cooldown_s: int = COOLDOW
     return _fence_alarm(d, rules, file_control_broken(), FILE_CONTROL, cooldown_s, from_start=False, **kw)
 
 
+def alarm_fences(
+    d: DataFrame, work_time: DataFrame, restricted: DataFrame, over_speed: DataFrame, cooldown_s: int = COOLDOWN_S,
+    target_rows: int | None = TARGET_ROWS, **kw,
+) -> DataFrame:
+    """Work-time, restricted-zone and overspeed alarms together, over one count of the vehicles."""
+    d = prepare(supervised(d), target_rows=target_rows)
+    parts = [
+        detector(d, rules, cooldown_s, target_rows=None, **kw)
+        for detector, rules in (
+            (alarm_work_time, work_time), (alarm_restricted_zone, restricted), (alarm_overspeed, over_speed),
+        )
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def illegal_site_visits(
     d: DataFrame, permits: DataFrame, sites: DataFrame, radius_m: float = 500.0, match: str = "not_permitted", **kw
 ) -> DataFrame:

@@ -153,3 +153,19 @@ def test_off_route(spark, seed, target, limit):
         (r["vehicle_id"], r["row_key"], r["alarm_start_t"], r["alarm_end_t"], r["permit_id"]) for r in want
     )
     assert len(got) > 4
+
+
+@pytest.mark.parametrize("target", SLICED)
+def test_fences_together(spark, target):
+    d = frame(spark, random_positions(4, hot=200))
+    hours = {"start_date": "08:00", "end_date": "17:30"}
+    rules = worlds.rules(spark, **hours), worlds.rules(spark), worlds.rules(spark, speed=10)
+    detectors = alarms.alarm_work_time, alarms.alarm_restricted_zone, alarms.alarm_overspeed
+    one_by_one = [f(d, r, cooldown_s=300) for f, r in zip(detectors, rules)]
+    got = alarms.alarm_fences(d, *rules, cooldown_s=300, target_rows=target).collect()
+    want = [r for df in one_by_one for r in df.collect()]
+
+    def keys(rows):
+        return sorted((r.illegal_type_code, r.vehicle_id, r.fence_id, r.row_key, r.alarm_start_time) for r in rows)
+
+    assert keys(got) == keys(want) and len({r.illegal_type_code for r in got}) == 3
