@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from haulwatch.functions.exprs import ColumnLike, col
 
 # A side is broadcast only when the optimizer's size estimate is below this bound.
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 256 << 20
 # Copies of each dimension row in a shuffled join; the fact rows of one key spread over as many tasks.
 SALTS = 16
 

@@ -24,8 +24,9 @@ MARGIN = 1.0001
 CELLS_PER_TARGET = 16
 # Bytes of a polygon cell, whose number is bounded from the polygons' boxes.
 ROW_BYTES, EDGE_BYTES = 256, 48
-# More candidate areas than this in one cell are joined row by row instead of as an array.
+# More candidates than this in one cell are joined row by row instead of as an array.
 AREAS_PER_CELL = 256
+VERTICES_PER_CELL = 4096
 
 
 def _cells(df: DataFrame, west: Column, east: Column, south: Column, north: Column, size: float) -> DataFrame:
@@ -193,10 +194,9 @@ def tag_region(
     ring = geo.parse_ring_text("coords")
     cell_deg, limit = polygon_grid(valid, ring, cell_deg, max_broadcast)
     cells = polygon_cells(valid, ring, ["dept_id"], cell_deg)
-    crowded = not cells.groupBy(*keys).count().filter(F.col("count") > areas_per_cell).isEmpty()
     d = d.drop("region_id", "region_name")
     points = _with_cell(d, cell_deg)
-    if crowded:
+    if _crowded(cells, keys, areas_per_cell):
         pairs = salted_join(points.select("row_key", "lng", "lat", *keys), cells, keys, "inner", limit)
         inside = pairs.filter(_contains(F.col("box"), F.col("edges")))
         hits = inside.groupBy("row_key").agg(F.min(F.struct("target.id", "target.city_name")).alias("_hit"))
@@ -220,8 +220,8 @@ def near_ids(
 ) -> DataFrame:
     """Add an array ``name`` of the ids within ``radius_m`` of each point, sorted; every point stays one row.
 
-    A cell carries its sites as an array, so this suits few sites per key and cell. Where a cell may hold many,
-    use ``match_sites``.
+    A cell carries its sites as an array, which is of the order of the resulting arrays themselves. ``match_sites``
+    gives the same as rows.
     """
     cells = site_cells(sites.select(*on, id_col, lng, lat), radius_m, on, lng, lat)
     cells = cells.groupBy(*on, "_cx", "_cy").agg(F.collect_list("target").alias("_near"))
@@ -244,27 +244,38 @@ def route_points(permits: DataFrame, keys: Sequence[str]) -> DataFrame:
     return flat.select(*keys, F.col("_v.lng").alias("lng"), F.col("_v.lat").alias("lat")).distinct()
 
 
-def route_vertices(permits: DataFrame, radius_m: float, keys: Sequence[str]) -> DataFrame:
-    """Route vertices per key and reachable cell: ``keys``, ``_cx``, ``_cy``, ``_vertices``."""
-    cells = site_cells(route_points(permits, keys), radius_m, keys)
-    return cells.groupBy(*keys, "_cx", "_cy").agg(F.collect_list("target").alias("_vertices"))
+def _crowded(cells: DataFrame, keys: Sequence[str], most: int) -> bool:
+    """Whether some cell holds more than ``most`` targets; a count over the dimension."""
+    return not cells.groupBy(*keys).count().filter(F.col("count") > most).isEmpty()
 
 
 def flag_off_route(
-    d: DataFrame, permits: DataFrame, radius_m: float = 500.0,
-    keys: Sequence[str] = ("dept_id", "vehicle_id", "permit_id"), **kw,
+    d: DataFrame,
+    permits: DataFrame,
+    radius_m: float = 500.0,
+    keys: Sequence[str] = ("dept_id", "vehicle_id", "permit_id"),
+    vertices_per_cell: int = VERTICES_PER_CELL,
+    **kw,
 ) -> DataFrame:
-    """Add ``off_route``: no route vertex of the same ``keys`` lies within ``radius_m``."""
-    joined = salted_join(
-        _with_cell(d, _site_cell_deg(radius_m)),
-        route_vertices(permits, radius_m, keys),
-        [*keys, "_cx", "_cy"],
-        "left",
-        growth=CELLS_PER_TARGET,
-        **kw,
-    )
-    near = ~geo.off_route("lng", "lat", F.col("_vertices"), radius_m)
-    return joined.withColumn("off_route", ~F.coalesce(near, F.lit(False))).select(*d.columns, "off_route")
+    """Add ``off_route``: no route vertex of the same ``keys`` lies within ``radius_m``.
+
+    A cell carries its vertices as an array, so positions stay single rows. With more than ``vertices_per_cell`` in
+    a cell, positions are joined to the vertices one by one and the hits are reduced per ``row_key``.
+    """
+    cells = site_cells(route_points(permits, keys), radius_m, keys)
+    cell_keys = [*keys, "_cx", "_cy"]
+    points = _with_cell(d, _site_cell_deg(radius_m))
+    if _crowded(cells, cell_keys, vertices_per_cell):
+        pairs = salted_join(points.select("row_key", "lng", "lat", *cell_keys), cells, cell_keys, "inner", **kw)
+        away = geo.distance_m("lng", "lat", "target.lng", "target.lat")
+        near = pairs.filter(away <= radius_m).select("row_key").distinct().withColumn("_near", F.lit(True))
+        joined = d.join(near, "row_key", "left").withColumn("off_route", F.col("_near").isNull())
+    else:
+        vertices = cells.groupBy(*cell_keys).agg(F.collect_list("target").alias("_vertices"))
+        joined = salted_join(points, vertices, cell_keys, "left", growth=CELLS_PER_TARGET, **kw)
+        near = ~geo.off_route("lng", "lat", F.col("_vertices"), radius_m)
+        joined = joined.withColumn("off_route", ~F.coalesce(near, F.lit(False)))
+    return joined.select(*d.columns, "off_route")
 
 
 def off_route_points(d: DataFrame, permits: DataFrame, radius_m: float = 500.0, **kw) -> DataFrame:

@@ -169,3 +169,15 @@ def test_fences_together(spark, target):
         return sorted((r.illegal_type_code, r.vehicle_id, r.fence_id, r.row_key, r.alarm_start_time) for r in rows)
 
     assert keys(got) == keys(want) and len({r.illegal_type_code for r in got}) == 3
+
+
+@pytest.mark.parametrize("options", [{}, {"vertices_per_cell": 0}, {"vertices_per_cell": 0, "max_broadcast": 0}])
+def test_off_route_flag(spark, options):
+    from haulwatch.operators.spatial import flag_off_route
+
+    pdf = random_positions(6)
+    d = frame(spark, pdf)
+    out = flag_off_route(d, worlds.cards(spark), 330.0, ("dept_id", "vehicle_id"), **options)
+    got = {r.row_key: r.off_route for r in out.collect()}
+    want = {r.row_key: not r.on_route for r in route_flags(pdf, 330.0, 99.0).itertuples()}
+    assert got == want and 0 < sum(got.values()) < len(got)
