@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulwatch.operators.sequence import DAY, ordered_scan
+from haulwatch.operators.sequence import DAY, ensure_checkpoint_dir, ordered_scan
 
 # A slice of candidate times spans at least this many cooldowns and this many seconds.
 COOLDOWNS_PER_SLICE = 12
@@ -78,14 +78,18 @@ def _stairs(times: pd.Series, reach: pd.Series, cooldown: pd.Series) -> pd.Serie
 
 
 def cooldown(
-    df: DataFrame, key: Sequence[str], seconds: int, tie: Sequence[str] = ("row_key",), slice_s: int = SLICE_SECONDS
+    df: DataFrame, key: Sequence[str], seconds: int, tie: Sequence[str] = ("row_key",), slice_s: int = SLICE_SECONDS,
+    sliced: bool | None = None,
 ) -> DataFrame:
     """Candidates that fire: the first of a key, then each more than ``seconds`` after the last one fired.
 
     Which candidate fires depends on the one before, so a key is a chain. Candidates are first reduced to one per
     second and grouped into time slices. A slice is summarised by how it maps the last firing before it to its own
     last firing; running through these summaries gives every slice its start, and slices then fire independently.
+    ``sliced`` tells that a key may be hot; by default the columns ``prepare`` adds tell it.
     """
+    sliced = "slice" in df.columns if sliced is None else sliced
+    df = df.drop("hot", "slice")
     rest = [c for c in df.columns if c not in (*key, "epoch_s")]
     span = max(seconds * COOLDOWNS_PER_SLICE, slice_s)
     per_second = df.groupBy(*key, "epoch_s").agg(F.min_by(F.struct(*rest), F.struct(*tie)).alias("_row"))
@@ -114,15 +118,31 @@ def cooldown(
     slices = slices.withColumn("_stairs", _stairs(times, reach, F.lit(seconds).cast("long")))
     slices = slices.withColumn("_stairs", F.when(fresh, alone).otherwise(F.col("_stairs")))
 
-    whole = Window.partitionBy(*key)
-    slices = slices.withColumn("_all", F.collect_list(F.struct("_slice", "_stairs")).over(whole))
-    earlier = F.array_sort(F.filter("_all", lambda s: s["_slice"] < F.col("_slice")))
+    never = F.lit(None).cast("long")
 
     def pass_through(last: Column, s: Column) -> Column:
         reachable = F.filter(s["_stairs"], lambda x: x["entry"] > F.coalesce(last, F.lit(-(1 << 60))) + seconds)
         return F.coalesce(F.try_element_at(reachable, F.lit(1))["exit"], last)
 
-    entry = F.aggregate(earlier, F.lit(None).cast("long"), pass_through)
+    summary = F.struct("_slice", "_stairs")
+    if sliced:
+        # A key may have more candidates than one task should buffer: only the summaries of a key come together.
+        ensure_checkpoint_dir(df.sparkSession)
+        slices = slices.checkpoint()
+        chains = slices.groupBy(*key).agg(F.sort_array(F.collect_list(summary)).alias("_all"))
+        begin = F.array(never)
+        after = F.aggregate("_all", begin, lambda acc, s: F.concat(acc, F.array(pass_through(F.element_at(acc, -1), s))))
+        entries = F.zip_with(
+            F.transform("_all", lambda s: s["_slice"]),
+            F.slice(after, 1, F.size("_all")),
+            lambda at, last: F.struct(at.alias("_slice"), last.alias("_entry")),
+        )
+        starts = chains.select(*key, F.explode(entries).alias("_e")).select(*key, "_e.*")
+        slices, entry = slices.join(starts, [*key, "_slice"]), F.col("_entry")
+    else:
+        slices = slices.withColumn("_all", F.collect_list(summary).over(Window.partitionBy(*key)))
+        earlier = F.array_sort(F.filter("_all", lambda s: s["_slice"] < F.col("_slice")))
+        entry = F.aggregate(earlier, never, pass_through)
     return (
         slices.withColumn("_entry", entry)
         .select(*key, F.explode(fire(F.col("_entry"))).alias("_f"))

@@ -175,5 +175,5 @@ def alarm_off_route(
     runs = ordered_scan(flagged, VEHICLE, ["_off"], mark=lambda prev: start)
     late = runs.filter(F.col("_off") & (F.floor((F.col("epoch_s") - F.col("mark.epoch_s")) / 60) > off_minutes))
     first = late.groupBy(*VEHICLE, "mark").agg(F.min(F.struct(*ORDER, "lng", "lat")).alias("_end"))
-    fired = cooldown(first.select(*VEHICLE, "mark.*", "_end"), VEHICLE, cooldown_s - 1)
+    fired = cooldown(first.select(*VEHICLE, "mark.*", "_end"), VEHICLE, cooldown_s - 1, sliced="slice" in d.columns)
     return as_alarm(fired, OFF_ROUTE, start=("epoch_s", "lng", "lat"), end=("_end.epoch_s", "_end.lng", "_end.lat")).drop("_end")

@@ -31,8 +31,9 @@ def test_cooldown_boundary(spark, times, n):
     assert blocks.cooldown(candidates(spark, times), ["k"], 7200).count() == n
 
 
+@pytest.mark.parametrize("sliced", [False, True])
 @pytest.mark.parametrize("seed", range(4))
-def test_cooldown_over_many_slices(spark, seed):
+def test_cooldown_over_many_slices(spark, seed, sliced):
     """Chains run through dense slices, past empty ones, and across slice borders."""
     rng = random.Random(seed)
     seconds = rng.choice([1, 7, 13])
@@ -46,7 +47,7 @@ def test_cooldown_over_many_slices(spark, seed):
         want |= {(key, t) for t in greedy(times, seconds)}
     rng.shuffle(rows)
     df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "k int, epoch_s bigint, row_key bigint")
-    fired = blocks.cooldown(df, ["k"], seconds, slice_s=1).collect()
+    fired = blocks.cooldown(df, ["k"], seconds, slice_s=1, sliced=sliced).collect()
     assert {(r.k, r.epoch_s) for r in fired} == want and len(fired) == len(want)
     lowest = {}
     for i, kt in enumerate(rows):

@@ -101,12 +101,13 @@ def test_overspeed(spark, seed, target, limit):
     assert sorted(got) == sorted(want) and len(got) > 4
 
 
+@pytest.mark.parametrize("target", SLICED)
 @pytest.mark.parametrize("match", ["not_permitted", "any_other"])
 @pytest.mark.parametrize("seed", SEEDS)
-def test_illegal_disposal(spark, seed, match):
+def test_illegal_disposal(spark, seed, match, target):
     pdf = random_positions(seed, hot=300)
     sites = worlds.sites(spark)
-    out = alarms.alarm_illegal_disposal(frame(spark, pdf), worlds.cards(spark), sites, cooldown_s=600, match=match)
+    out = alarms.alarm_illegal_disposal(frame(spark, pdf), worlds.cards(spark), sites, cooldown_s=600, match=match, target_rows=target)
     allowed: dict[int, set] = {}
     for v, _, _, s, _ in worlds.CARDS:
         allowed.setdefault(v, set()).add(s)
