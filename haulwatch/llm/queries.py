@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm import pieces, quality_rules, token_counts
+from haulwatch.llm import decontamination, pieces, quality_rules, secret_scans, token_counts
 
 #: Vocabulary files; a deployment names its own.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,26 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "found.n_words", "found.n_hit", "found.n_items", digest, "found.contaminated")
+
+
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = secret_scans.scan_secrets(table(spark, sf_dir, "documents")).select("doc_id", "secrets")
+    base, spans = F.col("secrets.base"), F.col("secrets.spans")
+    count = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long")
+    return docs.select(
+        "doc_id",
+        *(count(k).alias(f"n_{kind}") for k, kind in enumerate(secret_scans.PATTERNS)),
+        F.sha2(secret_scans.listed(base), 256).alias("base_sha256"),
+        secret_scans.listed(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of each text, a digest of them, and whether decoding gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,5 +59,5 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "rules.*")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op7_sentencepiece, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op4_secret_scans, op7_sentencepiece, op8_quality_rules)}
 ORACLES: dict[str, str] = {}
