@@ -29,7 +29,7 @@ from haulwatch.llm.arrays import Memo, Texts, blocks, joined, lists, span_hashes
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 #: Marked words that a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 class Model:
@@ -79,7 +79,7 @@ class Model:
 
     def follows(self, left: int, right: int) -> bool:
         """Does the merge order leave the two pieces apart? left is -1 at the front of a word."""
-        if len(self.apart) > 4 * REMEMBERED:
+        if len(self.apart) > REMEMBERED:
             self.apart.clear()
         parts = [self.text_of[i] for i in (left, right) if i >= 0]
         known = self.apart[left << 20 | right] = self.merged(list("".join(parts))) == parts

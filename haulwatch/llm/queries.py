@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm import decontamination, pieces, quality_rules, secret_scans, token_counts
+from haulwatch.llm import decontamination, licenses, near_duplicates, pieces, quality_model, quality_rules, secret_scans, storage, token_counts, warc
 
 #: Vocabulary files; a deployment names its own.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +42,18 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    scored = quality_model.classify(docs.select("doc_id", "text"), labels.where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates.mark_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of each text, a digest of them, and whether decoding gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,5 +71,34 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "rules.*")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op4_secret_scans, op7_sentencepiece, op8_quality_rules)}
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = licenses.scan_licenses(table(spark, sf_dir, "documents")).select("doc_id", "licenses")
+    span = lambda s: F.concat_ws(":", s["license"], s["start"].cast("string"), s["end"].cast("string"), F.round(s["coverage"], 4).cast("string"))
+    return docs.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_spans"),
+        F.array_join(F.array_sort(F.array_distinct("licenses.license")), ",").alias("licenses"),
+        F.array_join(F.transform("licenses", span), ",").alias("spans"),
+    )
+
+
+#: The second replica of the audit query: in these pages, by the first two hex digits of a digest of the key, a byte is lost.
+DAMAGED = ("00", "7f")
+
+
+def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of the pages' archives, where it stands, and what the audit of a damaged replica says about it."""
+    pages = table(spark, sf_dir, "pages")
+    records = warc.to_records(pages)
+    damaged = F.substring(F.sha2(F.col("key").cast("string"), 256), 1, 2).isin(*DAMAGED)
+    read = F.when(damaged, F.sha2(F.expr("substring(record, 1, size - 5)"), 256)).otherwise(F.col("leaf"))
+    indexed = storage.checkpointed(warc.index(records.withColumn("replica_leaf", read)))  # hashes and offsets only
+    levels = warc.height(indexed)
+    mine, other = (warc.merkle_levels(warc.leaves(indexed, leaf), levels) for leaf in ("leaf", "replica_leaf"))
+    found = warc.audit(mine, other).select("archive", "position", "status")
+    rows = indexed.join(found, ["archive", "position"], "left")
+    return rows.select(F.col("key").alias("page_id"), "archive", "position", "start", "end", F.col("leaf").alias("record_sha256"), F.coalesce("status", F.lit("intact")).alias("status"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op4_secret_scans, op5_quality_classifier, op6_near_duplicates, op7_sentencepiece, op8_quality_rules, op9_license_scans, op10_warc_fixity)}
 ORACLES: dict[str, str] = {}
