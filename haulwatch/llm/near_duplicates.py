@@ -263,12 +263,13 @@ def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 def dedupe(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows that stay, with their own columns: one of each component (that of the least key; of rows with one key, any
     one of the least class), and every row without words."""
-    rows = mark_duplicates(docs, text, key)
-    kept = rows.where("kept and root is not null").groupBy("root").agg(F.min("node").alias("__node")).select("__node")
-    marked_docs = docs.withColumn("__node", digested(docs[text]))
-    bare = marked_docs.where("__node is null")
-    least = rows.where("kept and node is not null").select(F.col("node").alias("__node"), F.col(key).alias("__key")).join(kept, "__node", "left_semi").distinct()
-    named = marked_docs.where("__node is not null").withColumn("__key", F.col(key))
-    on = (named["__node"] == least["__node"]) & named["__key"].eqNullSafe(least["__key"])
-    chosen = named.join(least, on, "left_semi").dropDuplicates(["__node"])
-    return bare.select(*docs.columns).unionByName(chosen.select(*docs.columns))
+    rows = checkpointed(mark_duplicates(docs, text, key).select(F.col(key).alias("__key"), F.col("node").alias("__node"), "root", "kept"))
+    if rows.groupBy("__key").count().where("count > 1 or __key is null").isEmpty():  # then the key says which row is meant
+        kept = rows.where("kept").select("__key")
+        return docs.join(kept, docs[key] == kept["__key"], "left_semi")
+    least = rows.where("kept and root is not null").groupBy("root").agg(F.min("__node").alias("__node")).select("__node")
+    chosen = rows.where("kept").join(least, "__node", "left_semi").select("__key", "__node").distinct()
+    named = docs.withColumn("__node", digested(docs[text]))
+    on = (named["__node"] == chosen["__node"]) & named[key].eqNullSafe(chosen["__key"])
+    with_words = named.where("__node is not null").join(chosen, on, "left_semi").dropDuplicates(["__node"])
+    return named.where("__node is null").select(*docs.columns).unionByName(with_words.select(*docs.columns))

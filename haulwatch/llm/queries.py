@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm import decontamination, licenses, near_duplicates, pieces, quality_model, quality_rules, secret_scans, storage, token_counts, warc
+from haulwatch.llm import decontamination, html_text, licenses, near_duplicates, pieces, quality_model, quality_rules, secret_scans, storage, token_counts, warc
 
 #: Vocabulary files; a deployment names its own.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "found.n_words", "found.n_hit", "found.n_items", digest, "found.contaminated")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract_text(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = secret_scans.scan_secrets(table(spark, sf_dir, "documents")).select("doc_id", "secrets")
     base, spans = F.col("secrets.base"), F.col("secrets.spans")
@@ -100,5 +105,5 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key").alias("page_id"), "archive", "position", "start", "end", F.col("leaf").alias("record_sha256"), F.coalesce("status", F.lit("intact")).alias("status"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op4_secret_scans, op5_quality_classifier, op6_near_duplicates, op7_sentencepiece, op8_quality_rules, op9_license_scans, op10_warc_fixity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_html_extraction, op4_secret_scans, op5_quality_classifier, op6_near_duplicates, op7_sentencepiece, op8_quality_rules, op9_license_scans, op10_warc_fixity)}
 ORACLES: dict[str, str] = {}
