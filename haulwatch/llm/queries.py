@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulwatch.llm import decontamination, html_text, licenses, near_duplicates, pieces, quality_model, quality_rules, secret_scans, storage, token_counts, warc
+from haulwatch.llm.oracles import ORACLES  # noqa: F401
 
 #: Vocabulary files; a deployment names its own.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -106,4 +107,3 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_html_extraction, op4_secret_scans, op5_quality_classifier, op6_near_duplicates, op7_sentencepiece, op8_quality_rules, op9_license_scans, op10_warc_fixity)}
-ORACLES: dict[str, str] = {}
