@@ -6,15 +6,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulwatch.operators.sequence import DAY, ensure_checkpoint_dir, ordered_scan
+from haulwatch.operators.sequence import DAY, ordered_scan
 
 # A slice of candidate times spans at least this many cooldowns and this many seconds.
 COOLDOWNS_PER_SLICE = 12
-SLICE_SECONDS = 7 * DAY
+SLICE_SECONDS = DAY
 
 
 def sustained(df: DataFrame, key: Sequence[str], violating: Column, minutes: Column | int) -> DataFrame:
@@ -53,18 +53,19 @@ def latest_position(df: DataFrame, key: Sequence[str], order: Sequence[str] = ("
 
 
 STAIRS = T.ArrayType(T.StructType([T.StructField("entry", T.LongType()), T.StructField("exit", T.LongType())]))
+ENTRIES = T.ArrayType(T.StructType([T.StructField("_slice", T.LongType()), T.StructField("_entry", T.LongType())]))
+NEVER = -(1 << 60)
 
 
 @F.pandas_udf(STAIRS)
 def _stairs(times: pd.Series, reach: pd.Series, cooldown: pd.Series) -> pd.Series:
     """Per slice: for every time the first firing may have, the time of the slice's last firing.
 
-    Entries that lead to the same last firing are merged into the latest of them.
+    Entries that lead to the same last firing are merged into the latest of them. Nothing before the slice reaches
+    its candidates from ``reach`` on.
     """
 
     def one(ts, limit, gap):
-        if ts is None:
-            return None
         ts = np.asarray(ts, dtype=np.int64)
         entries = np.arange(min(np.searchsorted(ts, limit) + 1, len(ts)))
         after = np.searchsorted(ts, ts + gap, side="right")
@@ -77,75 +78,65 @@ def _stairs(times: pd.Series, reach: pd.Series, cooldown: pd.Series) -> pd.Serie
     return pd.Series([one(*args) for args in zip(times, reach, cooldown, strict=True)])
 
 
+@F.pandas_udf(ENTRIES)
+def _entries(summaries: pd.Series, cooldown: pd.Series) -> pd.Series:
+    """Per key: the last firing before each of its slices, from the slices' stairs."""
+
+    def one(slices, gap):
+        last, out = NEVER, []
+        for s in sorted(slices, key=lambda s: s["_slice"]):
+            out.append({"_slice": s["_slice"], "_entry": last})
+            last = next((x["exit"] for x in s["_stairs"] if x["entry"] > last + gap), last)
+        return out
+
+    return pd.Series([one(*args) for args in zip(summaries, cooldown, strict=True)])
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _firings(times: pd.Series, entry: pd.Series, cooldown: pd.Series) -> pd.Series:
+    """Per slice: the candidates that fire after the last firing before it."""
+
+    def one(ts, last, gap):
+        ts, out = np.asarray(ts, dtype=np.int64), []
+        while (at := np.searchsorted(ts, last + gap, side="right")) < len(ts):
+            last = ts[at]
+            out.append(int(last))
+        return out
+
+    return pd.Series([one(*args) for args in zip(times, entry, cooldown, strict=True)])
+
+
 def cooldown(
     df: DataFrame, key: Sequence[str], seconds: int, tie: Sequence[str] = ("row_key",), slice_s: int = SLICE_SECONDS,
-    sliced: bool | None = None,
 ) -> DataFrame:
     """Candidates that fire: the first of a key, then each more than ``seconds`` after the last one fired.
 
-    Which candidate fires depends on the one before, so a key is a chain. Candidates are first reduced to one per
-    second and grouped into time slices. A slice is summarised by how it maps the last firing before it to its own
-    last firing; running through these summaries gives every slice its start, and slices then fire independently.
-    ``sliced`` tells that a key may be hot; by default the columns ``prepare`` adds tell it.
+    Which candidate fires depends on the one before, so a key is a chain. The chain is run over times alone: a key's
+    distinct candidate seconds are grouped into time slices, and a slice is summarised by how it maps the last firing
+    before it to its own last firing. Only these summaries of a key meet in one task; slices then fire independently.
+    The few fired seconds are joined back to the candidates, whose other columns are never gathered.
     """
-    sliced = "slice" in df.columns if sliced is None else sliced
     df = df.drop("hot", "slice")
     rest = [c for c in df.columns if c not in (*key, "epoch_s")]
     span = max(seconds * COOLDOWNS_PER_SLICE, slice_s)
-    per_second = df.groupBy(*key, "epoch_s").agg(F.min_by(F.struct(*rest), F.struct(*tie)).alias("_row"))
-    slices = (
-        per_second.withColumn("_slice", F.col("epoch_s") - F.pmod(F.col("epoch_s"), F.lit(span)))
-        .groupBy(*key, "_slice")
-        .agg(F.sort_array(F.collect_list(F.struct("epoch_s", "_row"))).alias("_c"))
-    )
-
-    def fire(last: Column) -> Column:
-        floor = F.coalesce(last, F.lit(-(1 << 60)))
-
-        def step(fired: Column, c: Column) -> Column:
-            latest = F.coalesce(F.try_element_at(fired, F.lit(-1))["epoch_s"], floor)
-            return F.when(c["epoch_s"] > latest + seconds, F.concat(fired, F.array(c))).otherwise(fired)
-
-        return F.aggregate("_c", F.slice("_c", 1, 0), step)
-
-    reach = F.col("_slice") + seconds
-    # Nothing before the slice can reach a first candidate this late, so the slice starts afresh.
-    fresh = F.col("_c")[0]["epoch_s"] >= reach
-    alone = F.array(
-        F.struct(F.col("_c")[0]["epoch_s"].alias("entry"), F.element_at(fire(F.lit(None).cast("long")), -1)["epoch_s"].alias("exit"))
-    )
-    times = F.when(~fresh, F.transform("_c", lambda c: c["epoch_s"]))
-    slices = slices.withColumn("_stairs", _stairs(times, reach, F.lit(seconds).cast("long")))
-    slices = slices.withColumn("_stairs", F.when(fresh, alone).otherwise(F.col("_stairs")))
-
-    never = F.lit(None).cast("long")
-
-    def pass_through(last: Column, s: Column) -> Column:
-        reachable = F.filter(s["_stairs"], lambda x: x["entry"] > F.coalesce(last, F.lit(-(1 << 60))) + seconds)
-        return F.coalesce(F.try_element_at(reachable, F.lit(1))["exit"], last)
-
-    summary = F.struct("_slice", "_stairs")
-    if sliced:
-        # A key may have more candidates than one task should buffer: only the summaries of a key come together.
-        ensure_checkpoint_dir(df.sparkSession)
-        slices = slices.checkpoint()
-        chains = slices.groupBy(*key).agg(F.sort_array(F.collect_list(summary)).alias("_all"))
-        begin = F.array(never)
-        after = F.aggregate("_all", begin, lambda acc, s: F.concat(acc, F.array(pass_through(F.element_at(acc, -1), s))))
-        entries = F.zip_with(
-            F.transform("_all", lambda s: s["_slice"]),
-            F.slice(after, 1, F.size("_all")),
-            lambda at, last: F.struct(at.alias("_slice"), last.alias("_entry")),
-        )
-        starts = chains.select(*key, F.explode(entries).alias("_e")).select(*key, "_e.*")
-        slices, entry = slices.join(starts, [*key, "_slice"]), F.col("_entry")
-    else:
-        slices = slices.withColumn("_all", F.collect_list(summary).over(Window.partitionBy(*key)))
-        earlier = F.array_sort(F.filter("_all", lambda s: s["_slice"] < F.col("_slice")))
-        entry = F.aggregate(earlier, never, pass_through)
+    gap = F.lit(seconds).cast("long")
+    at = (F.col("epoch_s") - F.pmod(F.col("epoch_s"), F.lit(span))).alias("_slice")
+    # At most one long for each second of a slice.
+    slices = df.groupBy(*key, at).agg(F.sort_array(F.collect_set("epoch_s")).alias("_times"))
+    stairs = slices.select(*key, "_slice", _stairs("_times", F.col("_slice") + gap, gap).alias("_stairs"))
+    chains = stairs.groupBy(*key).agg(F.collect_list(F.struct("_slice", "_stairs")).alias("_all"))
+    starts = chains.select(*key, F.inline(_entries("_all", gap)))
+    fired = _same_key(slices, starts, [*key, "_slice"]).select(*key, F.explode(_firings("_times", "_entry", gap)).alias("epoch_s"))
     return (
-        slices.withColumn("_entry", entry)
-        .select(*key, F.explode(fire(F.col("_entry"))).alias("_f"))
-        .select(*key, "_f.epoch_s", "_f._row.*")
+        _same_key(df, fired, [*key, "epoch_s"])
+        .groupBy(*key, "epoch_s")
+        .agg(F.min_by(F.struct(*rest), F.struct(*tie)).alias("_row"))
+        .select(*key, "epoch_s", "_row.*")
     )
 
+
+def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys of which null is a value like any other."""
+    right = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    on = [left[k].eqNullSafe(right[f"_of_{k}"]) for k in keys]
+    return left.join(right, on, "inner").drop(*[f"_of_{k}" for k in keys])

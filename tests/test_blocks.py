@@ -31,9 +31,8 @@ def test_cooldown_boundary(spark, times, n):
     assert blocks.cooldown(candidates(spark, times), ["k"], 7200).count() == n
 
 
-@pytest.mark.parametrize("sliced", [False, True])
 @pytest.mark.parametrize("seed", range(4))
-def test_cooldown_over_many_slices(spark, seed, sliced):
+def test_cooldown_over_many_slices(spark, seed):
     """Chains run through dense slices, past empty ones, and across slice borders."""
     rng = random.Random(seed)
     seconds = rng.choice([1, 7, 13])
@@ -47,7 +46,7 @@ def test_cooldown_over_many_slices(spark, seed, sliced):
         want |= {(key, t) for t in greedy(times, seconds)}
     rng.shuffle(rows)
     df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "k int, epoch_s bigint, row_key bigint")
-    fired = blocks.cooldown(df, ["k"], seconds, slice_s=1, sliced=sliced).collect()
+    fired = blocks.cooldown(df, ["k"], seconds, slice_s=1).collect()
     assert {(r.k, r.epoch_s) for r in fired} == want and len(fired) == len(want)
     lowest = {}
     for i, kt in enumerate(rows):
@@ -55,6 +54,23 @@ def test_cooldown_over_many_slices(spark, seed, sliced):
     assert all(r.row_key == lowest[(r.k, r.epoch_s)] for r in fired)
 
 
+def test_cooldown_of_a_vehicle_week_with_wide_rows(spark):
+    """One report a second for a week, 40 text columns: only the times of a key are gathered."""
+    n = 7 * 86400
+    wide = {f"c{i}": F.concat(F.lit(f"column {i} of "), F.col("id").cast("string")) for i in range(40)}
+    df = spark.range(n).select(F.lit(1).alias("k"), (F.col("id") + S).alias("epoch_s"), F.col("id").alias("row_key"), *[c.alias(x) for x, c in wide.items()])
+    fired = blocks.cooldown(df, ["k"], 7200)
+    assert sorted(r.epoch_s for r in fired.select("epoch_s").collect()) == [S + i for i in range(0, n, 7201)]
+    plan = blocks.cooldown(df, ["k"], 7200)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "collect_" in line and "c39" in line]
+    assert fired.agg(F.max("c39")).first()[0].startswith("column 39 of ")
+
+
+def test_cooldown_of_null_keys(spark):
+    df = spark.createDataFrame([(None, S, 1), (None, S + 9, 2), (1, S, 3)], "k int, epoch_s bigint, row_key bigint")
+    assert {(r.k, r.row_key) for r in blocks.cooldown(df, ["k"], 5).collect()} == {(None, 1), (None, 2), (1, 3)}
+
+
 @pytest.mark.parametrize(
     "reports, qualifies",
     [
