@@ -203,22 +203,23 @@ def forest_pairs(classes: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links."""
+    """The pairs (a, b, ...) that are links."""
     left, right = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return both.where(linked("set_a", "set_b")).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(linked("set_a", "set_b")).select(*pairs.columns)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b), the root being the least node that it is connected with."""
-    edges = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u != v").distinct()
+    edges = checkpointed(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u != v").distinct())
+    n_tasks = 1 + edges.count() // TASK_ROWS  # for a table that gets no longer
     before = None
     while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        edges = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        edges = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(n_tasks)
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        edges = checkpointed(edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").union(least.select("u", F.col("m").alias("v"))).distinct())
+        moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        edges = checkpointed(moved.union(least.select("u", F.col("m").alias("v"))).distinct().coalesce(n_tasks))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v"), F.col("v")).distinct())
@@ -226,11 +227,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose nodes are not in one component, one way round."""
+    """The pairs whose nodes are not in one component, one way round, with their roots."""
     of = lambda name: found.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
     rows = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rows = rows.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return rows.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    rows = rows.withColumns({"root_a": F.coalesce("root_a", "a"), "root_b": F.coalesce("root_b", "b")})
+    return rows.where("root_a != root_b")
 
 
 def find_components(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
@@ -246,9 +248,13 @@ def find_components(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, Da
     # first one partner each: the most central of the close ones, else the closest
     rank = F.struct((F.col("agreeing") >= CLOSE).alias("close"), F.when(F.col("agreeing") >= CLOSE, F.col("weight")).otherwise(0).alias("weight"), "agreeing", "b")
     first = pairs.groupBy("a").agg(F.max(rank)["b"].alias("b"))
-    links = checkpointed(confirmed(first, sets))
-    more = checkpointed(confirmed(across(pairs, components(links)), sets))
-    return rows.select("key", "n", "node"), components(links.union(more))
+    found = checkpointed(components(confirmed(first, sets)))
+    # a link between two components joins their roots
+    between = confirmed(across(pairs, found), sets).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    above = components(between).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    lone = above.join(found, above["root"] == found["node"], "left_anti").select(F.col("root").alias("node"), "root")
+    whole = found.union(lone).join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return rows.select("key", "n", "node"), whole
 
 
 def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
