@@ -58,7 +58,7 @@ select event_id row_key, cast(user_id as int) vehicle_id, cast(user_id % 3 + 1 a
        case when user_id % 10 = 0 then '0' else '1' end audit_state,
        case when user_id % 7 = 0 then '0' else '1' end manage_state
 from events""",
-    "bus": "select * from positions where speed < 100e0",
+    "bus": "select * from positions",
     "fast": f"""
 select row_key, vehicle_id, dept_id, {SQUEEZE_FROM} + cast(floor((t-{SQUEEZE_FROM})/{SQUEEZE}e0) as bigint) t,
        lng, lat, speed, audit_state, manage_state from bus""",

@@ -57,7 +57,7 @@ select event_id, cast(13000000000 + user_id as string) devid, strftime(ts, '%Y-%
 from events"""
 ORACLES["json_sink_roundtrip"] = _with(
     "positions vehicle driver",
-    f"""select v.terminal_id devid, {_text('p.t')} as time, p.lng, p.lat, v.vehicle_id, v.dept_id, d.driver_name
+    f"""select v.terminal_id devid, {_text('p.t')} as time, p.lng, p.lat, v.vehicle_id, v.dept_id, d.driver_name, true nulls_written
 from positions p join vehicle v on v.vehicle_id = p.vehicle_id
 left join driver d on d.dept_id = v.dept_id and d.driver_id = v.driver_id""",
 )
@@ -507,3 +507,20 @@ from status_snapshot o left join status n on n.vehicle_id=o.vehicle_id and n.dep
 ORACLES["mark_offline"] = _with(
     "fast", "select dept_id, vehicle_id, time, vehicle_status from status", _status("fast", 600, 30), recursive=True
 )
+
+ORACLES["scan_positions_mixed"] = ORACLES["scan_positions"]
+ORACLES["rejected_records"] = _with(
+    "positions",
+    """select row_key, case when row_key % 10 = 3 then 'lng: not a double' else 'not a JSON object' end reason
+from positions where row_key % 10 in (3, 4)""",
+)
+ORACLES["alarm_fences"] = " union all ".join(f"(select * from ({ORACLES[n]}) q)" for n in ("alarm_work_time", "alarm_restricted_zone", "alarm_overspeed"))
+# Other plans of the same result.
+ORACLES |= {f"{name}_{way}": ORACLES[name] for way, names in {
+    "crowded": ("tag_region", "off_route_points"),
+    "sliced": (
+        "alarm_gps_gap", "alarm_restricted_zone", "alarm_off_route", "alarm_illegal_disposal", "site_visits", "stop_history",
+        "vehicle_status",
+    ),
+    "shuffled": ("join_enterprise", "points_in_fences"),
+}.items() for name in names}

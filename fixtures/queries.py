@@ -58,8 +58,14 @@ def _alarm_view(df: DataFrame, *extra: str) -> DataFrame:
     return _texts(df.select(*core, *extra), "alarm_start_time", "alarm_end_time")
 
 
-def _json_positions(spark, sf_dir) -> DataFrame:
+def _json_positions(spark, sf_dir, quoted=False) -> DataFrame:
+    """Position records; ``quoted`` writes the numbers of every other record as text."""
     p = positions(spark, sf_dir, "positions")
+    if quoted:
+        texts = {c: F.when(F.col("row_key") % 2 == 0, F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))).otherwise(F.col(c).cast("string")) for c in ("lng", "lat")}
+        numbers = F.concat_ws(",", *[F.concat(F.lit(f'"{c}":'), v) for c, v in texts.items()])
+        rest = F.to_json(F.struct(time_text("time").alias("time"), F.col("speed").cast("string").alias("speed"), F.concat(F.lit("T"), F.col("vehicle_id").cast("string")).alias("devid"), F.col("row_key").cast("string").alias("zxcqi")))
+        return p.select("row_key", F.concat(F.lit("{"), numbers, F.lit(","), F.substring(rest, 2, 1 << 20)).alias("value"))
     return p.select(
         F.to_json(
             F.struct(
@@ -81,6 +87,22 @@ def scan_positions(spark, sf_dir):
     return out.select(F.col("zxcqi").cast("long").alias("row_key"), "devid", time_text("time").alias("time"), "lng", "lat", "speed")
 
 
+@query
+def scan_positions_mixed(spark, sf_dir):
+    """The same records with the numbers of every other one in quotes."""
+    out = scans.scan_positions(_json_positions(spark, sf_dir, quoted=True))
+    return out.select(F.col("zxcqi").cast("long").alias("row_key"), "devid", time_text("time").alias("time"), "lng", "lat", "speed")
+
+
+@query
+def rejected_records(spark, sf_dir):
+    """Records with a word for a number, and records cut short."""
+    sent = _json_positions(spark, sf_dir, quoted=True)
+    broken = F.when(F.col("row_key") % 10 == 3, F.regexp_replace("value", '"lng":[^,]*', '"lng":"east"'))
+    broken = broken.when(F.col("row_key") % 10 == 4, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    return scans.rejected_json(sent.withColumn("value", broken), schemas.RAW_POSITION).select("row_key", "reason")
+
+
 @query
 def decode_frames(spark, sf_dir):
     out = scans.scan_frames(frames(spark, sf_dir))
@@ -95,8 +117,9 @@ def decode_frames(spark, sf_dir):
 def json_sink_roundtrip(spark, sf_dir):
     bus = lookups.join_driver(_with_vehicle(spark, sf_dir), table(spark, sf_dir, "driver"))
     sent = sinks.to_json_value(bus.select("devid", "time", "lng", "lat", "vehicle_id", "dept_id", "driver_name"))
-    back = scans.scan_bus(sent.filter(F.col("value").contains('"driver_name":')))
-    return _texts(back.select("devid", "time", "lng", "lat", "vehicle_id", "dept_id", "driver_name"), "time")
+    record = scans.parse_json(sent, schemas.DATA_BUS).filter("_reason is null")
+    back = scans.typed(record.select("_record.*", F.col("value").contains('"driver_name":').alias("nulls_written")))
+    return _texts(back.select("devid", "time", "lng", "lat", "vehicle_id", "dept_id", "driver_name", "nulls_written"), "time")
 
 
 # Filters and scalars
@@ -230,6 +253,13 @@ def tag_region(spark, sf_dir):
     return out.select("row_key", "region_id", "region_name")
 
 
+@query
+def tag_region_crowded(spark, sf_dir):
+    """All areas are candidates of one cell."""
+    out = spatial.tag_region(positions(spark, sf_dir), table(spark, sf_dir, "area").drop("cx", "cy"), cell_deg=5.0, max_broadcast=0)
+    return out.select("row_key", "region_id", "region_name")
+
+
 @query
 def data_bus(spark, sf_dir):
     names = ("service_fee", "driver", "enterprise", "transport_card")
@@ -294,6 +324,13 @@ def off_route_points(spark, sf_dir):
     return out.select("row_key", "vehicle_id")
 
 
+@query
+def off_route_points_crowded(spark, sf_dir):
+    """A whole route is one cell, and the vertices are shuffled."""
+    out = spatial.off_route_points(positions(spark, sf_dir), _permits(spark, sf_dir), radius_m=WIDE_M, cell_deg=1.0, max_broadcast=0)
+    return out.select("row_key", "vehicle_id")
+
+
 # Building blocks
 
 
@@ -352,6 +389,12 @@ _fence_query("alarm_overspeed", alarms.alarm_overspeed, "rule_over_speed")
 _fence_query("alarm_file_control", alarms.alarm_file_control, "rule_document_control")
 
 
+@query
+def alarm_fences(spark, sf_dir):
+    rules = [_rules(spark, sf_dir, n) for n in ("rule_work_time", "rule_restricted", "rule_over_speed")]
+    return _alarm_view(alarms.alarm_fences(positions(spark, sf_dir, "fast"), *rules, cooldown_s=COOLDOWN), "fence_id")
+
+
 @query
 def alarm_off_route_query(spark, sf_dir):
     out = alarm_off_route(
@@ -463,3 +506,77 @@ def mark_offline(spark, sf_dir):
     status = vehicles.vehicle_status(positions(spark, sf_dir, "fast"), as_of=early, offline_s=600, still_s=30)
     out = vehicles.mark_offline(status, _as_of(), offline_s=600)
     return _texts(out, "time").select("dept_id", "vehicle_id", "time", "vehicle_status")
+
+
+# The ways that only large inputs take: vehicles in slices, dimensions shuffled with a salt
+
+SLICE_ROWS = 40
+
+
+@query
+def alarm_gps_gap_sliced(spark, sf_dir):
+    return _alarm_view(alarms.alarm_gps_gap(positions(spark, sf_dir), max_m=2000.0, target_rows=SLICE_ROWS))
+
+
+@query
+def alarm_restricted_zone_sliced(spark, sf_dir):
+    out = alarms.alarm_restricted_zone(
+        positions(spark, sf_dir, "fast"), _rules(spark, sf_dir, "rule_restricted"), cooldown_s=COOLDOWN, target_rows=SLICE_ROWS,
+        max_broadcast=0,
+    )
+    return _alarm_view(out, "fence_id")
+
+
+@query
+def alarm_off_route_sliced(spark, sf_dir):
+    out = alarm_off_route(
+        positions(spark, sf_dir, "fast"), _permits(spark, sf_dir), radius_m=ROUTE_M, dwell_s=0, max_speed=1000.0,
+        off_minutes=0, cooldown_s=600, target_rows=SLICE_ROWS,
+    )
+    return _alarm_view(out, "permit_id")
+
+
+@query
+def alarm_illegal_disposal_sliced(spark, sf_dir):
+    out = alarms.alarm_illegal_disposal(
+        positions(spark, sf_dir, "fast"), table(spark, sf_dir, "register_card"), table(spark, sf_dir, "disposal_site"),
+        radius_m=WIDE_M, cooldown_s=COOLDOWN, target_rows=SLICE_ROWS, max_broadcast=0,
+    )
+    return _alarm_view(out, "disposal_site_id", "disposal_site_name", "disposal_lng", "disposal_lat")
+
+
+@query
+def site_visits_sliced(spark, sf_dir):
+    out = vehicles.site_visits(
+        positions(spark, sf_dir, "fast"), table(spark, sf_dir, "disposal_site"), radius_m=WIDE_M, dwell_s=DWELL_S,
+        target_rows=SLICE_ROWS,
+    )
+    return _texts(out, "enter_time", "exit_time")
+
+
+@query
+def stop_history_sliced(spark, sf_dir):
+    out = vehicles.stop_history(positions(spark, sf_dir, "fast"), min_s=DWELL_S, silence_s=600, target_rows=SLICE_ROWS)
+    return _texts(out, "stop_time", "start_time")
+
+
+@query
+def vehicle_status_sliced(spark, sf_dir):
+    out = vehicles.vehicle_status(
+        positions(spark, sf_dir, "fast"), as_of=_as_of(), offline_s=600, still_s=30, target_rows=SLICE_ROWS
+    )
+    return _texts(out, "time").select(
+        "dept_id", "vehicle_id", "time", "lng", "lat", "speed", "vehicle_status", "online_time", "online_status"
+    )
+
+
+@query
+def join_enterprise_shuffled(spark, sf_dir):
+    out = lookups.join_enterprise(_bus(spark, sf_dir), table(spark, sf_dir, "enterprise"), max_broadcast=0)
+    return out.select("row_key", "enterprise_id", "enterprise_name", "enterprise_lng", "enterprise_lat")
+
+
+@query
+def points_in_fences_shuffled(spark, sf_dir):
+    out = spatial.points_in_fences(positions(spark, sf_dir), _rules(spark, sf_dir, "rule_restricted"), max_broadcast=0)
+    return out.select("row_key", "condition_id")

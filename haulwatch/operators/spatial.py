@@ -24,9 +24,6 @@ MARGIN = 1.0001
 CELLS_PER_TARGET = 16
 # Bytes of a polygon cell, whose number is bounded from the polygons' boxes.
 ROW_BYTES, EDGE_BYTES = 256, 48
-# More candidates than this in one cell are joined row by row instead of as an array.
-AREAS_PER_CELL = 256
-VERTICES_PER_CELL = 4096
 
 
 def _cells(df: DataFrame, west: Column, east: Column, south: Column, north: Column, size: float) -> DataFrame:
@@ -44,7 +41,9 @@ def _site_cell_deg(radius_m: float) -> float:
     return max(2.0 * radius_m / geo.METRES_PER_DEGREE, 1e-4)
 
 
-def site_cells(sites: DataFrame, radius_m: float, on: Sequence[str], lng: str = "lng", lat: str = "lat") -> DataFrame:
+def site_cells(
+    sites: DataFrame, radius_m: float, on: Sequence[str], lng: str = "lng", lat: str = "lat", cell_deg: float | None = None
+) -> DataFrame:
     """Sites over the grid cells within ``radius_m``: columns ``on``, ``_cx``, ``_cy``, ``target``."""
     half = radius_m / geo.METRES_PER_DEGREE * MARGIN
     payload = [c for c in sites.columns if c not in on]
@@ -54,7 +53,7 @@ def site_cells(sites: DataFrame, radius_m: float, on: Sequence[str], lng: str =
     x, y = F.col(f"target.{lng}"), F.col(f"target.{lat}")
     shrink = F.greatest(F.cos(F.radians(F.least(F.abs(y) + half, F.lit(89.9)))), F.lit(1e-3))
     return _cells(placed, x - F.lit(half) / shrink, x + F.lit(half) / shrink, y - half, y + half,
-                  _site_cell_deg(radius_m))
+                  _site_cell_deg(radius_m) if cell_deg is None else cell_deg)
 
 
 def match_sites(
@@ -175,14 +174,12 @@ def tag_region(
     areas: DataFrame,
     cell_deg: float | None = None,
     max_broadcast: int | None = None,
-    areas_per_cell: int = AREAS_PER_CELL,
 ) -> DataFrame:
     """Add ``region_id`` / ``region_name``: the lowest-numbered valid area of the department containing the point.
 
     A cell carries its candidate areas in id order, so every position meets one row and the join keeps all
-    rows without a second shuffle. Copies of a polygon are reduced to the lowest id first. Where a cell has more
-    than ``areas_per_cell`` candidates, positions are joined to them one by one and the lowest id is taken per
-    ``row_key``.
+    rows without a second shuffle, in batches and streams alike and without a key of the rows. Copies of a polygon are
+    reduced to the lowest id first; a cell holds only areas whose box meets it, with their edges near it.
     """
     keys = ["dept_id", "_cx", "_cy"]
     valid = (
@@ -196,17 +193,11 @@ def tag_region(
     cells = polygon_cells(valid, ring, ["dept_id"], cell_deg)
     d = d.drop("region_id", "region_name")
     points = _with_cell(d, cell_deg)
-    if _crowded(cells, keys, areas_per_cell):
-        pairs = salted_join(points.select("row_key", "lng", "lat", *keys), cells, keys, "inner", limit)
-        inside = pairs.filter(_contains(F.col("box"), F.col("edges")))
-        hits = inside.groupBy("row_key").agg(F.min(F.struct("target.id", "target.city_name")).alias("_hit"))
-        joined = d.join(hits, "row_key", "left")
-    else:
-        candidates = cells.groupBy(*keys).agg(
-            F.sort_array(F.collect_list(F.struct("target.id", "target.city_name", "box", "edges"))).alias("_areas")
-        )
-        hit = F.filter("_areas", lambda a: _contains(a["box"], a["edges"]))
-        joined = salted_join(points, candidates, keys, "left", limit).withColumn("_hit", F.try_element_at(hit, F.lit(1)))
+    candidates = cells.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("target.id", "target.city_name", "box", "edges"))).alias("_areas")
+    )
+    hit = F.filter("_areas", lambda a: _contains(a["box"], a["edges"]))
+    joined = salted_join(points, candidates, keys, "left", limit).withColumn("_hit", F.try_element_at(hit, F.lit(1)))
     return joined.select(
         *d.columns,
         F.col("_hit.id").cast("string").alias("region_id"),
@@ -244,42 +235,33 @@ def route_points(permits: DataFrame, keys: Sequence[str]) -> DataFrame:
     return flat.select(*keys, F.col("_v.lng").alias("lng"), F.col("_v.lat").alias("lat")).distinct()
 
 
-def _crowded(cells: DataFrame, keys: Sequence[str], most: int) -> bool:
-    """Whether some cell holds more than ``most`` targets; a count over the dimension."""
-    return not cells.groupBy(*keys).count().filter(F.col("count") > most).isEmpty()
-
-
 def flag_off_route(
     d: DataFrame,
     permits: DataFrame,
     radius_m: float = 500.0,
     keys: Sequence[str] = ("dept_id", "vehicle_id", "permit_id"),
-    vertices_per_cell: int = VERTICES_PER_CELL,
+    cell_deg: float | None = None,
     **kw,
 ) -> DataFrame:
     """Add ``off_route``: no route vertex of the same ``keys`` lies within ``radius_m``.
 
-    A cell carries its vertices as an array, so positions stay single rows. With more than ``vertices_per_cell`` in
-    a cell, positions are joined to the vertices one by one and the hits are reduced per ``row_key``.
+    A cell carries the distinct vertices of one route as an array, so positions stay single rows.
     """
-    cells = site_cells(route_points(permits, keys), radius_m, keys)
+    cell_deg = _site_cell_deg(radius_m) if cell_deg is None else cell_deg
+    cells = site_cells(route_points(permits, keys), radius_m, keys, cell_deg=cell_deg)
     cell_keys = [*keys, "_cx", "_cy"]
-    points = _with_cell(d, _site_cell_deg(radius_m))
-    if _crowded(cells, cell_keys, vertices_per_cell):
-        pairs = salted_join(points.select("row_key", "lng", "lat", *cell_keys), cells, cell_keys, "inner", **kw)
-        away = geo.distance_m("lng", "lat", "target.lng", "target.lat")
-        near = pairs.filter(away <= radius_m).select("row_key").distinct().withColumn("_near", F.lit(True))
-        joined = d.join(near, "row_key", "left").withColumn("off_route", F.col("_near").isNull())
-    else:
-        vertices = cells.groupBy(*cell_keys).agg(F.collect_list("target").alias("_vertices"))
-        joined = salted_join(points, vertices, cell_keys, "left", growth=CELLS_PER_TARGET, **kw)
-        near = ~geo.off_route("lng", "lat", F.col("_vertices"), radius_m)
-        joined = joined.withColumn("off_route", ~F.coalesce(near, F.lit(False)))
+    points = _with_cell(d, cell_deg)
+    vertices = cells.groupBy(*cell_keys).agg(F.collect_list("target").alias("_vertices"))
+    joined = salted_join(points, vertices, cell_keys, "left", growth=CELLS_PER_TARGET, **kw)
+    near = ~geo.off_route("lng", "lat", F.col("_vertices"), radius_m)
+    joined = joined.withColumn("off_route", ~F.coalesce(near, F.lit(False)))
     return joined.select(*d.columns, "off_route")
 
 
-def off_route_points(d: DataFrame, permits: DataFrame, radius_m: float = 500.0, **kw) -> DataFrame:
+def off_route_points(
+    d: DataFrame, permits: DataFrame, radius_m: float = 500.0, cell_deg: float | None = None, **kw
+) -> DataFrame:
     """Positions of permit holders from which no vertex of any permitted route is within reach."""
     keys = ["dept_id", "vehicle_id"]
     holders = salted_join(d, permits.select(*keys).distinct(), keys, "left_semi", **kw)
-    return flag_off_route(holders, permits, radius_m, keys, **kw).filter("off_route").drop("off_route")
+    return flag_off_route(holders, permits, radius_m, keys, cell_deg, **kw).filter("off_route").drop("off_route")

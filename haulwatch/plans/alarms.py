@@ -136,19 +136,38 @@ def alarm_file_control(d: DataFrame, rules: DataFrame, cooldown_s: int = COOLDOW
     return _fence_alarm(d, rules, file_control_broken(), FILE_CONTROL, cooldown_s, from_start=False, **kw)
 
 
+FENCE_KINDS = {WORK_TIME: work_time_broken, RESTRICTED_ZONE: restricted_zone_broken, OVERSPEED: overspeed_broken}
+RULE_FIELDS = {"start_date": "string", "end_date": "string", "speed": "double"}
+
+
+def fence_rules(work_time: DataFrame, restricted: DataFrame, over_speed: DataFrame) -> DataFrame:
+    """The three kinds of rules as one table; ``kind`` is the violation code."""
+    kinds = []
+    for code, rules in ((WORK_TIME, work_time), (RESTRICTED_ZONE, restricted), (OVERSPEED, over_speed)):
+        rules = one_per_key(rules, ["dept_id", "condition_id"])
+        fields = [(F.col(c) if c in rules.columns else F.lit(None)).cast(t).alias(c) for c, t in RULE_FIELDS.items()]
+        kinds.append(rules.select("dept_id", "condition_id", "alarm_date", "coords", F.lit(code).alias("kind"), *fields))
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+
+
+def any_fence_broken() -> Column:
+    broken = F.lit(False)
+    for code, rule in FENCE_KINDS.items():
+        broken = F.when(F.col("rule.kind") == code, rule()).otherwise(broken)
+    return broken
+
+
 def alarm_fences(
     d: DataFrame, work_time: DataFrame, restricted: DataFrame, over_speed: DataFrame, cooldown_s: int = COOLDOWN_S,
     target_rows: int | None = TARGET_ROWS, **kw,
 ) -> DataFrame:
-    """Work-time, restricted-zone and overspeed alarms together, over one count of the vehicles."""
-    d = prepare(supervised(d), target_rows=target_rows)
-    parts = [
-        detector(d, rules, cooldown_s, target_rows=None, **kw)
-        for detector, rules in (
-            (alarm_work_time, work_time), (alarm_restricted_zone, restricted), (alarm_overspeed, over_speed),
-        )
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Work-time, restricted-zone and overspeed alarms in one pass: one fence join, one scan in time order."""
+    inside = points_in_fences(prepare(supervised(d), target_rows=target_rows), fence_rules(work_time, restricted, over_speed), **kw)
+    inside = inside.withColumn("kind", F.col("rule.kind"))
+    key = [*VEHICLE, "condition_id", "kind"]
+    fired = cooldown(sustained(inside, key, any_fence_broken(), F.col("rule.alarm_date")), key, cooldown_s)
+    out = as_alarm(fired, "", start=("active_t", "lng", "lat"), end=("epoch_s", None, None), fence_id=F.col("condition_id").cast("string"))
+    return out.withColumn("illegal_type_code", F.col("kind")).drop("kind")
 
 
 def illegal_site_visits(
@@ -159,19 +178,24 @@ def illegal_site_visits(
     ``match="not_permitted"`` takes sites outside the vehicle's permits; ``"any_other"`` takes every site that
     differs from at least one permitted site.
     """
-    near = match_sites(d, sites, radius_m, **kw).withColumn("disposal_site_id", F.col("target.disposal_site_id"))
-    near = near.drop("distance").withColumnRenamed("target", "site")
-    allowed = permits.select(*VEHICLE, "disposal_site_id")
+    allowed = permits.select(*VEHICLE, "disposal_site_id").distinct()
+    limit = {"max_broadcast": kw["max_broadcast"]} if "max_broadcast" in kw else {}
+
+    def near(points: DataFrame) -> DataFrame:
+        pairs = match_sites(points, sites, radius_m, **kw).withColumn("disposal_site_id", F.col("target.disposal_site_id"))
+        return pairs.drop("distance").withColumnRenamed("target", "site")
+
+    # Permit holders first: the others' positions meet no site.
     if match == "not_permitted":
-        holders = salted_join(near, allowed.select(*VEHICLE).distinct(), VEHICLE, "left_semi")
-        return salted_join(holders, allowed.distinct(), [*VEHICLE, "disposal_site_id"], "left_anti")
+        holders = salted_join(d, allowed.select(*VEHICLE).distinct(), VEHICLE, "left_semi", **limit)
+        return salted_join(near(holders), allowed, [*VEHICLE, "disposal_site_id"], "left_anti", **limit)
     if match != "any_other":
         raise ValueError(f"match: {match}")
     ends = allowed.groupBy(*VEHICLE).agg(
         F.min("disposal_site_id").alias("_low"), F.max("disposal_site_id").alias("_high")
     )
     site_id = F.col("disposal_site_id")
-    paired = salted_join(near, ends, VEHICLE, "inner")
+    paired = near(salted_join(d, ends, VEHICLE, "inner", **limit))
     return paired.filter((F.col("_low") != site_id) | (F.col("_high") != site_id)).drop("_low", "_high")
 
 

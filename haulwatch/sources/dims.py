@@ -6,6 +6,8 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
+from haulwatch.operators.sequence import ensure_checkpoint_dir
+
 # Dimension tables by short name.
 TABLES = {
     "vehicle": "dim_cwp_d_vehicle_info",
@@ -30,13 +32,17 @@ TABLES = {
 class Dims:
     """Loads dimensions as DataFrames.
 
-    A DataFrame is re-read by every micro-batch that joins it. With ``max_age`` seconds, ``load`` hands out the
-    same snapshot until it is that old, for use inside ``foreachBatch``.
+    With ``max_age`` seconds, ``load`` hands out the same snapshot until it is that old. A snapshot is a copy in the
+    checkpoint folder, so a running query does not depend on files that somebody rewrites. Without it, the table itself is
+    handed out: fit for one batch, or for a source that can be read again at any time (JDBC).
+    ``table_options`` adds reader options for single tables, such as a JDBC ``partitionColumn`` with its bounds.
     """
 
     def __init__(self, spark: SparkSession, fmt: str = "parquet", options: dict[str, str] | None = None,
-                 root: str | None = None, max_age: float | None = None, clock=time.monotonic):
+                 root: str | None = None, max_age: float | None = None, clock=time.monotonic,
+                 table_options: dict[str, dict[str, str]] | None = None):
         self.spark, self.fmt, self.options, self.root = spark, fmt, options or {}, root
+        self.table_options = table_options or {}
         self.max_age, self.clock = max_age, clock
         self._snapshots: dict[str, tuple[float, DataFrame]] = {}
 
@@ -46,15 +52,14 @@ class Dims:
         now = self.clock()
         held = self._snapshots.get(name)
         if held is None or now - held[0] >= self.max_age:
-            if held is not None:
-                held[1].unpersist()
-            held = (now, self._read(name).persist())
+            ensure_checkpoint_dir(self.spark)
+            held = (now, self._read(name).checkpoint())
             self._snapshots[name] = held
         return held[1]
 
     def _read(self, name: str) -> DataFrame:
         table = TABLES.get(name, name)
-        reader = self.spark.read.format(self.fmt).options(**self.options)
+        reader = self.spark.read.format(self.fmt).options(**self.options, **self.table_options.get(name, {}))
         if self.fmt == "jdbc":
             return reader.option("dbtable", table).load()
         if self.root is not None:

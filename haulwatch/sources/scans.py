@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,26 +22,77 @@ def read(spark: SparkSession, fmt: str, options: dict[str, str] | None = None, p
     return reader.load(path) if path else reader.load()
 
 
-def scan_json(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
-    """Parse JSON text to typed columns; unreadable records are dropped, missing fields are null."""
+def parse_json(
+    df: DataFrame, schema: T.StructType, value_col: str = "value", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The columns of ``df`` with ``_record``, the typed fields, and ``_reason``, null where the record is readable.
+
+    Fields are read as text and then converted, so quoted and decimal numbers are read as numbers (a whole-number field
+    takes the whole part). A record is unreadable if its text is no JSON object, or if a field holds text that is not
+    of its type; null and empty text are missing values. ``columns`` limits the fields that are parsed.
+    """
+    fields = [f for f in schema.fields if columns is None or f.name in columns]
+    texts = T.StructType([*(T.StructField(f.name, T.StringType()) for f in fields), T.StructField("_corrupt", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    wide = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     # Through a generator, so that filters on the fields do not parse the text a second time.
-    parsed = df.select(F.inline(F.array(F.from_json(F.col(value_col).cast("string"), wide, options))))
-    return parsed.filter(F.col("_corrupt").isNull()).drop("_corrupt")
+    parsed = df.select("*", F.inline(F.array(F.struct(F.from_json(F.col(value_col).cast("string"), texts, options).alias("_text")))))
+    given = {f.name: F.nullif(F.trim(F.col("_text")[f.name]), F.lit("")) for f in fields}
+    record = F.struct(*[_converted(F.col("_text")[f.name] if isinstance(f.dataType, T.StringType) else given[f.name], f.dataType).alias(f.name) for f in fields])
+    parsed = parsed.withColumn("_record", record)
+    wrong = [
+        F.when(given[f.name].isNotNull() & F.col("_record")[f.name].isNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}"))
+        for f in fields if not isinstance(f.dataType, T.StringType)
+    ]
+    broken = F.when(F.col("_text").isNull() | F.col("_text._corrupt").isNotNull(), F.lit("not a JSON object"))
+    return parsed.withColumn("_reason", F.coalesce(broken, *wrong)).drop("_text")
+
+
+def _converted(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,9)").try_cast(kind))
+    return text.try_cast(kind)
+
+
+def scan_json(
+    df: DataFrame, schema: T.StructType, value_col: str = "value", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Readable records as typed columns; missing fields are null. ``rejected_json`` has the others."""
+    return parse_json(df, schema, value_col, columns).filter(F.col("_reason").isNull()).select("_record.*")
+
+
+def rejected_json(
+    df: DataFrame, schema: T.StructType, value_col: str = "value", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Unreadable records: the columns of ``df`` and ``reason``."""
+    unread = parse_json(df, schema, value_col, columns).filter(F.col("_reason").isNotNull())
+    return unread.select(*df.columns, F.col("_reason").alias("reason"))
 
 
 def typed(df: DataFrame) -> DataFrame:
     """Position text fields as types: ``time`` a timestamp, ``speed`` a number; bad text becomes null."""
-    return df.withColumns({"time": parse_time("time"), "speed": F.col("speed").try_cast("double")})
+    kinds = {"time": parse_time("time"), "speed": F.col("speed").try_cast("double")}
+    return df.withColumns({name: value for name, value in kinds.items() if name in df.columns})
+
+
+def scan_positions(df: DataFrame, value_col: str = "value", schema: T.StructType = schemas.RAW_POSITION, columns: Sequence[str] | None = None) -> DataFrame:
+    """Position records; ``columns`` limits the fields that are parsed (``time`` and ``speed`` are needed)."""
+    return typed(scan_json(df, schema, value_col, columns))
+
 
+def scan_bus(df: DataFrame, value_col: str = "value", columns: Sequence[str] | None = None) -> DataFrame:
+    return typed(scan_json(df, schemas.DATA_BUS, value_col, columns))
 
-def scan_positions(df: DataFrame, value_col: str = "value", schema: T.StructType = schemas.RAW_POSITION) -> DataFrame:
-    return typed(scan_json(df, schema, value_col))
 
+def with_row_key(df: DataFrame, *parts: str) -> DataFrame:
+    """Add the unique numeric ``row_key`` that detectors need, from columns that tell records apart.
 
-def scan_bus(df: DataFrame, value_col: str = "value") -> DataFrame:
-    return typed(scan_json(df, schemas.DATA_BUS, value_col))
+    A broker's partition and offset are whole numbers: the partition takes the upper 16 bits. Other columns are hashed.
+    """
+    if len(parts) == 2 and all(isinstance(df.schema[c].dataType, T.IntegralType) for c in parts):
+        return df.withColumn("row_key", F.shiftleft(F.col(parts[0]).cast("long"), 47).bitwiseOR(F.col(parts[1]).cast("long")))
+    return df.withColumn("row_key", F.xxhash64(*parts))
 
 
 def scan_frames(df: DataFrame, hex_col: str = "frame") -> DataFrame:
@@ -48,9 +101,9 @@ def scan_frames(df: DataFrame, hex_col: str = "frame") -> DataFrame:
     return typed(decode_frames(df, hex_col)).withColumn("createdatetime", read_at)
 
 
-def scan_alarms(df: DataFrame, value_col: str = "value") -> DataFrame:
-    alarms = typed(scan_json(df, schemas.ALARM, value_col))
-    return alarms.withColumns({c: parse_time(c) for c in ("alarm_start_time", "alarm_end_time")})
+def scan_alarms(df: DataFrame, value_col: str = "value", columns: Sequence[str] | None = None) -> DataFrame:
+    alarms = typed(scan_json(df, schemas.ALARM, value_col, columns))
+    return alarms.withColumns({c: parse_time(c) for c in ("alarm_start_time", "alarm_end_time") if c in alarms.columns})
 
 
 def scan_trips(df: DataFrame, value_col: str = "value") -> DataFrame:

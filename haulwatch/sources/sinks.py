@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from haulwatch.schemas import TIME_FORMAT
 
@@ -26,21 +25,16 @@ def append_partitioned(path: str, batch_col: str = "batch_id") -> Callable[[Data
     """``foreachBatch`` writer of a table partitioned by month, day and hour.
 
     Each batch owns one folder below ``path`` (itself a partition, ``batch_col``), so a batch that is run again
-    replaces its rows instead of adding them twice. Rows of one hour are spread over several files.
+    replaces its rows instead of adding them twice. Spark sizes the files: small hours share tasks, a large one is split.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spread = F.pmod(F.xxhash64(*_hashable(batch)), F.lit(8))
-        rows = batch.repartition(*PARTITIONS, spread)
+        rows = batch.hint("rebalance", *PARTITIONS)
         rows.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{path}/{batch_col}={batch_id}")
 
     return write
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-
-
 def write_json(path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer of JSON records, one folder per batch so that a repeat replaces it."""
 

@@ -2,7 +2,8 @@
 
 Input is a streaming DataFrame of enriched positions with ``row_key``. State lives in the state store; each result
 equals that of the batch plan as long as a vehicle's reports arrive in time order. A report older than the last
-one of its key is ignored. Every result carries the triggering report as JSON in ``report``.
+one of its key is ignored. Every result carries the triggering report as JSON in ``report``. ``**state`` goes to
+``keyed``: with ``expire_s``, silent keys lose their state.
 """
 
 from __future__ import annotations
@@ -39,14 +40,15 @@ class KeyedStep(StatefulProcessor):
 
     def __init__(
         self, step: Callable, columns: Sequence[str], keys: Sequence[str], last_only: bool = False,
-        order: Sequence[str] = ("t", "row_key"),
+        order: Sequence[str] = ("t", "row_key"), expire_s: int | None = None,
     ):
         self.step, self.columns, self.keys, self.last_only = step, list(columns), list(keys), last_only
-        self.order = list(order)
+        self.order, self.expire_s = list(order), expire_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", STATE)
+        ttl = {} if self.expire_s is None else {"ttlDurationMs": self.expire_s * 1000}
+        self.held = handle.getValueState("held", STATE, **ttl)
 
     def _load(self) -> tuple[tuple[int, int] | None, dict]:
         if not self.held.exists():
@@ -103,7 +105,8 @@ class StatusStep(KeyedStep):
         state["offline"] = True
         self.held.update((*last, json.dumps(state)))
         yield from self._frame(key, [{
-            "t": last[0], "row_key": last[1], "vehicle_status": 1, "online_time": state["online"], "online_status": 1,
+            "t": last[0], "row_key": last[1], "vehicle_status": 1, "online_time": state["online"],
+            "online_status": state.get("moving", 1),
         }])
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
@@ -131,11 +134,17 @@ def _schema(d: DataFrame, keys: Sequence[str], fields: dict[str, str]) -> T.Stru
     return T.StructType(key_fields + [T.StructField(n, types[t]) for n, t in fields.items()])
 
 
-def keyed(d: DataFrame, keys: Sequence[str], step: Callable, fields: dict[str, str], **kw) -> DataFrame:
-    """Run a transition per key; ``d`` already holds only the columns the transition needs."""
+def keyed(
+    d: DataFrame, keys: Sequence[str], step: Callable, fields: dict[str, str], expire_s: int | None = None, **kw
+) -> DataFrame:
+    """Run a transition per key; ``d`` already holds only the columns the transition needs.
+
+    With ``expire_s``, the state of a key that has been silent for so many seconds (of the clock) is removed.
+    """
     schema = _schema(d, keys, fields)
     return d.groupBy(*keys).transformWithStateInPandas(
-        KeyedStep(step, schema.names, keys, **kw), schema, outputMode="Update", timeMode="None"
+        KeyedStep(step, schema.names, keys, expire_s=expire_s, **kw), schema, outputMode="Update",
+        timeMode="None" if expire_s is None else "ProcessingTime",
     )
 
 
@@ -147,47 +156,64 @@ def _as_alarm(df: DataFrame, code: str) -> DataFrame:
 CORE = ["t", "row_key", "lng", "lat", "report"]
 
 
-def stream_no_register(d: DataFrame, card: DataFrame) -> DataFrame:
+def stream_no_register(d: DataFrame, card: DataFrame, **state) -> DataFrame:
     without = lookup(_report(supervised(d)), card.filter("state = 0").select(*VEHICLE), VEHICLE, "left_anti")
-    out = keyed(without.select(*VEHICLE, *CORE), VEHICLE, transitions.first_of_day, ALARM_FIELDS)
+    out = keyed(without.select(*VEHICLE, *CORE), VEHICLE, transitions.first_of_day, ALARM_FIELDS, **state)
     return _as_alarm(out, alarms.NO_REGISTER)
 
 
-def stream_gps_gap(d: DataFrame, max_m: float = 2000.0) -> DataFrame:
+def stream_gps_gap(d: DataFrame, max_m: float = 2000.0, **state) -> DataFrame:
     d = _report(supervised(d)).select(*VEHICLE, *CORE)
-    return _as_alarm(keyed(d, VEHICLE, partial(transitions.gps_gap, max_m=max_m), ALARM_FIELDS), alarms.GPS_GAP)
+    return _as_alarm(keyed(d, VEHICLE, partial(transitions.gps_gap, max_m=max_m), ALARM_FIELDS, **state), alarms.GPS_GAP)
 
 
-def _stream_fence(d: DataFrame, rules: DataFrame, violating: Column, code: str, cooldown_s: int) -> DataFrame:
+def _stream_fence(d: DataFrame, rules: DataFrame, violating: Column, code: str, cooldown_s: int, **state) -> DataFrame:
     inside = points_in_fences(_report(supervised(d)), one_per_key(rules, ["dept_id", "condition_id"]))
     key = [*VEHICLE, "condition_id"]
     flagged = inside.select(
         *key, *CORE, F.coalesce(violating, F.lit(False)).alias("violating"), F.col("rule.alarm_date").alias("minutes")
     )
     step = partial(transitions.sustained, cooldown_s=cooldown_s, from_start=code != alarms.FILE_CONTROL)
-    out = _as_alarm(keyed(flagged, key, step, ALARM_FIELDS), code)
+    out = _as_alarm(keyed(flagged, key, step, ALARM_FIELDS, **state), code)
     return out.withColumn("fence_id", F.col("condition_id").cast("string"))
 
 
-def stream_work_time(d: DataFrame, rules: DataFrame, cooldown_s: int = alarms.COOLDOWN_S) -> DataFrame:
-    return _stream_fence(d, rules, alarms.work_time_broken(), alarms.WORK_TIME, cooldown_s)
+def stream_work_time(d: DataFrame, rules: DataFrame, cooldown_s: int = alarms.COOLDOWN_S, **state) -> DataFrame:
+    return _stream_fence(d, rules, alarms.work_time_broken(), alarms.WORK_TIME, cooldown_s, **state)
+
 
+def stream_restricted_zone(d: DataFrame, rules: DataFrame, cooldown_s: int = alarms.COOLDOWN_S, **state) -> DataFrame:
+    return _stream_fence(d, rules, alarms.restricted_zone_broken(), alarms.RESTRICTED_ZONE, cooldown_s, **state)
 
-def stream_restricted_zone(d: DataFrame, rules: DataFrame, cooldown_s: int = alarms.COOLDOWN_S) -> DataFrame:
-    return _stream_fence(d, rules, alarms.restricted_zone_broken(), alarms.RESTRICTED_ZONE, cooldown_s)
 
+def stream_overspeed(d: DataFrame, rules: DataFrame, cooldown_s: int = alarms.COOLDOWN_S, **state) -> DataFrame:
+    return _stream_fence(d, rules, alarms.overspeed_broken(), alarms.OVERSPEED, cooldown_s, **state)
 
-def stream_overspeed(d: DataFrame, rules: DataFrame, cooldown_s: int = alarms.COOLDOWN_S) -> DataFrame:
-    return _stream_fence(d, rules, alarms.overspeed_broken(), alarms.OVERSPEED, cooldown_s)
 
+def stream_file_control(d: DataFrame, rules: DataFrame, cooldown_s: int = alarms.COOLDOWN_S, **state) -> DataFrame:
+    return _stream_fence(d, rules, alarms.file_control_broken(), alarms.FILE_CONTROL, cooldown_s, **state)
 
-def stream_file_control(d: DataFrame, rules: DataFrame, cooldown_s: int = alarms.COOLDOWN_S) -> DataFrame:
-    return _stream_fence(d, rules, alarms.file_control_broken(), alarms.FILE_CONTROL, cooldown_s)
+
+def stream_fences(
+    d: DataFrame, work_time: DataFrame, restricted: DataFrame, over_speed: DataFrame, cooldown_s: int = alarms.COOLDOWN_S,
+    **state,
+) -> DataFrame:
+    """Work-time, restricted-zone and overspeed alarms in one query with one state store."""
+    inside = points_in_fences(_report(supervised(d)), alarms.fence_rules(work_time, restricted, over_speed))
+    inside = inside.withColumn("kind", F.col("rule.kind"))
+    key = [*VEHICLE, "condition_id", "kind"]
+    flagged = inside.select(
+        *key, *CORE, F.coalesce(alarms.any_fence_broken(), F.lit(False)).alias("violating"),
+        F.col("rule.alarm_date").alias("minutes"),
+    )
+    out = _as_alarm(keyed(flagged, key, partial(transitions.sustained, cooldown_s=cooldown_s), ALARM_FIELDS, **state), "")
+    out = out.withColumns({"fence_id": F.col("condition_id").cast("string"), "illegal_type_code": F.col("kind")})
+    return out.drop("kind")
 
 
 def stream_illegal_disposal(
     d: DataFrame, card: DataFrame, sites: DataFrame, radius_m: float = 500.0, cooldown_s: int = alarms.COOLDOWN_S,
-    match: str = "not_permitted", dept_id: int | None = None,
+    match: str = "not_permitted", dept_id: int | None = None, **state,
 ) -> DataFrame:
     sites = valid_sites(sites, dept_id)
     permits = permitted_sites(card, sites).dropna(subset=["lng", "lat"])
@@ -195,17 +221,17 @@ def stream_illegal_disposal(
     candidates = near.select(*VEHICLE, *CORE, "disposal_site_id")
     fields = {**ALARM_FIELDS, "disposal_site_id": "bigint"}
     step = partial(transitions.spaced, cooldown_s=cooldown_s)
-    out = keyed(candidates, VEHICLE, step, fields, order=("t", "disposal_site_id", "row_key"))
+    out = keyed(candidates, VEHICLE, step, fields, order=("t", "disposal_site_id", "row_key"), **state)
     return _as_alarm(out, alarms.ILLEGAL_DISPOSAL)
 
 
 def stream_site_visits(
-    d: DataFrame, sites: DataFrame, radius_m: float = 500.0, dwell_s: int = 180
+    d: DataFrame, sites: DataFrame, radius_m: float = 500.0, dwell_s: int = 180, **state
 ) -> DataFrame:
     points = near_ids(_report(supervised(d)), sites, radius_m, ["dept_id"], "disposal_site_id", "near")
     step = partial(transitions.site_visits, dwell_s=dwell_s)
     fields = {"site": "string", "enter_t": "bigint", "exit_t": "bigint"}
-    out = keyed(points.select(*VEHICLE, "t", "row_key", "near"), VEHICLE, step, fields)
+    out = keyed(points.select(*VEHICLE, "t", "row_key", "near"), VEHICLE, step, fields, **state)
     return out.select(
         *VEHICLE,
         F.col("site").cast(sites.schema["disposal_site_id"].dataType).alias("disposal_site_id"),
@@ -216,7 +242,7 @@ def stream_site_visits(
 
 def stream_off_route(
     d: DataFrame, permits: DataFrame, radius_m: float = 500.0, dwell_s: int = 180, max_speed: float = 15.0,
-    off_minutes: int = 3, cooldown_s: int = alarms.COOLDOWN_S,
+    off_minutes: int = 3, cooldown_s: int = alarms.COOLDOWN_S, **state,
 ) -> DataFrame:
     permits = with_permit_id(permits)
     points = _report(supervised(d.drop("permit_id")))
@@ -229,15 +255,15 @@ def stream_off_route(
     step = partial(transitions.off_route, dwell_s=dwell_s, off_minutes=off_minutes, cooldown_s=cooldown_s)
     fields = {**ALARM_FIELDS, "permit_id": "bigint"}
     narrow = points.select(*VEHICLE, *CORE, "build", "disposal", "on_route")
-    return _as_alarm(keyed(narrow, VEHICLE, step, fields), alarms.OFF_ROUTE)
+    return _as_alarm(keyed(narrow, VEHICLE, step, fields, **state), alarms.OFF_ROUTE)
 
 
-def stream_stop_history(d: DataFrame, min_s: int = 180, silence_s: int = 180) -> DataFrame:
+def stream_stop_history(d: DataFrame, min_s: int = 180, silence_s: int = 180, **state) -> DataFrame:
     points = _report(d).select(*VEHICLE, *CORE, "speed")
     step = partial(transitions.stop_history, min_s=min_s, silence_s=silence_s)
     fields = {"stop_t": "bigint", "stop_lng": "double", "stop_lat": "double", "start_t": "bigint", "lng": "double",
               "lat": "double", "report": "string"}
-    out = keyed(points, VEHICLE, step, fields)
+    out = keyed(points, VEHICLE, step, fields, **state)
     return out.select(
         *VEHICLE, F.timestamp_seconds("stop_t").alias("stop_time"), "stop_lng", "stop_lat",
         F.timestamp_seconds("start_t").alias("start_time"), F.col("lng").alias("start_lng"),

@@ -36,9 +36,13 @@ def first_of_day(state: Record, r: Record) -> Result:
 
 
 def gps_gap(state: Record, r: Record, max_m: float = 2000.0) -> Result:
-    """A jump from the previous report, once per day of arrival; the previous report is emitted."""
+    """A jump from the previous report, once per day of arrival; the previous report is emitted.
+
+    A report without a position is no jump, and none can be seen after it.
+    """
     last, day, out = state.get("last"), state.get("day"), []
-    if last is not None and metres(last["lng"], last["lat"], r["lng"], r["lat"]) > max_m:
+    known = last is not None and None not in (last["lng"], last["lat"], r["lng"], r["lat"])
+    if known and metres(last["lng"], last["lat"], r["lng"], r["lat"]) > max_m:
         if day != r["t"] // DAY:
             day = r["t"] // DAY
             out = [{**last, **_point(last, "start"), **_point(r, "end")}]
@@ -46,13 +50,16 @@ def gps_gap(state: Record, r: Record, max_m: float = 2000.0) -> Result:
 
 
 def sustained(state: Record, r: Record, cooldown_s: int = 7200, from_start: bool = True) -> Result:
-    """A rule broken for more than ``r["minutes"]`` without a clean report in between, with a cooldown."""
+    """A rule broken for more than ``r["minutes"]`` without a clean report in between, with a cooldown.
+
+    A rule without minutes never fires.
+    """
     if not r["violating"]:
         return {"active": None, "fired": state.get("fired")}, []
     active, fired = state.get("active"), state.get("fired")
     if active is None:
         return {"active": r["t"], "fired": fired}, []
-    due = r["t"] - active > r["minutes"] * 60 and (fired is None or r["t"] - fired > cooldown_s)
+    due = r["minutes"] is not None and r["t"] - active > r["minutes"] * 60 and (fired is None or r["t"] - fired > cooldown_s)
     if not due:
         return {"active": active, "fired": fired}, []
     out = {**r, **_point(r, "start")}
@@ -101,18 +108,18 @@ def vehicle_status(state: Record, r: Record, offline_s: int = 180, still_s: int
     if r["speed"] == 0:
         zero = state.get("zero") if online and state.get("zero") is not None else r["t"]
     moving = not (zero is not None and r["t"] - zero >= still_s)
-    new = {"t": r["t"], "online": total, "zero": zero, "offline": False}
+    new = {"t": r["t"], "online": total, "zero": zero, "offline": False, "moving": int(moving)}
     return new, [{**r, "vehicle_status": 0, "online_time": total, "online_status": int(moving)}]
 
 
 def stop_history(state: Record, r: Record, min_s: int = 180, silence_s: int = 180) -> Result:
-    """Stops that end with a move."""
+    """Stops that end with a move; a report without a speed ends one silently."""
     stop = state.get("stop")
     if r["speed"] == 0:
         if stop is None or r["t"] - stop["seen"] > silence_s:
             stop = {"t": r["t"], "lng": r["lng"], "lat": r["lat"]}
         return {"stop": {**stop, "seen": r["t"]}}, []
-    if not r["speed"] > 0 or stop is None:
+    if r["speed"] is None or not r["speed"] > 0 or stop is None:
         return {"stop": None}, []
     out = []
     if r["t"] - stop["seen"] < silence_s and r["t"] - stop["t"] > min_s:

@@ -132,11 +132,21 @@ def test_region_takes_lowest_id_and_keeps_rows(spark):
         "id int, city_name string, dept_id int, coords string, state int",
     )
     d = track(spark, [at(0, HOME), at(1, AWAY)])
-    for options in ({}, {"max_broadcast": 0}, {"areas_per_cell": 0}, {"areas_per_cell": 0, "max_broadcast": 0}):
+    for options in ({}, {"max_broadcast": 0}, {"cell_deg": 5.0}, {"cell_deg": 5.0, "max_broadcast": 0}):
         out = spatial.tag_region(d, areas, **options).orderBy("row_key").collect()
         assert [(r.region_id, r.region_name) for r in out] == [("3", "three"), (None, None)]
 
 
+def test_region_of_rows_with_one_key(spark):
+    """No plan depends on a key of the rows."""
+    ring = "112.9,34.6;113.1,34.6;113.1,34.8;112.9,34.8"
+    areas = spark.createDataFrame([(i, f"a{i}", 1, ring.replace("112.9", f"112.{900 - i:03}"), 1) for i in range(1, 300)], "id int, city_name string, dept_id int, coords string, state int")
+    d = track(spark, [at(0, HOME), at(1, AWAY)])
+    for rows in (d.withColumn("row_key", F.lit(1)), d.drop("row_key")):
+        out = spatial.tag_region(rows, areas).orderBy("time").collect()
+        assert [r.region_id for r in out] == ["1", None]
+
+
 def test_missing_coordinates_are_outside(spark):
     import pandas as pd
     from conftest import COLUMNS

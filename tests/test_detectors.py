@@ -172,7 +172,7 @@ def test_fences_together(spark, target):
     assert keys(got) == keys(want) and len({r.illegal_type_code for r in got}) == 3
 
 
-@pytest.mark.parametrize("options", [{}, {"vertices_per_cell": 0}, {"vertices_per_cell": 0, "max_broadcast": 0}])
+@pytest.mark.parametrize("options", [{}, {"cell_deg": 0.5}, {"cell_deg": 0.5, "max_broadcast": 0}])
 def test_off_route_flag(spark, options):
     from haulwatch.operators.spatial import flag_off_route
 

@@ -23,6 +23,23 @@ def test_scan_is_typed_and_drops_unreadable_records(spark):
     assert out[1].time is None and out[1].speed is None
 
 
+def test_numbers_in_any_form_and_rejected_records(spark):
+    texts = ['{"vehicle_id":"7","lng":"113.1","lat":34}', '{"vehicle_id":7.0,"lng":1.5e2,"driver_id":null}', '{"vehicle_id":" 8 ","lng":""}',
+             '{"vehicle_id":"x","lng":1}', '{"lng":[1]}', '[1,2]', "", None, '{"vehicle_id":99999999999}', '{"vehicle_id":7.9,"name":{"a":1}}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "offset int, value string")
+    out = scans.scan_json(df, schemas.DATA_BUS, columns=["vehicle_id", "lng", "lat", "driver_id"]).collect()
+    assert [(r.vehicle_id, r.lng, r.lat) for r in out] == [(7, 113.1, 34.0), (7, 150.0, None), (8, None, None), (7, None, None)]
+    bad = {r.offset: r.reason for r in scans.rejected_json(df, schemas.DATA_BUS).collect()}
+    assert bad[3] == bad[8] == "vehicle_id: not a int" and bad[4] == "lng: not a double" and {bad[k] for k in (5, 6, 7)} == {"not a JSON object"}
+    assert len(out) + len(bad) == len(texts)
+
+
+def test_row_key_of_partition_and_offset(spark):
+    df = spark.createDataFrame([(0, 5), (1, 5), (1, 6)], "partition int, offset bigint")
+    assert [r.row_key for r in scans.with_row_key(df, "partition", "offset").collect()] == [5, (1 << 47) + 5, (1 << 47) + 6]
+    assert scans.with_row_key(df.withColumn("devid", F.lit("a")), "devid", "offset").select("row_key").distinct().count() == 2
+
+
 def test_json_keeps_null_fields(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     row = to_json_value(df, key_col="a").first()

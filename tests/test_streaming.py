@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pandas as pd
 import pytest
 import worlds
@@ -11,7 +13,7 @@ from test_detectors import secs
 
 from haulwatch.plans import alarms, vehicles
 from haulwatch.plans.off_route import alarm_off_route
-from haulwatch.sources.dims import Dims
+from haulwatch.sources.dims import TABLES, Dims
 from haulwatch.sources.sinks import append_partitioned, stream_batches
 from haulwatch.streaming import detectors
 
@@ -48,6 +50,10 @@ def alarm_rows(df):
     )
 
 
+def _three_rules(s):
+    return worlds.rules(s, start_date="08:00", end_date="17:30"), worlds.rules(s), worlds.rules(s, speed=1)
+
+
 CASES = {
     "no_register": (
         lambda s, d: alarms.alarm_no_register(d, worlds.cards(s).filter("vehicle_id <> 2")),
@@ -69,6 +75,10 @@ CASES = {
         lambda s, d: alarms.alarm_work_time(d, worlds.rules(s, start_date="08:00", end_date="17:30"), cooldown_s=300),
         lambda s, d: detectors.stream_work_time(d, worlds.rules(s, start_date="08:00", end_date="17:30"), cooldown_s=300),
     ),
+    "fences": (
+        lambda s, d: alarms.alarm_fences(d, *_three_rules(s), cooldown_s=300),
+        lambda s, d: detectors.stream_fences(d, *_three_rules(s), cooldown_s=300),
+    ),
     "file_control": (
         lambda s, d: alarms.alarm_file_control(d, worlds.rules(s, start_date="2024-01-01 00:00:00", end_date="2024-01-04 00:00:00"), cooldown_s=300),
         lambda s, d: detectors.stream_file_control(d, worlds.rules(s, start_date="2024-01-01 00:00:00", end_date="2024-01-04 00:00:00"), cooldown_s=300),
@@ -187,3 +197,84 @@ def test_stream_reads_dimension_changes(spark, tmp_path):
         out = join_driver(d, spark.read.parquet(dim)).select("row_key", "driver_name")
         result = run(spark, out, tmp_path)
     assert sorted(map(tuple, result.select("row_key", "driver_name").collect())) == [(1, "first"), (2, "second")]
+
+
+def holes(pdf):
+    """Reports without a position or a speed."""
+    pdf = pdf.copy()
+    pdf.loc[pdf.row_key % 9 == 4, ["lng", "lat"]] = float("nan")
+    pdf.loc[pdf.row_key % 11 == 5, "speed"] = float("nan")
+    return pdf
+
+
+def with_nulls(df):
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("lng", "lat", "speed")})
+
+
+def test_null_fields_pass_through_streams(spark, tmp_path):
+    pdf = holes(random_positions(7, reports=150))
+    folder = write_parts(spark, pdf, tmp_path / "in")
+    batch = with_nulls(frame(spark, pdf))
+    for name in ("gps_gap", "restricted_zone"):
+        want, stream = CASES[name]
+        got = alarm_rows(run(spark, stream(spark, with_nulls(source(spark, folder))), tmp_path, name))
+        assert got == alarm_rows(want(spark, batch)) and got
+    rules = worlds.rules(spark).withColumn("alarm_date", F.lit(None).cast("int"))
+    assert run(spark, detectors.stream_restricted_zone(with_nulls(source(spark, folder)), rules), tmp_path, "no_minutes").count() == 0
+    stops = run(spark, detectors.stream_stop_history(with_nulls(source(spark, folder))), tmp_path, "stops")
+    key = lambda df: sorted((r.vehicle_id, r.stop_time, r.start_time) for r in df.collect())
+    assert key(stops) == key(vehicles.stop_history(batch))
+
+
+def test_state_of_silent_keys_expires(spark, tmp_path):
+    """A query with expiring state runs on; the alarms are those of the batch as long as nothing has expired."""
+    pdf = random_positions(7, reports=150)
+    folder = write_parts(spark, pdf, tmp_path / "in")
+    out = str(tmp_path / "out")
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    stream = detectors.stream_gps_gap(source(spark, folder), max_m=900.0, expire_s=86400)
+    query = stream_batches(stream, write, str(tmp_path / "checkpoint"), interval="1 second", mode="update")
+    try:  # such a query is never idle, since time passes
+        for _ in range(120):
+            if sum(p["numInputRows"] for p in query.recentProgress) >= len(pdf):
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    got = alarm_rows(spark.read.parquet(out))
+    assert got == alarm_rows(alarms.alarm_gps_gap(frame(spark, pdf), max_m=900.0)) and got
+
+
+def test_running_query_sees_a_rewritten_dimension(spark, tmp_path):
+    """The table's files are replaced while the query runs."""
+    from haulwatch.streaming.refresh import run_refreshing
+
+    pdf = random_positions(3, reports=60)
+    folder, dims_at = tmp_path / "in", str(tmp_path / TABLES["driver"])
+    dept = pdf.groupby("vehicle_id").dept_id.first().to_dict()
+    card = lambda ids: spark.createDataFrame([(int(dept[i]), i, 0) for i in ids], "dept_id int, vehicle_id int, state int").coalesce(1).write.mode("overwrite").parquet(dims_at)
+    card([1, 2, 3])
+    frame(spark, pdf).coalesce(1).write.parquet(str(folder))
+    out, starts = str(tmp_path / "out"), []
+
+    def start():
+        if starts:  # new reports of a later day, and another table
+            card([1])
+            frame(spark, pdf.assign(t=pdf.t + 10 * 86400, row_key=pdf.row_key + 1000)).coalesce(1).write.mode("append").parquet(str(folder))
+        starts.append(1)
+        dims = Dims(spark, root=str(tmp_path), max_age=3600)
+        alarm = detectors.stream_no_register(source(spark, str(folder)), dims.load("driver").withColumn("state", F.lit(0)))
+        # the files go away under the query that has just been built
+        card([1, 2, 3] if len(starts) == 1 else [1])
+
+        def write(batch, batch_id):
+            batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+        return stream_batches(alarm, write, str(tmp_path / "checkpoint"), interval=None, mode="update")
+
+    run_refreshing(start, 60, until=lambda: len(starts) == 2)
+    rows = spark.read.parquet(out).collect()
+    assert {r.vehicle_id for r in rows if r.row_key < 1000} == {4} and {r.vehicle_id for r in rows if r.row_key >= 1000} == {2, 3, 4}
