@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulwatch.llm.storage import checkpointed
+
 FANOUT = 16
 RECORDS = 1024
 DATE = "1970-01-01T00:00:00Z"
@@ -72,10 +74,11 @@ def height(indexed: DataFrame, fanout: int = FANOUT) -> int:
 
 
 def merkle_levels(lowest: DataFrame, levels: int, fanout: int = FANOUT) -> list[DataFrame]:
-    """The levels from the leaves to the roots; trees of less height are carried up as single nodes."""
+    """The levels from the leaves to the roots, each written to the shared folder; trees of less height are carried up as
+    single nodes."""
     tree = [lowest]
     for _ in range(levels):
-        tree.append(level_above(tree[-1], fanout))
+        tree.append(checkpointed(level_above(tree[-1], fanout)))
     return tree
 
 
