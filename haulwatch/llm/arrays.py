@@ -128,18 +128,50 @@ def joined(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:
     return pa.concat_arrays([p.cast(kind) for p in parts]) if parts else pa.array([], kind)
 
 
-class Memo:
-    """A dict of bounded size: what was not asked for lately is forgotten and made anew."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
+def spread(at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indexes of runs one after another, from where each begins and how long it is."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(at - before, sizes) + np.arange(int(sizes.sum()))
 
-    def get(self, key):
-        if (value := self.young.get(key)) is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
 
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.size // 2:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
+class Memo:
+    """Lists of numbers by 64-bit key, a bounded number of them: what was not asked for lately is forgotten and made anew."""
+
+    def __init__(self, size: int, kind: type = np.int32):
+        self.size, self.kind = size, kind
+        self.young, self.old = self._empty(), self._empty()
+
+    def _empty(self) -> tuple[np.ndarray, ...]:
+        """Sorted keys, and of each where its values begin and how many there are; the values."""
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind)
+
+    def __call__(self, keys: np.ndarray, make) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Values of the distinct sorted keys: where each list begins, how long it is, and the values.
+
+        make(indexes) gives sizes and values of the keys that are not known."""
+        at, sizes = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        missing = np.ones(len(keys), bool)
+        offset = 0
+        for place, (known, begins, lengths, values) in enumerate((self.young, self.old)):
+            i = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
+            hit = missing & (known[i] == keys) if len(known) else np.zeros(len(keys), bool)
+            at[hit], sizes[hit] = begins[i[hit]] + offset, lengths[i[hit]]
+            missing &= ~hit
+            offset += len(values)
+            if not place:
+                fresh = hit
+        new_sizes, new = make(np.flatnonzero(missing))
+        sizes[missing], at[missing] = new_sizes, np.cumsum(new_sizes) - new_sizes + offset
+        values = np.concatenate((self.young[3], self.old[3], new.astype(self.kind)))
+        self._keep(keys[~fresh], sizes[~fresh], values[spread(at[~fresh], sizes[~fresh])])
+        return at, sizes, values
+
+    def _keep(self, keys: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> None:
+        known, begins, lengths, held = self.young
+        if len(known) + len(keys) > self.size // 2:
+            self.old = self.young
+            known, begins, lengths, held = self._empty()
+        known = np.concatenate((known, keys))
+        order = np.argsort(known, kind="stable")
+        begins = np.concatenate((begins, len(held) + np.cumsum(sizes) - sizes))
+        self.young = known[order], begins[order], np.concatenate((lengths, sizes))[order], np.concatenate((held, values))

@@ -16,19 +16,20 @@ don't matter. A literal mark in a text is decoded as a space, as in the library.
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwatch.llm.arrays import Memo, Texts, blocks, joined, lists, span_hashes
+from haulwatch.llm.arrays import Memo, Texts, blocks, joined, lists, span_hashes, spread
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
-#: Marked words that a task remembers.
+#: Marked words, and pairs of pieces, that a task remembers.
+WORDS = 2_000_000
 REMEMBERED = 200_000
 
 
@@ -134,7 +135,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.model = Model(path)
-        self.known = Memo(REMEMBERED)
+        self.known = Memo(WORDS)
 
     def words(self, texts: Texts) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Texts with each literal mark as a space; of each word, spaces and all: row, spaces before it, start and end."""
@@ -170,28 +171,22 @@ class Encoder:
         hashes[filled] = span_hashes(texts.data, start[filled], end[filled])
         hashes += n_spaces.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        found, missing = [], []
-        for k, key in enumerate(distinct.tolist()):
-            found.append(ids := self.known.get(key))
-            if ids is None:
-                missing.append(k)
-        if missing:
+
+        def encoded(missing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             at = first[missing]
             marked = [MARK + texts.text(a, b) if n else texts.text(a, b) for a, b, n in zip(start[at].tolist(), end[at].tolist(), n_spaces[at].tolist(), strict=True)]
-            order = sorted(range(len(missing)), key=marked.__getitem__)
-            one = self.model.id_of[MARK]
+            order = sorted(range(len(marked)), key=marked.__getitem__)
+            found: list[list[int]] = [[]] * len(marked)
             for i, ids in zip(order, self.model.encoded([marked[i] for i in order]), strict=True):
                 if (n := int(n_spaces[at[i]])) > 1:
-                    ids = self.model.marks(n) + ids[1:] if ids[0] == one else self.model.marks(n - 1) + ids
-                k = missing[i]
-                found[k] = array("i", ids).tobytes()
-                self.known.put(int(distinct[k]), found[k])
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        stored = np.frombuffer(b"".join(found), np.int32)
-        at = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+                    ids = self.model.marks(n) + ids[1:] if ids[0] == self.model.id_of[MARK] else self.model.marks(n - 1) + ids
+                found[i] = ids
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            return sizes, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+
+        at, sizes, stored = self.known(distinct, encoded)
         n = sizes[back]
-        where = np.arange(int(n.sum())) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
-        return stored[np.repeat(at[back], n) + where], np.bincount(row, n, len(texts)).astype(np.int64)
+        return stored[spread(at[back], n)], np.bincount(row, n, len(texts)).astype(np.int64)
 
 
 def encode(text: Column, path: str) -> Column:

@@ -28,6 +28,7 @@ from haulwatch.llm.arrays import Memo, Texts, blocks, joined, span_hashes, struc
 
 CHUNK = 256
 #: Spellings and transitions that a task remembers; what it forgets is made anew, which changes no count.
+SPELLINGS = 2_000_000
 REMEMBERED = 400_000
 
 # Character classes. Letters that take part in 's 't 'm 'd 're 've 'll have classes of their own.
@@ -220,7 +221,7 @@ class TextCounter:
         self.special = sorted((s.encode() for s in special), key=len, reverse=True)
         self.counter = counter_of(path)
         self.to, self.marks = splitter()
-        self.known = Memo(REMEMBERED)
+        self.known = Memo(SPELLINGS)
 
     def __call__(self, texts: Texts) -> np.ndarray:
         data, n_rows = texts.data, len(texts)
@@ -261,12 +262,14 @@ class TextCounter:
         start, end = offset[start[shown]], offset[end[shown]]
         hashes = span_hashes(data, start, end)
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        counts = np.empty(len(distinct), np.int64)
-        known = self.known
-        for k, (key, a, b) in enumerate(zip(distinct.tolist(), start[first].tolist(), end[first].tolist(), strict=True)):
-            if (n := known.get(key)) is None:
-                known.put(key, n := self.counter.count(raw[a:b]))
-            counts[k] = n
+
+        def count(missing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = first[missing]
+            counts = [self.counter.count(raw[a:b]) for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
+            return np.ones(len(missing), np.int64), np.array(counts, np.int32)
+
+        at, _, values = self.known(distinct, count)
+        counts = values[at]
         row = np.searchsorted(texts.bounds, start, "right") - 1
         return result + np.bincount(row, counts[back], n_rows).astype(np.int64)
 
