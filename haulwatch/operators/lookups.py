@@ -11,8 +11,9 @@ from haulwatch.functions.exprs import ColumnLike, col
 
 # A side is broadcast only when the optimizer's size estimate is below this bound.
 BROADCAST_BYTES = 256 << 20
-# Copies of each dimension row in a shuffled join; the fact rows of one key spread over as many tasks.
-SALTS = 16
+# Copies of each dimension row in a shuffled join; the fact rows of one key spread over as many tasks. A session with many
+# shuffle partitions gets more of both.
+SALTS, MOST_SALTS, PARTITIONS_PER_SALT = 16, 256, 8
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -62,8 +63,10 @@ def salted_join(
     if limit > 0 and fits(dim, limit, growth):
         return facts.join(F.broadcast(dim), list(keys), how)
     spread = ["row_key"] if "row_key" in facts.columns else facts.columns
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = min(max(SALTS, partitions // PARTITIONS_PER_SALT), MOST_SALTS)
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 

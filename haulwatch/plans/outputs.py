@@ -44,10 +44,11 @@ def enrich_alarms(a: DataFrame, illegal_type: DataFrame, as_of: ColumnLike | Non
 
 # Device columns of the trip table; a trip never fills them.
 TRIP_DEVICE_COLUMNS = (
-    "device_id time gps_lng gps_lat speed pos gps_flag wire_flag power_flag acc_flag auxiliary_flag temperature door "
-    "all_distance all_dist_fuel gps_distance gps_all_distance report_time zxcqi alarm_flag main_oil_per residual_oil "
-    "vice_oil_per vice_residual_oil oil_difference sharp_turn brake"
-).split()
+    "device_id", "time", "gps_lng", "gps_lat", "speed", "pos", "gps_flag", "wire_flag", "power_flag", "acc_flag",
+    "auxiliary_flag", "temperature", "door", "all_distance", "all_dist_fuel", "gps_distance", "gps_all_distance",
+    "report_time", "zxcqi", "alarm_flag", "main_oil_per", "residual_oil", "vice_oil_per", "vice_residual_oil",
+    "oil_difference", "sharp_turn", "brake",
+)
 
 
 def _trip_site(prefix: str, source: str, time: Column, order: str) -> list[Column]:

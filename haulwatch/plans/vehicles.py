@@ -80,18 +80,8 @@ def site_visits(
             F.col("_last._to.epoch_s").alias("_exit"),
         )
     )
-    order = Window.partitionBy(*key).orderBy("_start", "_start_key")
-    past = order.rowsBetween(Window.unboundedPreceding, -1)
-    stays = stays.withColumns(
-        {
-            "_n": F.row_number().over(order),
-            "_long": F.col("_end") - F.col("_start") > dwell_s,
-            "_open": F.lead("_start").over(order).isNull(),
-            "_previous": F.lag("_start").over(order),
-        }
-    )
-    stays = stays.withColumn("_after", F.coalesce(F.max(F.when(F.col("_long"), F.col("_n"))).over(past), F.lit(0)))
-    pending = (F.col("_n") - 1 - F.col("_after")) % 2 == 1
+    stays = _numbered(stays, key, dwell_s)
+    pending = F.col("_since_long") % 2 == 1
     visits = stays.filter(F.col("_long") | pending).withColumn(
         "_enter", F.when(pending, F.col("_previous")).otherwise(F.col("_start"))
     )
@@ -104,6 +94,44 @@ def site_visits(
     )
 
 
+# Stays of a vehicle at a site are numbered within such periods: no more than this many seconds by dwell_s each.
+PERIOD_S = 30 * DAY
+
+
+def _numbered(stays: DataFrame, key: list[str], dwell_s: int) -> DataFrame:
+    """Add ``_long``, the number of stays since the last long one (``_since_long``), the start of the stay before
+    (``_previous``) and whether no stay follows (``_open``).
+
+    Rows meet by key and period; of whole keys, only one summary per period meets.
+    """
+    part = [*key, "_period"]
+    stays = stays.withColumns({"_period": F.floor(F.col("_start") / PERIOD_S), "_long": F.col("_end") - F.col("_start") > dwell_s})
+    order = Window.partitionBy(*part).orderBy("_start", "_start_key")
+    place = F.row_number().over(order) - 1
+    stays = stays.withColumns({"_i": place, "_lag": F.lag("_start").over(order), "_lead": F.lead("_start").over(order)})
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    stays = stays.withColumn("_long_i", F.max(F.when(F.col("_long"), F.col("_i"))).over(before))
+
+    periods = stays.groupBy(*part).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.when(F.col("_long"), F.col("_i"))).alias("_last_long"), F.max("_start").alias("_last")
+    )
+    time = Window.partitionBy(*key).orderBy("_period")
+    past = time.rowsBetween(Window.unboundedPreceding, -1)
+    # How many stays of the key there are up to and with the last long one.
+    periods = periods.withColumn("_up_to_long", F.sum("_n").over(time) - F.col("_n") + F.col("_last_long") + 1)
+    total = F.coalesce(F.sum("_n").over(past), F.lit(0))
+    anchor = F.coalesce(F.last("_up_to_long", ignorenulls=True).over(past), F.lit(0))
+    periods = periods.select(
+        *part, (total - anchor).alias("_carry"), F.lag("_last").over(time).alias("_last_before"),
+        F.lead("_period").over(time).isNull().alias("_final"),
+    )
+    stays = stays.join(periods, part)
+    since = F.when(F.col("_long_i").isNull(), F.col("_carry") + F.col("_i")).otherwise(F.col("_i") - F.col("_long_i") - 1)
+    return stays.withColumns(
+        {"_since_long": since, "_previous": F.coalesce("_lag", "_last_before"), "_open": F.col("_lead").isNull() & F.col("_final")}
+    )
+
+
 STATUS_COLUMNS = (
     "devid", "lng", "lat", "speed", "pos", "gpsflag", "accflag", "residualoil", "viceresidualoil", "region_id",
     "department_id",

@@ -22,10 +22,10 @@ def read(spark: SparkSession, fmt: str, options: dict[str, str] | None = None, p
     return reader.load(path) if path else reader.load()
 
 
-def parse_json(
-    df: DataFrame, schema: T.StructType, value_col: str = "value", columns: Sequence[str] | None = None
-) -> DataFrame:
-    """The columns of ``df`` with ``_record``, the typed fields, and ``_reason``, null where the record is readable.
+def _parsed(
+    df: DataFrame, schema: T.StructType, value_col: str, columns: Sequence[str] | None
+) -> tuple[DataFrame, Column, Column]:
+    """``df`` with the fields as text, the typed record, and why it is unreadable (null if it is not).
 
     Fields are read as text and then converted, so quoted and decimal numbers are read as numbers (a whole-number field
     takes the whole part). A record is unreadable if its text is no JSON object, or if a field holds text that is not
@@ -34,17 +34,17 @@ def parse_json(
     fields = [f for f in schema.fields if columns is None or f.name in columns]
     texts = T.StructType([*(T.StructField(f.name, T.StringType()) for f in fields), T.StructField("_corrupt", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    # Through a generator, so that filters on the fields do not parse the text a second time.
+    # Through a generator, so that the text is parsed once.
     parsed = df.select("*", F.inline(F.array(F.struct(F.from_json(F.col(value_col).cast("string"), texts, options).alias("_text")))))
-    given = {f.name: F.nullif(F.trim(F.col("_text")[f.name]), F.lit("")) for f in fields}
-    record = F.struct(*[_converted(F.col("_text")[f.name] if isinstance(f.dataType, T.StringType) else given[f.name], f.dataType).alias(f.name) for f in fields])
-    parsed = parsed.withColumn("_record", record)
+    text = lambda f: F.col("_text")[f.name]
+    given = lambda f: F.nullif(F.trim(text(f)), F.lit(""))
+    value = {f.name: text(f) if isinstance(f.dataType, T.StringType) else _converted(given(f), f.dataType) for f in fields}
     wrong = [
-        F.when(given[f.name].isNotNull() & F.col("_record")[f.name].isNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}"))
+        F.when(given(f).isNotNull() & value[f.name].isNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}"))
         for f in fields if not isinstance(f.dataType, T.StringType)
     ]
     broken = F.when(F.col("_text").isNull() | F.col("_text._corrupt").isNotNull(), F.lit("not a JSON object"))
-    return parsed.withColumn("_reason", F.coalesce(broken, *wrong)).drop("_text")
+    return parsed, F.struct(*[v.alias(name) for name, v in value.items()]), F.coalesce(broken, *wrong)
 
 
 def _converted(text: Column, kind: T.DataType) -> Column:
@@ -56,18 +56,24 @@ def _converted(text: Column, kind: T.DataType) -> Column:
 
 
 def scan_json(
-    df: DataFrame, schema: T.StructType, value_col: str = "value", columns: Sequence[str] | None = None
+    df: DataFrame, schema: T.StructType, value_col: str = "value", columns: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Readable records as typed columns; missing fields are null. ``rejected_json`` has the others."""
-    return parse_json(df, schema, value_col, columns).filter(F.col("_reason").isNull()).select("_record.*")
+    """Readable records as typed columns, after the columns ``keep`` of ``df``; missing fields are null.
+
+    ``rejected_json`` has the others. A generator drops them: a filter on all fields at once is more than the optimizer's
+    inference of constraints can take.
+    """
+    parsed, record, reason = _parsed(df, schema, value_col, columns)
+    return parsed.select(*keep, F.inline(F.when(reason.isNull(), F.array(record))))
 
 
 def rejected_json(
     df: DataFrame, schema: T.StructType, value_col: str = "value", columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Unreadable records: the columns of ``df`` and ``reason``."""
-    unread = parse_json(df, schema, value_col, columns).filter(F.col("_reason").isNotNull())
-    return unread.select(*df.columns, F.col("_reason").alias("reason"))
+    parsed, _, reason = _parsed(df, schema, value_col, columns)
+    return parsed.select(*df.columns, F.explode(F.when(reason.isNotNull(), F.array(reason))).alias("reason"))
 
 
 def typed(df: DataFrame) -> DataFrame:

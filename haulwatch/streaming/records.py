@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,27 +35,52 @@ def initial_status(snapshot: DataFrame, dept_id: int | None = None) -> DataFrame
     return online.select("dept_id", "vehicle_id", seen.alias("t"), F.col("online_time").cast("long")).dropna()
 
 
+KEYS = ["vehicle_id", "dept_id"]
+# Parts of the status table by a hash of the key; a micro-batch reads and writes only those it touches.
+BUCKETS = 64
+
+
+def _bucketed(df: DataFrame) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*[F.col(k).cast("long") for k in KEYS]), F.lit(BUCKETS)).cast("int"))
+
+
+def create_status(snapshot: DataFrame, path: str) -> None:
+    """Write the status table that ``upsert_status`` keeps."""
+    _bucketed(snapshot).write.partitionBy("bucket").parquet(f"{path}/version=-1")
+
+
+def read_status(spark: SparkSession, path: str, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+    """The status table: of each vehicle the row of its last version (below ``before``)."""
+    rows = spark.read.parquet(path)
+    if before is not None:
+        rows = rows.filter(F.col("version") < before)
+    if buckets is not None:
+        rows = rows.filter(F.col("bucket").isin(buckets))
+    return latest_position(rows.drop("bucket"), KEYS, ("version",)).drop("version")
+
+
 def upsert_status(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer that keeps a status table in versions.
+    """``foreachBatch`` writer that keeps a status table in versions; ``read_status`` reads it.
 
-    ``path/version=-1`` holds the table before the first batch; batch n reads version n-1 and writes version n, so a
-    repeated batch gives the same version again. Vehicles absent from the table are not added. A report updates
-    all its columns; falling silent updates ``vehicle_status`` only.
+    ``create_status`` writes the table before the first batch. Batch n writes the rows of the vehicles it touches as
+    version n, made of their rows in the versions before, so a repeated batch gives the same version again. Vehicles absent
+    from the table are not added. A report updates all its columns; falling silent updates ``vehicle_status`` only. From
+    time to time, ``create_status(read_status(...), elsewhere)`` makes one version of many.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        snapshot = batch.sparkSession.read.parquet(f"{path}/version={batch_id - 1}")
-        keys = ["vehicle_id", "dept_id"]
-        reports = with_report(latest_position(batch.filter("report is not null"), keys, ("time", "row_key")))
+        touched = batch.select(*KEYS).distinct()
+        buckets = [r.bucket for r in _bucketed(touched).select("bucket").distinct().collect()]  # BUCKETS at most
+        snapshot = read_status(batch.sparkSession, path, batch_id, buckets).join(touched, KEYS, "left_semi")
+        reports = with_report(latest_position(batch.filter("report is not null"), KEYS, ("time", "row_key")))
         figures = ["vehicle_status", "online_time", "online_status"]
         time = F.date_format("time", schemas.TIME_FORMAT).alias("time")
-        reports = reports.select(*keys, time, *figures, *[c for c in STATUS_COLUMNS if c in reports.columns])
+        reports = reports.select(*KEYS, time, *figures, *[c for c in STATUS_COLUMNS if c in reports.columns])
         reports = reports.withColumnsRenamed({c: n for c, n in STATUS_NAMES.items() if c in reports.columns})
         reports = reports.select(*[c for c in reports.columns if c in snapshot.columns])
         # A silent row follows the report it stands for, hence the status in the order.
-        last = latest_position(batch, keys, ("time", "vehicle_status")).select(*keys, "vehicle_status")
-        merged = merge_status(merge_status(snapshot, reports), last)
-        merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        last = latest_position(batch, KEYS, ("time", "vehicle_status")).select(*KEYS, "vehicle_status")
+        merged = _bucketed(merge_status(merge_status(snapshot, reports), last))
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={batch_id}")
 
     return write
-

@@ -77,7 +77,9 @@ def near(pdf, radius, points=worlds.SITES):
 
 @pytest.mark.parametrize("target, limit", [(None, None), (40, None), (None, 0), (40, 0)])
 @pytest.mark.parametrize("seed", SEEDS)
-def test_site_visits(spark, seed, target, limit):
+def test_site_visits(spark, seed, target, limit, monkeypatch):
+    if target is not None:  # stays of many periods
+        monkeypatch.setattr(vehicles, "PERIOD_S", 700)
     pdf = random_positions(seed, hot=300)
     out = vehicles.site_visits(frame(spark, pdf), worlds.sites(spark), target_rows=target, max_broadcast=limit)
     got = sorted((r.vehicle_id, r.disposal_site_id, secs(r.enter_time), secs(r.exit_time)) for r in out.collect())

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from conftest import frame, random_positions
 
-import __spark_entry__ as entry
+from fixtures.queries import QUERIES
 from haulwatch.operators.lookups import lookup
 from haulwatch.plans import alarms
 
@@ -19,15 +19,15 @@ def plan(df) -> str:
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_no_cross_join(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 def test_data_bus_does_not_shuffle_positions(spark):
-    lines = plan(entry.queries()["data_bus"](spark, SF)).splitlines()
+    lines = plan(QUERIES["data_bus"](spark, SF)).splitlines()
     scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "event_id" in line)
     depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
     above, level = [], depth[scan]
