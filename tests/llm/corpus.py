@@ -1,3 +1,5 @@
+"""Rows that the tests of the text operators share."""
+
 from __future__ import annotations
 
 import random

@@ -10,7 +10,7 @@ import pyarrow as pa
 
 from haulwatch.llm import decontamination, licenses, near_duplicates
 from haulwatch.llm.arrays import blocks
-from tests.llm.conftest import DOCS, ODD, clashing, prose
+from tests.llm.corpus import DOCS, ODD, clashing, empty, odd, prose  # noqa: F401
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

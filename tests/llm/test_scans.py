@@ -16,7 +16,7 @@ import corpus_pipeline
 from haulwatch.llm import html_text, quality_model, secret_scans, warc
 from haulwatch.llm.arrays import Texts, blocks
 from haulwatch.llm.queries import QUERIES
-from tests.llm.conftest import DOCS, ODD, clashing, prose
+from tests.llm.corpus import DOCS, ODD, clashing, empty, odd, prose  # noqa: F401
 
 PATTERNS = [
     (re.compile(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), 1, 12),

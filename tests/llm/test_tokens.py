@@ -16,7 +16,7 @@ import tokenizers
 
 from haulwatch.llm import pieces, quality_rules, token_counts
 from haulwatch.llm.arrays import blocks
-from tests.llm.conftest import DOCS, ODD, clashing, prose
+from tests.llm.corpus import DOCS, ODD, clashing, empty, odd, prose  # noqa: F401
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
