@@ -9,8 +9,9 @@ fewer words are one shingle; no words, no set and no links. Documents are linked
    equal prefixes, however long, is spread over tasks. A region is a run that shares at least DEPTHS[0] values. A class meets
    its next NEIGHBOURS in the order; in a larger region, the depth goes on by DEPTHS, and at each depth every class also meets
    the REPRESENTATIVES of its run: those whose signatures agree most with the run's commonest values, since many copies may
-   have nothing in common but what they were copied from. Pairs whose signatures agree in too few places are dropped
-   (a link has a chance of about 1e-6 of being one of these).
+   have nothing in common but what they were copied from. The first and last rows of each task meet those of the next ones,
+   and of a run that tasks share, the commonest values are added up over its pieces and its representatives meet all of it.
+   Pairs whose signatures agree in too few places are dropped (a link has a chance of about 1e-6 of being one of these).
 3. Pairs are confirmed on the full sets. A large group has far more pairs than it takes to connect it: first every class is
    compared with one partner, the most central one, then all pairs that lead from one component to another are compared.
    A pair inside a component cannot change it. The number of rounds is fixed; no pair across components is left out.
@@ -27,9 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, joined, mix, randoms, shingle_hashes, span_hashes, struct_array
 from haulwatch.llm.storage import checkpointed
@@ -47,6 +49,14 @@ AGREEING, CLOSE = 12, 26
 SHINGLE_BYTES = 6
 #: Rows of the sorted orders that one task reads.
 TASK_ROWS = 200_000
+#: Commonest values of each place that a task tells of its piece of a run.
+TOP = 8
+#: What a task finds: candidate pairs; its first and last rows (key, a); its pieces of runs that may go on in other tasks (key, weight, top).
+PAIR, EDGE, PIECE = range(3)
+FOUND = pa.schema([
+    ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("agreeing", pa.int32()), ("weight", pa.int32()), ("key", pa.binary()),
+    ("top", pa.list_(pa.struct([("place", pa.int32()), ("value", pa.int32()), ("times", pa.int64())]))),
+])
 
 
 class Sets:
@@ -141,14 +151,36 @@ def linked(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         yield pa.array([similar(a.as_py(), b.as_py()) for a, b in zip(left, right, strict=True)], pa.bool_())
 
 
-def candidates(keys: np.ndarray, nodes: np.ndarray, trees: np.ndarray) -> tuple[np.ndarray, ...]:
+@F.arrow_udf(T.IntegerType())
+def agreement(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Agreeing values of two keys (or signatures: a key is one with the number of its tree before it)."""
+
+    def values(column: pa.Array) -> np.ndarray:
+        raw = b"".join(x[-2 * VALUES :] for x in column.to_pylist())
+        return np.frombuffer(raw, np.uint16).reshape(-1, VALUES)
+
+    for left, right in pairs:
+        yield pa.array((values(left) == values(right)).sum(axis=1).astype(np.int32), pa.int32())
+
+
+def shared_values(keys: np.ndarray, trees: np.ndarray) -> np.ndarray:
+    """Length of the prefix that each row shares with the next one."""
+    same = keys[1:] == keys[:-1]
+    shared = np.where(same.all(axis=1), VALUES, same.argmin(axis=1))
+    shared[trees[1:] != trees[:-1]] = 0
+    return shared
+
+
+def runs_of(shared: np.ndarray, depth: int) -> list[tuple[int, int]]:
+    edges = np.flatnonzero(np.concatenate(([True], shared < depth, [True]))).tolist()
+    return [*zip(edges[:-1], edges[1:], strict=True)]
+
+
+def candidates(keys: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, ...]:
     """Pairs (row, partner, agreeing values, size of the run the partner stands for) of rows sorted by tree and signature."""
     n = len(keys)
     if n < 2:
         return (np.zeros(0, np.int64),) * 4
-    same = keys[1:] == keys[:-1]
-    shared = np.where(same.all(axis=1), VALUES, same.argmin(axis=1))
-    shared[trees[1:] != trees[:-1]] = 0
     a, b, weight = [], [], []
     near = shared.copy()
     for w in range(1, NEIGHBOURS + 1):
@@ -158,8 +190,7 @@ def candidates(keys: np.ndarray, nodes: np.ndarray, trees: np.ndarray) -> tuple[
         for x, y in ((i, i + w), (i + w, i)):
             a.append(x), b.append(y), weight.append(np.ones(len(i), np.int64))
     for depth in DEPTHS:
-        edges = np.flatnonzero(np.concatenate(([True], shared < depth, [True])))
-        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        for lo, hi in runs_of(shared, depth):
             if hi - lo <= NEIGHBOURS + 1:  # all of them have met
                 continue
             run = keys[lo:hi]
@@ -176,18 +207,85 @@ def candidates(keys: np.ndarray, nodes: np.ndarray, trees: np.ndarray) -> tuple[
     return a[good], b[good], agreeing[good], weight[good]
 
 
+def commonest(run: np.ndarray) -> list[dict[str, int]]:
+    """The TOP commonest values of each place."""
+    found = []
+    for place in range(VALUES):
+        values, times = np.unique(run[:, place], return_counts=True)
+        for k in np.argsort(-times, kind="stable")[:TOP].tolist():
+            found.append({"place": place, "value": int(values[k]), "times": int(times[k])})
+    return found
+
+
+def found_rows(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
+    full = {"kind": pa.array(np.full(n, kind, np.int32)), **columns}
+    return pa.RecordBatch.from_arrays([full[f.name].cast(f.type) if f.name in full else pa.nulls(n, f.type) for f in FOUND], schema=FOUND)
+
+
 def pairs_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A sorted partition of (key, node): its candidate pairs."""
+    """A sorted partition of (key, node): its candidate pairs, and what other tasks have to know of it."""
     raw, names = [], []
     for batch in batches:
         raw += batch.column(0).to_pylist()
         names += batch.column(1).to_pylist()
-    if raw:
-        rows = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), 1 + 2 * VALUES)
-        keys = np.ascontiguousarray(rows[:, 1:]).view(">u2").astype(np.uint16)
-        a, b, agreeing, weight = candidates(keys, np.empty(0), rows[:, 0])
-        nodes = pa.array(names, pa.binary())
-        yield pa.record_batch({"a": nodes.take(pa.array(a)), "b": nodes.take(pa.array(b)), "agreeing": pa.array(agreeing.astype(np.int32)), "weight": pa.array(weight.astype(np.int32))})
+    n = len(raw)
+    if not n:
+        return
+    rows = np.frombuffer(b"".join(raw), np.uint8).reshape(n, 1 + 2 * VALUES)
+    keys = np.ascontiguousarray(rows[:, 1:]).view(">u2").astype(np.uint16)
+    shared = shared_values(keys, rows[:, 0])
+    a, b, agreeing, weight = candidates(keys, shared)
+    nodes = pa.array(names, pa.binary())
+    yield found_rows(PAIR, len(a), a=nodes.take(pa.array(a)), b=nodes.take(pa.array(b)), agreeing=pa.array(agreeing), weight=pa.array(weight))
+    ends = sorted({*range(min(n, NEIGHBOURS)), *range(max(0, n - NEIGHBOURS), n)})
+    yield found_rows(EDGE, len(ends), a=nodes.take(pa.array(ends)), key=pa.array([raw[k] for k in ends], pa.binary()))
+    pieces = []
+    for depth in DEPTHS:
+        runs = runs_of(shared, depth)
+        pieces += [(raw[lo][: 1 + 2 * depth], hi - lo, commonest(keys[lo:hi])) for lo, hi in sorted({runs[0], runs[-1]})]
+    prefixes, sizes, top = zip(*pieces, strict=True)
+    yield found_rows(PIECE, len(pieces), key=pa.array(prefixes, pa.binary()), weight=pa.array(sizes), top=pa.array(top, FOUND.field("top").type))
+
+
+def prefix(depth: int) -> Column:
+    return F.substring("key", 1, 1 + 2 * depth)
+
+
+def pairs_at_cuts(edges: DataFrame) -> DataFrame:
+    """Candidate pairs among the first and last rows (key, a) of the tasks: whatever lies within NEIGHBOURS across a cut, or
+    across some short tasks, lies as near in the order of these rows."""
+    order = Window.partitionBy(F.substring("key", 1, 1)).orderBy("key", "a")
+    following = F.array(*(F.struct(F.lead("key", w).over(order).alias("key"), F.lead("a", w).over(order).alias("b")) for w in range(1, NEIGHBOURS + 1)))
+    rows = edges.withColumn("following", following).select("key", "a", F.explode("following").alias("f"))
+    rows = rows.where(F.substring("f.key", 1, 1 + 2 * DEPTHS[0]) == prefix(DEPTHS[0]))
+    rows = rows.select("a", "f.b", agreement("key", "f.key").alias("agreeing"), F.lit(1).alias("weight")).where(F.col("agreeing") >= AGREEING)
+    return rows.union(rows.select(F.col("b"), F.col("a"), "agreeing", "weight"))
+
+
+def members_of_cut_runs(rows: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(run, size, node, key, central) of the rows (key, node) in runs of several pieces (key, weight, top): the size of the
+    whole run, and in how many places the row has the run's commonest value."""
+    whole = pieces.groupBy("key").agg(F.sum("weight").cast("int").alias("size"), F.count("*").alias("n")).where(f"n > 1 and size > {NEIGHBOURS + 1}").drop("n")
+    times = pieces.join(F.broadcast(whole), "key").select("key", "size", F.explode("top").alias("t"))
+    times = times.groupBy("key", "size", "t.place", "t.value").agg(F.sum("t.times").alias("times"))
+    modes = times.groupBy("key", "size", "place").agg(F.max(F.struct("times", "value"))["value"].alias("value"))
+    modes = modes.groupBy("key", "size").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("modes"))
+    packed_modes = F.unhex(F.array_join(F.transform("modes", lambda m: F.lpad(F.hex(m["value"]), 4, "0")), ""))
+    runs = F.broadcast(checkpointed(modes.select(F.col("key").alias("run"), "size", packed_modes.alias("modes"))))  # a few per task
+    regions = runs.select(F.col("run").alias("region"))  # a run that is cut lies in a region that is cut
+    rows = rows.join(F.broadcast(regions), prefix(DEPTHS[0]) == F.col("region"), "left_semi")
+    rows = rows.select("node", "key", F.explode(F.array(*map(prefix, DEPTHS))).alias("run")).join(runs, "run")
+    return rows.select("run", "size", "node", "key", agreement("key", "modes").alias("central"))
+
+
+def pairs_of_cut_runs(members: DataFrame) -> DataFrame:
+    """Each member with the representatives of its whole run."""
+    order = Window.partitionBy("run").orderBy(F.desc("central"), "node")
+    central = members.withColumn("k", F.row_number().over(order)).where(F.col("k") <= REPRESENTATIVES)  # each task sends so many
+    central = checkpointed(central.select("run", F.col("node").alias("b"), F.col("key").alias("key_b")))
+    pairs = members.join(F.broadcast(central), "run").where("node != b")
+    pairs = pairs.select(F.col("node").alias("a"), "b", agreement("key", "key_b").alias("agreeing"), F.col("size").alias("weight"))
+    return pairs.where(F.col("agreeing") >= AGREEING)
 
 
 def forest_pairs(classes: DataFrame) -> DataFrame:
@@ -198,7 +296,10 @@ def forest_pairs(classes: DataFrame) -> DataFrame:
     orders = F.array(*(F.concat(F.lit(bytes([t])), F.substring(twice, t * step + 1, 2 * VALUES)) for t in range(TREES)))
     rows = classes.select(F.explode(orders).alias("key"), "node")
     ordered = rows.repartitionByRange(n_tasks, "key", "node").sortWithinPartitions("key", "node")
-    pairs = ordered.mapInArrow(pairs_of_task, "a binary, b binary, agreeing int, weight int")
+    found = checkpointed(ordered.mapInArrow(pairs_of_task, from_arrow_schema(FOUND)))
+    of = lambda kind: found.where(F.col("kind") == kind)
+    members = checkpointed(members_of_cut_runs(rows, of(PIECE).select("key", "weight", "top")))
+    pairs = of(PAIR).select("a", "b", "agreeing", "weight").union(pairs_at_cuts(of(EDGE).select("key", "a"))).union(pairs_of_cut_runs(members))
     return pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"), F.max("weight").alias("weight"))
 
 

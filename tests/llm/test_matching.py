@@ -150,6 +150,44 @@ def test_a_group_around_one_text(spark):
     assert {(r.doc_id, r.n_shingles): r.component_id for r in got} == components_by_hand(rows)
 
 
+def star(n: int):
+    """A text, and copies of it that are linked with it only."""
+    words = [f"v{k}" for k in range(400)]
+    texts = [" ".join(words)]
+    for k in range(n):
+        edited = words[:]
+        for at in random.Random(k).sample(range(5, 395, 8), 10):
+            edited[at] = f"x{k}_{at}"
+        texts.append(" ".join(edited))
+    return [*enumerate(texts)]
+
+
+def test_a_group_that_many_tasks_share(spark):
+    rows = star(300)
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], DOCS)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "150")
+    try:
+        classes = docs.select(near_duplicates.marked("text").alias("m")).select("m.node", "m.signature").cache()
+        pairs = near_duplicates.forest_pairs(classes).select("a", "b").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    source = bytes(docs.where("doc_id = 0").select(near_duplicates.digested("text")).first()[0])
+    # all copies have met their source, however many tasks the group is cut into
+    assert len({bytes(r.a) for r in pairs if bytes(r.b) == source}) == 300
+
+
+def test_neighbours_across_cuts(spark):
+    """Rows of short tasks meet as if the order had no cuts."""
+    rng = np.random.default_rng(3)
+    keys = sorted(bytes([k // 20]) + bytes(4) + rng.integers(0, 2, 60, np.uint8).tobytes() for k in range(40))
+    rows = spark.createDataFrame([(key, bytes([k])) for k, key in enumerate(keys)], "key binary, a binary")
+    got = {(r.a[0], r.b[0]) for r in near_duplicates.pairs_at_cuts(rows).collect()}
+    values = [np.frombuffer(k[1:], ">u2") for k in keys]
+    near = [(i, j) for i in range(40) for j in range(40) if 0 < abs(i - j) <= near_duplicates.NEIGHBOURS and i // 20 == j // 20]
+    assert got == {(i, j) for i, j in near if (values[i] == values[j]).sum() >= near_duplicates.AGREEING}
+
+
 def test_odd_rows(spark, odd, empty):
     got = near_duplicates.mark_duplicates(odd).collect()
     assert len(got) == len(ODD)
