@@ -15,7 +15,10 @@ fewer words are one shingle; no words, no set and no links. Documents are linked
 3. Pairs are confirmed on the full sets. A large group has far more pairs than it takes to connect it: first every class is
    compared with one partner, the most central one, then all pairs that lead from one component to another are compared.
    A pair inside a component cannot change it. The number of rounds is fixed; no pair across components is left out.
-4. Components are found by alternating star contractions of the edge table.
+4. In a region of more than NEIGHBOURS + 1 classes not all of them have met, so its classes are compared once more by their
+   rare shingles: ordered by how many of these classes have them, a link's sets share one among the first quarter of each, with
+   as much left behind it as the link needs. All pairs of different components with such a shingle are compared.
+5. Components are found by alternating star contractions of the edge table.
 
 A component has the smallest id of its documents. Null texts and texts without words have size 0 and stand alone. Null ids
 are not smaller than any id; a row is kept if its id equals that of its component (both null: kept). Repeated rows are
@@ -51,8 +54,8 @@ SHINGLE_BYTES = 6
 TASK_ROWS = 200_000
 #: Commonest values of each place that a task tells of its piece of a run.
 TOP = 8
-#: What a task finds: candidate pairs; its first and last rows (key, a); its pieces of runs that may go on in other tasks (key, weight, top).
-PAIR, EDGE, PIECE = range(3)
+#: What a task finds: candidate pairs; rows (a) in regions where not all meet; its first and last rows (key, a); its pieces of runs that may go on in other tasks (key, weight, top).
+PAIR, CROWDED, EDGE, PIECE = range(4)
 FOUND = pa.schema([
     ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("agreeing", pa.int32()), ("weight", pa.int32()), ("key", pa.binary()),
     ("top", pa.list_(pa.struct([("place", pa.int32()), ("value", pa.int32()), ("times", pa.int64())]))),
@@ -237,6 +240,10 @@ def pairs_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     a, b, agreeing, weight = candidates(keys, shared)
     nodes = pa.array(names, pa.binary())
     yield found_rows(PAIR, len(a), a=nodes.take(pa.array(a)), b=nodes.take(pa.array(b)), agreeing=pa.array(agreeing), weight=pa.array(weight))
+    crowded = [np.arange(lo, hi) for lo, hi in runs_of(shared, DEPTHS[0]) if hi - lo > NEIGHBOURS + 1]
+    if crowded:
+        crowded = nodes.take(pa.array(np.concatenate(crowded)))
+        yield found_rows(CROWDED, len(crowded), a=crowded)
     ends = sorted({*range(min(n, NEIGHBOURS)), *range(max(0, n - NEIGHBOURS), n)})
     yield found_rows(EDGE, len(ends), a=nodes.take(pa.array(ends)), key=pa.array([raw[k] for k in ends], pa.binary()))
     pieces = []
@@ -288,8 +295,9 @@ def pairs_of_cut_runs(members: DataFrame) -> DataFrame:
     return pairs.where(F.col("agreeing") >= AGREEING)
 
 
-def forest_pairs(classes: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b, agreeing, weight), in both directions where neither stands for a run."""
+def forest_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b, agreeing, weight), in both directions where neither stands for a run; and the nodes that stand in
+    regions where not all meet."""
     n_tasks = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-classes.count() * TREES // TASK_ROWS))
     twice = F.concat("signature", "signature")
     step = 2 * VALUES // TREES
@@ -300,7 +308,44 @@ def forest_pairs(classes: DataFrame) -> DataFrame:
     of = lambda kind: found.where(F.col("kind") == kind)
     members = checkpointed(members_of_cut_runs(rows, of(PIECE).select("key", "weight", "top")))
     pairs = of(PAIR).select("a", "b", "agreeing", "weight").union(pairs_at_cuts(of(EDGE).select("key", "a"))).union(pairs_of_cut_runs(members))
-    return pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"), F.max("weight").alias("weight"))
+    crowded = of(CROWDED).select(F.col("a").alias("node")).union(members.select("node")).distinct()
+    return pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"), F.max("weight").alias("weight")), crowded
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def shingles_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The values of packed sets."""
+    for batch in batches:
+        raw = batch.to_pylist()
+        wide = np.zeros((sum(map(len, raw)) // SHINGLE_BYTES, 8), np.uint8)
+        wide[:, 8 - SHINGLE_BYTES :] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, SHINGLE_BYTES)
+        values = wide.view(">u8").ravel().astype(np.int64)
+        bounds = np.concatenate(([0], np.cumsum([len(x) // SHINGLE_BYTES for x in raw]))).astype(np.int32)
+        yield pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
+
+
+def crowded_pairs(sets: DataFrame, found: DataFrame) -> DataFrame:
+    """All pairs (a, b) of the sets (node, set) that can be links between two components (node, root).
+
+    A pair of n and m shingles is a link if they share PERCENT / (100 + PERCENT) * (n + m) at least. Shingles are ordered by the
+    number of sets that have them; pos is the place of a shingle in its set, from 1. Of the first shingle that two sets share,
+    at most 1 + min(n - pos, m - pos') are shared. Of a shingle's sets, those of its commonest component need not meet."""
+    rows = sets.join(found, "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
+    size = F.floor(F.octet_length("set") / SHINGLE_BYTES).cast("int")
+    tokens = rows.select("node", "root", size.alias("size"), F.explode(shingles_of("set")).alias("shingle"))
+    uses = tokens.groupBy("shingle").agg(F.count("*").alias("uses"), (F.min("root") != F.max("root")).alias("mixed")).where("uses > 1")
+    own = Window.partitionBy("node")
+    ranked = tokens.join(uses, "shingle").withColumns({"k": F.row_number().over(own.orderBy("uses", "shingle")), "common": F.count("*").over(own)})
+    ranked = ranked.withColumn("pos", (F.col("size") - F.col("common") + F.col("k")).cast("int"))  # those of no other set come first
+    first = ranked.where(F.col("mixed") & (100 * (F.col("pos") - 1) <= (100 - PERCENT) * F.col("size")))
+    first = checkpointed(first.select("shingle", "node", "root", "size", "pos"))
+    main = first.groupBy("shingle", "root").count().groupBy("shingle").agg(F.max(F.struct("count", "root"))["root"].alias("main"))
+    left = first.join(main, "shingle").where("root != main").drop("main").withColumnsRenamed({"node": "a", "root": "root_a", "size": "n", "pos": "pos_a"})
+    right = first.withColumnsRenamed({"node": "b", "root": "root_b", "size": "m", "pos": "pos_b"})
+    most = 1 + F.least(F.col("n") - F.col("pos_a"), F.col("m") - F.col("pos_b"))
+    near = (F.col("root_a") != F.col("root_b")) & ((100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("m")))
+    sized = 100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")
+    return left.join(right, "shingle").where(near & sized).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -336,12 +381,19 @@ def across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return rows.where("root_a != root_b")
 
 
+def raised(found: DataFrame, between: DataFrame) -> DataFrame:
+    """The components (node, root) after links (a, b) between their roots."""
+    above = components(between).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    lone = above.join(found, above["root"] == found["node"], "left_anti").select(F.col("root").alias("node"), "root")
+    return found.union(lone).join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+
+
 def find_components(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
     """Of each row (key, n, node); and of each node that is linked with another (node, root)."""
     rows = checkpointed(docs.select(docs[key].alias("key"), marked(docs[text]).alias("m")).select("key", "m.*"))
     classes = checkpointed(rows.where("node is not null").groupBy("node").agg(F.min("signature").alias("signature")))
-    pairs = checkpointed(forest_pairs(classes))
-    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    pairs, crowded = map(checkpointed, forest_pairs(classes))
+    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded).distinct()
     texts = docs.select(docs[text].alias("text")).where("text is not null")
     texts = texts.withColumn("node", digested("text")).where("node is not null")
     texts = texts.join(met, "node", "left_semi").dropDuplicates(["node"])
@@ -351,10 +403,12 @@ def find_components(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, Da
     first = pairs.groupBy("a").agg(F.max(rank)["b"].alias("b"))
     found = checkpointed(components(confirmed(first, sets)))
     # a link between two components joins their roots
-    between = confirmed(across(pairs, found), sets).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-    above = components(between).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    lone = above.join(found, above["root"] == found["node"], "left_anti").select(F.col("root").alias("node"), "root")
-    whole = found.union(lone).join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    roots = lambda links: links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    whole = raised(found, roots(confirmed(across(pairs, found), sets)))
+    if not crowded.isEmpty():
+        whole = checkpointed(whole)
+        rest = checkpointed(crowded_pairs(sets.join(crowded, "node", "left_semi"), whole))
+        whole = raised(whole, roots(confirmed(across(rest, whole), sets)))
     return rows.select("key", "n", "node"), whole
 
 

@@ -169,7 +169,7 @@ def test_a_group_that_many_tasks_share(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "150")
     try:
         classes = docs.select(near_duplicates.marked("text").alias("m")).select("m.node", "m.signature").cache()
-        pairs = near_duplicates.forest_pairs(classes).select("a", "b").collect()
+        pairs = near_duplicates.forest_pairs(classes)[0].select("a", "b").collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", parts)
     source = bytes(docs.where("doc_id = 0").select(near_duplicates.digested("text")).first()[0])
@@ -177,6 +177,32 @@ def test_a_group_that_many_tasks_share(spark):
     assert len({bytes(r.a) for r in pairs if bytes(r.b) == source}) == 300
 
 
+def test_near_copies_in_a_crowded_region(spark):
+    """Pairs of near copies among many documents that share 72 % of their words with all others."""
+    rng, rows = random.Random(7), []
+    shared = [f"s{k}" for k in range(288)]
+    for k in range(700):
+        own = [f"d{k}_{j}" for j in range(112)]
+        for copy in range(2):
+            edited = own[:]
+            at, size = 40 * copy, rng.choice([16, 20, 24, 40])
+            edited[at : at + size] = [f"e{k}_{copy}_{j}" for j in range(size)]
+            rows.append(" ".join(shared + edited))
+    rng.shuffle(rows)
+    rows = [*enumerate(rows)]
+    got = near_duplicates.mark_duplicates(spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], DOCS)).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r.component_id, set()).add(r.doc_id)
+    name = lambda text: text.split()[-1].split("_")[0]
+    sets = [{*zip(*(t.split()[i:] for i in range(5)), strict=False)} for _, t in rows]
+    pairs = {}
+    for k, t in rows:
+        pairs.setdefault(name(t), []).append(k)
+    want = {frozenset(p) for p in pairs.values() if 100 * len(sets[p[0]] & sets[p[1]]) >= 75 * len(sets[p[0]] | sets[p[1]])}
+    assert len(want) > 300 and {frozenset(g) for g in groups.values() if len(g) > 1} == want
+
+
 def test_neighbours_across_cuts(spark):
     """Rows of short tasks meet as if the order had no cuts."""
     rng = np.random.default_rng(3)
