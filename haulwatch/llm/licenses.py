@@ -5,8 +5,10 @@ the longest increasing subsequence of their places keeps those that are in the s
 aligned the same way, after what they share at their ends. The share of template words that are aligned is the coverage.
 
 A document may quote a license anywhere and more than once, so that its words are not unique in the whole text. A template is
-tried where enough of its distinct words occur in the document at all, around each place of the rarest of these, within
-stretches of about the template's length. Found spans of one template that overlap are one, with the best coverage.
+tried where enough of its distinct words occur in the document at all, around each place of the rarest of these: within a
+stretch of about the template's length, within the part of it that ends where the word's places of the next quotes are, so that
+adjacent quotes are told apart, and just where the quote would be if it were whole. The best of these counts; of found spans of
+one template that overlap, those of the best coverage are kept.
 
 Null and empty texts have no spans; templates without words match nothing. Rows are independent; repeated rows get the same
 spans each. Offsets are code points, the end exclusive.
@@ -17,6 +19,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -115,31 +118,54 @@ class Scanner:
 
     def spans(self, words: list[int], template: list[int]) -> list[tuple[int, int, float]]:
         """Word spans of a template in the words of a document (-1: in no template), with their coverage."""
-        used, m = set(template), len(template)
+        m, n_words = len(template), len(words)
+        slack = max(m // 2 + 4, int(m / DENSITY) - m + 1)
+        offsets: dict[int, list[int]] = {}
+        for k, w in enumerate(template):
+            offsets.setdefault(w, []).append(k)
         places: dict[int, list[int]] = {}
         for k, w in enumerate(words):
-            if w in used:
+            if w in offsets:
                 places.setdefault(w, []).append(k)
-        found = []
-        stretches = set()
-        for w in sorted(places, key=lambda w: (len(places[w]), template.index(w)))[:SEEDS]:
-            off, slack = template.index(w), m // 2 + 4
-            stretches |= {(max(0, k - off - slack), min(len(words), k - off + m + slack)) for k in places[w]}
-        last = -1
-        for lo, hi in sorted(stretches):
-            if hi <= last:
-                continue
-            pairs = align(words[lo:hi], template)
-            if len(pairs) >= COVERAGE * m:
-                first, past = lo + pairs[0][0], lo + pairs[-1][0] + 1
-                if len(pairs) >= DENSITY * (past - first):
-                    if found and first < found[-1][1]:
-                        first, past, best = min(first, found[-1][0]), max(past, found[-1][1]), found[-1][2]
-                        found[-1] = (first, past, max(best, len(pairs) / m))
-                    else:
-                        found.append((first, past, len(pairs) / m))
-                    last = past
-        return found
+        known = [0, *accumulate(w in offsets for w in words)]
+        tried: dict[tuple[int, int], tuple[float, int, int, int] | None] = {}
+
+        def quote(lo: int, hi: int) -> tuple[float, int, int, int] | None:
+            """Coverage, length (negative), start and end of the quote in a stretch."""
+            if known[hi] - known[lo] < COVERAGE * m:
+                return None
+            if (lo, hi) not in tried:
+                pairs = align(words[lo:hi], template)
+                tried[lo, hi] = None
+                if len(pairs) >= COVERAGE * m:
+                    first, past = lo + pairs[0][0], lo + pairs[-1][0] + 1
+                    if len(pairs) >= DENSITY * (past - first):
+                        tried[lo, hi] = (len(pairs) / m, first - past, first, past)
+            return tried[lo, hi]
+
+        found = set()
+        whole = bytearray(n_words)  # words of exact quotes
+        for w in sorted(places, key=lambda w: (len(places[w]), offsets[w][0]))[:SEEDS]:
+            at, own = places[w], offsets[w]
+            for n, k in enumerate(at):
+                for j, off in enumerate(own):
+                    if whole[k]:
+                        break
+                    lo, hi = max(0, k - off - slack), min(n_words, k - off + m + slack)
+                    before = at[n - j - 1] + 1 if n > j else 0
+                    after = at[n - j + len(own)] if n - j + len(own) < len(at) else n_words
+                    stretches = ((max(0, k - off), min(n_words, k - off + m)), (max(lo, before), min(hi, after)), (lo, hi))
+                    best = max((q for q in (quote(*s) for s in stretches) if q), key=lambda q: q[:2], default=None)
+                    if best:
+                        found.add(best)
+                        if best[:2] == (1, -m):
+                            whole[best[2] : best[3]] = b"\1" * m
+        taken, kept = bytearray(n_words), []
+        for coverage, length, first, past in sorted(found, key=lambda q: (-q[0], -q[1], q[2])):
+            if not any(taken[first:past]):
+                taken[first:past] = b"\1" * -length
+                kept.append((first, past, coverage))
+        return sorted(kept)
 
     def __call__(self, texts: Texts) -> pa.Array:
         """SPAN for each row of a block."""

@@ -278,3 +278,18 @@ def test_license_spans(spark, odd, empty):
     assert all(not r.licenses for r in licenses.scan_licenses(odd).collect())
     assert licenses.scan_licenses(empty).count() == 0
     assert all(not r.licenses for r in licenses.scan_licenses(rows, templates={"none": "", "dash": "--"}).collect())
+
+
+def scanned(text: str, name: str):
+    found = licenses.Scanner(licenses.TEMPLATES)(next(blocks(pa.array([text], pa.string())))).to_pylist()[0]
+    return [(s["start"], s["end"], s["coverage"]) for s in found if s["license"] == name]
+
+
+def test_adjacent_copies():
+    """Each of 2 to 50 copies in a row, in the middle of a text, is a span of its own."""
+    for name, template in licenses.TEMPLATES.items():
+        words = template.rstrip(".")
+        for n in (2, 3, 4, 7, 50):
+            text = f"{prose(1, 60)}\n" + f"{template}\n" * n + prose(2, 60)
+            starts = [m.start() for m in re.finditer(re.escape(words), text)]
+            assert scanned(text, name) == [(k, k + len(words), 1.0) for k in starts] and len(starts) == n, (name, n)
