@@ -5,7 +5,8 @@ the longest increasing subsequence of their places keeps those that are in the s
 aligned the same way, after what they share at their ends. The share of template words that are aligned is the coverage.
 
 A document may quote a license anywhere and more than once, so that its words are not unique in the whole text. A template is
-tried where enough of its distinct words occur in the document at all, around each place of the rarest of these: within a
+tried where enough of its distinct words occur in the document at all, around each place of its rarest words, so many of them
+that a quote of enough coverage cannot lack all of them: within a
 stretch of about the template's length, within the part of it that ends where the word's places of the next quotes are, so that
 adjacent quotes are told apart, and just where the quote would be if it were whole. The best of these counts; of found spans of
 one template that overlap, those of the best coverage are kept.
@@ -31,7 +32,7 @@ from haulwatch.llm.decontamination import IS_WORD
 
 #: Share of a template's words that must be aligned, and of the words of the span that must be aligned.
 COVERAGE, DENSITY = 0.8, 0.6
-#: How many of the template's rarest words are looked for.
+#: How many of the template's rarest words are looked for at least.
 SEEDS = 3
 SPAN = "array<struct<license:string,start:bigint,end:bigint,coverage:double>>"
 
@@ -145,8 +146,12 @@ class Scanner:
 
         found = set()
         whole = bytearray(n_words)  # words of exact quotes
-        for w in sorted(places, key=lambda w: (len(places[w]), offsets[w][0]))[:SEEDS]:
-            at, own = places[w], offsets[w]
+        left, seeds = m, 0  # template words that were not looked for yet
+        for w in sorted(offsets, key=lambda w: (len(places.get(w, ())), offsets[w][0])):
+            if seeds >= SEEDS and left < COVERAGE * m:
+                break
+            at, own = places.get(w, []), offsets[w]
+            left, seeds = left - len(own), seeds + bool(at)
             for n, k in enumerate(at):
                 for j, off in enumerate(own):
                     if whole[k]:

@@ -293,3 +293,13 @@ def test_adjacent_copies():
             text = f"{prose(1, 60)}\n" + f"{template}\n" * n + prose(2, 60)
             starts = [m.start() for m in re.finditer(re.escape(words), text)]
             assert scanned(text, name) == [(k, k + len(words), 1.0) for k in starts] and len(starts) == n, (name, n)
+
+
+def test_quotes_that_lack_the_rarest_words():
+    mit = licenses.TEMPLATES["MIT-text"].split()
+    part = " ".join(mit[len(mit) * 15 // 100 :])
+    got = scanned(f"{prose(1, 90)} {' '.join(mit)} {prose(2, 300)} {part} {prose(3, 90)}", "MIT-text")
+    assert len(got) == 2 and got[0][2] == 1.0 and 0.8 <= got[1][2] < 0.9
+    # one quote, and the words that it lacks once elsewhere
+    got = scanned(f"{' '.join(mit[:20])} {prose(4, 900)} {part} {prose(5, 90)}", "MIT-text")
+    assert len(got) == 1 and 0.8 <= got[0][2] < 0.9
