@@ -13,15 +13,17 @@ sidebars, notices, adverts, forms or reader comments, by tag, role, class or id,
 lists of links outside an article. Text blocks of the template are left out unless they make up a good part of the page, as
 in pages that are copies of each other; a group of fewer than LEAST distinct pages has no template.
 
-Groups don't depend on the number of tasks: hosts of many pages are first dealt into buckets by a hash of the page, then
-pages of a host and bucket are taken in the order of that hash, GROUP at a time. Null and empty pages have an empty text; an
-unreadable or null url is a host of its own. Repeated pages get the same text within their group.
+Groups are made of a host's distinct pages, whatever the number of tasks, of repeated rows or of other hosts' pages: hosts of
+many distinct pages are first dealt into buckets by a digest of the page, then pages of a host and bucket are taken in the order
+of that digest, GROUP at a time. Each distinct page is worked on once and its text joined to its rows. Null and empty pages have
+an empty text; an unreadable or null url is a host of its own.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GROUP, BUCKET, HOSTS = 64, 512, 10_000
+GROUP, BUCKET = 64, 512
 #: Distinct pages of a group with a template, share of them that a class must be in, and most of a page's text that it may be.
 LEAST, SHARE, MOST = 5, 0.8, 0.4
 
@@ -271,47 +273,63 @@ def texts_of_group(sources: list[str | None]) -> list[str]:
 def extract_text(pages: DataFrame, url: str = "url", html: str = "html", into: str = "text") -> DataFrame:
     """The rows without the column html, with a column into (replaced if there is one): the main text."""
     host = F.coalesce(F.lower(F.regexp_extract(pages[url].cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    rows = pages.withColumns({"__host": host, "__order": F.xxhash64(pages[url].cast("string"), pages[html])})
-    counts = rows.groupBy("__host").count()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    # at most HOSTS hosts can have more pages than this
-    large = max(BUCKET, -(-total // HOSTS))
-    hosts = counts.where(F.col("count") > large).select("__host", F.ceil(F.col("count") / large).alias("__buckets"))
-    rows = rows.join(F.broadcast(hosts), "__host", "left")
-    rows = rows.withColumn("__bucket", F.pmod(F.shiftright("__order", 8), F.coalesce("__buckets", F.lit(1)))).drop("__buckets")
-    rows = rows.repartition("__host", "__bucket").sortWithinPartitions("__host", "__bucket", "__order", html)
-    kept = [f for f in pages.schema.fields if f.name not in (html, into)]
-    schema = T.StructType([*kept, T.StructField(into, T.StringType())])
-    names = [f.name for f in kept]
-
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(group: pa.Table) -> pa.RecordBatch:
-            texts = texts_of_group(group.column(html).to_pylist())
-            columns = [group.column(name).combine_chunks() for name in names]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*names, into])
-
-        held: pa.Table | None = None
-        key = None
-        for batch in batches:
-            keys = [*zip(batch.column("__host").to_pylist(), batch.column("__bucket").to_pylist(), strict=True)]
-            lo = 0
-            while lo < len(keys):
-                hi = lo
-                while hi < len(keys) and keys[hi] == keys[lo]:
-                    hi += 1
-                part = pa.Table.from_batches([batch.slice(lo, hi - lo)])
-                if keys[lo] != key:
-                    if held is not None:
-                        yield out(held)
-                    held, key = part, keys[lo]
-                else:
-                    held = pa.concat_tables([held, part])
-                while held.num_rows >= GROUP + GROUP // 2:
-                    yield out(held.slice(0, GROUP))
-                    held = held.slice(GROUP)
-                lo = hi
-        if held is not None:
-            yield out(held)
-
-    columns = [*names, html, "__host", "__bucket"]
-    return rows.select(*columns).mapInArrow(extract, schema)
+    rows = pages.withColumns({"__host": host, "__page": F.substring(F.unhex(F.sha2(pages[html], 256)), 1, 16)})
+    there = rows.where("__page is not null")
+    counts = there.select("__host", "__page").distinct().groupBy("__host").count()
+    # one host for BUCKET distinct pages at most
+    hosts = counts.where(F.col("count") > BUCKET).select("__host", F.ceil(F.col("count") / BUCKET).alias("__buckets"))
+    sources = there.select("__host", "__page", F.col(html).alias("__html"))
+    sources = sources.mapInArrow(distinct_of_task, "__host string, __page binary, __html binary").join(F.broadcast(hosts), "__host", "left")
+    sources = sources.withColumn("__bucket", F.pmod(F.xxhash64("__page"), F.coalesce("__buckets", F.lit(1)))).drop("__buckets")
+    sources = sources.repartition("__host", "__bucket").sortWithinPartitions("__host", "__bucket", "__page")
+    texts = sources.mapInArrow(texts_of_task, "__host string, __page binary, __text binary")
+    kept = [f.name for f in pages.schema.fields if f.name not in (html, into)]
+    rows = rows.select(*kept, "__host", "__page").join(texts, ["__host", "__page"], "left")
+    return rows.select(*kept, F.coalesce(unpacked("__text"), F.lit("")).alias(into))
+
+
+@F.arrow_udf(T.StringType())
+def unpacked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield pa.array([None if x is None else zlib.decompress(x).decode() for x in batch.to_pylist()], pa.string())
+
+
+def distinct_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each host and page of a task, the page compressed."""
+    seen = set()
+    for batch in batches:
+        new = []
+        for k, key in enumerate(zip(batch.column("__host").to_pylist(), batch.column("__page").to_pylist(), strict=True)):
+            if key not in seen:
+                seen.add(key)
+                new.append(k)
+        found = batch.take(pa.array(new, pa.int64()))
+        raw = pa.array([zlib.compress(x.as_py().encode()) for x in found.column("__html")], pa.binary())
+        yield pa.record_batch({"__host": found.column("__host"), "__page": found.column("__page"), "__html": raw})
+
+
+def texts_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed texts of the distinct pages of sorted rows (__host, __page, __html, __bucket)."""
+
+    def out(host: str, group: list[tuple[bytes, str]]) -> pa.RecordBatch:
+        texts = texts_of_group([source for _, source in group])
+        pages = pa.array([page for page, _ in group], pa.binary())
+        return pa.record_batch({"__host": pa.array([host] * len(group), pa.string()), "__page": pages, "__text": pa.array([zlib.compress(x.encode()) for x in texts], pa.binary())})
+
+    held: list[tuple[bytes, str]] = []
+    key = None
+    for batch in batches:
+        names = zip(*(batch.column(name).to_pylist() for name in ("__host", "__bucket", "__page")), strict=True)
+        for k, (host, bucket, page) in enumerate(names):
+            if (host, bucket) != key:
+                if held:
+                    yield out(key[0], held)
+                held, key = [], (host, bucket)
+            elif page == held[-1][0]:  # sent by another task, too
+                continue
+            held.append((page, zlib.decompress(batch.column("__html")[k].as_py()).decode()))
+            if len(held) >= GROUP + GROUP // 2:
+                yield out(host, held[:GROUP])
+                held = held[GROUP:]
+    if held:
+        yield out(key[0], held)

@@ -73,6 +73,15 @@ def test_template_and_slots():
     assert all("same words" in t for t in html_text.texts_of_group(near))
 
 
+def test_repeated_pages_get_one_text(spark):
+    """A page repeated some hundred times loses its host's unnamed boilerplate like any other page, in all of its rows."""
+    page = lambda k: f"<body><div>Home of all</div><div>More of it</div><p>{f'Own words {k}. ' * 9}</p><div>The end</div></body>"
+    rows = [(k, f"http://h/{k}", page(k)) for k in range(40)] + [(k, f"http://h/{k}", page(7)) for k in range(100, 700)]
+    got = html_text.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert len(got) == 640
+    assert {r.text for r in got if r.page_id >= 100 or r.page_id == 7} == {("Own words 7. " * 9).strip()}
+
+
 def test_broken_pages():
     odd = [None, "", "plain text", "<p>a<p>b", "<article>x", "<!-- unclosed", "<script>var a", "<div class='ad'>only ad</div>", "<a<b>c", "&#x110000;&bogus;<p", "<ul><li>" * 500 + "deep"]
     assert html_text.texts_of_group(odd)[:8] == ["", "", "plain text", "a b", "x", "", "", ""]
