@@ -10,7 +10,7 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import SparkSession
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels")
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
