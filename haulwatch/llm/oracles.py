@@ -101,4 +101,37 @@ o AS (
 SELECT page_id, archive, position, "end" - size AS start, "end", leaf AS record_sha256, CASE WHEN damaged THEN 'corrupt' ELSE 'intact' END AS status FROM o
 """
 
-ORACLES = {"op2_decontamination": OP2, "op4_secret_scans": OP4, "op6_near_duplicates": OP6, "op10_warc_fixity": OP10}
+_NEAREST = """
+near{r} AS MATERIALIZED (
+  SELECT id, part, min(entry) AS entry, min(d) AS d FROM (
+    SELECT id, part, entry, d, min(d) OVER (PARTITION BY id, part) AS least
+    FROM (SELECT id, part, entry, sum((v - c) * (v - c)) AS d FROM x JOIN book{r} USING (part, place) GROUP BY ALL)
+  ) WHERE d = least GROUP BY id, part
+)"""
+_IMPROVED = """
+book{s} AS MATERIALIZED (
+  SELECT part, entry, place, CAST(coalesce((total - ((total % uses) + uses) % uses) // uses, c) AS BIGINT) AS c
+  FROM book{r} LEFT JOIN (
+    SELECT part, entry, place, sum(v) AS total, count(*) AS uses FROM near{r} JOIN x USING (id, part) GROUP BY ALL
+  ) USING (part, entry, place)
+)"""
+_ROUNDS = ",".join(_NEAREST.format(r=r) + "," + _IMPROVED.format(r=r, s=r + 1) for r in range(6)) + "," + _NEAREST.format(r=6)
+
+OP12 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS id, vec_id, embedding, label FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+x AS MATERIALIZED (
+  SELECT id, (p - 1) // (len(embedding) // 8) AS part, (p - 1) % (len(embedding) // 8) AS place, CAST(floor(4096 * CAST(embedding[p] AS DOUBLE)) AS BIGINT) AS v
+  FROM kept, unnest(range(1, len(embedding) + 1)) AS t(p)
+),
+book0 AS MATERIALIZED (SELECT part, id - 1 AS entry, place, v AS c FROM x WHERE id <= 16),
+{_ROUNDS},
+coded AS (SELECT id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near6 GROUP BY id),
+books AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, place)) AS h FROM book6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT h FROM books) AS codebooks_sha256
+FROM kept JOIN coded USING (id)
+"""
+
+ORACLES = {"op2_decontamination": OP2, "op4_secret_scans": OP4, "op6_near_duplicates": OP6, "op10_warc_fixity": OP10, "op12_vector_codes": OP12}
