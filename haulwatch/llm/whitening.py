@@ -21,15 +21,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg import DenseMatrix
+from pyspark.mllib.linalg import DenseMatrix, MatrixUDT
 from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from haulwatch.llm.arrays import lists
 from haulwatch.llm.storage import checkpointed
 from haulwatch.llm.vectors import matrix, padded, usable, whole
 
@@ -38,6 +40,14 @@ COMPONENTS, SCALE, SHIFT = 8, 1024, 100_000
 BLOCK_VALUES, SPLIT_BLOCKS = 1 << 18, 16
 #: Columns of a block; a longer vector has several.
 BLOCK_COLUMNS = 1024
+#: What MatrixUDT holds, as Arrow sees it.
+BLOCK = pa.schema([
+    ("at", pa.struct([("i", pa.int64()), ("j", pa.int64())])),
+    ("block", pa.struct([
+        ("type", pa.int8()), ("numRows", pa.int32()), ("numCols", pa.int32()), ("colPtrs", pa.list_(pa.int32())),
+        ("rowIndices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64())), ("isTransposed", pa.bool_()),
+    ])),
+])
 #: Share of the trace below which an eigenvalue is 0.
 NOTHING = 1e-12
 
@@ -94,15 +104,20 @@ def centred(x: np.ndarray, of: Totals) -> np.ndarray:
 
 
 def block_matrix(rows: DataFrame, of: Totals, block: int, last: int) -> BlockMatrix:
-    """The centred rows (index, x), in order of index within each task, as blocks."""
+    """The centred rows (index, x), in order of index within each task, as blocks; they go to the JVM as Arrow columns of matrices."""
     width = len(of.sums)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(number: int, values: np.ndarray) -> pa.RecordBatch:
-            columns = range(-(-width // BLOCK_COLUMNS))
-            raw = [np.asfortranarray(values[:, c * BLOCK_COLUMNS : (c + 1) * BLOCK_COLUMNS]).tobytes("F") for c in columns]
-            return pa.RecordBatch.from_arrays([pa.array([number] * len(raw), pa.int64()), pa.array(columns, pa.int64()), pa.array(raw, pa.binary())], names=["i", "j", "raw"])
+    def told(number: int, values: np.ndarray) -> pa.RecordBatch:
+        starts = range(0, width, BLOCK_COLUMNS)
+        parts = [values[:, c : c + BLOCK_COLUMNS] for c in starts]
+        numbers = pa.StructArray.from_arrays([pa.array([number] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int64())], fields=list(BLOCK.field(0).type))
+        ints = lambda v: pa.array(v, pa.int32())
+        held = lists(np.concatenate([p.ravel("F") for p in parts]), np.array([p.size for p in parts]))
+        none = pa.nulls(len(parts), pa.list_(pa.int32()))
+        dense = [pa.array([1] * len(parts), pa.int8()), ints([block] * len(parts)), ints([p.shape[1] for p in parts]), none, none, held, pa.array([False] * len(parts))]
+        return pa.RecordBatch.from_arrays([numbers, pa.StructArray.from_arrays(dense, fields=list(BLOCK.field(1).type))], schema=BLOCK)
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, values = None, None
         for batch in batches:
             index, x = batch.column(0).to_numpy(), centred(matrix(batch.column(1), width), of)
@@ -116,12 +131,10 @@ def block_matrix(rows: DataFrame, of: Totals, block: int, last: int) -> BlockMat
         if number is not None:
             yield told(number, values)
 
-    def made(r) -> tuple[tuple[int, int], DenseMatrix]:
-        values = np.frombuffer(r.raw)
-        return (r.i, r.j), DenseMatrix(block, len(values) // block, values)
-
-    blocks = rows.select("index", "x").mapInArrow(cut, "i bigint, j bigint, raw binary").rdd.map(made)
-    return BlockMatrix(blocks, block, min(width, BLOCK_COLUMNS), last, width)
+    at = T.StructType([T.StructField("i", T.LongType()), T.StructField("j", T.LongType())])
+    blocks = rows.select("index", "x").mapInArrow(cut, T.StructType([T.StructField("at", at), T.StructField("block", MatrixUDT())]))
+    side = min(width, BLOCK_COLUMNS)
+    return BlockMatrix(callMLlibFunc("createBlockMatrix", blocks, block, side, last, width), block, side)
 
 
 def scatter(x: BlockMatrix, n_splits: int) -> np.ndarray:
@@ -134,7 +147,7 @@ def scatter(x: BlockMatrix, n_splits: int) -> np.ndarray:
 
 def on_axes(x: BlockMatrix, axes: np.ndarray) -> DataFrame:
     """(index, w): the rows multiplied by the axes."""
-    context = x.blocks.context
+    context = SparkContext.getOrCreate()
     side = x.colsPerBlock
     parts = [((k, 0), DenseMatrix(len(p), p.shape[1], p.ravel("F"))) for k in range(-(-len(axes) // side)) for p in [axes[k * side : (k + 1) * side]]]
     right = BlockMatrix(context.parallelize(parts, 1), side, axes.shape[1], len(axes), axes.shape[1])
