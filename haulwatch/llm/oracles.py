@@ -25,22 +25,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-OP6 = rf"""
+_ALIKE = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {{width}} - 1], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - {{width}} + 1, 1) + 1)) AS t(i) WHERE len(w) > 0
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
 links AS (
-  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c.n >= {{percent}} * (x.n + y.n - c.n)
 ),
 reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
-SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, CAST(least(doc_id, coalesce(m, doc_id)) AS BIGINT) AS component_id,
-  doc_id <= coalesce(m, doc_id) AS kept
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, CAST(least(doc_id, coalesce(m, doc_id)) AS BIGINT) AS component_id{{kept}}
 FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
 """
 
+OP6 = _ALIKE.format(width=5, percent=75, kept=", doc_id <= coalesce(m, doc_id) AS kept")
+OP11 = _ALIKE.format(width=4, percent=85, kept="")
+
 _KINDS = {
     "assign": (r"""(?:(?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 1, 12),
     "access": (r"AKIA[A-Z0-9]+", 0, 18),
@@ -134,4 +136,4 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM kept JOIN coded USING (id)
 """
 
-ORACLES = {"op2_decontamination": OP2, "op4_secret_scans": OP4, "op6_near_duplicates": OP6, "op10_warc_fixity": OP10, "op12_vector_codes": OP12}
+ORACLES = {"op2_decontamination": OP2, "op4_secret_scans": OP4, "op6_near_duplicates": OP6, "op10_warc_fixity": OP10, "op11_ngram_join": OP11, "op12_vector_codes": OP12}

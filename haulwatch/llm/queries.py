@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm import decontamination, html_text, licenses, near_duplicates, pieces, quality_model, quality_rules, secret_scans, storage, token_counts, vector_codes, warc, whitening
+from haulwatch.llm import decontamination, html_text, licenses, near_duplicates, pieces, quality_model, quality_rules, secret_scans, shingle_join, storage, token_counts, vector_codes, warc, whitening
 from haulwatch.llm.oracles import ORACLES  # noqa: F401
 
 #: Vocabulary files; a deployment names its own.
@@ -106,6 +106,11 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key").alias("page_id"), "archive", "position", "start", "end", F.col("leaf").alias("record_sha256"), F.coalesce("status", F.lit("intact")).alias("status"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shingle_join.join_similar(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     return vector_codes.compress(vectors).select("vec_id", "codes.*")
@@ -116,4 +121,4 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(vectors).select("vec_id", F.inline("whitened"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_html_extraction, op4_secret_scans, op5_quality_classifier, op6_near_duplicates, op7_sentencepiece, op8_quality_rules, op9_license_scans, op10_warc_fixity, op12_vector_codes, op13_embedding_whitening)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_html_extraction, op4_secret_scans, op5_quality_classifier, op6_near_duplicates, op7_sentencepiece, op8_quality_rules, op9_license_scans, op10_warc_fixity, op11_ngram_join, op12_vector_codes, op13_embedding_whitening)}
