@@ -46,6 +46,8 @@ PARTNERS = 2
 #: Sets of a key that one task compares with others.
 TASK_SETS = 2048
 SKETCH = 16  # 64-bit words
+#: Rows at most of the table of bits by which texts that nothing asks for are left out before a shuffle (sent to all tasks).
+BIT_WORDS = 1 << 19
 
 
 def allowed(size):
@@ -61,6 +63,10 @@ def allowed_sql(size: str) -> str:
     return f"({100 - PERCENT} * ({size} + 100 * {size} div {PERCENT}) div {100 + PERCENT})"
 
 
+#: Keys that a set (n) shares at least with any link of it: what the smallest set that can be one needs.
+ENOUGH = f"1 + {allowed_sql(f'(({PERCENT} * n + 99) div 100)')} div {SLACK}"
+
+
 class ShingleSets:
     """Distinct shingle hashes of each row of a block, in order, and where each row's begin."""
 
@@ -207,8 +213,7 @@ def met_often(rows: DataFrame) -> DataFrame:
     keys = classes.select(F.xxhash64("node").alias("nid"), both.alias("s")).select("nid", "s.own", F.explode("s.keys").alias("key")).repartition("key")
     shared = keys.join(keys.groupBy("key").count().where("count > 1"), "key", "left_semi")
     shared = shared.groupBy("nid").agg(F.count_if("own").alias("n_own"), F.count_if(~F.col("own")).alias("n_below"))
-    enough = F.expr(f"1 + {allowed_sql(f'(({PERCENT} * n + 99) div 100)')} div {SLACK}")  # as the smallest partner needs
-    found = rows.where("node is not null").withColumn("nid", F.xxhash64("node")).join(shared, "nid").where(F.greatest("n_own", "n_below") >= enough)
+    found = rows.where("node is not null").withColumn("nid", F.xxhash64("node")).join(shared, "nid").where(F.greatest("n_own", "n_below") >= F.expr(ENOUGH))
     return found.groupBy("node").agg(F.first("n").alias("n"), F.min("tid").alias("tid"))
 
 
@@ -226,13 +231,14 @@ def dear_probes(members: DataFrame, dear: DataFrame, index: DataFrame, uses: Dat
     """For the sets that pay dearly with equal segments alone, probes (key, alike, node) with neighbourhoods: alike 0 asks for whole
     segments, 1 for the indexed ones with a deletion; and that index (key, node)."""
     mine = members.join(dear.select("node"), "node", "left_semi").select("node", "n", F.posexplode("own").alias("segment", "key"))
-    near = index.join(mine.select("key").distinct(), "key", "left_semi").select("node").distinct()
+    asked = checkpointed(mine.select("key").distinct())
+    near = index.join(asked, "key", "left_semi").groupBy("node").count().join(members.select("node", "n", "text"), "node").where(F.col("count") >= F.expr(ENOUGH))
     made = block_udf(neighbourhood, segment=LONGS, own=LONGS, below=LONGS)
-    made = checkpointed(members.join(near, "node", "left_semi").select("node", "n", made("text").alias("m")).select("node", "n", "m.*"))
-    lacking = exploded(made, "own", "below").select("key", "node").distinct()
-    of_mine = made.join(dear.select("node"), "node", "left_semi").select("node", F.explode(F.arrays_zip("segment", "own")).alias("d"))
-    of_mine = of_mine.select("node", F.col("d.segment").alias("segment"), F.col("d.own").alias("key")).join(uses, "key")  # what no one has costs nothing
-    lacking = checkpointed(lacking.join(mine.select("key").distinct(), "key", "left_semi"))
+    lacking = exploded(near.select("node", "n", made("text").alias("m")).select("node", "n", "m.*"), "own", "below")
+    lacking = checkpointed(lacking.join(asked, "key", "left_semi").select("key", "node").distinct())
+    of_mine = members.join(dear.select("node"), "node", "left_semi").select("node", made("text").alias("m")).select("node", "m.*")
+    of_mine = of_mine.select("node", F.explode(F.arrays_zip("segment", "own")).alias("d")).select("node", F.col("d.segment").alias("segment"), F.col("d.own").alias("key"))
+    of_mine = checkpointed(of_mine.join(uses, "key"))  # what nobody has costs nothing
     first = mine.join(uses, "key").withColumn("cost", F.col("uses") - 1).drop("uses")
     second = first.join(lacking.groupBy("key").agg(F.count("*").alias("others")), "key", "left")
     second = second.join(of_mine.groupBy("node", "segment").agg(F.sum("uses").alias("mine")), ["node", "segment"], "left")
@@ -289,11 +295,20 @@ def pairs_across(members: DataFrame, probes: DataFrame, index: DataFrame, found:
     return meet(left.where("not main_a"), right).union(meet(left.where("main_a"), right.where("not main_b"))).distinct()
 
 
+def asked_for(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose tid is in wanted, and others with the same bit; where there are very many tids, that may be most of them."""
+    bit = lambda: F.pmod(F.xxhash64("tid"), F.lit(64 * BIT_WORDS))
+    bits = wanted.select((bit() % 64).cast("int").alias("place"), F.floor(bit() / 64).alias("word"))
+    bits = bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
+    rows = rows.withColumns({"place": (bit() % 64).cast("int"), "word": F.floor(bit() / 64)}).join(F.broadcast(bits), "word")
+    return rows.where(F.expr("shiftright(bits, place) & 1 = 1")).drop("word", "bits", "place")
+
+
 def joined_sets(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """(node, root) of each set that links with another, from rows (node, n, tid, own, below)."""
     alive = checkpointed(met_often(rows))
     texts = docs.select(docs[text].alias("text"), F.unhex(F.md5(docs[text])).alias("tid"))
-    texts = texts.join(alive, "tid").groupBy("node", "n").agg(F.first("text").alias("text"))
+    texts = asked_for(texts, alive).join(alive, "tid").groupBy("node", "n").agg(F.first("text").alias("text"))
     detail = block_udf(sketched, sketch=LONGS, own=LONGS, below=LONGS)
     members = checkpointed(texts.select("node", "n", "text", detail("text").alias("m")).select("node", "n", "text", "m.*"))
     index = checkpointed(exploded(members, "own", "below").select("key", "node"))
