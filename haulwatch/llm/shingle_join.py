@@ -16,7 +16,7 @@ have. A set is indexed in the scheme of its band, and in the one below if a part
    sets that share a key with such a set.
 3. First each set is compared with the sets that stand for its keys, those that share most with others. Whatever is connected then
    need not meet again: of each key paid for, only sets of different components meet, none with its like in the key's commonest
-   component. Most pairs are no links; a parity sketch of 1,024 bits, whose difference is never larger than that of the sets,
+   component. Most pairs are no links; a parity sketch of 512 bits, whose difference is never larger than that of the sets,
    tells so inside the join. Large keys are spread over tasks.
 4. All pairs left are confirmed on the words of their texts, and components are found from the links.
 
@@ -44,8 +44,8 @@ SLACK = 4
 #: Sets that stand for keys, with which a set is compared first.
 PARTNERS = 2
 #: Sets of a key that one task compares with others.
-TASK_SETS = 2048
-SKETCH = 16  # 64-bit words
+TASK_SETS = 8192
+SKETCH = 8  # 64-bit words
 #: Rows at most of the table of bits by which texts that nothing asks for are left out before a shuffle (sent to all tasks).
 BIT_WORDS = 1 << 19
 
@@ -211,7 +211,8 @@ def met_often(rows: DataFrame) -> DataFrame:
     classes = rows.where("size(own) + size(below) > 0").groupBy("node").agg(F.first("own").alias("own"), F.first("below").alias("below"))
     both = F.explode(F.array(F.struct(F.lit(True).alias("own"), F.col("own").alias("keys")), F.struct(F.lit(False).alias("own"), F.col("below").alias("keys"))))
     keys = classes.select(F.xxhash64("node").alias("nid"), both.alias("s")).select("nid", "s.own", F.explode("s.keys").alias("key")).repartition("key")
-    shared = keys.join(keys.groupBy("key").count().where("count > 1"), "key", "left_semi")
+    some = keys.groupBy("key").agg(F.min("nid").alias("least"), F.max("nid").alias("most"), F.bool_or("own").alias("probed"))  # all columns: one shuffle serves both sides
+    shared = keys.join(some.where("least != most and probed").select("key"), "key", "left_semi")
     shared = shared.groupBy("nid").agg(F.count_if("own").alias("n_own"), F.count_if(~F.col("own")).alias("n_below"))
     found = rows.where("node is not null").withColumn("nid", F.xxhash64("node")).join(shared, "nid").where(F.greatest("n_own", "n_below") >= F.expr(ENOUGH))
     return found.groupBy("node").agg(F.first("n").alias("n"), F.min("tid").alias("tid"))
@@ -286,13 +287,15 @@ def pairs_across(members: DataFrame, probes: DataFrame, index: DataFrame, found:
     told = members.select("node", F.struct("n", "sketch").alias("of"))
     left = probes.join(mixed, ["key", "alike"]).join(told, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
     right = index.join(mixed, ["key", "alike"]).join(told, "node").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    left = checkpointed(left.select("key", "alike", "salt", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("of").alias("of_a"), (F.col("root") == F.col("main")).alias("main_a")))
-    right = checkpointed(right.select("key", "alike", "salt", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("of").alias("of_b"), (F.col("root") == F.col("main")).alias("main_b")))
+    # side 0 of the index are the sets that are not of the key's main component, side 1 those that are: these meet no set of it
+    main = F.col("root") == F.col("main")
+    left = left.withColumn("side", F.explode(F.when(main, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
+    right = right.withColumn("side", main.cast("int"))
+    of = lambda rows, name: rows.select("key", "alike", "salt", "side", *(F.col(c).alias(f"{c}_{name}") for c in ("node", "root", "of")))
     a, b = F.col("of_a"), F.col("of_b")
-    ordered = (a["n"] < b["n"]) | ((a["n"] == b["n"]) & (F.col("a") < F.col("b")))
-    good = (F.col("root_a") != F.col("root_b")) & ordered & can_link(a, b)
-    meet = lambda left, right: left.join(right, ["key", "alike", "salt"]).where(good).select("a", "b")
-    return meet(left.where("not main_a"), right).union(meet(left.where("main_a"), right.where("not main_b"))).distinct()
+    ordered = (a["n"] < b["n"]) | ((a["n"] == b["n"]) & (F.col("node_a") < F.col("node_b")))
+    met = of(left, "a").join(of(right, "b"), ["key", "alike", "salt", "side"]).where((F.col("root_a") != F.col("root_b")) & ordered & can_link(a, b))
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def asked_for(rows: DataFrame, wanted: DataFrame) -> DataFrame:
