@@ -210,9 +210,10 @@ def met_often(rows: DataFrame) -> DataFrame:
     """(node, n, tid) of the sets that share enough keys with others, from rows (node, n, tid, own, below)."""
     classes = rows.where("size(own) + size(below) > 0").groupBy("node").agg(F.first("own").alias("own"), F.first("below").alias("below"))
     both = F.explode(F.array(F.struct(F.lit(True).alias("own"), F.col("own").alias("keys")), F.struct(F.lit(False).alias("own"), F.col("below").alias("keys"))))
-    keys = classes.select(F.xxhash64("node").alias("nid"), both.alias("s")).select("nid", "s.own", F.explode("s.keys").alias("key")).repartition("key")
-    some = keys.groupBy("key").agg(F.min("nid").alias("least"), F.max("nid").alias("most"), F.bool_or("own").alias("probed"))  # all columns: one shuffle serves both sides
-    shared = keys.join(some.where("least != most and probed").select("key"), "key", "left_semi")
+    keys = classes.select(F.xxhash64("node").alias("nid"), both.alias("s")).select("nid", "s.own", F.explode("s.keys").alias("key"))
+    of_key = Window.partitionBy("key")  # as many rows as sets that have the key, a segment's share of all rows at most
+    shared = keys.withColumns({"least": F.min("nid").over(of_key), "most": F.max("nid").over(of_key), "probed": F.bool_or("own").over(of_key)})
+    shared = shared.where("least != most and probed")
     shared = shared.groupBy("nid").agg(F.count_if("own").alias("n_own"), F.count_if(~F.col("own")).alias("n_below"))
     found = rows.where("node is not null").withColumn("nid", F.xxhash64("node")).join(shared, "nid").where(F.greatest("n_own", "n_below") >= F.expr(ENOUGH))
     return found.groupBy("node").agg(F.first("n").alias("n"), F.min("tid").alias("tid"))
@@ -313,7 +314,8 @@ def joined_sets(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     texts = docs.select(docs[text].alias("text"), F.unhex(F.md5(docs[text])).alias("tid"))
     texts = asked_for(texts, alive).join(alive, "tid").groupBy("node", "n").agg(F.first("text").alias("text"))
     detail = block_udf(sketched, sketch=LONGS, own=LONGS, below=LONGS)
-    members = checkpointed(texts.select("node", "n", "text", detail("text").alias("m")).select("node", "n", "text", "m.*"))
+    number = F.monotonically_increasing_id()  # shorter than a digest
+    members = checkpointed(texts.select(number.alias("node"), F.col("node").alias("class"), "n", "text", detail("text").alias("m")).select("node", "class", "n", "text", "m.*"))
     index = checkpointed(exploded(members, "own", "below").select("key", "node"))
     uses = checkpointed(index.groupBy("key").agg(F.count("*").alias("uses")))
     costs = checkpointed(priced(members, uses.where("uses > 1")))
@@ -331,7 +333,10 @@ def joined_sets(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     rest = checkpointed(pairs_across(members, probes, index, found))
     rooted = lambda side: found.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
     links = confirmed(rest, members).join(rooted("a"), "a", "left").join(rooted("b"), "b", "left")
-    return raised(found, links.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    found = raised(found, links.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    named = lambda side: members.select(F.col("node").alias(side), F.col("class").alias(f"{side}_class"))
+    found = found.join(named("node"), "node").join(named("root"), "root")
+    return found.select(F.col("node_class").alias("node"), F.col("root_class").alias("root"))
 
 
 def join_similar(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
