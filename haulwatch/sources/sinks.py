@@ -44,6 +44,18 @@ def write_json(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def split_late(write: Callable[[DataFrame, int], None], write_late: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer for results with ``late=True``: late reports go to a writer of their own, results without ``late_t``."""
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        write(batch.filter("late_t is null").drop("late_t"), batch_id)
+        write_late(batch.filter("late_t is not null"), batch_id)
+        batch.unpersist()
+
+    return both
+
+
 def stream_out(df: DataFrame, fmt: str, checkpoint: str, options: dict[str, str] | None = None,
                interval: str | None = "5 seconds", key_col: str | None = None):
     """Start a checkpointed query that writes JSON records to any connector; ``interval=None`` drains what is there."""

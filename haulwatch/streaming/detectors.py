@@ -1,22 +1,18 @@
 """Streaming forms of the detectors: narrow work and static joins in the JVM, then one keyed-state step.
 
 Input is a streaming DataFrame of enriched positions with ``row_key``. State lives in the state store; each result
-equals that of the batch plan as long as a vehicle's reports arrive in time order. A report older than the last
-one of its key is ignored. Every result carries the triggering report as JSON in ``report``. ``**state`` goes to
-``keyed``: with ``expire_s``, silent keys lose their state.
+equals that of the batch plan as long as a vehicle's reports arrive in time order, or with ``delay_s`` at most so late.
+Every result carries the triggering report as JSON in ``report``. ``**state`` goes to ``keyed``: with ``expire_s``, silent
+keys lose their state; with ``delay_s``, reports are put in order first; with ``late=True``, late reports come out, too, as rows
+with ``late_t``.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from haulwatch.functions.timefn import epoch
 from haulwatch.operators.lookups import lookup, one_per_key, permitted_sites, supervised, valid_sites
@@ -25,127 +21,18 @@ from haulwatch.operators.spatial import near_ids, points_in_fences, route_points
 from haulwatch.plans import alarms
 from haulwatch.plans.off_route import PERMIT, with_permit_id
 from haulwatch.streaming import transitions
+from haulwatch.streaming.keyed import EVENT_TIME, StatusStep, keyed, timed
 
-STATE = T.StructType(
-    [T.StructField("t", T.LongType()), T.StructField("row_key", T.LongType()), T.StructField("state", T.StringType())]
-)
 ALARM_FIELDS = {
     "row_key": "bigint", "alarm_start_t": "bigint", "alarm_start_lng": "double", "alarm_start_lat": "double",
     "alarm_end_t": "bigint", "alarm_end_lng": "double", "alarm_end_lat": "double", "report": "string",
 }
 
 
-class KeyedStep(StatefulProcessor):
-    """Applies a transition to a key's reports in time order and keeps its state between batches."""
-
-    def __init__(
-        self, step: Callable, columns: Sequence[str], keys: Sequence[str], last_only: bool = False,
-        order: Sequence[str] = ("t", "row_key"), expire_s: int | None = None,
-    ):
-        self.step, self.columns, self.keys, self.last_only = step, list(columns), list(keys), last_only
-        self.order, self.expire_s = list(order), expire_s
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        ttl = {} if self.expire_s is None else {"ttlDurationMs": self.expire_s * 1000}
-        self.held = handle.getValueState("held", STATE, **ttl)
-
-    def _load(self) -> tuple[tuple[int, int] | None, dict]:
-        if not self.held.exists():
-            return None, {}
-        t, row_key, state = self.held.get()
-        return (t, row_key), json.loads(state)
-
-    def _frame(self, key, rows: list[dict]) -> Iterator[pd.DataFrame]:
-        if rows:
-            named = [dict(zip(self.keys, key, strict=True)) | r for r in rows]
-            yield pd.DataFrame({c: pd.Series([r.get(c) for r in named], dtype="object") for c in self.columns})
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last, state = self._load()
-        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        out: list[dict] = []
-        for r in batch.drop(columns=self.keys).to_dict("records"):
-            at = (int(r["t"]), int(r["row_key"]))
-            if last is not None and at < last:
-                continue
-            r = {k: _plain(v) for k, v in r.items()}
-            state, emitted = self.step(state, r)
-            out += emitted
-            last = at
-        if last is not None:
-            self.held.update((*last, json.dumps(state)))
-        self.after(last)
-        yield from self._frame(key, out[-1:] if self.last_only else out)
-
-    def after(self, last: tuple[int, int] | None) -> None:
-        """Called once per key and batch."""
-
-    def close(self) -> None:
-        pass
-
-
-class StatusStep(KeyedStep):
-    """Vehicle status with an event-time timer that reports a silent vehicle as offline."""
-
-    def __init__(self, *args, offline_s: int = 180, **kw):
-        super().__init__(*args, **kw)
-        self.offline_s = offline_s
-
-    def after(self, last) -> None:
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        if last is not None:
-            self.handle.registerTimer((last[0] + self.offline_s + 1) * 1000)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        last, state = self._load()
-        if last is None:
-            return
-        state["offline"] = True
-        self.held.update((*last, json.dumps(state)))
-        yield from self._frame(key, [{
-            "t": last[0], "row_key": last[1], "vehicle_status": 1, "online_time": state["online"],
-            "online_status": state.get("moving", 1),
-        }])
-
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        seed = initialState.iloc[0]
-        state = {"t": int(seed["t"]), "online": int(seed["online_time"]), "zero": None, "offline": False}
-        self.held.update((state["t"], -1, json.dumps(state)))
-        self.after((state["t"], -1))
-
-
-def _plain(v):
-    if hasattr(v, "tolist"):
-        return v.tolist()
-    return None if isinstance(v, float) and v != v else v
-
-
 def _report(d: DataFrame) -> DataFrame:
     """Whole seconds in ``t`` and the row itself as JSON in ``report``."""
     whole = F.to_json(F.struct(*d.columns), {"timestampFormat": "yyyy-MM-dd HH:mm:ss"})
-    return d.filter(F.col("vehicle_id").isNotNull()).withColumns({"t": epoch("time"), "report": whole})
-
-
-def _schema(d: DataFrame, keys: Sequence[str], fields: dict[str, str]) -> T.StructType:
-    types = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType(), "int": T.IntegerType()}
-    key_fields = [T.StructField(k, d.schema[k].dataType) for k in keys]
-    return T.StructType(key_fields + [T.StructField(n, types[t]) for n, t in fields.items()])
-
-
-def keyed(
-    d: DataFrame, keys: Sequence[str], step: Callable, fields: dict[str, str], expire_s: int | None = None, **kw
-) -> DataFrame:
-    """Run a transition per key; ``d`` already holds only the columns the transition needs.
-
-    With ``expire_s``, the state of a key that has been silent for so many seconds (of the clock) is removed.
-    """
-    schema = _schema(d, keys, fields)
-    return d.groupBy(*keys).transformWithStateInPandas(
-        KeyedStep(step, schema.names, keys, expire_s=expire_s, **kw), schema, outputMode="Update",
-        timeMode="None" if expire_s is None else "ProcessingTime",
-    )
+    return timed(d.filter(F.col("vehicle_id").isNotNull()).withColumns({"t": epoch("time"), "report": whole}))
 
 
 def _as_alarm(df: DataFrame, code: str) -> DataFrame:
@@ -153,29 +40,39 @@ def _as_alarm(df: DataFrame, code: str) -> DataFrame:
     return df.withColumns({"illegal_type_code": F.lit(code), **times}).drop("alarm_start_t", "alarm_end_t")
 
 
-CORE = ["t", "row_key", "lng", "lat", "report"]
+POINT = "row_key: bigint, t: bigint, lng: double, lat: double, report: string"
+FENCES = "fences map<string, struct<active: bigint, fired: bigint>>"
+CORE = ["t", "row_key", "lng", "lat", "report", EVENT_TIME]
 
 
 def stream_no_register(d: DataFrame, card: DataFrame, **state) -> DataFrame:
     without = lookup(_report(supervised(d)), card.filter("state = 0").select(*VEHICLE), VEHICLE, "left_anti")
-    out = keyed(without.select(*VEHICLE, *CORE), VEHICLE, transitions.first_of_day, ALARM_FIELDS, **state)
+    out = keyed(without.select(*VEHICLE, *CORE), VEHICLE, transitions.first_of_day, "day bigint", ALARM_FIELDS, **state)
     return _as_alarm(out, alarms.NO_REGISTER)
 
 
 def stream_gps_gap(d: DataFrame, max_m: float = 2000.0, **state) -> DataFrame:
     d = _report(supervised(d)).select(*VEHICLE, *CORE)
-    return _as_alarm(keyed(d, VEHICLE, partial(transitions.gps_gap, max_m=max_m), ALARM_FIELDS, **state), alarms.GPS_GAP)
+    step = partial(transitions.gps_gap, max_m=max_m)
+    return _as_alarm(keyed(d, VEHICLE, step, f"last struct<{POINT}>, day bigint", ALARM_FIELDS, **state), alarms.GPS_GAP)
 
 
 def _stream_fence(d: DataFrame, rules: DataFrame, violating: Column, code: str, cooldown_s: int, **state) -> DataFrame:
     inside = points_in_fences(_report(supervised(d)), one_per_key(rules, ["dept_id", "condition_id"]))
-    key = [*VEHICLE, "condition_id"]
     flagged = inside.select(
-        *key, *CORE, F.coalesce(violating, F.lit(False)).alias("violating"), F.col("rule.alarm_date").alias("minutes")
+        *VEHICLE, "condition_id", F.lit(code).alias("kind"), *CORE, F.coalesce(violating, F.lit(False)).alias("violating"),
+        F.col("rule.alarm_date").alias("minutes"),
     )
-    step = partial(transitions.sustained, cooldown_s=cooldown_s, from_start=code != alarms.FILE_CONTROL)
-    out = _as_alarm(keyed(flagged, key, step, ALARM_FIELDS, **state), code)
-    return out.withColumn("fence_id", F.col("condition_id").cast("string"))
+    return _fence_alarms(flagged, cooldown_s, code != alarms.FILE_CONTROL, **state)
+
+
+def _fence_alarms(flagged: DataFrame, cooldown_s: int, from_start: bool = True, **state) -> DataFrame:
+    """One state for all fences of a vehicle."""
+    id_type = flagged.schema["condition_id"].dataType.simpleString()
+    fields = {"condition_id": id_type, "kind": "string", **ALARM_FIELDS}
+    step = partial(transitions.per_fence, cooldown_s=cooldown_s, from_start=from_start)
+    out = _as_alarm(keyed(flagged, VEHICLE, step, FENCES, fields, order=("t", "row_key", "condition_id", "kind"), **state), "")
+    return out.withColumns({"fence_id": F.col("condition_id").cast("string"), "illegal_type_code": F.col("kind")}).drop("kind")
 
 
 def stream_work_time(d: DataFrame, rules: DataFrame, cooldown_s: int = alarms.COOLDOWN_S, **state) -> DataFrame:
@@ -201,14 +98,11 @@ def stream_fences(
     """Work-time, restricted-zone and overspeed alarms in one query with one state store."""
     inside = points_in_fences(_report(supervised(d)), alarms.fence_rules(work_time, restricted, over_speed))
     inside = inside.withColumn("kind", F.col("rule.kind"))
-    key = [*VEHICLE, "condition_id", "kind"]
     flagged = inside.select(
-        *key, *CORE, F.coalesce(alarms.any_fence_broken(), F.lit(False)).alias("violating"),
+        *VEHICLE, "condition_id", "kind", *CORE, F.coalesce(alarms.any_fence_broken(), F.lit(False)).alias("violating"),
         F.col("rule.alarm_date").alias("minutes"),
     )
-    out = _as_alarm(keyed(flagged, key, partial(transitions.sustained, cooldown_s=cooldown_s), ALARM_FIELDS, **state), "")
-    out = out.withColumns({"fence_id": F.col("condition_id").cast("string"), "illegal_type_code": F.col("kind")})
-    return out.drop("kind")
+    return _fence_alarms(flagged, cooldown_s, **state)
 
 
 def stream_illegal_disposal(
@@ -221,7 +115,7 @@ def stream_illegal_disposal(
     candidates = near.select(*VEHICLE, *CORE, "disposal_site_id")
     fields = {**ALARM_FIELDS, "disposal_site_id": "bigint"}
     step = partial(transitions.spaced, cooldown_s=cooldown_s)
-    out = keyed(candidates, VEHICLE, step, fields, order=("t", "disposal_site_id", "row_key"), **state)
+    out = keyed(candidates, VEHICLE, step, "fired bigint", fields, order=("t", "disposal_site_id", "row_key"), **state)
     return _as_alarm(out, alarms.ILLEGAL_DISPOSAL)
 
 
@@ -231,9 +125,10 @@ def stream_site_visits(
     points = near_ids(_report(supervised(d)), sites, radius_m, ["dept_id"], "disposal_site_id", "near")
     step = partial(transitions.site_visits, dwell_s=dwell_s)
     fields = {"site": "string", "enter_t": "bigint", "exit_t": "bigint"}
-    out = keyed(points.select(*VEHICLE, "t", "row_key", "near"), VEHICLE, step, fields, **state)
+    sites_state = "sites map<string, struct<enter: bigint, confirmed: boolean, exit: bigint>>"
+    out = keyed(points.select(*VEHICLE, "t", "row_key", "near", EVENT_TIME), VEHICLE, step, sites_state, fields, **state)
     return out.select(
-        *VEHICLE,
+        *VEHICLE, *_late(out),
         F.col("site").cast(sites.schema["disposal_site_id"].dataType).alias("disposal_site_id"),
         F.timestamp_seconds("enter_t").alias("enter_time"),
         F.timestamp_seconds("exit_t").alias("exit_time"),
@@ -255,7 +150,8 @@ def stream_off_route(
     step = partial(transitions.off_route, dwell_s=dwell_s, off_minutes=off_minutes, cooldown_s=cooldown_s)
     fields = {**ALARM_FIELDS, "permit_id": "bigint"}
     narrow = points.select(*VEHICLE, *CORE, "build", "disposal", "on_route")
-    return _as_alarm(keyed(narrow, VEHICLE, step, fields, **state), alarms.OFF_ROUTE)
+    held = f"dwell map<string, bigint>, held bigint, off struct<{POINT}, permit_id: bigint>, fired bigint"
+    return _as_alarm(keyed(narrow, VEHICLE, step, held, fields, **state), alarms.OFF_ROUTE)
 
 
 def stream_stop_history(d: DataFrame, min_s: int = 180, silence_s: int = 180, **state) -> DataFrame:
@@ -263,30 +159,35 @@ def stream_stop_history(d: DataFrame, min_s: int = 180, silence_s: int = 180, **
     step = partial(transitions.stop_history, min_s=min_s, silence_s=silence_s)
     fields = {"stop_t": "bigint", "stop_lng": "double", "stop_lat": "double", "start_t": "bigint", "lng": "double",
               "lat": "double", "report": "string"}
-    out = keyed(points, VEHICLE, step, fields, **state)
+    stop = "stop struct<t: bigint, lng: double, lat: double, seen: bigint>"
+    out = keyed(points, VEHICLE, step, stop, fields, **state)
     return out.select(
-        *VEHICLE, F.timestamp_seconds("stop_t").alias("stop_time"), "stop_lng", "stop_lat",
+        *VEHICLE, *_late(out), F.timestamp_seconds("stop_t").alias("stop_time"), "stop_lng", "stop_lat",
         F.timestamp_seconds("start_t").alias("start_time"), F.col("lng").alias("start_lng"),
         F.col("lat").alias("start_lat"), "report",
     )
 
 
+def _late(out: DataFrame) -> list[str]:
+    return [c for c in out.columns if c == "late_t"]
+
+
 def stream_vehicle_status(
-    d: DataFrame, offline_s: int = 180, still_s: int = 180, delay: str = "30 seconds", seed: DataFrame | None = None
+    d: DataFrame, offline_s: int = 180, still_s: int = 180, grace_s: int = 30, seed: DataFrame | None = None, **state
 ) -> DataFrame:
     """Status changes: per batch the latest row of each vehicle that reported, and a row when one falls silent.
 
-    ``seed`` gives the known state of vehicles at start: ``dept_id, vehicle_id, t, online_time``.
+    ``seed`` gives the known state of vehicles at start: ``dept_id, vehicle_id, t, online_time``. A silent vehicle is offline
+    when the largest time is ``grace_s`` seconds (with ``delay_s``: so many) past ``offline_s``.
     """
-    points = _report(d).select(*VEHICLE, "time", *CORE, "speed").withWatermark("time", delay)
+    points = _report(d).select(*VEHICLE, *CORE, "speed")
     fields = {"t": "bigint", "row_key": "bigint", "vehicle_status": "int", "online_time": "bigint",
               "online_status": "int", "report": "string"}
-    schema = _schema(points, VEHICLE, fields)
     step = partial(transitions.vehicle_status, offline_s=offline_s, still_s=still_s)
-    processor = StatusStep(step, schema.names, VEHICLE, last_only=True, offline_s=offline_s)
     seeds = None if seed is None else seed.select(*VEHICLE, "t", "online_time").groupBy(*VEHICLE)
-    out = points.groupBy(*VEHICLE).transformWithStateInPandas(
-        processor, schema, outputMode="Update", timeMode="EventTime", initialState=seeds
+    held = "seen bigint, online bigint, zero bigint, offline boolean, moving int"
+    out = keyed(
+        points, VEHICLE, step, held, fields, seed=seeds, processor=StatusStep, last_only=True,
+        offline_s=offline_s, grace_s=grace_s, **state,
     )
     return out.withColumn("time", F.timestamp_seconds("t")).drop("t")
-

@@ -68,6 +68,17 @@ def sustained(state: Record, r: Record, cooldown_s: int = 7200, from_start: bool
     return {"active": active, "fired": r["t"]}, [out]
 
 
+def per_fence(state: Record, r: Record, cooldown_s: int = 7200, from_start: bool = True) -> Result:
+    """``sustained`` for each fence and kind of rule of a vehicle; what can no longer matter is forgotten."""
+    fences, key = state.get("fences") or {}, f"{r['kind']}:{r['condition_id']}"
+    after, out = sustained(fences.get(key) or {}, r, cooldown_s, from_start)
+    if after.get("active") is not None or (after.get("fired") is not None and r["t"] - after["fired"] <= cooldown_s):
+        fences[key] = after
+    else:
+        fences.pop(key, None)
+    return {"fences": fences}, out
+
+
 def spaced(state: Record, r: Record, cooldown_s: int = 7200) -> Result:
     """Every report is a candidate; fires when the last firing is more than ``cooldown_s`` ago."""
     fired = state.get("fired")
@@ -77,29 +88,30 @@ def spaced(state: Record, r: Record, cooldown_s: int = 7200) -> Result:
 
 
 def site_visits(state: Record, r: Record, dwell_s: int = 180) -> Result:
-    """Visits to the sites listed in ``r["near"]``; the state maps a site to [enter, confirmed, exit]."""
-    sites, out = dict(state.get("sites", {})), []
+    """Visits to the sites listed in ``r["near"]``; the state has of each site when it was entered, whether that is confirmed, and left."""
+    sites, out = dict(state.get("sites") or {}), []
     near = {str(s) for s in r["near"]}
-    for site, (enter, confirmed, leave) in list(sites.items()):
+    for site, visit in list(sites.items()):
+        enter, confirmed, leave = visit["enter"], visit["confirmed"], visit["exit"]
         if site in near:
-            sites[site] = [enter, confirmed or r["t"] - enter > dwell_s, None]
+            sites[site] = {"enter": enter, "confirmed": confirmed or r["t"] - enter > dwell_s, "exit": None}
         elif confirmed and leave is None:
-            sites[site] = [enter, True, r["t"]]
+            sites[site] = {"enter": enter, "confirmed": True, "exit": r["t"]}
         elif confirmed and r["t"] - leave > dwell_s:
             out.append({"site": site, "enter_t": enter, "exit_t": leave})
             del sites[site]
     for site in near - sites.keys():
-        sites[site] = [r["t"], False, None]
+        sites[site] = {"enter": r["t"], "confirmed": False, "exit": None}
     return {"sites": sites}, out
 
 
 def vehicle_status(state: Record, r: Record, offline_s: int = 180, still_s: int = 180) -> Result:
     """Latest status row of a vehicle; a report no later than the last one is ignored."""
-    last = state.get("t")
+    last = state.get("seen")
     if last is not None and r["t"] <= last:
         return state, []
-    online = last is not None and r["t"] - last <= offline_s and not state.get("offline", False)
-    total = state.get("online", 0)
+    online = last is not None and r["t"] - last <= offline_s and not state.get("offline")
+    total = state.get("online") or 0
     if online:
         total += r["t"] - last
         if total > r["t"] % DAY:
@@ -108,7 +120,7 @@ def vehicle_status(state: Record, r: Record, offline_s: int = 180, still_s: int
     if r["speed"] == 0:
         zero = state.get("zero") if online and state.get("zero") is not None else r["t"]
     moving = not (zero is not None and r["t"] - zero >= still_s)
-    new = {"t": r["t"], "online": total, "zero": zero, "offline": False, "moving": int(moving)}
+    new = {"seen": r["t"], "online": total, "zero": zero, "offline": False, "moving": int(moving)}
     return new, [{**r, "vehicle_status": 0, "online_time": total, "online_status": int(moving)}]
 
 
@@ -131,7 +143,7 @@ def off_route(
     state: Record, r: Record, dwell_s: int = 180, off_minutes: int = 3, cooldown_s: int = 7200
 ) -> Result:
     """Off-route alarms; the report lists permits by what is near: ``build`` (and slow), ``disposal``, ``on_route``."""
-    before = state.get("dwell", {})
+    before = state.get("dwell") or {}
     dwell = {str(p): before.get(str(p), r["t"]) for p in r["build"]}
     held, off, fired = state.get("held"), state.get("off"), state.get("fired")
     ready = [p for p in r["build"] if r["t"] - dwell[str(p)] > dwell_s]

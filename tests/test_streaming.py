@@ -150,7 +150,7 @@ def test_vehicle_status_stream(spark, tmp_path):
     part([(2, S + 1000, 5.0)])
     part([(2, S + 1060, 5.0)])
     seed = spark.createDataFrame([(1, 1, S - 40, 500)], "dept_id int, vehicle_id int, t bigint, online_time bigint")
-    df = detectors.stream_vehicle_status(source(spark, str(tmp_path / "in")), delay="1 second", seed=seed)
+    df = detectors.stream_vehicle_status(source(spark, str(tmp_path / "in")), grace_s=1, seed=seed)
     rows = [
         (r.vehicle_id, secs(r.time) - S, r.vehicle_status, r.online_time)
         for r in run(spark, df, tmp_path).orderBy("batch", "vehicle_id", "time").collect()
@@ -278,3 +278,68 @@ def test_running_query_sees_a_rewritten_dimension(spark, tmp_path):
     run_refreshing(start, 60, until=lambda: len(starts) == 2)
     rows = spark.read.parquet(out).collect()
     assert {r.vehicle_id for r in rows if r.row_key < 1000} == {4} and {r.vehicle_id for r in rows if r.row_key >= 1000} == {2, 3, 4}
+
+
+def arrive(spark, pdf, folder, parts):
+    """Parts in order of arrival; a last one of another vehicle, far ahead, moves the clock on."""
+    for part in parts:
+        frame(spark, part).coalesce(1).write.mode("append").parquet(str(folder))
+    for k in range(2):
+        ahead = pdf.head(1).assign(t=pdf.t.max() + 40000 + k, row_key=10**6 + k, vehicle_id=99)
+        frame(spark, ahead).coalesce(1).write.mode("append").parquet(str(folder))
+    return str(folder)
+
+
+def delayed(pdf, delay_s, n, seed=1):
+    """The reports in parts by time of arrival, at most delay_s after their own, shuffled within a part."""
+    shift = pd.Series(range(len(pdf)), index=pdf.index).sample(frac=1, random_state=seed) * delay_s // (len(pdf) + 1)
+    arrival = pdf.t + shift.sort_index()
+    cuts = [arrival.quantile((i + 1) / n) for i in range(n)]
+    part = sum((arrival > c).astype(int) for c in cuts[:-1])
+    return [pdf[part == i].sample(frac=1, random_state=i) for i in range(n)]
+
+
+@pytest.mark.parametrize("name", ["gps_gap", "fences", "off_route"])
+def test_shuffled_stream_equals_batch(spark, tmp_path, name):
+    batch, _ = CASES[name]
+    streams = {
+        "gps_gap": lambda d: detectors.stream_gps_gap(d, max_m=900.0, delay_s=3600),
+        "fences": lambda d: detectors.stream_fences(d, *_three_rules(spark), cooldown_s=300, delay_s=3600),
+        "off_route": lambda d: detectors.stream_off_route(d, worlds.permits(spark), 330.0, 20, 31.0, 1, 300, delay_s=3600),
+    }
+    pdf = random_positions(7, reports=100)
+    folder = arrive(spark, pdf, tmp_path / "in", delayed(pdf, 3000, 4))
+    got = [r for r in alarm_rows(run(spark, streams[name](source(spark, folder)), tmp_path)) if r[0] != 99]
+    assert got == alarm_rows(batch(spark, frame(spark, pdf))) and len(got) > 2
+
+
+def test_late_reports_come_out_and_are_counted(spark, tmp_path):
+    """Reports of an earlier time than the delay allows change nothing; each comes out once."""
+    from haulwatch.sources.sinks import split_late
+
+    pdf = random_positions(7, reports=100)
+    late = pdf[pdf.row_key % 17 == 3]
+    rest = pdf.drop(late.index)
+    last = rest.groupby("vehicle_id").t.max()
+    late = late[late.t < late.vehicle_id.map(last) - 7300]
+    rest = pdf.drop(late.index)
+    middle = [rest.assign(vehicle_id=98, row_key=rest.row_key + 20000).tail(1).assign(t=pdf.t.max() + 10000 + k) for k in range(2)]
+    folder = arrive(spark, pdf, tmp_path / "in", [*delayed(rest, 500, 3), *middle, late])
+    result = detectors.stream_gps_gap(source(spark, folder), max_m=900.0, delay_s=600, late=True)
+    out, other = str(tmp_path / "alarms"), str(tmp_path / "late")
+    write = split_late(append_batches(out), append_batches(other))
+    query = stream_batches(result, write, str(tmp_path / "checkpoint"), interval=None, mode="update")
+    query.awaitTermination()
+    got = [r for r in alarm_rows(spark.read.parquet(out)) if r[0] < 90]
+    assert got == alarm_rows(alarms.alarm_gps_gap(frame(spark, rest), max_m=900.0))
+    rows = spark.read.parquet(other)
+    assert sorted(r.row_key for r in rows.collect()) == sorted(late.row_key) and len(late) > 10
+    counted = sum(p["observedMetrics"]["late_reports"]["n"] for p in query.recentProgress if p["observedMetrics"])
+    assert counted == len(late)
+
+
+def append_batches(path):
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
