@@ -23,8 +23,8 @@ def _num(x: str) -> str:
     return f"cast(cast(round({x},5) as decimal(10,5)) as string)"
 
 
-def _diamond(sep: str, open_: str, close: str) -> str:
-    corners = [(f"cx-{HALF}", "cy"), ("cx", f"cy+{HALF}"), (f"cx+{HALF}", "cy"), ("cx", f"cy-{HALF}")]
+def _diamond(sep: str, open_: str, close: str, half: str = HALF) -> str:
+    corners = [(f"cx-{half}", "cy"), ("cx", f"cy+{half}"), (f"cx+{half}", "cy"), ("cx", f"cy-{half}")]
     parts = [f"'{open_}' || {_num(x)} || ',' || {_num(y)} || '{close}'" for x, y in corners]
     return f" || '{sep}' || ".join(parts)
 
@@ -98,6 +98,16 @@ select s_suppkey build_site_id, 113e0 + ((s_suppkey*3571 + 1777) % 1000)/1e4 lng
 select condition_id, dept_id, cx, cy, '[' || {_diamond(',', '[', ']')} || ']' coords, {_diamond(';', '', '')} ring_text
 from (select n_nationkey condition_id, cast(n_nationkey % 3 + 1 as int) dept_id,
              113e0 + ((n_nationkey*389) % 1000)/1e4 cx, 34.7e0 + ((n_nationkey*613) % 1000)/1e4 cy from nation) f""",
+    "mixed_fence": f"""
+select condition_id, dept_id, cx, cy, half, '[' || {_diamond(',', '[', ']', 'half')} || ']' coords, cast(5 as int) alarm_date
+from (
+  select cast(c_custkey + 1000 as int) condition_id, cast(c_custkey % 3 + 1 as int) dept_id,
+         113e0 + ((c_custkey*389) % 1000)/1e4 cx, 34.7e0 + ((c_custkey*613) % 1000)/1e4 cy, 0.00105e0 half from customer
+  union all
+  select cast(n_nationkey as int) condition_id, cast(n_nationkey % 3 + 1 as int) dept_id,
+         113e0 + ((n_nationkey*389) % 1000)/1e4 cx, 34.7e0 + ((n_nationkey*613) % 1000)/1e4 cy,
+         case when n_nationkey < 3 then 9.00005e0 when n_nationkey < 6 then 0.30005e0 else {HALF} end half from nation
+) f""",
     "area": """
 select condition_id id, 'city ' || cast(condition_id as string) city_name, dept_id, ring_text coords, cx, cy,
        cast(case when condition_id % 9 = 4 then 0 else 1 end as int) state from fence""",

@@ -215,6 +215,10 @@ ORACLES["points_in_fences"] = _with(
     f"""select p.row_key, f.condition_id from bus p join fence f on f.dept_id=p.dept_id and {_inside('p','f')}
 join rule_restricted r on r.condition_id=f.condition_id and r.state=0""",
 )
+ORACLES["points_in_fences_mixed"] = _with(
+    "bus mixed_fence",
+    "select p.row_key, f.condition_id from bus p join mixed_fence f on f.dept_id=p.dept_id and abs(p.lng-f.cx)+abs(p.lat-f.cy) < f.half",
+)
 ORACLES["permitted_sites"] = _with(
     "register_card disposal_site",
     """select distinct c.vehicle_id, c.dept_id, c.disposal_site_id, s.disposal_site_name, c.permit_id

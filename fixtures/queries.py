@@ -296,6 +296,13 @@ def points_in_fences(spark, sf_dir):
     return out.select("row_key", "condition_id")
 
 
+@query
+def points_in_fences_mixed(spark, sf_dir):
+    """Fences of a country's size, of a city's and of very many yards in one table."""
+    rules = table(spark, sf_dir, "mixed_fence").drop("cx", "cy", "half")
+    return spatial.points_in_fences(positions(spark, sf_dir), rules).select("row_key", "condition_id")
+
+
 @query
 def permitted_sites(spark, sf_dir):
     out = lookups.permitted_sites(table(spark, sf_dir, "register_card"), table(spark, sf_dir, "disposal_site"))

@@ -119,17 +119,21 @@ def parse_routes_json(text: ColumnLike) -> Column:
     return _pairs_to_ring(F.flatten(F.from_json(col(text), "array<array<array<double>>>")))
 
 
-def ring_edges(ring: Column) -> Column:
-    """Edges of a closed ring as structs ``(x1, y1, x2, y2)``; vertical edges never cross and are left out."""
+def closed_edges(ring: Column) -> Column:
+    """Edges of a closed ring as structs ``(x1, y1, x2, y2)``."""
     following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
-    edges = F.zip_with(
+    return F.zip_with(
         ring,
         following,
         lambda a, b: F.struct(
             a["lng"].alias("x1"), a["lat"].alias("y1"), b["lng"].alias("x2"), b["lat"].alias("y2")
         ),
     )
-    return F.filter(edges, lambda e: e["x1"] != e["x2"])
+
+
+def ring_edges(ring: Column) -> Column:
+    """``closed_edges`` without vertical ones, which never cross."""
+    return F.filter(closed_edges(ring), lambda e: e["x1"] != e["x2"])
 
 
 def crosses_odd(lng: ColumnLike, lat: ColumnLike, edges: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulwatch.functions import geo
+from haulwatch.operators import covering
 from haulwatch.operators.lookups import BROADCAST_BYTES, salted_join
 
 # Bounds of the polygon cell size, and the size when there is no polygon to measure.
@@ -155,15 +156,21 @@ def points_in_fences(
 ) -> DataFrame:
     """Pairs of a position and a rule of its department whose fence contains it; the rule is in ``rule``.
 
-    The cell size follows the fences unless it is given.
+    Each fence is laid over cells of its own size (``covering``), unless one size is given for all.
     """
     ring = geo.parse_ring_json("coords")
+    if cell_deg is None:
+        inside = covering.points_in(d, covering.cover(rules, ring, ["dept_id"], max_broadcast))
+        return _with_rule(inside, d.columns)
     cell_deg, limit = polygon_grid(rules, ring, cell_deg, max_broadcast)
     cells = polygon_cells(rules, ring, ["dept_id"], cell_deg)
     joined = salted_join(_with_cell(d, cell_deg), cells, ["dept_id", "_cx", "_cy"], "inner", limit)
-    inside = joined.filter(_contains(F.col("box"), F.col("edges")))
+    return _with_rule(joined.filter(_contains(F.col("box"), F.col("edges"))), d.columns)
+
+
+def _with_rule(inside: DataFrame, columns: Sequence[str]) -> DataFrame:
     return inside.select(
-        *d.columns,
+        *columns,
         F.col("target.condition_id").alias("condition_id"),
         F.col("target").dropFields("coords").alias("rule"),
     )
@@ -189,17 +196,26 @@ def tag_region(
         .select("dept_id", "coords", "_a.id", "_a.city_name")
     )
     ring = geo.parse_ring_text("coords")
+    d = d.drop("region_id", "region_name")
+    if cell_deg is None:
+        found = covering.first_in(
+            d, covering.cover(valid, ring, ["dept_id"], max_broadcast), lambda t: F.struct(t["id"].alias("id"), t["city_name"].alias("city_name")), "_hit"
+        )
+        return _with_region(found, d.columns)
     cell_deg, limit = polygon_grid(valid, ring, cell_deg, max_broadcast)
     cells = polygon_cells(valid, ring, ["dept_id"], cell_deg)
-    d = d.drop("region_id", "region_name")
     points = _with_cell(d, cell_deg)
     candidates = cells.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("target.id", "target.city_name", "box", "edges"))).alias("_areas")
     )
     hit = F.filter("_areas", lambda a: _contains(a["box"], a["edges"]))
     joined = salted_join(points, candidates, keys, "left", limit).withColumn("_hit", F.try_element_at(hit, F.lit(1)))
+    return _with_region(joined, d.columns)
+
+
+def _with_region(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
     return joined.select(
-        *d.columns,
+        *columns,
         F.col("_hit.id").cast("string").alias("region_id"),
         F.col("_hit.city_name").alias("region_name"),
     )
