@@ -137,6 +137,11 @@ ORACLES["alarm_duration"] = _with(
        else cast((t-pt)//60 as string) || '分' end as label from l where prk is not null""",
     _LAG.format(src="bus"),
 )
+ORACLES["append_read_back"] = _with(
+    "fast",
+    """select row_key, strftime(x,'%Y-%m') month_id, cast(day(x) as string) day_id, cast(hour(x) as string) hour_id
+from (select row_key, make_timestamp(t*1000000) x from fast)""",
+)
 ORACLES["partition_ids"] = _with(
     "positions",
     """select row_key, strftime(x,'%Y-%m') month_id, cast(day(x) as string) day_id, cast(hour(x) as string) hour_id

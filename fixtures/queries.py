@@ -6,6 +6,7 @@ shorter cooldown. The parameters are named in each query and repeated in the ora
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from haulwatch.functions import geo
 from haulwatch.functions.timefn import duration_text, in_daily_range, in_effective_range, seconds_between, time_text
 from haulwatch.functions.timefn import partition_ids as add_partition_ids
 from haulwatch.operators import blocks, lookups, spatial
-from haulwatch.operators.sequence import VEHICLE, ordered_scan, prepare
+from haulwatch.operators.sequence import VEHICLE, ensure_checkpoint_dir, ordered_scan, prepare
 from haulwatch.plans import alarms, outputs, vehicles
 from haulwatch.plans.off_route import alarm_off_route
 from haulwatch.session import configure
@@ -185,6 +186,21 @@ def alarm_duration(spark, sf_dir):
     return d.select("row_key", seconds.alias("seconds"), duration_text(seconds).alias("label"))
 
 
+@query
+def append_read_back(spark, sf_dir):
+    """The partitioned table after two runs of a query, whose batches have the same ids; one batch was run twice."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/append-{uuid.uuid4()}"
+    rows = add_partition_ids(positions(spark, sf_dir, "fast"), "time").select("row_key", "vehicle_id", "month_id", "day_id", "hour_id")
+    for run in ("first", "second"):
+        write = sinks.append_partitioned(path, run=run)
+        part = rows.filter((F.col("vehicle_id") % 2 == 0) == F.lit(run == "first"))
+        for batch_id in (0, 1, 1):
+            write(part.filter(F.col("row_key") % 2 == batch_id), batch_id)
+    back = spark.read.schema("row_key bigint, vehicle_id int, run_id string, batch_id int, month_id string, day_id string, hour_id string").parquet(path)
+    return back.select("row_key", "month_id", "day_id", "hour_id")
+
+
 @query
 def partition_ids(spark, sf_dir):
     out = add_partition_ids(positions(spark, sf_dir, "positions"), "time")

@@ -21,25 +21,32 @@ def to_json_value(df: DataFrame, key_col: str | None = None) -> DataFrame:
     return df.select(*columns)
 
 
-def append_partitioned(path: str, batch_col: str = "batch_id") -> Callable[[DataFrame, int], None]:
+def query_run(batch: DataFrame) -> str:
+    """The id of the streaming query that a batch belongs to. Spark keeps it in the checkpoint: a restart has the same one, a
+    query with a new checkpoint, whose batches count from 0 again, another. Outside of a query: ``none``."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def append_partitioned(path: str, batch_col: str = "batch_id", run_col: str = "run_id", run: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer of a table partitioned by month, day and hour.
 
-    Each batch owns one folder below ``path`` (itself a partition, ``batch_col``), so a batch that is run again
-    replaces its rows instead of adding them twice. Spark sizes the files: small hours share tasks, a large one is split.
+    Each batch of each run of a query (``query_run`` unless given) owns one folder below ``path`` (partitions ``run_col`` and
+    ``batch_col``), so a batch that is run again replaces its rows instead of adding them twice, and a query with a new
+    checkpoint replaces nothing. Spark sizes the files: small hours share tasks, a large one is split.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.hint("rebalance", *PARTITIONS)
-        rows.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{path}/{batch_col}={batch_id}")
+        rows.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{path}/{run_col}={run or query_run(batch)}/{batch_col}={batch_id}")
 
     return write
 
 
-def write_json(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer of JSON records, one folder per batch so that a repeat replaces it."""
+def write_json(path: str, run: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer of JSON records, one folder per batch and run so that only a repeat replaces it."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        to_json_value(batch).write.mode("overwrite").text(f"{path}/batch={batch_id}")
+        to_json_value(batch).write.mode("overwrite").text(f"{path}/batch={run or query_run(batch)}-{batch_id}")
 
     return write
 

@@ -96,11 +96,11 @@ def test_status_table(spark, tmp_path):
     part([(1, S, 10.0), (2, S, 20.0), (3, S, 5.0)])
     part([(2, S + 500, 21.0)])
     part([(2, S + 560, 22.0)])
-    df = detectors.stream_vehicle_status(source(spark, str(tmp_path / "in")), delay="1 second", seed=seed)
+    df = detectors.stream_vehicle_status(source(spark, str(tmp_path / "in")), grace_s=1, seed=seed)
     query = stream_batches(df, records.upsert_status(root), str(tmp_path / "checkpoint"), interval=None, mode="update")
     query.awaitTermination()
     out = {r.vehicle_id: r for r in records.read_status(spark, root).collect()}
-    versions = spark.read.parquet(root).filter("version >= 0")
+    versions = spark.read.parquet(root).filter("version >= 1")
     assert versions.filter("vehicle_id = 5").isEmpty() and not versions.isEmpty()  # what no batch touches is written once
     assert set(out) == {1, 2, 5}
     assert (out[1].vehicle_status, out[1].time, out[1].speed, out[1].gprs_state, out[1].acc_state) == (1, "2024-01-01 08:00:00", 10.0, 9, 0)
