@@ -81,6 +81,15 @@ union all
 select cast(c_custkey as int) vehicle_id, cast(c_custkey % 3 + 1 as int) dept_id, c_custkey + 1000000000 permit_id,
        (c_custkey + 3) % 10 disposal_site_id, (c_custkey + 7) % 10 build_site_id, {_route().replace('c_custkey', '(c_custkey+77)')} coords, cast(0 as int) state
 from customer where c_custkey % 4 = 0""",
+    "card_history": """
+select cast(c_custkey as int) vehicle_id, cast(c_custkey % 3 + 1 as int) dept_id, 1704067200 + (c_custkey % 7) * 3600 from_t, cast(c_custkey % 3 as int) state, c_custkey % 17 = 3 gone
+from customer
+union all
+select cast(c_custkey as int) vehicle_id, cast(c_custkey % 3 + 1 as int) dept_id, 1704067200 + 10 * 86400 + 43200 from_t, cast((c_custkey + 1) % 3 as int) state, false gone
+from customer where c_custkey % 2 = 0
+union all
+select cast(c_custkey as int) vehicle_id, cast(c_custkey % 3 + 1 as int) dept_id, 1704067200 + 20 * 86400 + (c_custkey % 24) * 3600 from_t, cast((c_custkey + 2) % 3 as int) state, c_custkey % 5 = 0 gone
+from customer""",
     "driver": _per_dept("""
 select n_nationkey driver_id, {dept} dept_id, 'D' || cast(n_nationkey as string) driver_name
 from nation where n_nationkey % 4 <> 0"""),

@@ -333,6 +333,16 @@ ORACLES["alarm_no_register"] = _with(
   and not exists (select 1 from register_card c where c.state=0 and c.vehicle_id=p.vehicle_id and c.dept_id=p.dept_id)) x where rn=1""",
     ),
 )
+_CARD = "(select case when c.gone then null else c.state end from card_history c where c.vehicle_id=p.vehicle_id and c.dept_id=p.dept_id and c.from_t <= p.t order by c.from_t desc limit 1)"
+ORACLES["cards_as_of"] = _with("bus card_history", f"select row_key, {_CARD} card_state from bus p")
+ORACLES["alarm_no_register_as_of"] = _with(
+    "bus card_history",
+    _alarm(
+        "0111", ("t", "lng", "lat"), None,
+        src=f"""(select *, row_number() over (partition by dept_id, vehicle_id, t//86400 order by t, row_key) rn
+  from (select *, {_CARD} card_state from bus p where {SUPERVISED}) q where coalesce(card_state, 1) <> 0) x where rn=1""",
+    ),
+)
 ORACLES["alarm_gps_gap"] = _with(
     "bus",
     _alarm(

@@ -17,7 +17,7 @@ from haulwatch import schemas
 from haulwatch.functions import geo
 from haulwatch.functions.timefn import duration_text, in_daily_range, in_effective_range, seconds_between, time_text
 from haulwatch.functions.timefn import partition_ids as add_partition_ids
-from haulwatch.operators import blocks, lookups, spatial
+from haulwatch.operators import asof, blocks, lookups, spatial
 from haulwatch.operators.sequence import VEHICLE, ensure_checkpoint_dir, ordered_scan, prepare
 from haulwatch.plans import alarms, outputs, vehicles
 from haulwatch.plans.off_route import alarm_off_route
@@ -392,6 +392,22 @@ def alarm_no_register(spark, sf_dir):
     return _alarm_view(alarms.alarm_no_register(positions(spark, sf_dir), table(spark, sf_dir, "register_card")))
 
 
+def _card_history(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "card_history").withColumn("valid_from", F.timestamp_seconds("from_t")).drop("from_t")
+
+
+@query
+def cards_as_of(spark, sf_dir):
+    """The state of a vehicle's card when the position was reported."""
+    out = asof.as_of(positions(spark, sf_dir), _card_history(spark, sf_dir), VEHICLE, "card")
+    return out.select("row_key", F.col("card.state").alias("card_state"))
+
+
+@query
+def alarm_no_register_as_of(spark, sf_dir):
+    return _alarm_view(alarms.alarm_no_register_as_of(positions(spark, sf_dir), _card_history(spark, sf_dir)))
+
+
 @query
 def alarm_gps_gap(spark, sf_dir):
     return _alarm_view(alarms.alarm_gps_gap(positions(spark, sf_dir), max_m=2000.0))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from haulwatch.functions.exprs import ColumnLike, col
 from haulwatch.functions.geo import distance_m
 from haulwatch.functions.timefn import in_daily_range, in_effective_range
+from haulwatch.operators.asof import as_of
 from haulwatch.operators.blocks import cooldown, first_per_day, sustained
 from haulwatch.operators.lookups import lookup, one_per_key, permitted_sites, salted_join, supervised, valid_sites
 from haulwatch.operators.sequence import TARGET_ROWS, VEHICLE, ordered_scan, prepare
@@ -64,6 +65,13 @@ def alarm_no_register(d: DataFrame, card: DataFrame, **kw) -> DataFrame:
     return as_alarm(first_per_day(without, VEHICLE), NO_REGISTER, start=("epoch_s", "lng", "lat"))
 
 
+def alarm_no_register_as_of(d: DataFrame, card_history: DataFrame, **kw) -> DataFrame:
+    """``alarm_no_register`` with the cards (``state``) as they were at the time of each position."""
+    held = as_of(prepare(supervised(d), target_rows=None), card_history, VEHICLE, "_card", **kw)
+    without = held.filter(F.coalesce(F.col("_card.state") != 0, F.lit(True))).drop("_card")
+    return as_alarm(first_per_day(without, VEHICLE), NO_REGISTER, start=("epoch_s", "lng", "lat"))
+
+
 def alarm_gps_gap(d: DataFrame, max_m: float = 2000.0, target_rows: int | None = TARGET_ROWS) -> DataFrame:
     """Jump of more than ``max_m`` between consecutive reports: the first of each vehicle and day of arrival.
 
