@@ -19,6 +19,7 @@ words and are not contaminated; repeated documents get the same verdict each.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, folded, joined, lists, span_hashes, struct_array
+from haulwatch.llm.storage import under_plain_names
 
 WINDOW = 13
 HIT_SHARE = 20
@@ -216,7 +218,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     for k in range(n_blocks):
         block = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == k)
         rows = block.collect()  # of a bounded size
-        parts.append(finder([r.id for r in rows], [r.text for r in rows], docs[text]))
+        parts.append(partial(finder, [r.id for r in rows], [r.text for r in rows]))
+    found = lambda rows, text: found_in(rows, [find(rows[text]) for find in parts])
+    return under_plain_names(docs, [text], found, into)
+
+
+def found_in(docs: DataFrame, parts: list[Column]) -> DataFrame:
+    """The rows with the column found, from the findings of each block."""
+    n_blocks, into = len(parts), "found"
     names = [f"__found_{k}" for k in range(n_blocks)]
     rows = docs.withColumns(dict(zip(names, parts, strict=True)))
     of = lambda field: [F.col(name)[field] for name in names]
@@ -236,5 +245,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     """The rows that are not contaminated, with their own columns."""
-    into = "__found"
+    into = "found"
+    while into in docs.columns:
+        into += "_"
     return find_contamination(docs, benchmark, into=into, **names).where(~F.col(into)["contaminated"]).select(*docs.columns)

@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from haulwatch.llm.storage import under_plain_names
+
 GROUP, BUCKET = 64, 512
 #: Distinct pages of a group with a template, share of them that a class must be in, and most of a page's text that it may be.
 LEAST, SHARE, MOST = 5, 0.8, 0.4
@@ -272,6 +274,11 @@ def texts_of_group(sources: list[str | None]) -> list[str]:
 
 def extract_text(pages: DataFrame, url: str = "url", html: str = "html", into: str = "text") -> DataFrame:
     """The rows without the column html, with a column into (replaced if there is one): the main text."""
+    return under_plain_names(pages, [url, html], texts_of_pages, into, html)
+
+
+def texts_of_pages(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """The rows without html, with the column found."""
     host = F.coalesce(F.lower(F.regexp_extract(pages[url].cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.withColumns({"__host": host, "__page": F.substring(F.unhex(F.sha2(pages[html], 256)), 1, 16)})
     there = rows.where("__page is not null")
@@ -283,9 +290,9 @@ def extract_text(pages: DataFrame, url: str = "url", html: str = "html", into: s
     sources = sources.withColumn("__bucket", F.pmod(F.xxhash64("__page"), F.coalesce("__buckets", F.lit(1)))).drop("__buckets")
     sources = sources.repartition("__host", "__bucket").sortWithinPartitions("__host", "__bucket", "__page")
     texts = sources.mapInArrow(texts_of_task, "__host string, __page binary, __text binary")
-    kept = [f.name for f in pages.schema.fields if f.name not in (html, into)]
+    kept = [f.name for f in pages.schema.fields if f.name != html]
     rows = rows.select(*kept, "__host", "__page").join(texts, ["__host", "__page"], "left")
-    return rows.select(*kept, F.coalesce(unpacked("__text"), F.lit("")).alias(into))
+    return rows.select(*kept, F.coalesce(unpacked("__text"), F.lit("")).alias("found"))
 
 
 @F.arrow_udf(T.StringType())

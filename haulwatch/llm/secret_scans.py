@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulwatch.llm.storage import under_plain_names
+
 MAX_OWNERS = 2
 MAX_REPOSITORIES = 4
 #: kind: pattern, group of the value, least characters of the value
@@ -103,6 +105,11 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "lang
     """The rows with a struct column into (replaced if there is one): base and spans, arrays of (kind, start, end, live).
 
     repository names a column that tells the repositories of an owner apart."""
+    return under_plain_names(docs, [owner, repository, text], scanned, into)
+
+
+def scanned(docs: DataFrame, owner: str, repository: str, text: str) -> DataFrame:
+    """The rows with the column found."""
     rows = with_spans(docs, text)
     counts = ownership(rows, F.col(owner), F.col(repository))
     candidates = rows.where("__key is not null").select(F.col("__key").alias("key"), F.explode(F.transform(F.array_distinct(F.transform(F.concat("__base", "__bare"), lambda s: s["value"])), lambda v: F.sha2(v, 256))).alias("hash")).distinct()
@@ -118,8 +125,7 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "lang
     owned = F.filter(F.transform("__bare", told), lambda s: s["live"])
     joined = joined.withColumn("__base", base).withColumn("__bare", owned)
     result = F.struct(F.col("__base").alias("base"), F.array_sort(F.concat("__base", "__bare")).alias("spans"))
-    names = [c for c in docs.columns if c != into]
-    return joined.select(*names, result.alias(into))
+    return joined.select(*docs.columns, result.alias("found"))
 
 
 def listed(spans: Column) -> Column:
@@ -130,8 +136,14 @@ def listed(spans: Column) -> Column:
 
 def redact(docs: DataFrame, owner: str = "source", repository: str = "lang", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """The rows with every live span of the text replaced; values that many owners have are left. n_chars is counted anew."""
-    into = "__secrets"
-    rows = scan_secrets(docs, owner, repository, text, into)
+    plain = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    new = redacted(docs.toDF(*plain.values()), plain[owner], plain[repository], plain[text], plain.get(n_chars))
+    return new.toDF(*docs.columns)
+
+
+def redacted(docs: DataFrame, owner: str, repository: str, text: str, n_chars: str | None) -> DataFrame:
+    into = "found"
+    rows = scanned(docs, owner, repository, text)
     live = F.filter(F.col(into)["spans"], lambda s: s["live"])
     rows = rows.withColumn(into, live)
     # spans of different kinds may overlap: what is left stands between the furthest end so far and the next start

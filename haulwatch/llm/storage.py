@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,3 +27,11 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     """The rows, written to the shared folder and read from there, so that a lost executor costs a read."""
     shared_folder(rows.sparkSession)
     return rows.checkpoint()
+
+
+def under_plain_names(rows: DataFrame, used: Sequence[str], operate: Callable[..., DataFrame], into: str, without: str | None = None) -> DataFrame:
+    """operate(rows, *used), which adds a column "found", on rows whose columns are called c0, c1, ...: no name of theirs can meet one
+    that the operator makes up. They come back under their own names (but for without), with found as into, replaced if there."""
+    plain = {c: f"c{k}" for k, c in enumerate(rows.columns)}
+    found = operate(rows.toDF(*plain.values()), *(plain[c] for c in used))
+    return found.select(*(F.col(p).alias(c) for c, p in plain.items() if c not in (into, without)), F.col("found").alias(into))

@@ -65,7 +65,7 @@ def test_benchmark_in_blocks(spark, odd, empty):
     bench = spark.createDataFrame(items, "item_id string, text string")
     want = windows_by_hand(docs, items)
     for block_chars in (60, 1 << 24):
-        got = decontamination.find_contamination(clashing(rows, "found", "n_hit"), bench, block_chars=block_chars).collect()
+        got = decontamination.find_contamination(clashing(rows, "found", "n_hit", "__found_0", "__found_1", "__found", "c0"), bench, block_chars=block_chars).collect()
         assert {r.doc_id: (r.found.n_words, r.found.n_hit, r.found["items"]) for r in got} == dict(enumerate(want))
         assert all(r.found.contaminated == (n > 0 and 20 * n >= m) for r in got for m, n, _ in [want[r.doc_id]])
     nothing = spark.createDataFrame([], "item_id string, text string")

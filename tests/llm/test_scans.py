@@ -35,7 +35,7 @@ def test_base_spans_against_plain_python(spark, odd):
     parts = ["token", "Secret", "api_key", "apikey", "PASSWD", " ", "=", ":", '"', "'", "0123456789abcdef", "AKIA", "ABCDEFGH12345678", "é😀", "zz\n", "deadbeef", ".", "token: secret: "]
     rows = [(k, "".join(rng.choice(parts) for _ in range(rng.randrange(0, 40))), "en", f"s{k % 5}", 0) for k in range(600)]
     rows += ODD + [(900, "key 0123456789abcdef0 " * 2000, "a", "b", 1)]
-    docs = clashing(spark.createDataFrame(rows, DOCS), "secrets", "kind", "hash", "owner")
+    docs = clashing(spark.createDataFrame(rows, DOCS), "secrets", "kind", "hash", "owner", "key", "__key", "__live", "__base", "__bare", "__join", "__new", "__secrets", "found", "c0")
     got = secret_scans.scan_secrets(docs).select("text", secret_scans.listed(F.col("secrets.base")).alias("base")).collect()
     assert len(got) == len(rows) and all(r.base == base_by_hand(r.text) for r in got)
 
@@ -219,3 +219,21 @@ def test_query_against_sql(spark, name):
     sf = "/root/testdata/sf0.001"
     got, want, diff = compare(spark, duck(sf), sf, QUERIES[name], ORACLES[name])
     assert got == want and not diff
+
+
+def test_redaction_with_clashing_names(spark):
+    value = "password = Zx81kQp0vLm3Tr"
+    rows = spark.createDataFrame([(1, f"a {value} b", "en", "s", 30), (2, None, None, None, None)], DOCS)
+    odd_names = clashing(rows, "key", "__live", "__key", "__new", "__secrets", "__base", "found", "c1")
+    plain = {r.doc_id: (r.text, r.n_chars) for r in secret_scans.redact(rows).collect()}
+    got = secret_scans.redact(odd_names)
+    assert got.columns == odd_names.columns and {r.doc_id: (r.text, r.n_chars) for r in got.collect()} == plain
+    assert value not in plain[1][0] and {r.key for r in got.collect()} == {7}
+
+
+def test_page_text_with_names_of_the_operator(spark):
+    pages = spark.createDataFrame([(k, f"http://h/{k}", f"<article><p>Text {k}</p></article>") for k in range(7)], "page_id bigint, url string, html string")
+    names = ["__host", "__page", "__text", "__html", "__bucket", "__buckets", "found", "c0"]
+    got = html_text.extract_text(clashing(pages, *names))
+    assert got.columns == ["page_id", "url", *names, "text"]
+    assert {(r.page_id, r.text, r["__text"]) for r in got.collect()} == {(k, f"Text {k}", 7) for k in range(7)}
