@@ -7,11 +7,16 @@ if its tokens come in one order, over and over, in every page, and if all of it
 class of what every page has once. Valid classes nest into the template; the text blocks in them are the site's, what stands
 in the slots between them is the page's own.
 
-The text of a page is what its slots hold, in page order: inside its article (the longest of its top-level article elements,
-else its main element) if it has one, else anywhere in the body. Elements that name themselves menus, headers, footers,
-sidebars, notices, adverts, forms or reader comments, by tag, role, class or id, are left out with all they hold, and so are
-lists of links outside an article. Text blocks of the template are left out unless they make up a good part of the page, as
-in pages that are copies of each other; a group of fewer than LEAST distinct pages has no template.
+The article is a slot of the template. Elements that a page has once nest into a tree, valid over the pages that have them,
+so that a host may have several layouts. From the root, the way goes down to whichever element holds most of the text that
+differs from page to page, links not counted, and ends where no element holds more than half of it. The text of a page is
+what this element holds, in page order, with a heading (h1) of the page's own that stands before it; an article element that
+has most of it, or around it, is taken as a whole. Elements that name themselves menus, headers, footers, sidebars, notices,
+adverts, forms or reader comments, by tag, role, class or id, are left out with all they hold. Text blocks of the template
+are left out unless they make up a good part of the page, as in pages that are copies of each other.
+
+A group of fewer than LEAST distinct pages, or of pages in which next to nothing differs, has no template to choose from. There
+the text is the longest of the top-level article elements, else the main element, else the body without lists of links.
 
 Groups are made of a host's distinct pages, whatever the number of tasks, of repeated rows or of other hosts' pages: hosts of
 many distinct pages are first dealt into buckets by a digest of the page, then pages of a host and bucket are taken in the order
@@ -37,10 +42,14 @@ from haulwatch.llm.storage import under_plain_names
 GROUP, BUCKET = 64, 512
 #: Distinct pages of a group with a template, share of them that a class must be in, and most of a page's text that it may be.
 LEAST, SHARE, MOST = 5, 0.8, 0.4
+#: Pages are copies of each other if no more of their text differs.
+ALIKE = 0.1
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("script style noscript template textarea title iframe object svg canvas select button audio video math".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+#: Elements of text, in which no article stands.
+TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote figure figcaption ul ol dl li dt dd".split())
 LEFT_OUT = frozenset("nav footer aside form menu dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 NAMED = frozenset(
@@ -59,12 +68,16 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 END_OF = {name: re.compile(rf"</{name}\s*>", re.I) for name in SKIPPED}
 
 
+#: An element is kept, left out, or left out as a header unless it turns out to be the article's.
+KEPT, OUT, HEADER = range(3)
+
+
 class Block:
     """A run of text between block-level tags."""
 
     __slots__ = ("text", "path", "article", "out", "linked", "list")
 
-    def __init__(self, text: str, path: int, article: int, out: bool, linked: int, in_list: int):
+    def __init__(self, text: str, path: int, article: int, out: int, linked: int, in_list: int):
         self.text, self.path, self.article, self.out, self.linked, self.list = text, path, article, out, linked, in_list
 
 
@@ -76,6 +89,7 @@ class Page:
         self.tokens: list[tuple] = []
         self.articles: dict[int, str] = {}
         self.links: Counter[int] = Counter()
+        self.above: dict[int, tuple[int, str]] = {}  # of a path: the path around it, and the tag
         self.read(source)
 
     def flush(self) -> None:
@@ -94,8 +108,8 @@ class Page:
                 self.linked.append(text)
 
     def read(self, source: str) -> None:
-        # open elements: tag, path, left out, article (0: none), list (0: none)
-        self.stack: list[tuple[str, int, bool, int, int]] = [("", 0, False, 0, 0)]
+        # open elements: tag, path, left out (KEPT, OUT or HEADER), article (0: none), list (0: none)
+        self.stack: list[tuple[str, int, int, int, int]] = [("", 0, KEPT, 0, 0)]
         self.parts: list[str] = []
         self.linked: list[str] = []
         self.in_link = 0
@@ -134,11 +148,12 @@ class Page:
         _, path, out, article, in_list = self.stack[-1]
         attributes = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(rest)} if rest.strip() else {}
         if tag not in INLINE or attributes:
-            path = hash((path, tag, attributes.get("class", ""), attributes.get("id", "") if tag not in INLINE else ""))
+            around, path = path, hash((path, tag, attributes.get("class", ""), attributes.get("id", "") if tag not in INLINE else ""))
+            self.above[path] = around, tag
         if tag not in INLINE:
             self.tokens.append((path,))
-        if not out and tag not in ("html", "body", "main"):
-            out = left_out(tag, attributes, article)
+        if out != OUT and tag not in ("html", "body", "main"):
+            out = left_out(tag, attributes, article) or out
         if not out and (tag == "article" or attributes.get("itemprop", "").lower() == "articlebody") and not (article and self.articles[article] == "article"):
             article = n
             self.articles[n] = "article"
@@ -153,16 +168,18 @@ class Page:
         self.stack.append((tag, path, out, article, in_list))
 
     def end_implied(self, tag: str) -> None:
-        names = [s[0] for s in self.stack]
-        if tag not in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            if "p" in names[-6:]:
-                self.drop(len(names) - 1 - names[::-1].index("p"))
+        if tag not in CLOSES:
+            for k in range(len(self.stack) - 1, max(0, len(self.stack) - 7), -1):
+                if self.stack[k][0] == "p":
+                    self.drop(k)
+                    return
             return
-        for k in range(len(names) - 1, 0, -1):
-            if names[k] in CLOSES[tag]:
+        for k in range(len(self.stack) - 1, 0, -1):
+            name = self.stack[k][0]
+            if name in CLOSES[tag]:
                 self.drop(k)
                 return
-            if names[k] in ("ul", "ol", "dl", "table", "tr", "div", "section", "article") and names[k] not in CLOSES[tag]:
+            if name in ("ul", "ol", "dl", "table", "tr", "div", "section", "article"):
                 return
 
     def close(self, tag: str) -> None:
@@ -180,25 +197,26 @@ class Page:
         del self.stack[k:]
 
 
-def left_out(tag: str, attributes: dict[str, str], article: int) -> bool:
+def left_out(tag: str, attributes: dict[str, str], article: int) -> int:
     """Does the element name itself as something other than the text?"""
-    if tag in LEFT_OUT or (tag == "header" and not article):
-        return True
+    header = HEADER if tag == "header" and not article else KEPT
+    if tag in LEFT_OUT:
+        return OUT
     if not attributes:
-        return False
+        return header
     if attributes.get("role", "").lower() in ROLES or "hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
+        return OUT
     if tag in INLINE or tag in ("article", "h1", "h2", "h3", "h4", "h5", "h6", "p"):
         names = " ".join((attributes.get("class", ""), attributes.get("id", ""))).split()
-        return any(name.lower() in NAMED for name in names)
+        return OUT if any(name.lower() in NAMED for name in names) else KEPT
     for name in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
         words = [w.lower() for w in WORD.findall(name)]
         # the last word says what it is, the first one whose: post-comments, ad-slot, but not content-with-sidebar
         if words and (words[-1] in NAMED or (words[0] in NAMED and words[-1] not in ("content", "article", "text", "body", "main"))):
-            return True
+            return OUT
         if words and not article and words[-1] in HEADERS:
-            return True
-    return False
+            header = HEADER
+    return header
 
 
 def template_of(pages: list[Page]) -> set[tuple]:
@@ -244,8 +262,145 @@ def ordered(tokens: set[tuple], pages: list[Page]) -> bool:
     return True
 
 
-def slot_text(page: Page, template: set[tuple]) -> str:
-    """The page's own text."""
+class Elements:
+    """The tree of elements that pages have once, and how much text that differs from page to page each of them holds."""
+
+    def __init__(self, pages: list[Page]):
+        self.above = {path: around for page in pages for path, around in page.above.items()}
+        tags = [Counter(t[0] for t in page.tokens if len(t) == 1) for page in pages]
+        holders = defaultdict(list)
+        for k, page in enumerate(tags):
+            for path, times in page.items():
+                holders[path].append(k if times == 1 else -1)
+        classes = defaultdict(set)
+        for path, ks in holders.items():
+            if len(ks) >= LEAST and min(ks) >= 0 and self.above[path][1] not in TEXTUAL:
+                classes[tuple(ks)].add((path,))
+        self.tree = {path for ks, own in classes.items() if ordered(own, [pages[k] for k in ks]) for (path,) in own}
+        self.nearest: dict[int, int] = {0: 0}  # of a path: the element of the tree that it is or stands in
+        self.layouts = [frozenset(self.tree & page.keys()) for page in tags]
+        self.support = Counter(token for page in pages for token in {t for t in page.tokens if len(t) == 2})
+        self.holders = {path: len(holders[path]) for path in self.tree} | {0: len(pages)}
+        self.depth = {0: 0}
+        for path in self.tree:
+            way = [path]
+            while way[-1] not in self.depth:
+                way.append(self.around(way[-1]))
+            for p in reversed(way[:-1]):
+                self.depth[p] = self.depth[self.around(p)] + 1
+
+    def element(self, path: int) -> int:
+        """The element of the tree that a path is or stands in, 0 for none."""
+        way = []
+        while path not in self.nearest:
+            way.append(path)
+            if path in self.tree:
+                self.nearest[path] = path
+            else:
+                path = self.above[path][0]
+        for p in way:
+            self.nearest[p] = self.nearest[path]
+        return self.nearest[path]
+
+    def around(self, element: int) -> int:
+        return self.element(self.above[element][0])
+
+    def tag(self, path: int) -> str:
+        """Of the block element that a path is or stands in."""
+        while path and self.above[path][1] in INLINE:
+            path = self.above[path][0]
+        return self.above[path][1] if path else ""
+
+    def differs(self, block: Block) -> bool:
+        return 2 * self.support[block.path, block.text] <= self.holders[self.element(block.path)]
+
+    def weights(self, pages: list[Page], layouts: list[frozenset[int]]) -> tuple[dict[int, float], bool]:
+        """Differing text in each element, by page that has it; do the pages differ at all?"""
+        sums, times, whole = Counter(), Counter({0: len(pages)}), 0
+        for page, layout in zip(pages, layouts, strict=True):
+            times.update(layout)
+            for block in page.blocks:
+                if not block.out:
+                    size = len(block.text) - block.linked
+                    whole += size
+                    if self.differs(block):
+                        sums[self.element(block.path)] += size
+        own = sums.total()
+        for element in sorted(times, key=self.depth.__getitem__, reverse=True):
+            if element:
+                sums[self.around(element)] += sums[element]
+        return {e: sums[e] / n for e, n in times.items()}, own > ALIKE * whole
+
+    def slot(self, layout: frozenset[int], weight: dict[int, float]) -> int:
+        """The innermost element of a layout with more than half of the differing text of all that are around it."""
+        below = defaultdict(list)
+        for element in layout:
+            below[self.around(element)].append(element)
+        at = 0
+        while below[at]:
+            best = max(below[at], key=lambda e: weight[e])
+            if 2 * weight[best] <= weight[at]:
+                break
+            at = best
+        return at
+
+
+def slots_of(pages: list[Page]) -> list[set[int] | None]:
+    """Of each of some distinct pages, the numbers of its blocks that stand in the article's slot; None without a template."""
+    if len(pages) < LEAST:
+        return [None] * len(pages)
+    elements = Elements(pages)
+    everywhere = elements.weights(pages, elements.layouts)
+    alike = defaultdict(list)
+    for page, layout in zip(pages, elements.layouts, strict=True):
+        alike[layout].append(page)
+    chosen = {}
+    for layout, those in alike.items():  # a layout of few pages is judged by all pages that have its elements
+        weight, differ = elements.weights(those, [layout] * len(those)) if len(those) >= LEAST else everywhere
+        chosen[layout] = elements.slot(layout, weight) if differ else None
+    return [None if chosen[layout] is None else held_in(page, chosen[layout], elements) for page, layout in zip(pages, elements.layouts, strict=True)]
+
+
+def held_in(page: Page, slot: int, elements: Elements) -> set[int]:
+    """Numbers of the blocks in an element, or in the article that has most of it, and of the heading before it."""
+    held = {0: not slot, slot: True}
+
+    def inside(path: int) -> bool:
+        way = [elements.element(path)]
+        while way[-1] not in held:
+            way.append(elements.around(way[-1]))
+        for element in way:
+            held[element] = held[way[-1]]
+        return held[way[0]]
+
+    root = not slot or elements.above[slot][1] in ("html", "body", "main")
+    found = {k for k, b in enumerate(page.blocks) if b.out != OUT and (b.out != HEADER or not root) and inside(b.path)}
+    sizes = Counter()
+    for k in found:
+        sizes[page.blocks[k].article if page.articles.get(page.blocks[k].article) == "article" else 0] += len(page.blocks[k].text)
+    article = max(sizes, key=lambda a: (sizes[a], -a), default=0)
+    if article and 2 * sizes[article] > sum(sizes.values()):
+        return {k for k, b in enumerate(page.blocks) if not b.out and b.article == article}
+    if found and not any(elements.tag(page.blocks[k].path) == "h1" for k in found):
+        heads = [k for k, b in enumerate(page.blocks) if not b.out and elements.tag(b.path) == "h1"]
+        if len(heads) == 1 and heads[0] < min(found) and elements.differs(page.blocks[heads[0]]):
+            found.add(heads[0])
+    return found
+
+
+def slot_text(page: Page, template: set[tuple], slot: set[int] | None = None) -> str:
+    """The page's own text: in the blocks of a slot, or in what names itself the article."""
+    if slot is not None:
+        inside = [page.blocks[k] for k in sorted(slot)]
+    else:
+        inside = named_article(page)
+    own = [b for b in inside if (b.path, b.text) not in template]
+    whole, left = sum(len(b.text) for b in inside), sum(len(b.text) for b in own)
+    return " ".join(b.text for b in (own if whole - left <= MOST * whole else inside))
+
+
+def named_article(page: Page) -> list[Block]:
+    """The blocks of the longest article or main element, else all but lists of links."""
     sizes = Counter()
     for b in page.blocks:
         if not b.out and b.article:
@@ -259,16 +414,15 @@ def slot_text(page: Page, template: set[tuple]) -> str:
             total[b.list] += len(b.text)
             linked[b.list] += b.linked
         inside = [b for b in inside if not (b.list and page.links[b.list] >= 3 and linked[b.list] > 0.6 * total[b.list])]
-    own = [b for b in inside if (b.path, b.text) not in template]
-    whole, left = sum(len(b.text) for b in inside), sum(len(b.text) for b in own)
-    return " ".join(b.text for b in (own if whole - left <= MOST * whole else inside))
+    return inside
 
 
 def texts_of_group(sources: list[str | None]) -> list[str]:
     """The text of each page of a group of one host."""
     pages = {s: Page(s) for s in sources if s}
-    template = template_of([*pages.values()])
-    texts = {s: slot_text(p, template) for s, p in pages.items()}
+    distinct = [*pages.values()]
+    template, slots = template_of(distinct), slots_of(distinct)
+    texts = {s: slot_text(p, template, slot) for (s, p), slot in zip(pages.items(), slots, strict=True)}
     return [texts[s] if s else "" for s in sources]
 
 

@@ -88,6 +88,63 @@ def test_broken_pages():
     assert html_text.texts_of_group(["<body>" + "<p>w</p>" * 50_000])[0] == " ".join(["w"] * 50_000)
 
 
+def bare_page(k: int, layout: str = "a") -> str:
+    """No article, no main, no telling names: what is the article shows in many pages only."""
+    paragraphs = "".join(f"<p>Paragraph {k}.{n} tells of matter {k * 7 + n} at some length and then ends.</p>" for n in range(1 + k % 4))
+    menu = "<div class=q1><a href=/x>Home</a> <a href=/y>News</a> Your daily read of all that is new in town.</div>"
+    if layout == "a":
+        return f"<body><div class=z9>{menu}</div><table><tr><td class=q2>Popular: read {k}</td><td class=q3><h1>Title {k}</h1><div class=q4>{paragraphs}</div></td></tr></table><div class=q5>All rights of the town paper, since 1901, reserved.</div>"
+    return f"<body><div class=k1><h1>Title {k}</h1><span class=k2>by A</span>{paragraphs}</div>{menu}<div class=k3>Seen {k} times</div>"
+
+
+def bare_text(k: int, layout: str = "a") -> str:
+    paragraphs = [f"Paragraph {k}.{n} tells of matter {k * 7 + n} at some length and then ends." for n in range(1 + k % 4)]
+    return " ".join([f"Title {k}", *(["by A"] if layout == "b" else []), *paragraphs])
+
+
+def test_template_chooses_the_article(monkeypatch):
+    pages = [bare_page(k) for k in range(12)]
+    assert html_text.texts_of_group(pages) == [bare_text(k) for k in range(12)]
+    mixed = [bare_page(k, layout) for k in range(10) for layout in "ab"]  # two layouts on one host
+    assert html_text.texts_of_group(mixed) == [bare_text(k, layout) for k in range(10) for layout in "ab"]
+    # a page by itself has no template, and without the slots the rest of the page is in its text
+    assert "since 1901" in html_text.texts_of_group(pages[:1])[0]
+    monkeypatch.setattr(html_text, "slots_of", lambda pages: [None] * len(pages))
+    assert all("Popular" in t for t in html_text.texts_of_group(pages))
+
+
+def test_template_without_any_names(spark, monkeypatch):
+    """On the test table, the template alone finds what the names say."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url", "html").where("html is not null").collect()
+    hosts = {}
+    for url, source in sorted({(p.url or "", p.html) for p in pages}):
+        hosts.setdefault("/".join(url.split("/")[:3]), []).append(source)
+    groups = [g for g in hosts.values() if len(g) >= 2 * html_text.LEAST]
+    named = [t for g in groups for t in html_text.texts_of_group(g)]
+    monkeypatch.setattr(html_text, "left_out", lambda tag, attributes, article: html_text.KEPT)
+
+    class Plain(html_text.Page):
+        def open(self, tag, rest, n):
+            super().open("div" if tag in ("article", "main") else tag, rest, n)
+
+        def close(self, tag):
+            super().close("div" if tag in ("article", "main") else tag)
+
+    monkeypatch.setattr(html_text, "Page", Plain)
+    plain = [t for g in groups for t in html_text.texts_of_group(g)]
+    assert len(named) > 100 and sum(a != b for a, b in zip(named, plain, strict=True)) <= 0.01 * len(named)
+
+
+def test_template_odd_pages():
+    same = "<div class=a><p>One text of some length</p></div><div class=b>menu</div>"
+    assert all("One text" in t for t in html_text.texts_of_group([same + "<!-- -->" * k for k in range(9)]))  # copies: nothing differs
+    article = "<article><h1>T{0}</h1><p>Own {0} words</p><div class=x>More of {0}</div></article><div class=y>Long boilerplate " + "that repeats " * 20 + "</div>"
+    assert html_text.texts_of_group([article.format(k) for k in range(8)]) == [f"T{k} Own {k} words More of {k}" for k in range(8)]
+    deep = ["<div>" * 16_000 + f"<p>deep {k}</p>" for k in range(6)]
+    assert html_text.texts_of_group(deep) == [f"deep {k}" for k in range(6)]
+    assert html_text.texts_of_group(["", None, "<p></p>", "<div>", "<div></div>", "x", "<h1>", "<article></article>"]) == ["", "", "", "", "", "x", "", ""]
+
+
 def test_extract_text_rows(spark, monkeypatch):
     rows = [(k, f"http://h{k % 3 if k < 150 else 0}.example/{k}", PAGE.format(k)) for k in range(400)] + [(1000, None, None), (1001, "nonsense", ""), (None, "http://h1.example/1", PAGE.format(1))]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
