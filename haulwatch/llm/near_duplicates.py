@@ -52,6 +52,8 @@ AGREEING, CLOSE = 12, 26
 SHINGLE_BYTES = 6
 #: Rows of the sorted orders that one task reads.
 TASK_ROWS = 200_000
+#: Bytes of packed sets in a file.
+TASK_BYTES = 1 << 25
 #: Commonest values of each place that a task tells of its piece of a run.
 TOP = 8
 #: What a task finds: candidate pairs; rows (a) in regions where not all meet; its first and last rows (key, a); its pieces of runs that may go on in other tasks (key, weight, top).
@@ -269,7 +271,7 @@ def pairs_at_cuts(edges: DataFrame) -> DataFrame:
     return rows.union(rows.select(F.col("b"), F.col("a"), "agreeing", "weight"))
 
 
-def members_of_cut_runs(rows: DataFrame, pieces: DataFrame) -> DataFrame:
+def members_of_cut_runs(rows: DataFrame, pieces: DataFrame, n_files: int | None = None) -> DataFrame:
     """(run, size, node, key, central) of the rows (key, node) in runs of several pieces (key, weight, top): the size of the
     whole run, and in how many places the row has the run's commonest value."""
     whole = pieces.groupBy("key").agg(F.sum("weight").cast("int").alias("size"), F.count("*").alias("n")).where(f"n > 1 and size > {NEIGHBOURS + 1}").drop("n")
@@ -278,24 +280,24 @@ def members_of_cut_runs(rows: DataFrame, pieces: DataFrame) -> DataFrame:
     modes = times.groupBy("key", "size", "place").agg(F.max(F.struct("times", "value"))["value"].alias("value"))
     modes = modes.groupBy("key", "size").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("modes"))
     packed_modes = F.unhex(F.array_join(F.transform("modes", lambda m: F.lpad(F.hex(m["value"]), 4, "0")), ""))
-    runs = F.broadcast(checkpointed(modes.select(F.col("key").alias("run"), "size", packed_modes.alias("modes"))))  # a few per task
+    runs = F.broadcast(checkpointed(modes.select(F.col("key").alias("run"), "size", packed_modes.alias("modes")), n_files))  # a few per task
     regions = runs.select(F.col("run").alias("region"))  # a run that is cut lies in a region that is cut
     rows = rows.join(F.broadcast(regions), prefix(DEPTHS[0]) == F.col("region"), "left_semi")
     rows = rows.select("node", "key", F.explode(F.array(*map(prefix, DEPTHS))).alias("run")).join(runs, "run")
     return rows.select("run", "size", "node", "key", agreement("key", "modes").alias("central"))
 
 
-def pairs_of_cut_runs(members: DataFrame) -> DataFrame:
+def pairs_of_cut_runs(members: DataFrame, n_files: int | None = None) -> DataFrame:
     """Each member with the representatives of its whole run."""
     order = Window.partitionBy("run").orderBy(F.desc("central"), "node")
     central = members.withColumn("k", F.row_number().over(order)).where(F.col("k") <= REPRESENTATIVES)  # each task sends so many
-    central = checkpointed(central.select("run", F.col("node").alias("b"), F.col("key").alias("key_b")))
+    central = checkpointed(central.select("run", F.col("node").alias("b"), F.col("key").alias("key_b")), n_files)
     pairs = members.join(F.broadcast(central), "run").where("node != b")
     pairs = pairs.select(F.col("node").alias("a"), "b", agreement("key", "key_b").alias("agreeing"), F.col("size").alias("weight"))
     return pairs.where(F.col("agreeing") >= AGREEING)
 
 
-def forest_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def forest_pairs(classes: DataFrame, n_files: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a, b, agreeing, weight), in both directions where neither stands for a run; and the nodes that stand in
     regions where not all meet."""
     n_tasks = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-classes.count() * TREES // TASK_ROWS))
@@ -304,10 +306,10 @@ def forest_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     orders = F.array(*(F.concat(F.lit(bytes([t])), F.substring(twice, t * step + 1, 2 * VALUES)) for t in range(TREES)))
     rows = classes.select(F.explode(orders).alias("key"), "node")
     ordered = rows.repartitionByRange(n_tasks, "key", "node").sortWithinPartitions("key", "node")
-    found = checkpointed(ordered.mapInArrow(pairs_of_task, from_arrow_schema(FOUND)))
+    found = checkpointed(ordered.mapInArrow(pairs_of_task, from_arrow_schema(FOUND)), n_files)
     of = lambda kind: found.where(F.col("kind") == kind)
-    members = checkpointed(members_of_cut_runs(rows, of(PIECE).select("key", "weight", "top")))
-    pairs = of(PAIR).select("a", "b", "agreeing", "weight").union(pairs_at_cuts(of(EDGE).select("key", "a"))).union(pairs_of_cut_runs(members))
+    members = checkpointed(members_of_cut_runs(rows, of(PIECE).select("key", "weight", "top"), n_files), n_files)
+    pairs = of(PAIR).select("a", "b", "agreeing", "weight").union(pairs_at_cuts(of(EDGE).select("key", "a"))).union(pairs_of_cut_runs(members, n_files))
     crowded = of(CROWDED).select(F.col("a").alias("node")).union(members.select("node")).distinct()
     return pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"), F.max("weight").alias("weight")), crowded
 
@@ -324,7 +326,7 @@ def shingles_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
 
 
-def crowded_pairs(sets: DataFrame, found: DataFrame) -> DataFrame:
+def crowded_pairs(sets: DataFrame, found: DataFrame, n_files: int | None = None) -> DataFrame:
     """All pairs (a, b) of the sets (node, set) that can be links between two components (node, root).
 
     A pair of n and m shingles is a link if they share PERCENT / (100 + PERCENT) * (n + m) at least. Shingles are ordered by the
@@ -338,7 +340,7 @@ def crowded_pairs(sets: DataFrame, found: DataFrame) -> DataFrame:
     ranked = tokens.join(uses, "shingle").withColumns({"k": F.row_number().over(own.orderBy("uses", "shingle")), "common": F.count("*").over(own)})
     ranked = ranked.withColumn("pos", (F.col("size") - F.col("common") + F.col("k")).cast("int"))  # those of no other set come first
     first = ranked.where(F.col("mixed") & (100 * (F.col("pos") - 1) <= (100 - PERCENT) * F.col("size")))
-    first = checkpointed(first.select("shingle", "node", "root", "size", "pos"))
+    first = checkpointed(first.select("shingle", "node", "root", "size", "pos"), n_files)
     main = first.groupBy("shingle", "root").count().groupBy("shingle").agg(F.max(F.struct("count", "root"))["root"].alias("main"))
     left = first.join(main, "shingle").where("root != main").drop("main").withColumnsRenamed({"node": "a", "root": "root_a", "size": "n", "pos": "pos_a"})
     right = first.withColumnsRenamed({"node": "b", "root": "root_b", "size": "m", "pos": "pos_b"})
@@ -354,9 +356,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(linked("set_a", "set_b")).select(*pairs.columns)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, n_files: int | None = None) -> DataFrame:
     """(node, root) of every node of the edges (a, b), the root being the least node that it is connected with."""
-    edges = checkpointed(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u != v").distinct())
+    edges = checkpointed(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u != v").distinct(), n_files)
     n_tasks = 1 + edges.count() // TASK_ROWS  # for a table that gets no longer
     before = None
     while True:
@@ -381,34 +383,41 @@ def across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return rows.where("root_a != root_b")
 
 
-def raised(found: DataFrame, between: DataFrame) -> DataFrame:
+def raised(found: DataFrame, between: DataFrame, n_files: int | None = None) -> DataFrame:
     """The components (node, root) after links (a, b) between their roots."""
-    above = components(between).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    above = components(between, n_files).select(F.col("node").alias("root"), F.col("root").alias("top"))
     lone = above.join(found, above["root"] == found["node"], "left_anti").select(F.col("root").alias("node"), "root")
     return found.union(lone).join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
 
 
+def files_for(rows: DataFrame) -> int:
+    """How many files the tables made of these rows (n) are worth: TASK_ROWS of the sorted orders and TASK_BYTES of sets in each."""
+    n, shingles = rows.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return max(2 * rows.sparkSession.sparkContext.defaultParallelism, n * TREES // TASK_ROWS, shingles * SHINGLE_BYTES // TASK_BYTES)
+
+
 def find_components(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
     """Of each row (key, n, node); and of each node that is linked with another (node, root)."""
     rows = checkpointed(docs.select(docs[key].alias("key"), marked(docs[text]).alias("m")).select("key", "m.*"))
-    classes = checkpointed(rows.where("node is not null").groupBy("node").agg(F.min("signature").alias("signature")))
-    pairs, crowded = map(checkpointed, forest_pairs(classes))
+    files = files_for(rows)
+    classes = checkpointed(rows.where("node is not null").groupBy("node").agg(F.min("signature").alias("signature")), files)
+    pairs, crowded = (checkpointed(x, files) for x in forest_pairs(classes, files))
     met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded).distinct()
     texts = docs.select(docs[text].alias("text")).where("text is not null")
     texts = texts.withColumn("node", digested("text")).where("node is not null")
     texts = texts.join(met, "node", "left_semi").dropDuplicates(["node"])
-    sets = checkpointed(texts.select("node", packed("text").alias("set")))
+    sets = checkpointed(texts.select("node", packed("text").alias("set")), files)
     # first one partner each: the most central of the close ones, else the closest
     rank = F.struct((F.col("agreeing") >= CLOSE).alias("close"), F.when(F.col("agreeing") >= CLOSE, F.col("weight")).otherwise(0).alias("weight"), "agreeing", "b")
     first = pairs.groupBy("a").agg(F.max(rank)["b"].alias("b"))
-    found = checkpointed(components(confirmed(first, sets)))
+    found = checkpointed(components(confirmed(first, sets), files), files)
     # a link between two components joins their roots
     roots = lambda links: links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-    whole = raised(found, roots(confirmed(across(pairs, found), sets)))
+    whole = raised(found, roots(confirmed(across(pairs, found), sets)), files)
     if not crowded.isEmpty():
-        whole = checkpointed(whole)
-        rest = checkpointed(crowded_pairs(sets.join(crowded, "node", "left_semi"), whole))
-        whole = raised(whole, roots(confirmed(across(rest, whole), sets)))
+        whole = checkpointed(whole, files)
+        rest = checkpointed(crowded_pairs(sets.join(crowded, "node", "left_semi"), whole, files), files)
+        whole = raised(whole, roots(confirmed(across(rest, whole), sets)), files)
     return rows.select("key", "n", "node"), whole
 
 

@@ -23,10 +23,10 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def checkpointed(rows: DataFrame) -> DataFrame:
-    """The rows, written to the shared folder and read from there, so that a lost executor costs a read."""
+def checkpointed(rows: DataFrame, files: int | None = None) -> DataFrame:
+    """The rows, written to the shared folder and read from there, so that a lost executor costs a read; in at most so many files."""
     shared_folder(rows.sparkSession)
-    return rows.checkpoint()
+    return (rows.coalesce(files) if files else rows).checkpoint()
 
 
 def under_plain_names(rows: DataFrame, used: Sequence[str], operate: Callable[..., DataFrame], into: str, without: str | None = None) -> DataFrame:
