@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,6 +63,15 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Texts]:
         lo = hi
 
 
+def give_back() -> None:
+    """What a task has freed goes back to the system, since Spark keeps its worker for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
 class Words:
     """Maximal runs of word bytes: start and end offset, and the row of each."""
 

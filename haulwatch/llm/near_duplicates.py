@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, joined, mix, randoms, shingle_hashes, span_hashes, struct_array
+from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, give_back, joined, mix, randoms, shingle_hashes, span_hashes, struct_array
 from haulwatch.llm.storage import checkpointed
 
 WIDTH = 5
@@ -124,6 +124,7 @@ def marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             sets = Sets(texts)
             parts.append(struct_array({"n": sets.sizes, "node": sets.digests(), "signature": sets.signatures()}))
         yield joined(parts, kind)
+    give_back()
 
 
 @F.arrow_udf(T.BinaryType())
@@ -136,6 +137,7 @@ def digested(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         yield joined([Sets(texts).packed() for texts in blocks(batch)], pa.binary())
+    give_back()
 
 
 @F.arrow_udf(T.BooleanType())
@@ -253,6 +255,8 @@ def pairs_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         runs = runs_of(shared, depth)
         pieces += [(raw[lo][: 1 + 2 * depth], hi - lo, commonest(keys[lo:hi])) for lo, hi in sorted({runs[0], runs[-1]})]
     prefixes, sizes, top = zip(*pieces, strict=True)
+    del rows, keys, names
+    give_back()
     yield found_rows(PIECE, len(pieces), key=pa.array(prefixes, pa.binary()), weight=pa.array(sizes), top=pa.array(top, FOUND.field("top").type))
 
 

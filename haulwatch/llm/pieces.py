@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwatch.llm.arrays import Memo, Texts, blocks, joined, lists, span_hashes, spread
+from haulwatch.llm.arrays import Memo, Texts, blocks, give_back, joined, lists, span_hashes, spread
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
@@ -198,6 +198,8 @@ def encode(text: Column, path: str) -> Column:
         for batch in batches:
             parts = [lists(*encoder(texts)) for texts in blocks(batch)]
             yield joined(parts, pa.list_(pa.int32()))
+        del encoder
+        give_back()
 
     return encoded(text)
 
@@ -230,6 +232,7 @@ def decode(ids: Column, path: str) -> Column:
                     begin = end
                 lo, row = int(past[hi - 1]), hi
             yield pa.array(texts, pa.string())
+        give_back()
 
     return decoded(ids)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, joined, mix, shingle_hashes, span_hashes, struct_array
+from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, give_back, joined, mix, shingle_hashes, span_hashes, struct_array
 from haulwatch.llm.pieces import Encoder
 
 MIN_WORDS = 50
@@ -128,6 +128,8 @@ def measured(text: Column, path: str) -> Column:
                 parts.append(struct_array({k: base[k] for k in MEASURES}))
             kind = pa.struct([(k, {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}[v]) for k, v in MEASURES.items()])
             yield joined(parts, kind)
+        del encoder
+        give_back()
 
     return measure(text)
 
