@@ -6,8 +6,10 @@ bare, is counted over the corpus by distinct owner and repository. A value of at
 repositories is live: it belongs to somebody. A value that more of them have is an example that was copied around.
 A bare run that is live becomes a span of kind "owned", unless a base span overlaps it; base spans stay whatever their verdict.
 
+The patterns run once over the texts; rows with candidates (no text, only its digest and spans) are written to the shared folder.
 Values are counted once per (value, repository) before they meet, so that a value of a third of all rows is a few rows; spans
-depend on the text alone, so that verdicts are kept once per distinct text and joined back on its digest.
+depend on the text alone, so that verdicts are kept once per distinct text and joined back on its digest: broadcast if their
+measured size allows, else by a salted shuffle, so that copies of one text spread over SALTS tasks.
 
 Null and empty texts have no spans. A null owner or repository counts as one of its own. Repeated rows get the same spans
 each. Offsets are code points, the end exclusive.
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwatch.llm.storage import under_plain_names
+from haulwatch.llm.storage import checkpointed, under_plain_names
 
 MAX_OWNERS = 2
 MAX_REPOSITORIES = 4
@@ -32,6 +34,11 @@ PATTERNS = {
 BARE = (r"[A-Za-z0-9+/_-]{20,}+={0,2}", 0, 20)
 KINDS = [*PATTERNS, "owned"]
 REPLACEMENT = "[SECRET]"
+SPANS = "array<struct<start:bigint,kind:int,end:bigint,live:boolean>>"
+#: Verdicts are broadcast up to this size; a text counts as TEXT_BYTES and SPAN_BYTES for each span.
+BROADCAST_BYTES = 32 << 20
+TEXT_BYTES, SPAN_BYTES = 200, 64
+SALTS = 16
 
 
 def let(value: Column, body) -> Column:
@@ -77,12 +84,14 @@ def with_spans(docs: DataFrame, text: str) -> DataFrame:
     """The rows with __base and __bare: arrays of spans (start, kind, end, value) in order; __key: digest of a text that has any."""
     source = F.coalesce(docs[text], F.lit(""))
     found = {}
-    for kind, (pattern, group, _) in {**PATTERNS, "owned": BARE}.items():
+    for kind, (pattern, _, _) in {**PATTERNS, "owned": BARE}.items():
         found[f"__{kind}"] = F.regexp_extract_all(source, F.lit(pattern), F.lit(0))
-        found[f"__{kind}_value"] = F.regexp_extract_all(source, F.lit(pattern), F.lit(group)) if group else found[f"__{kind}"]
     rows = docs.withColumns(found)
+    # a match alone matches as it did in its text: what follows it is no character of a value
+    values = {f"__{kind}_value": F.transform(f"__{kind}", lambda m: F.regexp_extract(m, pattern, group)) if group else F.col(f"__{kind}") for kind, (pattern, group, _) in {**PATTERNS, "owned": BARE}.items()}
+    rows = rows.withColumns(values)
     spans = {f"__spans_{kind}": located(F.coalesce(F.col(text), F.lit("")), F.col(f"__{kind}"), F.col(f"__{kind}_value"), pattern, kind, least) for kind, (pattern, _, least) in {**PATTERNS, "owned": BARE}.items()}
-    rows = rows.withColumns(spans).drop(*found)
+    rows = rows.withColumns(spans).drop(*found, *values)
     base = F.array_sort(F.concat(*(F.col(f"__spans_{kind}") for kind in PATTERNS)))
     # key-like: letters and digits, and many different characters
     like = lambda v: v.rlike("[0-9].*[0-9].*[0-9]") & v.rlike("[A-Za-z].*[A-Za-z].*[A-Za-z]") & (F.size(F.array_distinct(F.split(v, ""))) >= 10)
@@ -92,15 +101,37 @@ def with_spans(docs: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("__key", F.when((F.size("__base") > 0) | (F.size("__bare") > 0), F.sha2(F.col(text), 256)))
 
 
-def ownership(rows: DataFrame, owner: Column, repository: Column) -> DataFrame:
-    """Of each candidate's hash: n_owners, n_repositories. A repository belongs to an owner. rows: of with_spans."""
-    name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    values = rows.where("__key is not null").select(F.explode(F.transform(F.concat("__base", "__bare"), lambda s: F.sha2(s["value"], 256))).alias("hash"), name(owner).alias("owner"), name(repository).alias("repository"))
-    once = values.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
+def candidates(docs: DataFrame, owner: str, repository: str, text: str) -> DataFrame:
+    """Of each row with candidates: key (digest of its text), owner, repository, base and bare spans."""
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    named = docs.select(name(owner).alias("owner"), name(repository).alias("repository"), F.col(text).alias("text"))
+    rows = with_spans(named, "text").where("__key is not null")
+    return rows.select(F.col("__key").alias("key"), "owner", "repository", F.col("__base").alias("base"), F.col("__bare").alias("bare"))
+
+
+def hashes(spans: Column) -> Column:
+    return F.array_distinct(F.transform(spans, lambda s: F.sha2(s["value"], 256)))
+
+
+def ownership(rows: DataFrame) -> DataFrame:
+    """Of each candidate's hash: n_owners, n_repositories. A repository belongs to an owner. rows: of candidates."""
+    once = rows.select(F.explode(hashes(F.concat("base", "bare"))).alias("hash"), "owner", "repository").distinct()
     by_owner = once.groupBy("hash", "owner").agg(F.count("*").alias("n"))
     return by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
 
 
+def verdicts(rows: DataFrame) -> DataFrame:
+    """Of each distinct text with candidates (key): found, a struct of base and all spans. rows: of candidates."""
+    live = ownership(rows).where((F.col("n_owners") <= MAX_OWNERS) & (F.col("n_repositories") <= MAX_REPOSITORIES)).select("hash")
+    texts = rows.select("key", "base", "bare").dropDuplicates(["key"])
+    values = texts.select("key", F.explode(hashes(F.concat("base", "bare"))).alias("hash"))
+    of_text = values.join(live, "hash").groupBy("key").agg(F.collect_set("hash").alias("live"))  # at most the values of one text
+    is_live = lambda s: F.coalesce(F.array_contains("live", F.sha2(s["value"], 256)), F.lit(False))
+    told = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), is_live(s).alias("live"))
+    judged = texts.join(of_text, "key", "left").select("key", F.transform("base", told).alias("base"), F.filter(F.transform("bare", told), lambda s: s["live"]).alias("owned"))
+    return judged.select("key", F.struct("base", F.array_sort(F.concat("base", "owned")).alias("spans")).alias("found"))
+
+
 def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "lang", text: str = "text", into: str = "secrets") -> DataFrame:
     """The rows with a struct column into (replaced if there is one): base and spans, arrays of (kind, start, end, live).
 
@@ -110,22 +141,20 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "lang
 
 def scanned(docs: DataFrame, owner: str, repository: str, text: str) -> DataFrame:
     """The rows with the column found."""
-    rows = with_spans(docs, text)
-    counts = ownership(rows, F.col(owner), F.col(repository))
-    candidates = rows.where("__key is not null").select(F.col("__key").alias("key"), F.explode(F.transform(F.array_distinct(F.transform(F.concat("__base", "__bare"), lambda s: s["value"])), lambda v: F.sha2(v, 256))).alias("hash")).distinct()
-    live = counts.where((F.col("n_owners") <= MAX_OWNERS) & (F.col("n_repositories") <= MAX_REPOSITORIES)).select("hash")
-    of_text = candidates.join(live, "hash").groupBy("key").agg(F.collect_set("hash").alias("__live"))  # at most the values of one text
-    # rows without candidates find nothing; their keys only spread them
-    hashed = [c.name for c in docs.schema if "map<" not in c.dataType.simpleString()]
-    keyed = rows.withColumn("__join", F.coalesce("__key", F.hex(F.xxhash64(*hashed))))
-    joined = keyed.join(of_text, keyed["__join"] == of_text["key"], "left")
-    is_live = lambda s: F.coalesce(F.array_contains("__live", F.sha2(s["value"], 256)), F.lit(False))
-    told = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), is_live(s).alias("live"))
-    base = F.transform("__base", told)
-    owned = F.filter(F.transform("__bare", told), lambda s: s["live"])
-    joined = joined.withColumn("__base", base).withColumn("__bare", owned)
-    result = F.struct(F.col("__base").alias("base"), F.array_sort(F.concat("__base", "__bare")).alias("spans"))
-    return joined.select(*docs.columns, result.alias("found"))
+    rows = checkpointed(candidates(docs, owner, repository, text))
+    judged = verdicts(rows).withColumnsRenamed({"key": "__text", "found": "__found"})
+    sizes = rows.dropDuplicates(["key"]).select((F.lit(TEXT_BYTES) + SPAN_BYTES * (F.size("base") + F.size("bare"))).cast("long").alias("bytes"))
+    n_bytes = sizes.agg(F.sum("bytes")).first()[0] or 0
+    keyed = docs.withColumn("__key", F.sha2(F.col(text), 256))
+    if n_bytes <= BROADCAST_BYTES:
+        joined = keyed.join(F.broadcast(judged), keyed["__key"] == judged["__text"], "left")
+    else:
+        hashed = [c.name for c in docs.schema if "map<" not in c.dataType.simpleString()]
+        keyed = keyed.withColumn("__salt", F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int"))
+        judged = judged.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = keyed.join(judged, (keyed["__key"] == judged["__text"]) & (keyed["__salt"] == judged["__copy"]), "left")
+    spans = lambda name: F.coalesce(F.col(f"__found.{name}"), F.array().cast(SPANS)).alias(name)
+    return joined.select(*docs.columns, F.struct(spans("base"), spans("spans")).alias("found"))
 
 
 def listed(spans: Column) -> Column:

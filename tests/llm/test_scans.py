@@ -56,6 +56,18 @@ def test_ownership_tells_examples_from_live_values(spark, empty):
     assert secret_scans.redact(empty).count() == 0
 
 
+def test_verdicts_by_shuffle(spark, monkeypatch, empty):
+    rows = [(k, f"token = '{'abcdef12345' * 2}{k % 7}' é", "en", f"s{k % 9}", 5) for k in range(300)]
+    rows += [(1000 + k, "password = 'hunter2hunter2'", "en", "one", 5) for k in range(300)] + ODD + [(2000, None, None, None, None)] * 50
+    docs = spark.createDataFrame(rows, DOCS)
+    listed = lambda: sorted(map(str, secret_scans.scan_secrets(docs).select("doc_id", "secrets").collect()))
+    want = listed()
+    monkeypatch.setattr(secret_scans, "BROADCAST_BYTES", -1)
+    assert listed() == want and len(want) == len(rows)
+    assert any("live=True" in w for w in want)
+    assert secret_scans.redact(empty).count() == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style></head><body class="has-sidebar"><div id=top class="site-header">Logo</div>
 <ul><li><a href=1>Home</a><li><a href=2>News {0}</a><li><a>Shop</a></ul><div class=cookie-notice>We use cookies</div><h1>T{0} a</h1>
 <div class="post-content"><p>Own te<b>xt</b>{0} x &amp;&nbsp; y.<p>More<br>lines &lt;{0}&gt;</div><p>Share this story</p><div class="post-comments"><p>nice {0}</p></div>
