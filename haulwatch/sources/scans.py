@@ -34,17 +34,18 @@ def _parsed(
     fields = [f for f in schema.fields if columns is None or f.name in columns]
     texts = T.StructType([*(T.StructField(f.name, T.StringType()) for f in fields), T.StructField("_corrupt", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    # Through a generator, so that the text is parsed once.
-    parsed = df.select("*", F.inline(F.array(F.struct(F.from_json(F.col(value_col).cast("string"), texts, options).alias("_text")))))
+    # Through generators, so that the text is parsed once and each field is converted once.
+    once = lambda rows, value, name: rows.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+    parsed = once(df, F.from_json(F.col(value_col).cast("string"), texts, options), "_text")
     text = lambda f: F.col("_text")[f.name]
     given = lambda f: F.nullif(F.trim(text(f)), F.lit(""))
-    value = {f.name: text(f) if isinstance(f.dataType, T.StringType) else _converted(given(f), f.dataType) for f in fields}
+    parsed = once(parsed, F.struct(*[(text(f) if isinstance(f.dataType, T.StringType) else _converted(given(f), f.dataType)).alias(f.name) for f in fields]), "_record")
     wrong = [
-        F.when(given(f).isNotNull() & value[f.name].isNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}"))
+        F.when(F.col("_record")[f.name].isNull() & given(f).isNotNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}"))
         for f in fields if not isinstance(f.dataType, T.StringType)
     ]
     broken = F.when(F.col("_text").isNull() | F.col("_text._corrupt").isNotNull(), F.lit("not a JSON object"))
-    return parsed, F.struct(*[v.alias(name) for name, v in value.items()]), F.coalesce(broken, *wrong)
+    return parsed, F.col("_record"), F.coalesce(broken, *wrong)
 
 
 def _converted(text: Column, kind: T.DataType) -> Column:
