@@ -368,19 +368,20 @@ for _name, _rule, _bad, _code in (
         recursive=True,
     )
 
-ORACLES["alarm_off_route"] = _with(
-    "fast register_card build_site disposal_site",
-    _alarm("0112", ("t", "lng", "lat"), ("end_t", "end_lng", "end_lat"), extra="permit_id", src="(select c.* from cand c join fires f on f.dept_id=c.dept_id and f.vehicle_id=c.vehicle_id and f.t=c.t) y"),
-    f"""permit as (select c.permit_id, c.vehicle_id, c.dept_id, b.lng blng, b.lat blat, s.lng dlng, s.lat dlat
+def _off_route(dwell_s: int, max_speed: float, off_minutes: int) -> str:
+    return _with(
+        "fast register_card build_site disposal_site",
+        _alarm("0112", ("t", "lng", "lat"), ("end_t", "end_lng", "end_lat"), extra="permit_id", src="(select c.* from cand c join fires f on f.dept_id=c.dept_id and f.vehicle_id=c.vehicle_id and f.t=c.t) y"),
+        f"""permit as (select c.permit_id, c.vehicle_id, c.dept_id, b.lng blng, b.lat blat, s.lng dlng, s.lat dlat
   from register_card c left join build_site b on b.build_site_id=c.build_site_id left join disposal_site s on s.disposal_site_id=c.disposal_site_id where c.state=0),
 {_VERTICES},
 pts as (select *, row_number() over (partition by dept_id, vehicle_id order by t, row_key) n from fast where {SUPERVISED}),
-pp as (select p.*, m.permit_id, coalesce({_dist('p.lng','p.lat','m.blng','m.blat')} < {ROUTE_M} and p.speed < 1000, false) at_build,
+pp as (select p.*, m.permit_id, coalesce({_dist('p.lng','p.lat','m.blng','m.blat')} < {ROUTE_M} and p.speed < {max_speed}, false) at_build,
     coalesce({_dist('p.lng','p.lat','m.dlng','m.dlat')} < {ROUTE_M}, false) at_disposal,
     not exists (select 1 from vert w where w.permit_id=m.permit_id and {_dist('p.lng','p.lat','w.vlng','w.vlat')} <= {ROUTE_M}) away
   from pts p join permit m on m.dept_id=p.dept_id and m.vehicle_id=p.vehicle_id),
 dw as (select *, sum(case when at_build then 0 else 1 end) over (partition by permit_id order by n rows unbounded preceding) g from pp),
-ev as (select *, at_build and t - min(case when at_build then t end) over (partition by permit_id, g) > 0 confirmed from dw),
+ev as (select *, at_build and t - min(case when at_build then t end) over (partition by permit_id, g) > {dwell_s} confirmed from dw),
 per as (select dept_id, vehicle_id, n, min(case when confirmed then permit_id end) take, list(permit_id) filter (at_disposal) leaving from ev group by 1,2,3),
 held as (
   select dept_id, vehicle_id, n, case when list_contains(coalesce(leaving, []), take) then null else take end h from per where n=1
@@ -393,11 +394,15 @@ runs as (select *, sum(case when is_off then 0 else 1 end) over (partition by de
 late as (select * from (select *, min(n) over (partition by dept_id, vehicle_id, g) n0 from runs where is_off) x),
 cand as (select f.dept_id, f.vehicle_id, f.row_key, f.t, f.lng, f.lat, f.h permit_id, l.t end_t, l.lng end_lng, l.lat end_lat
   from (select *, row_number() over (partition by dept_id, vehicle_id, n0 order by n) k from (
-      select l.*, f.t t0 from late l join late f on f.dept_id=l.dept_id and f.vehicle_id=l.vehicle_id and f.n=l.n0) z where (t - t0)//60 > 0) l
+      select l.*, f.t t0 from late l join late f on f.dept_id=l.dept_id and f.vehicle_id=l.vehicle_id and f.n=l.n0) z where (t - t0)//60 > {off_minutes}) l
   join late f on f.dept_id=l.dept_id and f.vehicle_id=l.vehicle_id and f.n=l.n0 where l.k=1),
 """ + _cooldown("dept_id, vehicle_id", strict=False, seconds=600),
-    recursive=True,
-)
+        recursive=True,
+    )
+
+
+ORACLES["alarm_off_route"] = _off_route(0, 1000, 0)
+ORACLES["alarm_off_route_dwell"] = _off_route(180, 40, 3)
 
 
 def _disposal(illegal: str) -> str:

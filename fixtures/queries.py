@@ -446,6 +446,16 @@ def alarm_off_route_query(spark, sf_dir):
 QUERIES["alarm_off_route"] = QUERIES.pop("alarm_off_route_query")
 
 
+@query
+def alarm_off_route_dwell(spark, sf_dir):
+    """Only vehicles that stay at a build site for three minutes take a route; alarms after three minutes off it."""
+    out = alarm_off_route(
+        positions(spark, sf_dir, "fast"), _permits(spark, sf_dir), radius_m=ROUTE_M, dwell_s=180, max_speed=40.0,
+        off_minutes=3, cooldown_s=600,
+    )
+    return _alarm_view(out, "permit_id")
+
+
 def _disposal_query(name: str, match: str) -> None:
     def run(spark, sf_dir):
         out = alarms.alarm_illegal_disposal(

@@ -15,7 +15,7 @@ from haulwatch.operators.lookups import supervised
 from haulwatch.operators.sequence import (
     ORDER, TARGET_ROWS, VEHICLE, ensure_checkpoint_dir, group_columns, ordered_scan, prepare,
 )
-from haulwatch.operators.spatial import flag_off_route, match_sites
+from haulwatch.operators.spatial import flag_off_route, near_ids
 from haulwatch.plans.alarms import COOLDOWN_S, OFF_ROUTE, as_alarm
 
 PERMIT = [*VEHICLE, "permit_id"]
@@ -30,30 +30,31 @@ def with_permit_id(permits: DataFrame) -> DataFrame:
     )
 
 
-def _near(points: DataFrame, permits: DataFrame, side: str, radius_m: float, **kw) -> DataFrame:
-    site = permits.select(*VEHICLE, "permit_id", f"{side}_lng", f"{side}_lat").distinct()
-    pairs = match_sites(points, site, radius_m, on=VEHICLE, lng=f"{side}_lng", lat=f"{side}_lat", **kw)
-    return pairs.withColumn("permit_id", F.col("target.permit_id")).drop("target", "distance")
-
-
 def _route_events(d, permits, radius_m, dwell_s, max_speed, **kw) -> DataFrame:
-    """Per report: ``take``, the lowest permit whose dwell is confirmed, and ``leave``, permits whose disposal site is near."""
+    """Per report: ``take``, the lowest permit whose dwell is confirmed, and ``leave``, permits whose disposal site is near.
+
+    One read of the facts: both kinds of sites come as arrays of a report, so that only the few reports near one of them
+    go on after the scan that finds the report before each.
+    """
     group = group_columns(d, VEHICLE)
-    narrow = d.select(*group, *ORDER, "lng", "lat", "speed")
-    chained = ordered_scan(narrow, VEHICLE).withColumn("_previous", F.col("prev.row_key")).drop("prev")
-    at_build = _near(chained.filter(F.col("speed") < max_speed), permits, "build", radius_m, **kw)
-    # The dwell starts anew unless the report just before this one was at the same build site.
+    points = d.select(*group, *ORDER, "lng", "lat", "speed")
+    for side in ("build", "disposal"):
+        site = permits.select(*PERMIT, f"{side}_lng", f"{side}_lat").distinct()
+        points = near_ids(points, site, radius_m, VEHICLE, "permit_id", side, f"{side}_lng", f"{side}_lat", **kw)
+    slow = F.when(F.col("speed") < max_speed, F.col("build")).otherwise(F.slice("build", 1, 0))
+    points = points.select(*group, *ORDER, slow.alias("build"), "disposal")
+    chained = ordered_scan(points, VEHICLE).withColumn("_previous", F.col("prev.row_key")).drop("prev")
+    near = chained.filter((F.size("build") > 0) | (F.size("disposal") > 0))
+    # The dwell starts anew unless the report just before this one was at the same build site. Reports at no build
+    # site have a null permit: they confirm nothing.
+    at_build = near.withColumn("permit_id", F.explode_outer("build")).drop("build")
     broken = F.col("prev").isNull() | (F.col("prev.row_key") != F.col("_previous"))
     dwelling = ordered_scan(at_build, PERMIT, mark=lambda prev: F.when(broken, F.col("epoch_s")))
-    confirmed = dwelling.filter(F.col("epoch_s") - F.col("mark") > dwell_s)
-    at_disposal = _near(narrow, permits, "disposal", radius_m, **kw)
-    none = F.lit(None).cast(at_disposal.schema["permit_id"].dataType)
-    events = confirmed.select(*group, *ORDER, F.col("permit_id").alias("take"), none.alias("_leave")).unionByName(
-        at_disposal.select(*group, *ORDER, none.alias("take"), F.col("permit_id").alias("_leave"))
-    )
-    return events.groupBy(*group, *ORDER).agg(
-        F.min("take").alias("take"), F.sort_array(F.collect_set("_leave")).alias("leave")
+    confirmed = F.when(F.col("epoch_s") - F.col("mark") > dwell_s, F.col("permit_id"))
+    events = dwelling.groupBy(*group, *ORDER).agg(
+        F.min(confirmed).alias("take"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("disposal")))).alias("leave")
     )
+    return events.filter(F.col("take").isNotNull() | (F.size("leave") > 0))
 
 
 def _after(state: Column, event: Column) -> Column:
