@@ -6,14 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haulwatch.functions.exprs import ColumnLike, col
 
-# A side is broadcast only when the optimizer's size estimate is below this bound.
-BROADCAST_BYTES = 256 << 20
+# A side is broadcast only when its rows are below this bound.
+BROADCAST_BYTES = 64 << 20
+# Up to here the optimizer's estimate is believed; it is made from compressed files, so that above it the rows are measured.
+BELIEVED_BYTES = 1 << 20
 # Copies of each dimension row in a shuffled join; the fact rows of one key spread over as many tasks. A session with many
 # shuffle partitions gets more of both.
 SALTS, MOST_SALTS, PARTITIONS_PER_SALT = 16, 256, 8
+# All copies of a dimension together, beyond one: a larger dimension has fewer, and the session splits skewed partitions.
+COPIES_BYTES = 512 << 20
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -27,21 +32,51 @@ def source_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def _fixed_bytes(kind: T.DataType) -> int | None:
+    """Bytes of a value in a row; None where values differ."""
+    if isinstance(kind, T.StructType):
+        parts = [_fixed_bytes(f.dataType) for f in kind.fields]
+        return None if None in parts else 16 + sum(parts)
+    return None if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.VariantType)) else 8
+
+
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    fixed = _fixed_bytes(kind)
+    if fixed is not None:
+        return F.lit(fixed)
+    if isinstance(kind, T.StructType):
+        return sum((_value_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    if isinstance(kind, T.ArrayType) and (each := _fixed_bytes(kind.elementType)) is not None:
+        return 16 + each * F.greatest(F.coalesce(F.size(value), F.lit(0)), F.lit(0))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return 8 + F.coalesce(F.octet_length(value), F.lit(0))
+    return 8 + F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df`` as text, by a job over it."""
-    text = F.to_json(F.struct(*df.columns))
-    return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    """Size of the rows of ``df``, by a job over it."""
+    row = sum((_value_bytes(df[f"`{f.name}`"], f.dataType) for f in df.schema.fields), F.lit(16))
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
+def _size_up_to(df: DataFrame, limit: int, growth: int) -> int | None:
+    """A size of ``df`` that is not above ``limit``: the estimate where that is small, else the measured one; None above."""
+    estimate = plan_bytes(df) * growth
+    if estimate <= min(limit, BELIEVED_BYTES):
+        return estimate
+    if source_bytes(df) > limit:
+        return None
+    measured = measured_bytes(df)
+    return measured if measured <= limit else None
 
 
 def fits(df: DataFrame, limit: int, growth: int = 1) -> bool:
     """Whether ``df`` is below ``limit`` bytes, ``growth`` being what the estimate may still be multiplied by.
 
-    The optimizer multiplies the sizes of joined tables, so a dimension joined from small tables can look huge. Where
-    the tables are small and only the estimate is not, the rows are measured.
+    The optimizer multiplies the sizes of joined tables, so a dimension joined from small tables can look huge, and takes
+    the sizes of compressed files, so one read from them can look small. But for tiny tables the rows are measured.
     """
-    if plan_bytes(df) * growth <= limit:
-        return True
-    return source_bytes(df) <= limit and measured_bytes(df) <= limit
+    return _size_up_to(df, limit, growth) is not None
 
 
 def one_per_key(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -53,21 +88,31 @@ def one_per_key(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def salted_join(
-    facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str, max_broadcast: int | None = None, growth: int = 1
+    facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str, max_broadcast: int | None = None, growth: int = 1,
+    size: int | None = None,
 ) -> DataFrame:
     """Equi-join that broadcasts a small ``dim`` and otherwise shuffles on ``keys`` plus a salt.
 
-    ``growth`` is how many rows the estimate may still be multiplied by (an explode the estimate does not see).
+    ``growth`` is how many rows the estimate may still be multiplied by (an explode the estimate does not see), ``size`` the
+    bytes of ``dim`` where they are known. All copies of ``dim`` together are not above ``COPIES_BYTES``, but for the one
+    that there must be: a larger dimension is spread by its own keys, and the session splits partitions that are skewed. In streams
+    it does not, and they take all copies.
     """
     limit = BROADCAST_BYTES if max_broadcast is None else max_broadcast
-    if limit > 0 and fits(dim, limit, growth):
-        return facts.join(F.broadcast(dim), list(keys), how)
-    spread = ["row_key"] if "row_key" in facts.columns else facts.columns
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salts = min(max(SALTS, partitions // PARTITIONS_PER_SALT), MOST_SALTS)
+    stream = facts.isStreaming or dim.isStreaming
+    if size is None:
+        size = _size_up_to(dim, limit if stream else max(limit, COPIES_BYTES), growth)
+    if limit > 0 and size is not None and size <= limit:
+        return facts.join(F.broadcast(dim), list(keys), how)
+    if not stream:
+        salts = 1 if size is None else max(1, min(salts, COPIES_BYTES // max(size, 1)))
+    spread = ["row_key"] if "row_key" in facts.columns else facts.columns
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    # The optimizer's estimate does not see the copies; without the hint it would broadcast them.
+    return salted.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def lookup(
