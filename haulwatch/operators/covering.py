@@ -23,13 +23,14 @@ CELL_BYTES, EDGE_BYTES = 256, 48
 
 
 class Covering(NamedTuple):
-    """Cells (keys, ``_level``, ``_cx``, ``_cy``, ``target``, ``edges``; no edges: wholly inside), the levels in use, and the
-    broadcast limit that goes with their measured size (0: too large)."""
+    """Cells (keys, ``_level``, ``_cx``, ``_cy``, ``target``, ``edges``; no edges: wholly inside), the levels in use, the
+    broadcast limit that goes with their measured size (0: too large), and that size."""
 
     cells: DataFrame
     keys: list[str]
     levels: list[int]
     limit: int
+    size: int
 
 
 def _size(level: Column) -> Column:
@@ -48,11 +49,12 @@ def _near(edge: Column, west: Column, south: Column, size: Column) -> Column:
     return meet & (F.least(*side) <= 0) & (F.greatest(*side) >= 0)
 
 
-def _judged(cells: DataFrame) -> DataFrame:
-    """The cells that are not outside; ``edges`` are those that matter to their points, none for cells wholly inside."""
+def _judged() -> Column:
+    """What a cell (``_level``, ``_cx``, ``_cy``, ``_all`` edges) is: an array of one ``touched`` and ``edges``, none where it is outside;
+    ``edges`` are those that matter to its points, none for cells wholly inside. It is to be exploded, so that each cell is judged once."""
     size = _size(F.col("_level"))
     west, south = F.col("_cx") * size, F.col("_cy") * size
-    cells = cells.withColumn("_touched", F.exists("_all", lambda e: _near(e, west, south, size)))
+    touched = F.exists("_all", lambda e: _near(e, west, south, size))
     inside = geo.crosses_odd(west + size / 2, south + size / 2, F.filter("_all", lambda e: e["x1"] != e["x2"]))
     slack = size * 1e-6
 
@@ -63,28 +65,39 @@ def _judged(cells: DataFrame) -> DataFrame:
             & (F.greatest(e["y1"], e["y2"]) >= south - slack)
         )
 
-    return cells.filter(F.col("_touched") | inside).withColumn("edges", F.when(F.col("_touched"), F.filter("_all", above)))
+    edges = F.filter("_all", above)
+    no_edges = F.when(F.lit(False), F.col("_all"))
+    judged = lambda touches, kept: F.array(F.struct(F.lit(touches).alias("touched"), kept.alias("edges")))
+    return F.when(touched, judged(True, edges)).when(inside, judged(False, no_edges))
 
 
 def cover(polygons: DataFrame, ring: Column, on: Sequence[str], max_broadcast: int | None = None) -> Covering:
     """Polygons over cells; one aggregate over the cells tells the levels in use and the size."""
     payload = [c for c in polygons.columns if c not in on]
     shaped = polygons.select(*on, F.struct(*payload).alias("target"), ring.alias("_ring")).filter(F.size("_ring") >= 3)
+    # A table of very many polygons may be one file, and their cells are the work.
+    session = polygons.sparkSession
+    shaped = shaped.repartition(min(int(session.conf.get("spark.sql.shuffle.partitions")), 2 * session.sparkContext.defaultParallelism))
     xs, ys = F.col("_ring.lng"), F.col("_ring.lat")
     extent = F.greatest(F.array_max(xs) - F.array_min(xs), F.array_max(ys) - F.array_min(ys), F.lit(FINEST_DEG))
     level = F.ceil(F.log(4.0, extent / (SPAN * FINEST_DEG)) - 1e-9).cast("int")
     shaped = shaped.withColumns({"_level": F.greatest(F.lit(0), F.least(level, F.lit(TOP_LEVEL))), "_all": geo.closed_edges(F.col("_ring"))})
     size = _size(F.col("_level"))
     span = lambda v: F.explode(F.sequence(F.floor(F.array_min(v) / size), F.floor(F.array_max(v) / size)))
-    cells = _judged(shaped.withColumn("_cx", span(xs)).withColumn("_cy", span(ys)))
-    cut = F.col("_touched") & (F.size("edges") > FEW_EDGES) & (F.col("_level") > 0)
-    quarter = lambda c: F.explode(F.sequence(4 * F.col(c), 4 * F.col(c) + 3))
-    small = cells.filter(cut).withColumn("_cx", quarter("_cx")).withColumn("_cy", quarter("_cy")).withColumn("_level", F.col("_level") - 1)
-    kept = [*on, "_level", "_cx", "_cy", "target", "edges"]
-    cells = cells.filter(~cut).select(*kept).union(_judged(small).select(*kept))
+    cells = shaped.withColumn("_cx", span(xs)).withColumn("_cy", span(ys)).withColumn("_whole", F.explode(_judged()))
+    cut = F.col("_whole.touched") & (F.size("_whole.edges") > FEW_EDGES) & (F.col("_level") > 0)
+    place = lambda level, x, y: F.struct(level.alias("_level"), x.alias("_cx"), y.alias("_cy"))
+    quarter = lambda k, c: F.transform(F.sequence(4 * F.col(c), 4 * F.col(c) + 3), k)
+    smaller = F.flatten(quarter(lambda x: quarter(lambda y: place(F.col("_level") - 1, x, y), "_cy"), "_cx"))
+    itself = F.array(place(F.col("_level"), F.col("_cx"), F.col("_cy")))
+    cells = cells.withColumn("_cut", cut).withColumn("_place", F.explode(F.when(F.col("_cut"), smaller).otherwise(itself)))
+    cells = cells.select(*on, "target", "_all", "_whole", "_cut", "_place.*")
+    cells = cells.withColumn("_part", F.explode(F.when(F.col("_cut"), _judged()).otherwise(F.array("_whole"))))
+    cells = cells.select(*on, "_level", "_cx", "_cy", "target", F.col("_part.edges").alias("edges"))
     n, n_edges, levels = cells.agg(F.count("*"), F.sum(F.coalesce(F.size("edges"), F.lit(0))), F.collect_set("_level")).first()
     limit = BROADCAST_BYTES if max_broadcast is None else max_broadcast
-    return Covering(cells, list(on), sorted(levels), limit if n * CELL_BYTES + (n_edges or 0) * EDGE_BYTES <= limit else 0)
+    size = n * CELL_BYTES + (n_edges or 0) * EDGE_BYTES
+    return Covering(cells, list(on), sorted(levels), limit if size <= limit else 0, size)
 
 
 def _at(points: DataFrame, level: Column) -> DataFrame:
@@ -99,7 +112,7 @@ def _contains(edges: Column) -> Column:
 def points_in(points: DataFrame, covering: Covering) -> DataFrame:
     """Pairs of a point and a polygon of its keys that contains it: the point's columns and ``target``."""
     levels = F.explode(F.array(*map(F.lit, covering.levels)) if covering.levels else F.array().cast("array<int>"))
-    joined = salted_join(_at(points, levels), covering.cells, [*covering.keys, "_level", "_cx", "_cy"], "inner", covering.limit)
+    joined = salted_join(_at(points, levels), covering.cells, [*covering.keys, "_level", "_cx", "_cy"], "inner", covering.limit, size=covering.size)
     return joined.filter(_contains(F.col("edges"))).select(*points.columns, "target")
 
 
@@ -111,7 +124,7 @@ def first_in(points: DataFrame, covering: Covering, rank: Callable[[Column], Col
     held = held.groupBy(*keys).agg(F.collect_list("area").alias("_areas"))
     columns, found = points.columns, []
     for k in covering.levels:
-        points = salted_join(_at(points, F.lit(k)), held.filter(F.col("_level") == k), keys, "left", covering.limit)
+        points = salted_join(_at(points, F.lit(k)), held.filter(F.col("_level") == k), keys, "left", covering.limit, size=covering.size)
         hit = F.filter("_areas", lambda a: a["whole"] | _contains(a["edges"]))
         points = points.withColumn(f"_found_{k}", F.array_min(F.transform(hit, lambda a: a["rank"]))).drop("_areas", "_level", "_cx", "_cy")
         found.append(f"_found_{k}")
