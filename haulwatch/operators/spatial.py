@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +75,46 @@ def match_sites(
     return joined.withColumn("distance", away).filter(F.col("distance") < radius_m)
 
 
+def in_home_cells(points: DataFrame, sites: DataFrame, radius_m: float, on: Sequence[str] = ("dept_id",)) -> tuple[DataFrame, DataFrame]:
+    """``sites`` with the one cell (``_cx``, ``_cy``) that they lie in, and a copy of each point for each cell in its reach.
+
+    Whoever partitions the points by a key and the cell has all that a site of the cell meets of the key in one task, before
+    there are any pairs. ``lng`` and ``lat`` of the sites become ``site_lng`` and ``site_lat``.
+    """
+    size = _site_cell_deg(radius_m)
+    half = radius_m / geo.METRES_PER_DEGREE * MARGIN
+    x, y = F.col("lng"), F.col("lat")
+    shrink = F.greatest(F.cos(F.radians(F.least(F.abs(y) + half, F.lit(89.9)))), F.lit(1e-3))
+    copies = _cells(points, x - F.lit(half) / shrink, x + F.lit(half) / shrink, y - half, y + half, size)
+    homes = _with_cell(sites.filter(x.isNotNull() & y.isNotNull()), size).withColumnsRenamed({"lng": "site_lng", "lat": "site_lat"})
+    return copies, homes
+
+
+def lowest_sites(
+    points: DataFrame, sites: DataFrame, radius_m: float, id_col: str, most: int, on: Sequence[str] = ("dept_id",),
+    lng: str = "lng", lat: str = "lat", **kw,
+) -> DataFrame:
+    """Pairs as ``match_sites`` gives them, but for some that are not among the ``most`` lowest ids of a point (null is lowest).
+
+    Where a cell lies wholly within reach of sites with so many different ids, sites above these are nobody's lowest and leave the
+    cell, so a point meets a number of sites that does not grow with the table.
+    """
+    cell_deg = max(radius_m / geo.METRES_PER_DEGREE / 2, 1e-4)
+    keys = [*on, "_cx", "_cy"]
+    cells = site_cells(sites, radius_m, on, lng, lat, cell_deg).withColumn("_id", F.col(f"target.{id_col}"))
+    xs, ys = ([F.col(c) * cell_deg, (F.col(c) + 1) * cell_deg] for c in ("_cx", "_cy"))
+    away = F.greatest(*[geo.distance_m(x, y, f"target.{lng}", f"target.{lat}") for x in xs for y in ys])
+    # The margin is for rounding and for cells' parallels, which are no great circles; it holds for small cells off the poles.
+    sure = (away <= radius_m * 0.999) & (F.greatest(*[F.abs(y) for y in ys]) <= 85) & F.lit(cell_deg <= 1)
+    rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy("_id"))
+    last = cells.filter(sure).select(*keys, "_id").withColumn("_rank", rank).filter(F.col("_rank") == most)
+    last = last.groupBy(*keys).agg(F.max("_id").alias("_last"))
+    cells = cells.join(last, keys, "left").filter(F.col("_last").isNull() | F.col("_id").isNull() | (F.col("_id") <= F.col("_last")))
+    joined = salted_join(_with_cell(points, cell_deg), cells.drop("_id", "_last"), keys, "inner", **kw).drop("_cx", "_cy")
+    distance = geo.distance_m("lng", "lat", f"target.{lng}", f"target.{lat}")
+    return joined.withColumn("distance", distance).filter(F.col("distance") < radius_m)
+
+
 def points_near_sites(d: DataFrame, sites: DataFrame, radius_m: float = 500.0, **kw) -> DataFrame:
     """Positions within ``radius_m`` of a disposal site of their department."""
     pairs = match_sites(d, sites, radius_m, **kw)

@@ -18,7 +18,7 @@ from haulwatch.operators.asof import as_of
 from haulwatch.operators.blocks import cooldown, first_per_day, sustained
 from haulwatch.operators.lookups import lookup, one_per_key, permitted_sites, salted_join, supervised, valid_sites
 from haulwatch.operators.sequence import TARGET_ROWS, VEHICLE, ordered_scan, prepare
-from haulwatch.operators.spatial import match_sites, points_in_fences
+from haulwatch.operators.spatial import lowest_sites, match_sites, points_in_fences
 
 # Violation codes.
 OVERSPEED = "0110"
@@ -179,31 +179,38 @@ def alarm_fences(
 
 
 def illegal_site_visits(
-    d: DataFrame, permits: DataFrame, sites: DataFrame, radius_m: float = 500.0, match: str = "not_permitted", **kw
+    d: DataFrame, permits: DataFrame, sites: DataFrame, radius_m: float = 500.0, match: str = "not_permitted", lowest: bool = False, **kw
 ) -> DataFrame:
     """Positions of permit holders near a disposal site they may not use.
 
     ``match="not_permitted"`` takes sites outside the vehicle's permits; ``"any_other"`` takes every site that
-    differs from at least one permitted site.
+    differs from at least one permitted site. ``lowest`` leaves out sites that are not the lowest such of a position.
     """
     allowed = permits.select(*VEHICLE, "disposal_site_id").distinct()
     limit = {"max_broadcast": kw["max_broadcast"]} if "max_broadcast" in kw else {}
 
-    def near(points: DataFrame) -> DataFrame:
-        pairs = match_sites(points, sites, radius_m, **kw).withColumn("disposal_site_id", F.col("target.disposal_site_id"))
+    def near(points: DataFrame, passed_over: int) -> DataFrame:
+        """``passed_over``: how many sites at most a position's lowest ids are that do not count."""
+        if lowest:
+            pairs = lowest_sites(points, sites, radius_m, "disposal_site_id", passed_over + 1, **kw)
+        else:
+            pairs = match_sites(points, sites, radius_m, **kw)
+        pairs = pairs.withColumn("disposal_site_id", F.col("target.disposal_site_id"))
         return pairs.drop("distance").withColumnRenamed("target", "site")
 
     # Permit holders first: the others' positions meet no site.
     if match == "not_permitted":
         holders = salted_join(d, allowed.select(*VEHICLE).distinct(), VEHICLE, "left_semi", **limit)
-        return salted_join(near(holders), allowed, [*VEHICLE, "disposal_site_id"], "left_anti", **limit)
+        most = allowed.groupBy(*VEHICLE).count().agg(F.max("count")).first()[0] if lowest else None
+        return salted_join(near(holders, most or 0), allowed, [*VEHICLE, "disposal_site_id"], "left_anti", **limit)
     if match != "any_other":
         raise ValueError(f"match: {match}")
     ends = allowed.groupBy(*VEHICLE).agg(
         F.min("disposal_site_id").alias("_low"), F.max("disposal_site_id").alias("_high")
     )
     site_id = F.col("disposal_site_id")
-    paired = near(salted_join(d, ends, VEHICLE, "inner", **limit))
+    # Only the one permitted site of a vehicle does not count, and sites without an id.
+    paired = near(salted_join(d, ends, VEHICLE, "inner", **limit), 2)
     return paired.filter((F.col("_low") != site_id) | (F.col("_high") != site_id)).drop("_low", "_high")
 
 
@@ -239,7 +246,7 @@ def alarm_illegal_disposal(
     sites = valid_sites(sites, dept_id)
     permits = permitted_sites(card, sites).dropna(subset=["lng", "lat"])
     d = prepare(supervised(d), target_rows=target_rows)
-    candidates = illegal_site_visits(d, permits, sites, radius_m, match, **kw)
+    candidates = illegal_site_visits(d, permits, sites, radius_m, match, lowest=True, **kw)
     fired = cooldown(candidates, VEHICLE, cooldown_s, tie=("disposal_site_id", "row_key"))
     extra = {name: F.col(f"site.{c}") for c, name in DISPOSAL_COLUMNS.items() if c in sites.columns}
     return as_alarm(fired, ILLEGAL_DISPOSAL, end=("epoch_s", "lng", "lat"), **extra)
