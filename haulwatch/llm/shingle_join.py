@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, joined, lists, mix, randoms, shingle_hashes, span_hashes, struct_array
-from haulwatch.llm.near_duplicates import components, raised
+from haulwatch.llm.near_duplicates import components, files_for, raised
 from haulwatch.llm.storage import checkpointed
 
 WIDTH, PERCENT = 4, 85
@@ -232,15 +232,16 @@ def priced(members: DataFrame, uses: DataFrame) -> DataFrame:
 def dear_probes(members: DataFrame, dear: DataFrame, index: DataFrame, uses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For the sets that pay dearly with equal segments alone, probes (key, alike, node) with neighbourhoods: alike 0 asks for whole
     segments, 1 for the indexed ones with a deletion; and that index (key, node)."""
+    files = files_for(members)
     mine = members.join(dear.select("node"), "node", "left_semi").select("node", "n", F.posexplode("own").alias("segment", "key"))
-    asked = checkpointed(mine.select("key").distinct())
+    asked = checkpointed(mine.select("key").distinct(), files)
     near = index.join(asked, "key", "left_semi").groupBy("node").count().join(members.select("node", "n", "text"), "node").where(F.col("count") >= F.expr(ENOUGH))
     made = block_udf(neighbourhood, segment=LONGS, own=LONGS, below=LONGS)
     lacking = exploded(near.select("node", "n", made("text").alias("m")).select("node", "n", "m.*"), "own", "below")
-    lacking = checkpointed(lacking.join(asked, "key", "left_semi").select("key", "node").distinct())
+    lacking = checkpointed(lacking.join(asked, "key", "left_semi").select("key", "node").distinct(), files)
     of_mine = members.join(dear.select("node"), "node", "left_semi").select("node", made("text").alias("m")).select("node", "m.*")
     of_mine = of_mine.select("node", F.explode(F.arrays_zip("segment", "own")).alias("d")).select("node", F.col("d.segment").alias("segment"), F.col("d.own").alias("key"))
-    of_mine = checkpointed(of_mine.join(uses, "key"))  # what nobody has costs nothing
+    of_mine = checkpointed(of_mine.join(uses, "key"), files)  # what nobody has costs nothing
     first = mine.join(uses, "key").withColumn("cost", F.col("uses") - 1).drop("uses")
     second = first.join(lacking.groupBy("key").agg(F.count("*").alias("others")), "key", "left")
     second = second.join(of_mine.groupBy("node", "segment").agg(F.sum("uses").alias("mine")), ["node", "segment"], "left")
@@ -248,7 +249,7 @@ def dear_probes(members: DataFrame, dear: DataFrame, index: DataFrame, uses: Dat
     steps = F.array(F.struct(F.lit(1).alias("step"), F.col("cost").alias("price")), F.struct(F.lit(2).alias("step"), F.greatest("cost", "more").alias("price")))
     order = Window.partitionBy("node").orderBy("s.price", "segment", "s.step")
     taken = second.select("node", "n", "segment", "key", "cost", F.explode(steps).alias("s")).withColumn("nth", F.row_number().over(order))
-    taken = checkpointed(taken.where(F.expr(f"nth <= 1 + {allowed_sql('n')}")).select("node", "segment", "key", "cost", "s.step"))
+    taken = checkpointed(taken.where(F.expr(f"nth <= 1 + {allowed_sql('n')}")).select("node", "segment", "key", "cost", "s.step"), files)
     probes = taken.where("step = 2 or cost > 0").select("key", (F.col("step") - 1).alias("alike"), "node")
     deleted = of_mine.join(taken.where("step = 2").select("node", "segment"), ["node", "segment"], "left_semi")
     return probes.union(deleted.select("key", F.lit(0), "node").distinct()), lacking
@@ -276,7 +277,7 @@ def first_links(members: DataFrame, probes: DataFrame, index: DataFrame, weight:
     return confirmed(pairs, members)
 
 
-def pairs_across(members: DataFrame, probes: DataFrame, index: DataFrame, found: DataFrame) -> DataFrame:
+def pairs_across(members: DataFrame, probes: DataFrame, index: DataFrame, found: DataFrame, files: int) -> DataFrame:
     """Pairs (a, b) of sets of different components that can be links: probes (key, alike, node) with the index (key, alike, node)."""
     rooted = lambda rows: rows.join(found, "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
     probes, index = rooted(probes), rooted(index)
@@ -284,7 +285,7 @@ def pairs_across(members: DataFrame, probes: DataFrame, index: DataFrame, found:
     main = roots.groupBy("key", "alike").agg(F.max(F.struct("count", "root"))["root"].alias("main"), F.sum("count").alias("n_sets"), F.min("root").alias("least"), F.max("root").alias("most"))
     asked = probes.groupBy("key", "alike").agg(F.min("root").alias("p_least"), F.max("root").alias("p_most"))
     mixed = main.join(asked, ["key", "alike"]).where("least != most or p_least != p_most or least != p_least")
-    mixed = checkpointed(mixed.select("key", "alike", "main", F.ceil(F.col("n_sets") / TASK_SETS).cast("int").alias("salts")))
+    mixed = checkpointed(mixed.select("key", "alike", "main", F.ceil(F.col("n_sets") / TASK_SETS).cast("int").alias("salts")), files)
     told = members.select("node", F.struct("n", "sketch").alias("of"))
     left = probes.join(mixed, ["key", "alike"]).join(told, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
     right = index.join(mixed, ["key", "alike"]).join(told, "node").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
@@ -310,30 +311,31 @@ def asked_for(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def joined_sets(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """(node, root) of each set that links with another, from rows (node, n, tid, own, below)."""
-    alive = checkpointed(met_often(rows))
+    alive = checkpointed(met_often(rows), files_for(rows))
+    files = files_for(alive)  # small tables would else be a file, and a task of each later step, for every shuffle partition
     texts = docs.select(docs[text].alias("text"), F.unhex(F.md5(docs[text])).alias("tid"))
     texts = asked_for(texts, alive).join(alive, "tid").groupBy("node", "n").agg(F.first("text").alias("text"))
     detail = block_udf(sketched, sketch=LONGS, own=LONGS, below=LONGS)
     number = F.monotonically_increasing_id()  # shorter than a digest
-    members = checkpointed(texts.select(number.alias("node"), F.col("node").alias("class"), "n", "text", detail("text").alias("m")).select("node", "class", "n", "text", "m.*"))
-    index = checkpointed(exploded(members, "own", "below").select("key", "node"))
-    uses = checkpointed(index.groupBy("key").agg(F.count("*").alias("uses")))
-    costs = checkpointed(priced(members, uses.where("uses > 1")))
+    members = checkpointed(texts.select(number.alias("node"), F.col("node").alias("class"), "n", "text", detail("text").alias("m")).select("node", "class", "n", "text", "m.*"), files)
+    index = checkpointed(exploded(members, "own", "below").select("key", "node"), files)
+    uses = checkpointed(index.groupBy("key").agg(F.count("*").alias("uses")), files)
+    costs = checkpointed(priced(members, uses.where("uses > 1")), files)
     plain = costs.where("nth <= owed")
-    dear = checkpointed(plain.groupBy("node", "n").agg(F.sum("cost").alias("total")).where("total > n"))
+    dear = checkpointed(plain.groupBy("node", "n").agg(F.sum("cost").alias("total")).where("total > n"), files)
     probes = plain.join(dear, "node", "left_anti").select("key", F.lit(0).alias("alike"), "node")
     index = index.withColumn("alike", F.lit(0))
     if not dear.isEmpty():
         more, lacking = dear_probes(members, dear, index, uses)
         probes, index = probes.union(more), index.union(lacking.select("key", "node", F.lit(1)))
-    probes = checkpointed(probes)
-    index = checkpointed(index.join(probes.select("key", "alike").distinct(), ["key", "alike"], "left_semi").select("key", "alike", "node"))
+    probes = checkpointed(probes, files)
+    index = checkpointed(index.join(probes.select("key", "alike").distinct(), ["key", "alike"], "left_semi").select("key", "alike", "node"), files)
     weight = costs.groupBy("node").agg(F.sum("cost").alias("weight"))
-    found = checkpointed(components(first_links(members, probes, index.where("alike = 0").select("key", "node"), weight)))
-    rest = checkpointed(pairs_across(members, probes, index, found))
+    found = checkpointed(components(first_links(members, probes, index.where("alike = 0").select("key", "node"), weight), files), files)
+    rest = checkpointed(pairs_across(members, probes, index, found, files), files)
     rooted = lambda side: found.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
     links = confirmed(rest, members).join(rooted("a"), "a", "left").join(rooted("b"), "b", "left")
-    found = raised(found, links.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    found = raised(found, links.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")), files)
     named = lambda side: members.select(F.col("node").alias(side), F.col("class").alias(f"{side}_class"))
     found = found.join(named("node"), "node").join(named("root"), "root")
     return found.select(F.col("node_class").alias("node"), F.col("root_class").alias("root"))

@@ -143,3 +143,27 @@ def test_join_equals_sql(spark):
     path = "/root/testdata/sf0.001"
     got, want, diff = compare(spark, duck(path), path, QUERIES["op11_ngram_join"], ORACLES["op11_ngram_join"])
     assert got == want > 0 and not diff
+
+
+def test_small_tables_are_few_files(spark, monkeypatch):
+    """Beside many shuffle partitions that nobody joins together, what is made from few sets is written in few files."""
+    files, plain = [], shingle_join.checkpointed
+
+    def watched(rows, *args):
+        made = plain(rows, *args)
+        files.append(made.rdd.getNumPartitions())
+        return made
+
+    monkeypatch.setattr(shingle_join, "checkpointed", watched)
+    held = {"spark.sql.shuffle.partitions": "31", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in held}
+    texts = CORPORA["cluster"]
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        got = shingle_join.join_similar(spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], DOCS)).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(files) > 8 and max(files) <= 2 * spark.sparkContext.defaultParallelism
+    assert [r.component_id for r in sorted(got)] == plain_components(texts)
