@@ -23,6 +23,8 @@ MIN_CELL_DEG, MAX_CELL_DEG, DEFAULT_CELL_DEG = 1e-3, 5.0, 0.05
 MARGIN = 1.0001
 # Most cells a site expands to below 60 degrees of latitude, for the broadcast size check.
 CELLS_PER_TARGET = 16
+# Pairs of a point and a site of its cell that one task compares.
+TASK_PAIRS = 20_000_000
 # Bytes of a polygon cell, whose number is bounded from the polygons' boxes.
 ROW_BYTES, EDGE_BYTES = 256, 48
 
@@ -66,15 +68,50 @@ def match_sites(
     lat: str = "lat",
     **kw,
 ) -> DataFrame:
-    """Pairs of a point and a site strictly closer than ``radius_m``: point columns, ``target``, ``distance``."""
-    cells = site_cells(sites, radius_m, on, lng, lat)
-    joined = salted_join(
-        _with_cell(points, _site_cell_deg(radius_m)), cells, [*on, "_cx", "_cy"], "inner", growth=CELLS_PER_TARGET, **kw
-    ).drop("_cx", "_cy")
+    """Pairs of a point and a site strictly closer than ``radius_m``: point columns, ``target``, ``distance``.
+
+    There can be very many more pairs than points. They are counted first: where they are more than one task should compare, points
+    and sites are dealt by small cells, a cell with many pairs over many tasks, so that the tasks grow in number with the pairs.
+    """
+    keys = [*on, "_cx", "_cy"]
+    dealt = None if points.isStreaming or sites.isStreaming else _dealt_by_pairs(points, sites, radius_m, on, lng, lat)
+    if dealt is None:
+        cells = site_cells(sites, radius_m, on, lng, lat)
+        joined = salted_join(_with_cell(points, _site_cell_deg(radius_m)), cells, keys, "inner", growth=CELLS_PER_TARGET, **kw)
+    else:
+        joined = dealt
+    x, y = F.col(f"target.{lng}"), F.col(f"target.{lat}")
+    half = radius_m / geo.METRES_PER_DEGREE * MARGIN
+    # The box, which costs less than the distance, holds the circle but near the poles.
+    boxed = (F.abs(F.col("lat") - y) <= half) & (F.abs(F.col("lng") - x) * F.cos(F.radians(F.abs(y) + half)) <= half)
+    joined = joined.drop("_cx", "_cy").filter(boxed | (F.abs(y) > 85))
     away = geo.distance_m("lng", "lat", f"target.{lng}", f"target.{lat}")
     return joined.withColumn("distance", away).filter(F.col("distance") < radius_m)
 
 
+def _dealt_by_pairs(points: DataFrame, sites: DataFrame, radius_m: float, on: Sequence[str], lng: str, lat: str) -> DataFrame | None:
+    """Points and sites of a cell, in as many tasks as their pairs are worth; None where one task may compare them all."""
+    size = max(radius_m / geo.METRES_PER_DEGREE / 2, 1e-4)
+    keys = [*on, "_cx", "_cy"]
+    placed, cells = _with_cell(points, size), site_cells(sites, radius_m, on, lng, lat, size)
+    counts = placed.groupBy(*keys).agg(F.count("*").alias("_n")).join(cells.groupBy(*keys).agg(F.count("*").alias("_m")), keys)
+    counts = counts.select(*keys, (F.col("_n") * F.col("_m")).alias("_pairs"))
+    pairs, most = counts.agg(F.sum("_pairs"), F.max("_pairs")).first()
+    if not pairs or pairs <= TASK_PAIRS:
+        return None
+    tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs // TASK_PAIRS))
+    salts = F.lit(1)
+    if most > TASK_PAIRS:  # there are no more such cells than tasks
+        hot = F.broadcast(counts.filter(F.col("_pairs") > TASK_PAIRS).select(*keys, F.ceil(F.col("_pairs") / TASK_PAIRS).alias("_salts")))
+        placed, cells = placed.join(hot, keys, "left"), cells.join(hot, keys, "left")
+        salts = F.coalesce("_salts", salts)
+    spread = ["row_key"] if "row_key" in points.columns else points.columns
+    placed = placed.withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int")).drop("_salts")
+    cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts.cast("int") - 1))).drop("_salts")
+    by = [*keys, "_salt"]
+    return placed.repartition(tasks, *by).join(cells.repartition(tasks, *by).hint("merge"), by).drop("_salt")
+
+
 def in_home_cells(points: DataFrame, sites: DataFrame, radius_m: float, on: Sequence[str] = ("dept_id",)) -> tuple[DataFrame, DataFrame]:
     """``sites`` with the one cell (``_cx``, ``_cy``) that they lie in, and a copy of each point for each cell in its reach.
 

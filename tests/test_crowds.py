@@ -8,6 +8,7 @@ import re
 from conftest import S, frame, random_positions
 from pyspark.sql import functions as F
 
+from haulwatch.functions import geo
 from haulwatch.operators import covering, lookups, spatial
 from haulwatch.plans import alarms, vehicles
 
@@ -115,3 +116,24 @@ def test_many_polygons_in_one_file_are_covered_by_many_tasks(spark):
     rules = spark.createDataFrame(rows, "dept_id int, condition_id int, coords string").coalesce(1)
     cover = covering.cover(rules, spatial.geo.parse_ring_json("coords"), ["dept_id"])
     assert cover.cells.rdd.getNumPartitions() > 1 and cover.size > 0
+
+
+def test_pairs_near_sites_are_dealt_by_their_number(spark, monkeypatch):
+    points = frame(spark, random_positions(4, vehicles=4, reports=60)).coalesce(1)
+    one = points.limit(1)
+    points = points.union(one).union(one.withColumn("dept_id", F.lit(None).cast("int"))).union(one.withColumn("lat", F.lit(None).cast("double"))).coalesce(1)
+    odd = [(None, "none", 1, 113.0, 34.7), (7, "again", 2, 113.006, 34.705), (8, None, None, 113.0, 34.7), (9, "nowhere", 1, None, 34.7), (10, "north", 1, 113.0, 89.99)]
+    sites = crowded_sites(spark, n=150).union(spark.createDataFrame(odd, SITE)).coalesce(1)
+    named = sites.select("dept_id", *[F.col(c).alias(f"s_{c}") for c in ("disposal_site_id", "disposal_site_name", "lng", "lat")])
+    away = geo.distance_m("lng", "lat", "s_lng", "s_lat")
+    every = points.join(named, "dept_id").withColumn("m", away).filter("m < 1500").select("row_key", "s_disposal_site_id", "s_disposal_site_name", "m")
+    want = sorted(map(str, every.collect()))
+    found = []
+    for task_pairs in (10**9, 1000, 50):  # in one task; dealt by cells; and cells over several tasks, too
+        monkeypatch.setattr(spatial, "TASK_PAIRS", task_pairs, raising=False)
+        near = spatial.match_sites(points, sites, 1500.0)
+        assert near.columns == ["dept_id", *[c for c in points.columns if c != "dept_id"], "target", "distance"]
+        found.append(near.rdd.getNumPartitions())
+        got = near.select("row_key", F.col("target.disposal_site_id").alias("s_disposal_site_id"), F.col("target.disposal_site_name").alias("s_disposal_site_name"), F.col("distance").alias("m"))
+        assert sorted(map(str, got.collect())) == want
+    assert len(want) > 1000 and found[0] == 1 and found[1] >= len(want) / 1000 and found[2] >= len(want) / 50
