@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, folded, joined, lists, span_hashes, struct_array
+from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, folded, give_back, lists, span_hashes, struct_array
 from haulwatch.llm.storage import under_plain_names
 
 WINDOW = 13
@@ -196,7 +196,10 @@ def finder(ids: list[str], texts: list[str], text: Column) -> Column:
         match = pa.struct([("item_id", pa.string()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("n_words", pa.int64())])
         kind = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(span)), ("items", pa.list_(pa.string())), ("matches", pa.list_(match))])
         for batch in batches:
-            yield joined([findings(bench, texts) for texts in blocks(batch)], kind)
+            for block in blocks(batch):
+                yield findings(bench, block).cast(kind)
+        del bench
+        give_back()
 
     return find(text)
 

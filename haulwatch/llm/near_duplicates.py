@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, give_back, joined, mix, randoms, shingle_hashes, span_hashes, struct_array
+from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, give_back, mix, randoms, shingle_hashes, span_hashes, struct_array
 from haulwatch.llm.storage import checkpointed
 
 WIDTH = 5
@@ -119,24 +119,25 @@ class Sets:
 def marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     kind = pa.struct([("n", pa.int64()), ("node", pa.binary()), ("signature", pa.binary())])
     for batch in batches:
-        parts = []
         for texts in blocks(batch):
             sets = Sets(texts)
-            parts.append(struct_array({"n": sets.sizes, "node": sets.digests(), "signature": sets.signatures()}))
-        yield joined(parts, kind)
+            yield struct_array({"n": sets.sizes, "node": sets.digests(), "signature": sets.signatures()}).cast(kind)
     give_back()
 
 
 @F.arrow_udf(T.BinaryType())
 def digested(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        yield joined([Sets(texts).digests() for texts in blocks(batch)], pa.binary())
+        for texts in blocks(batch):
+            yield Sets(texts).digests()
+    give_back()
 
 
 @F.arrow_udf(T.BinaryType())
 def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        yield joined([Sets(texts).packed() for texts in blocks(batch)], pa.binary())
+        for texts in blocks(batch):
+            yield Sets(texts).packed().cast(pa.binary())
     give_back()
 
 

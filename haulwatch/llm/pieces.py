@@ -16,7 +16,7 @@ don't matter. A literal mark in a text is decoded as a space, as in the library.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -24,13 +24,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwatch.llm.arrays import Memo, Texts, blocks, give_back, joined, lists, span_hashes, spread
+from haulwatch.llm.arrays import Memo, Texts, blocks, give_back, lists, span_hashes, spread
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 #: Marked words, and pairs of pieces, that a task remembers.
 WORDS = 2_000_000
 REMEMBERED = 200_000
+#: Bytes of text that are encoded, and ids that are decoded, at once; a longer row is a block of its own.
+ENCODED_BYTES = 1 << 20
+DECODED_IDS = 250_000
 
 
 class Model:
@@ -194,49 +197,59 @@ def encode(text: Column, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(path)
-        for batch in batches:
-            parts = [lists(*encoder(texts)) for texts in blocks(batch)]
-            yield joined(parts, pa.list_(pa.int32()))
-        del encoder
-        give_back()
+        yield from encoded_blocks(batches, path)
 
     return encoded(text)
 
 
+def encoded_blocks(batches: Iterable[pa.Array], path: str) -> Iterator[pa.Array]:
+    """Piece ids of the texts of all batches, in order. Each block goes to the JVM when it is done: no batch is put together."""
+    encoder = Encoder(path)
+    for batch in batches:
+        for texts in blocks(batch, ENCODED_BYTES):
+            yield lists(*encoder(texts))
+    del encoder
+    give_back()
+
+
 def decode(ids: Column, path: str) -> Column:
     """Text of an array of piece ids; bytes that are no UTF-8 become U+FFFD each, null becomes an empty text."""
 
     @F.arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = Model(path).bytes_of
-        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        stored = np.frombuffer(b"".join(pieces), np.uint8)
-        at = np.concatenate(([0], np.cumsum(length)))[:-1]
-        for batch in batches:
-            sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = batch.flatten().fill_null(0).to_numpy(zero_copy_only=False)
-            texts, lo, row = [], 0, 0
-            past = np.cumsum(sizes)
-            while row < len(sizes):  # some rows at a time: a byte of output takes many of working space
-                hi = max(row + 1, int(np.searchsorted(past, lo + 500_000, "right")))
-                ids = flat[lo : past[hi - 1]]
-                n = length[ids]
-                n_past = np.cumsum(n)
-                data = stored[np.repeat(at[ids] - n_past + n, n) + np.arange(int(n.sum()))].tobytes()
-                ends = np.concatenate(([0], n_past))[past[row:hi] - lo]
-                begin = 0
-                for end in ends.tolist():
-                    whole = data[begin:end]
-                    texts.append((whole[1:] if whole[:1] == b" " else whole).decode("utf-8", "replace"))
-                    begin = end
-                lo, row = int(past[hi - 1]), hi
-            yield pa.array(texts, pa.string())
-        give_back()
+        yield from decoded_blocks(batches, path)
 
     return decoded(ids)
 
 
+def decoded_blocks(batches: Iterable[pa.Array], path: str) -> Iterator[pa.Array]:
+    """Texts of the lists of ids of all batches, in order, a block of rows at a time."""
+    pieces = Model(path).bytes_of
+    length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    stored = np.frombuffer(b"".join(pieces), np.uint8)
+    at = np.concatenate(([0], np.cumsum(length)))[:-1]
+    for batch in batches:
+        sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = batch.flatten().fill_null(0).to_numpy(zero_copy_only=False)
+        lo, row = 0, 0
+        past = np.cumsum(sizes)
+        while row < len(sizes):  # some rows at a time: a byte of output takes many of working space
+            hi = max(row + 1, int(np.searchsorted(past, lo + DECODED_IDS, "right")))
+            ids = flat[lo : past[hi - 1]]
+            n = length[ids]
+            n_past = np.cumsum(n)
+            data = stored[np.repeat(at[ids] - n_past + n, n) + np.arange(int(n.sum()))].tobytes()
+            ends = np.concatenate(([0], n_past))[past[row:hi] - lo]
+            texts, begin = [], 0
+            for end in ends.tolist():
+                whole = data[begin:end]
+                texts.append((whole[1:] if whole[:1] == b" " else whole).decode("utf-8", "replace"))
+                begin = end
+            lo, row = int(past[hi - 1]), hi
+            yield pa.array(texts, pa.string())
+    give_back()
+
+
 def encode_documents(docs: DataFrame, path: str, text: str = "text", into: str = "pieces") -> DataFrame:
     """The rows with a column into (array<int>) of piece ids. A column of that name is replaced."""
     return docs.withColumn(into, encode(docs[text], path))

@@ -12,15 +12,15 @@ Empty and null texts have no words and fail. Rows are independent; repeated rows
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, give_back, joined, mix, shingle_hashes, span_hashes, struct_array
-from haulwatch.llm.pieces import Encoder
+from haulwatch.llm.arrays import BLANK, Texts, Words, blocks, give_back, mix, shingle_hashes, span_hashes, struct_array
+from haulwatch.llm.pieces import ENCODED_BYTES, Encoder
 
 MIN_WORDS = 50
 ENTROPY_OF_LENGTH = 0.75
@@ -112,28 +112,31 @@ def measured(text: Column, path: str) -> Column:
 
     @F.arrow_udf(", ".join(f"{k} {v}" for k, v in MEASURES.items()))
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(path)
-        names = np.array(SCRIPTS)
-        for batch in batches:
-            parts = []
-            for texts in blocks(batch):
-                base, cut = base_counts(texts), fertility(encoder, texts)
-                tokens = np.maximum(cut["n_tokens"], 1)
-                base["n_tokens"] = cut["n_tokens"]
-                base["chars_per_token"] = base["n_chars"] / tokens
-                base["tokens_per_word"] = cut["n_tokens"] / np.maximum(base["n_words"], 1)
-                base["byte_share"] = cut["n_bytes"] / tokens
-                base["token_entropy"] = cut["entropy"]
-                base["script"] = names[base["script"]]
-                parts.append(struct_array({k: base[k] for k in MEASURES}))
-            kind = pa.struct([(k, {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}[v]) for k, v in MEASURES.items()])
-            yield joined(parts, kind)
-        del encoder
-        give_back()
+        yield from measured_blocks(batches, path)
 
     return measure(text)
 
 
+def measured_blocks(batches: Iterable[pa.Array], path: str) -> Iterator[pa.Array]:
+    """MEASURES of the texts of all batches, in order, a block at a time."""
+    encoder = Encoder(path)
+    names = np.array(SCRIPTS)
+    kind = pa.struct([(k, {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}[v]) for k, v in MEASURES.items()])
+    for batch in batches:
+        for texts in blocks(batch, ENCODED_BYTES):
+            base, cut = base_counts(texts), fertility(encoder, texts)
+            tokens = np.maximum(cut["n_tokens"], 1)
+            base["n_tokens"] = cut["n_tokens"]
+            base["chars_per_token"] = base["n_chars"] / tokens
+            base["tokens_per_word"] = cut["n_tokens"] / np.maximum(base["n_words"], 1)
+            base["byte_share"] = cut["n_bytes"] / tokens
+            base["token_entropy"] = cut["entropy"]
+            base["script"] = names[base["script"]]
+            yield struct_array({k: base[k] for k in MEASURES}).cast(kind)
+    del encoder
+    give_back()
+
+
 def judge_quality(docs: DataFrame, path: str, text: str = "text", lang: str | None = "lang", into: str = "rules", bands: dict = BANDS) -> DataFrame:
     """The rows with a struct column into (replaced if there is one): MEASURES, base_failed, reason (null if kept) and kept.
 

@@ -14,8 +14,10 @@ import pytest
 import sentencepiece
 import tokenizers
 
-from haulwatch.llm import pieces, quality_rules, token_counts
-from haulwatch.llm.arrays import blocks
+from pyspark.sql import functions as F
+
+from haulwatch.llm import decontamination, near_duplicates, pieces, quality_rules, token_counts
+from haulwatch.llm.arrays import BLOCK_BYTES, blocks
 from tests.llm.corpus import DOCS, ODD, clashing, empty, odd, prose  # noqa: F401
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -93,6 +95,33 @@ def test_pieces_round_trip(spark, odd, empty):
     assert [r.text for r in pieces.decode_documents(loose, MODEL).collect()] == ["", "", "  �"]
 
 
+def test_a_batch_is_handed_on_block_by_block(monkeypatch):
+    """A task of any stage of the pipeline holds results of a block only, however many texts come in a batch; none is lost."""
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda f: lambda column: f)
+    texts = [None, *(f"{k} some words, and more of them. " * (1 + 400 * (k % 7)) for k in range(120)), "", "x" * (BLOCK_BYTES + 9), "the end"]
+    batches = [pa.array(texts[:90], pa.string()), pa.array([], pa.string()), pa.array(texts[90:], pa.string())]
+    tasks = [
+        pieces.encode("text", MODEL),
+        quality_rules.measured("text", MODEL),
+        decontamination.finder(["i"], ["some words and"], "text"),
+        *(f.func for f in (near_duplicates.marked, near_duplicates.digested, near_duplicates.packed)),
+    ]
+    found = []
+    for task in tasks:
+        parts = [*task(iter(batches))]
+        ends = np.cumsum([len(p) for p in parts])
+        assert ends[-1] == len(texts)
+        sizes = [sum(len(t or "") for t in texts[end - len(p) : end]) for p, end in zip(parts, ends, strict=True)]
+        assert all(size <= BLOCK_BYTES or len(p) == 1 for p, size in zip(parts, sizes, strict=True))
+        found.append([x for p in parts for x in p.to_pylist()])
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert found[0] == library.encode([t or "" for t in texts])
+    assert [x["n_tokens"] for x in found[1]] == [*map(len, found[0])]
+    assert [len(x["hits"]) > 0 for x in found[2]] == ["some words" in (t or "") for t in texts]
+    decoded = [*pieces.decode("pieces", MODEL)(iter([pa.array(found[0], pa.list_(pa.int32()))]))]
+    assert len(decoded) > 1 and [t for p in decoded for t in p.to_pylist()] == [t or "" for t in texts]
+
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
