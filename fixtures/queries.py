@@ -45,6 +45,10 @@ def _texts(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: time_text(n) for n in names})
 
 
+def _second_text(second):
+    return time_text(F.timestamp_seconds(second))
+
+
 def _t():
     return F.col("epoch_s").alias("t")
 
@@ -474,10 +478,9 @@ _disposal_query("alarm_illegal_disposal_any_other", "any_other")
 
 @query
 def site_visits(spark, sf_dir):
-    out = vehicles.site_visits(
-        positions(spark, sf_dir, "fast"), table(spark, sf_dir, "disposal_site"), radius_m=WIDE_M, dwell_s=DWELL_S
+    return vehicles.site_visits(
+        positions(spark, sf_dir, "fast"), table(spark, sf_dir, "disposal_site"), radius_m=WIDE_M, dwell_s=DWELL_S, time=_second_text
     )
-    return _texts(out, "enter_time", "exit_time")
 
 
 @query

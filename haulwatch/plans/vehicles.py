@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haulwatch.functions.exprs import ColumnLike, col
-from haulwatch.functions.geo import distance_m
 from haulwatch.functions.timefn import epoch, partition_ids, second_of_day
-from haulwatch.operators.lookups import salted_join, supervised
+from haulwatch.operators.lookups import supervised
 from haulwatch.operators.sequence import DAY, ORDER, TARGET_ROWS, VEHICLE, group_columns, ordered_scan, prepare
 from haulwatch.operators.spatial import in_home_cells, match_sites
+from haulwatch.operators.visits import HOME_ROWS, Counted, counted_homes, visits_by_home
 
 
 def stop_history(
@@ -45,7 +48,7 @@ def stop_history(
 
 def site_visits(
     d: DataFrame, sites: DataFrame, radius_m: float = 500.0, dwell_s: int = 180,
-    target_rows: int | None = TARGET_ROWS, **kw,
+    target_rows: int | None = TARGET_ROWS, time: Callable[[Column], Column] = F.timestamp_seconds, **kw,
 ) -> DataFrame:
     """Completed visits of vehicles to disposal sites.
 
@@ -56,22 +59,22 @@ def site_visits(
     Reports inside are grouped into stays, split where the vehicle was outside for more than ``dwell_s``. A stay
     longer than ``dwell_s`` is a visit. A shorter one is still unconfirmed when the next stay begins and is merged
     with it, so stays after the last long one pair up two by two.
+
+    ``time`` says what the times of a visit are made of whole epoch seconds. There can be very many more visits than reports.
     """
     d = prepare(supervised(d), target_rows=target_rows)
     d = d.select(*group_columns(d, VEHICLE), *ORDER, "lng", "lat")
     last_seen = d.groupBy(*VEHICLE).agg(F.max("epoch_s").alias("_seen"))
     whole = ordered_scan(d, VEHICLE, following=True)
     whole = whole.withColumnsRenamed({"prev": "_from", "next": "_to"}).join(last_seen, list(VEHICLE), "left")
-    sites = sites.select("dept_id", "disposal_site_id", "lng", "lat").filter("disposal_site_id is not null")
+    sites = sites.select("dept_id", "disposal_site_id", "lng", "lat").filter("disposal_site_id is not null").distinct()
 
+    counted = _fit_for_homes(d, sites, radius_m, target_rows)
+    if counted:
+        return visits_by_home(whole.drop("hot", "slice"), sites, radius_m, dwell_s, counted, time, **kw)
     key = [*VEHICLE, "disposal_site_id"]
-    spread = _fit_for_homes(d, sites, radius_m, target_rows)
-    if spread:
-        key = [*VEHICLE, "_cx", "_cy", "disposal_site_id"]
-        inside = _inside_by_home(whole.drop("hot", "slice"), d, sites, radius_m, **kw)
-    else:
-        inside = match_sites(whole, sites, radius_m, **kw)
-        inside = inside.withColumn("disposal_site_id", F.col("target.disposal_site_id")).drop("target", "distance")
+    inside = match_sites(whole, sites, radius_m, **kw)
+    inside = inside.withColumn("disposal_site_id", F.col("target.disposal_site_id")).drop("target", "distance")
     # The vehicle was outside from the report after the previous one inside to the report before this one.
     went_out = F.col("_from.row_key") != F.col("prev.row_key")
     outside_s = F.col("_from.epoch_s") - F.col("prev._to.epoch_s")
@@ -89,7 +92,7 @@ def site_visits(
             F.col("_last._seen").alias("_seen"),
         )
     )
-    stays = _numbered_whole(stays, key, dwell_s) if spread else _numbered(stays, key, dwell_s)
+    stays = _numbered(stays, key, dwell_s)
     pending = F.col("_since_long") % 2 == 1
     visits = stays.filter(F.col("_long") | pending).withColumn(
         "_enter", F.when(pending, F.col("_previous")).otherwise(F.col("_start"))
@@ -98,54 +101,26 @@ def site_visits(
     return visits.filter(ended).select(
         *VEHICLE,
         "disposal_site_id",
-        F.timestamp_seconds("_enter").alias("enter_time"),
-        F.timestamp_seconds("_exit").alias("exit_time"),
+        time(F.col("_enter")).alias("enter_time"),
+        time(F.col("_exit")).alias("exit_time"),
     )
 
 
-# Pairs of a report and a site that one task sorts.
-TASK_PAIRS = 2_000_000
-
-
-def _fit_for_homes(d: DataFrame, sites: DataFrame, radius_m: float, target_rows: int | None) -> bool:
-    """Whether a task may hold a vehicle's reports around a cell: no cell has more than ``target_rows`` of a sliced vehicle, and
-    no site id has places in two cells."""
+def _fit_for_homes(d: DataFrame, sites: DataFrame, radius_m: float, target_rows: int | None) -> Counted | None:
+    """What ``counted_homes`` counts where a worker may hold a vehicle's reports around a cell (``HOME_ROWS``), no cell has more than
+    ``target_rows`` of a sliced vehicle, no site id has places in two cells and keys of reports are whole numbers; else None."""
+    if not isinstance(d.schema["row_key"].dataType, T.IntegralType):
+        return None
     _, homes = in_home_cells(d, sites, radius_m)
     if not homes.groupBy("dept_id", "disposal_site_id").agg(F.count_distinct("_cx", "_cy").alias("_n")).filter("_n > 1").isEmpty():
-        return False
-    if "slice" not in d.columns:
-        return True
-    _, cells = in_home_cells(d, d.filter("hot"), radius_m)
-    most = TARGET_ROWS if target_rows is None else target_rows
-    return cells.groupBy(*VEHICLE, "_cx", "_cy").count().filter(F.col("count") > most).isEmpty()
-
-
-def _inside_by_home(whole: DataFrame, d: DataFrame, sites: DataFrame, radius_m: float, **kw) -> DataFrame:
-    """Reports within ``radius_m`` of sites, dealt by vehicle and cell of the site before they are paired.
-
-    The pairs, which can be very many more than the reports, are neither shuffled nor stored: whatever groups them by vehicle, cell
-    and site finds them in one task, and there are tasks enough for each to sort its share in memory.
-    """
-    on = ["dept_id", "_cx", "_cy"]
-    counted, homes = in_home_cells(d.select("dept_id", "lng", "lat"), sites, radius_m)
-    counts = counted.groupBy(*on).agg(F.count("*").alias("_n")).join(homes.groupBy(*on).agg(F.count("*").alias("_m")), on)
-    pairs = counts.agg(F.sum(F.col("_n") * F.col("_m"))).first()[0] or 0
-    tasks = max(int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs // TASK_PAIRS)
-    copies, _ = in_home_cells(whole, sites, radius_m)
-    paired = salted_join(copies.repartition(tasks, *VEHICLE, "_cx", "_cy"), homes, on, "inner", **kw)
-    return paired.filter(distance_m("lng", "lat", "site_lng", "site_lat") < radius_m).drop("lng", "lat", "site_lng", "site_lat")
-
-
-def _numbered_whole(stays: DataFrame, key: list[str], dwell_s: int) -> DataFrame:
-    """``_numbered`` where a task may hold all stays of a key."""
-    order = Window.partitionBy(*key).orderBy("_start", "_start_key")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    stays = stays.withColumns({
-        "_long": F.col("_end") - F.col("_start") > dwell_s, "_i": F.row_number().over(order) - 1,
-        "_previous": F.lag("_start").over(order), "_open": F.lead("_start").over(order).isNull(),
-    })
-    stays = stays.withColumn("_long_i", F.max(F.when(F.col("_long"), F.col("_i"))).over(before))
-    return stays.withColumn("_since_long", F.coalesce(F.col("_i") - F.col("_long_i") - 1, F.col("_i")))
+        return None
+    if "slice" in d.columns:
+        _, cells = in_home_cells(d, d.filter("hot"), radius_m)
+        most = TARGET_ROWS if target_rows is None else target_rows
+        if not cells.groupBy(*VEHICLE, "_cx", "_cy").count().filter(F.col("count") > most).isEmpty():
+            return None
+    counted = counted_homes(d, sites, radius_m)
+    return counted if counted.most <= HOME_ROWS else None
 
 
 # Stays of a vehicle at a site are numbered within such periods: no more than this many seconds by dwell_s each.
