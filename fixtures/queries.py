@@ -599,11 +599,10 @@ def alarm_illegal_disposal_sliced(spark, sf_dir):
 
 @query
 def site_visits_sliced(spark, sf_dir):
-    out = vehicles.site_visits(
+    return vehicles.site_visits(
         positions(spark, sf_dir, "fast"), table(spark, sf_dir, "disposal_site"), radius_m=WIDE_M, dwell_s=DWELL_S,
-        target_rows=SLICE_ROWS,
+        target_rows=SLICE_ROWS, time=_second_text,
     )
-    return _texts(out, "enter_time", "exit_time")
 
 
 @query
