@@ -5,6 +5,7 @@ Everything here is built from Spark's own functions, so it runs in the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column
@@ -136,15 +137,16 @@ def ring_edges(ring: Column) -> Column:
     return F.filter(closed_edges(ring), lambda e: e["x1"] != e["x2"])
 
 
-def crosses_odd(lng: ColumnLike, lat: ColumnLike, edges: Column) -> Column:
-    """Even-odd rule over ``ring_edges``; half-open on longitude."""
+def crosses(lng: ColumnLike, lat: ColumnLike, edge: Column | Mapping[str, Column]) -> Column:
+    """Whether a line upwards from the point crosses an edge (``x1, y1, x2, y2``); half-open on longitude."""
     x, y = col(lng), col(lat)
+    height = (edge["y2"] - edge["y1"]) * (x - edge["x1"]) / (edge["x2"] - edge["x1"]) + edge["y1"]
+    return ((edge["x1"] > x) != (edge["x2"] > x)) & (y < height)
 
-    def crossed(e: Column) -> Column:
-        height = (e["y2"] - e["y1"]) * (x - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
-        return ((e["x1"] > x) != (e["x2"] > x)) & (y < height)
 
-    return F.size(F.filter(edges, crossed)) % 2 == 1
+def crosses_odd(lng: ColumnLike, lat: ColumnLike, edges: Column) -> Column:
+    """Even-odd rule over ``ring_edges``; half-open on longitude."""
+    return F.size(F.filter(edges, lambda e: crosses(lng, lat, e))) % 2 == 1
 
 
 def in_polygon(lng: ColumnLike, lat: ColumnLike, ring: Column) -> Column:

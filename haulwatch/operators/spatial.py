@@ -237,7 +237,7 @@ def points_in_fences(
     """
     ring = geo.parse_ring_json("coords")
     if cell_deg is None:
-        inside = covering.points_in(d, covering.cover(rules, ring, ["dept_id"], max_broadcast))
+        inside = covering.points_in(d, covering.cover(rules, ring, ["dept_id"], max_broadcast, leave=["coords"]))
         return _with_rule(inside, d.columns)
     cell_deg, limit = polygon_grid(rules, ring, cell_deg, max_broadcast)
     cells = polygon_cells(rules, ring, ["dept_id"], cell_deg)
@@ -276,7 +276,7 @@ def tag_region(
     d = d.drop("region_id", "region_name")
     if cell_deg is None:
         found = covering.first_in(
-            d, covering.cover(valid, ring, ["dept_id"], max_broadcast), lambda t: F.struct(t["id"].alias("id"), t["city_name"].alias("city_name")), "_hit"
+            d, covering.cover(valid, ring, ["dept_id"], max_broadcast, leave=["coords"]), lambda t: F.struct(t["id"].alias("id"), t["city_name"].alias("city_name")), "_hit"
         )
         return _with_region(found, d.columns)
     cell_deg, limit = polygon_grid(valid, ring, cell_deg, max_broadcast)
