@@ -201,6 +201,10 @@ class Places:
             if plain:
                 yield a, self.near(a, b, r, radius_m)
                 continue
+            low, high = self.first[a], self.end[b - 1]
+            if high - low <= 4 * step:
+                yield a, np.logical_or.reduceat(self.near(low, high, r, radius_m), self.first[a:b] - low, axis=0)
+                continue
             inside = np.zeros((b - a, len(r.lng)), bool)
             for k in range(a, b):
                 for p in range(self.first[k], self.end[k], step):
